@@ -17,8 +17,7 @@ END_OF_DATASET_YEAR = 1998
 
 
 def _parse(text: Column, strict: bool) -> Column:
-    fmt = F.lit("yyyyMMdd")
-    return F.to_date(text, "yyyyMMdd") if strict else F.try_to_date(text, fmt)
+    return F.to_date(text, "yyyyMMdd") if strict else F.try_to_date(text, "yyyyMMdd")
 
 
 def padded_yymmdd(packed: Column | str) -> Column:

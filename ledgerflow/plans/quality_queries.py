@@ -1 +1,126 @@
-"""Registered queries (filled in below)."""
+"""Data-quality queries: the declared 31 tests, FK enforcement, domain rejects."""
+
+from __future__ import annotations
+
+from ..operators import mart, quality
+from ..operators.quality import Rule
+from ..sources import testdata as td
+from . import oracle as O
+from .catalog import register
+
+# Name of each checked table -> its CTE in the oracle.
+ORACLE_TABLE = {
+    "trans": "raw_trans", "account": "raw_account", "client": "raw_client",
+    "disposition": "raw_disposition", "district": "raw_district",
+    "stg_trans": "stg_trans", "stg_account": "stg_account", "stg_client": "stg_client",
+    "stg_disposition": "stg_disposition", "stg_district": "stg_district",
+    "fct_enriched_transactions": "fct_enriched_transactions",
+}
+
+
+def check_tables(spark, sf_dir) -> dict:
+    raw = td.raw_tables(spark, sf_dir)
+    st = mart.stage_all(raw)
+    return {
+        "trans": raw.trans, "account": raw.account, "client": raw.client,
+        "disposition": raw.disposition, "district": raw.district,
+        "stg_trans": st.trans, "stg_account": st.account, "stg_client": st.client,
+        "stg_disposition": st.disposition, "stg_district": st.district,
+        "fct_enriched_transactions": mart.enriched_transactions(st.trans, mart.profile_of(st)),
+    }
+
+
+def _rule_sql(r: Rule) -> str:
+    t = ORACLE_TABLE[r.table]
+    c = r.column
+    if r.kind == "not_null":
+        fail = f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+    elif r.kind == "unique":
+        fail = (f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING count(*) > 1))")
+    elif r.kind == "accepted_values":
+        vals = ", ".join("'" + v + "'" for v in r.values)
+        fail = f"(SELECT count(DISTINCT {c}) FROM {t} WHERE {c} NOT IN ({vals}))"
+    else:
+        p = ORACLE_TABLE[r.to_table]
+        fail = (f"(SELECT count(*) FROM {t} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {p} pa WHERE pa.{r.to_column} = ch.{c}))")
+    status = (f"CASE WHEN {fail} = 0 THEN 'PASS' WHEN '{r.severity}' = 'warn' THEN 'WARN' "
+              "ELSE 'ERROR' END")
+    return (f"SELECT '{r.name}' AS test, '{r.table}' AS table_name, '{c}' AS column_name, "
+            f"'{r.severity}' AS severity, CAST({fail} AS BIGINT) AS failures, {status} AS status")
+
+
+def _union_sql(rules: list[Rule]) -> str:
+    return "\nUNION ALL\n".join(_rule_sql(r) for r in rules)
+
+
+def _rules_sql(rules: list[Rule]) -> str:
+    return O.with_base(_union_sql(rules))
+
+
+def _of_kind(kind: str) -> list[Rule]:
+    return [r for r in quality.DECLARED_RULES if r.kind == kind]
+
+
+def _register_kind(name: str, kind: str) -> None:
+    rules = _of_kind(kind)
+
+    @register(name, _rules_sql(rules))
+    def _q(spark, sf_dir):
+        return quality.run_checks(check_tables(spark, sf_dir), rules)
+
+
+_register_kind("dq_not_null", "not_null")
+_register_kind("dq_unique", "unique")
+_register_kind("dq_accepted_values", "accepted_values")
+_register_kind("dq_relationships", "relationships")
+
+
+@register("dq_summary", O.with_base(
+    "SELECT status, CAST(count(*) AS BIGINT) AS tests FROM ("
+    + _union_sql(quality.DECLARED_RULES) + ") GROUP BY status"))
+def dq_summary(spark, sf_dir):
+    return quality.summarize(quality.run_checks(check_tables(spark, sf_dir), quality.DECLARED_RULES))
+
+
+@register("dq_foreign_keys", _rules_sql(quality.FOREIGN_KEY_RULES))
+def dq_foreign_keys(spark, sf_dir):
+    return quality.run_checks(check_tables(spark, sf_dir), quality.FOREIGN_KEY_RULES)
+
+
+_TRANS_DOMAIN_SQL = [
+    ("trans_id_not_null", "trans_id IS NOT NULL"),
+    ("account_id_not_null", "account_id IS NOT NULL"),
+    ("amount_not_null", "amount IS NOT NULL"),
+    ("amount_non_negative", "coalesce(amount >= 0, true)"),
+    ("type_in_domain", "coalesce(type IN ('PRIJEM', 'VYDAJ', 'VYBER'), false)"),
+    ("date_in_range", "coalesce(date >= 0 AND date <= 999999, false)"),
+    ("date_parses", "try_strptime((CASE WHEN lpad(CAST(date AS VARCHAR), 6, '0') LIKE '0%' "
+                    "THEN '20' ELSE '19' END) || lpad(CAST(date AS VARCHAR), 6, '0'), '%Y%m%d') "
+                    "IS NOT NULL"),
+]
+_DISP_DOMAIN_SQL = [("type_in_domain", "coalesce(type IN ('OWNER', 'DISPONENT'), false)")]
+_CLIENT_DOMAIN_SQL = [(
+    "birth_number_parses",
+    "try_strptime('19' || lpad(CAST((CASE WHEN (birth_number % 10000) / 100 > 50 "
+    "THEN birth_number - 5000 ELSE birth_number END) AS VARCHAR), 6, '0'), '%Y%m%d') IS NOT NULL")]
+
+
+def _domain_sql(table: str, cte: str, rules) -> list[str]:
+    return [f"SELECT '{table}' AS table_name, '{name}' AS rule, "
+            f"CAST(count(*) FILTER (WHERE NOT ({pred})) AS BIGINT) AS rejected_rows FROM {cte}"
+            for name, pred in rules]
+
+
+@register("dq_domain_rejects", O.with_base("\nUNION ALL\n".join(
+    _domain_sql("trans", "raw_trans", _TRANS_DOMAIN_SQL)
+    + _domain_sql("disposition", "raw_disposition", _DISP_DOMAIN_SQL)
+    + _domain_sql("client", "raw_client", _CLIENT_DOMAIN_SQL))))
+def dq_domain_rejects(spark, sf_dir):
+    raw = td.raw_tables(spark, sf_dir)
+    return (quality.domain_reject_counts("trans", raw.trans, quality.trans_domain_rules())
+            .unionByName(quality.domain_reject_counts(
+                "disposition", raw.disposition, quality.disposition_domain_rules()))
+            .unionByName(quality.domain_reject_counts(
+                "client", raw.client, quality.client_domain_rules())))

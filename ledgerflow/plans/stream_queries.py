@@ -1 +1,107 @@
-"""Registered queries (filled in below)."""
+"""Stream-table enrichment queries, run through Structured Streaming.
+
+Each builder drains the ``events`` file stream with ``availableNow`` through
+the two-output ``foreachBatch`` writer into a fresh folder below the shared
+work directory, then returns the written output.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import enrich
+from ..operators import profile as profile_ops
+from ..session import scratch_path
+from ..sources import cdc as cdc_src
+from ..streaming import enrich_stream
+from . import oracle as O
+from .catalog import register, staged
+
+_PROFILE_CTE = {"stream_profile": """
+    SELECT a.account_id, c.client_id, c.birth_number, a.frequency AS account_frequency,
+      d.district_name, d.region AS district_region, d.avg_salary
+    FROM stg_account a
+    JOIN (SELECT * FROM stg_disposition WHERE disposition_type = 'OWNER') disp
+      ON a.account_id = disp.account_id
+    JOIN stg_client c ON disp.client_id = c.client_id
+    LEFT JOIN stg_district d ON coalesce(c.district_id, a.district_id) = d.district_id""",
+    "routed": """
+    SELECT t.*, p.client_id, p.birth_number, p.account_frequency, p.district_name,
+      p.district_region, p.avg_salary,
+      CASE WHEN t.account_id IS NULL THEN 'missing_account_id'
+           WHEN p.client_id IS NULL THEN 'referential_violation' END AS dlq_reason
+    FROM cdc_trans_log t LEFT JOIN stream_profile p ON t.account_id = p.account_id"""}
+
+
+def _profile_loader(spark, sf_dir):
+    def load():
+        st = staged(spark, sf_dir)
+        return profile_ops.stream_profile(st.account, st.disposition, st.client, st.district)
+    return load
+
+
+def run_stream(spark, sf_dir) -> dict:
+    out = scratch_path(spark, "enrich-stream")
+    return enrich_stream.run_to_completion(
+        spark, cdc_src.events_stream(spark, sf_dir), _profile_loader(spark, sf_dir), out)
+
+
+@register("stream_enriched", O.with_base("""
+    SELECT trans_id, account_id, date, type, operation, amount, balance, k_symbol, client_id,
+      birth_number, account_frequency, district_name, district_region, avg_salary,
+      __op, __lsn, __source_ts_ms, true AS __enriched
+    FROM routed WHERE dlq_reason IS NULL""", _PROFILE_CTE))
+def stream_enriched(spark, sf_dir):
+    return run_stream(spark, sf_dir)["enriched"].drop("batch_id")
+
+
+_ORIG = ["trans_id", "account_id", "date", "type", "operation", "amount", "balance", "k_symbol",
+         "bank", "account", "__op", "__table", "__lsn", "__source_ts_ms", "__deleted"]
+
+
+@register("stream_dlq", O.with_base(
+    "SELECT dlq_reason, trans_id, account_id, __source_ts_ms, "
+    + ", ".join(f"{c} AS orig_{c}" for c in _ORIG)
+    + " FROM routed WHERE dlq_reason IS NOT NULL", _PROFILE_CTE))
+def stream_dlq(spark, sf_dir):
+    dl = run_stream(spark, sf_dir)["dead_letters"]
+    orig = dl.schema["original_transaction"].dataType.fieldNames()
+    return dl.select("dlq_reason", "trans_id", "account_id", "__source_ts_ms",
+                     *[F.col(f"original_transaction.{c}").alias(f"orig_{c}") for c in orig])
+
+
+@register("dlq_by_reason", O.with_base("""
+    SELECT dlq_reason, CAST(count(*) AS BIGINT) AS records
+    FROM routed WHERE dlq_reason IS NOT NULL GROUP BY dlq_reason""", _PROFILE_CTE))
+def dlq_by_reason(spark, sf_dir):
+    return enrich.dlq_by_reason(run_stream(spark, sf_dir)["dead_letters"])
+
+
+@register("stream_metrics", O.with_base("""
+    SELECT CAST(count(*) AS BIGINT) AS processed,
+      CAST(count(*) FILTER (WHERE dlq_reason IS NULL) AS BIGINT) AS enriched,
+      CAST(count(*) FILTER (WHERE dlq_reason IS NOT NULL) AS BIGINT) AS dlq,
+      CAST(count(*) FILTER (WHERE dlq_reason = 'missing_account_id') AS BIGINT)
+        AS dlq_missing_account,
+      CAST(count(*) FILTER (WHERE dlq_reason IS NULL) AS DOUBLE) * 100.0
+        / CAST(count(*) AS DOUBLE) AS success_rate_pct
+    FROM routed""", _PROFILE_CTE))
+def stream_metrics(spark, sf_dir):
+    m = run_stream(spark, sf_dir)["metrics"]
+    s = m.agg(*[F.sum(c).cast("bigint").alias(c)
+                for c in ("processed", "enriched", "dlq", "dlq_missing_account")])
+    return s.withColumn("success_rate_pct", F.when(
+        F.col("processed") > 0,
+        F.col("enriched").cast("double") * F.lit(100.0) / F.col("processed").cast("double")))
+
+
+@register("enrich_batch", O.with_base("""
+    SELECT dlq_reason, CAST(count(*) AS BIGINT) AS records FROM routed GROUP BY dlq_reason""",
+    _PROFILE_CTE))
+def enrich_batch(spark, sf_dir):
+    """J-5 in batch form over the whole CDC log (the re-run path for late profiles, ST-7)."""
+    st = staged(spark, sf_dir)
+    prof = profile_ops.stream_profile(st.account, st.disposition, st.client, st.district)
+    from ..sources import testdata as td
+    routed = enrich.route(td.cdc_trans(spark, sf_dir), prof)
+    return routed.groupBy("dlq_reason").agg(F.count(F.lit(1)).cast("bigint").alias("records"))

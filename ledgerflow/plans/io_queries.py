@@ -1 +1,111 @@
-"""Registered queries (filled in below)."""
+"""Load and file queries: CSV round trip, idempotent append, full refresh."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import load
+from ..schemas import TRANS_COLUMNS
+from ..session import scratch_path
+from ..sources import delimited
+from ..sources import testdata as td
+from . import oracle as O
+from .catalog import register
+from .synth_queries import _sql as synth_sql
+from .synth_queries import fit_input, synthesize
+
+_COLS = ", ".join(TRANS_COLUMNS)
+
+
+@register("csv_round_trip", O.with_base(f"SELECT {_COLS} FROM raw_trans"))
+def csv_round_trip(spark, sf_dir):
+    """SNK-7 then SRC-1/SRC-2: write the transactions in the load-test layout
+    (k_symbol before balance), read them back by position, canonical order."""
+    path = scratch_path(spark, "trans-csv")
+    delimited.write_delimited(td.raw_trans(spark, sf_dir), path, "trans_loadtest")
+    return delimited.read_delimited(spark, path, "trans_loadtest")
+
+
+def _batch(spark, sf_dir):
+    """Staging batch: the corrupted dev set (copies included) followed by a
+    replay of every real transaction, as a retried load would deliver it."""
+    run = synthesize(spark, sf_dir)
+    dev = run.corrupted["dev"].rows.select(*TRANS_COLUMNS, F.lit(0).alias("src"),
+                                           F.col("copy_no").alias("seq"))
+    replay = td.raw_trans(spark, sf_dir).select(*TRANS_COLUMNS, F.lit(1).alias("src"),
+                                                F.col("ingest_seq").alias("seq"))
+    return dev.unionByName(replay)
+
+
+_BATCH_SQL = f"""
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trans_id ORDER BY src, seq) AS rn
+                   FROM (SELECT {_COLS}, 0 AS src, copy_no AS seq FROM corrupt_dev
+                         UNION ALL SELECT {_COLS}, 1, ingest_seq FROM raw_trans)) WHERE rn = 1"""
+
+
+@register("idempotent_append", synth_sql(f"""
+    SELECT {_COLS} FROM ({_BATCH_SQL}) b
+    WHERE NOT EXISTS (SELECT 1 FROM fit_in t WHERE t.trans_id = b.trans_id)"""))
+def idempotent_append(spark, sf_dir):
+    target = fit_input(spark, sf_dir)
+    inserted = load.insert_if_absent(target, _batch(spark, sf_dir), "trans_id", ["src", "seq"])
+    return inserted.select(*TRANS_COLUMNS)
+
+
+@register("load_audit", synth_sql(f"""
+    SELECT CAST((SELECT count(*) FROM fit_in) AS BIGINT) AS rows_before,
+      CAST((SELECT count(*) FROM corrupt_dev) + (SELECT count(*) FROM raw_trans) AS BIGINT)
+        AS staging_rows,
+      CAST((SELECT count(*) FROM ({_BATCH_SQL}) b
+            WHERE NOT EXISTS (SELECT 1 FROM fit_in t WHERE t.trans_id = b.trans_id)) AS BIGINT)
+        AS inserted_rows,
+      CAST((SELECT count(*) FROM fit_in) + (SELECT count(*) FROM ({_BATCH_SQL}) b
+            WHERE NOT EXISTS (SELECT 1 FROM fit_in t WHERE t.trans_id = b.trans_id)) AS BIGINT)
+        AS rows_after"""))
+def load_audit(spark, sf_dir):
+    target = fit_input(spark, sf_dir)
+    batch = _batch(spark, sf_dir)
+    inserted = load.insert_if_absent(target, batch, "trans_id", ["src", "seq"])
+    return load.load_audit(target, batch, inserted)
+
+
+@register("full_refresh_load", O.with_base("""
+    SELECT 'district' AS table_name, CAST(count(*) AS BIGINT) AS loaded_rows,
+      CAST(0 AS BIGINT) AS rejected_rows FROM raw_district
+    UNION ALL
+    SELECT 'account', CAST(count(*) FILTER (WHERE ok) AS BIGINT),
+      CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT)
+    FROM (SELECT a.*, (a.district_id IS NULL OR EXISTS (SELECT 1 FROM raw_district d
+           WHERE d.district_id = a.district_id)) AS ok FROM raw_account a)
+    UNION ALL
+    SELECT 'client', CAST(count(*) FILTER (WHERE ok) AS BIGINT),
+      CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT)
+    FROM (SELECT c.*, (c.district_id IS NULL OR EXISTS (SELECT 1 FROM raw_district d
+           WHERE d.district_id = c.district_id)) AS ok FROM raw_client c)
+    UNION ALL
+    SELECT 'disposition', CAST(count(*) FILTER (WHERE ok) AS BIGINT),
+      CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT)
+    FROM (SELECT x.*,
+            (x.client_id IS NULL OR EXISTS (SELECT 1 FROM raw_client c
+               WHERE c.client_id = x.client_id AND (c.district_id IS NULL OR EXISTS
+                 (SELECT 1 FROM raw_district d WHERE d.district_id = c.district_id))))
+            AND (x.account_id IS NULL OR EXISTS (SELECT 1 FROM raw_account a
+               WHERE a.account_id = x.account_id AND (a.district_id IS NULL OR EXISTS
+                 (SELECT 1 FROM raw_district d WHERE d.district_id = a.district_id)))) AS ok
+          FROM raw_disposition x)
+    UNION ALL
+    SELECT 'trans', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT) FROM raw_trans"""))
+def full_refresh_load(spark, sf_dir):
+    """SNK-3 + J-10: truncate-and-reload every table in dependency order; rows
+    whose parent was not loaded are rejected (counts per table)."""
+    raw = td.raw_tables(spark, sf_dir)
+    root = scratch_path(spark, "full-refresh")
+
+    def write(name, df):
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    tables = {"district": raw.district, "account": raw.account, "client": raw.client,
+              "disposition": raw.disposition, "trans": raw.trans.drop("ingest_seq")}
+    _, counts = load.full_refresh(tables, write)
+    return counts

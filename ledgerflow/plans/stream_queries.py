@@ -13,7 +13,8 @@ from ..operators import enrich
 from ..operators import profile as profile_ops
 from ..session import scratch_path
 from ..sources import cdc as cdc_src
-from ..streaming import enrich_stream
+from ..streaming import enrich_stream, profile_stream
+from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register, staged
 
@@ -102,6 +103,26 @@ def enrich_batch(spark, sf_dir):
     """J-5 in batch form over the whole CDC log (the re-run path for late profiles, ST-7)."""
     st = staged(spark, sf_dir)
     prof = profile_ops.stream_profile(st.account, st.disposition, st.client, st.district)
-    from ..sources import testdata as td
     routed = enrich.route(td.cdc_trans(spark, sf_dir), prof)
     return routed.groupBy("dlq_reason").agg(F.count(F.lit(1)).cast("bigint").alias("records"))
+
+
+@register("stream_profile_state", O.with_base("""
+    SELECT client_id, birth_number, district_id, __op, __lsn, __source_ts_ms, __deleted
+    FROM (SELECT *, row_number() OVER (PARTITION BY client_id
+                                       ORDER BY __lsn DESC, __source_ts_ms DESC) AS rn
+          FROM cdc_client_log WHERE client_id IS NOT NULL)
+    WHERE rn = 1 AND NOT (__deleted = 'true' OR __op = 'd')"""))
+def stream_profile_state(spark, sf_dir):
+    """ST-1 as a stream: the client change log, cut into lsn-ordered files, is
+    merged batch by batch into the bucketed state table; live rows returned."""
+    log = td.cdc_client(spark, sf_dir).withColumn("__table", F.lit("client"))
+    src = scratch_path(spark, "client-cdc")
+    log.repartitionByRange(4, "__lsn").write.mode("overwrite").parquet(src)
+    root = scratch_path(spark, "profile-state")
+    changes = cdc_src.parquet_stream(spark, src, log.schema, max_files_per_trigger=1)
+    q = profile_stream.start_profile_stream(spark, changes, root)
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return profile_stream.ProfileStore(root).read_live(spark, "client")

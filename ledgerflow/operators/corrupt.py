@@ -65,8 +65,9 @@ def corrupt(spark: SparkSession, clean: DataFrame, n: int, max_real_account: int
     post = (post.withColumn("_h_ref", hash52(f"{salt}:ref", "trans_id", "copy_no"))
             .withColumn("_h_mis", hash52(f"{salt}:mis", "trans_id", "copy_no")))
     n_post = n + min(k_dup, n)
-    ref_sel = selection.exact_k(post, k_ref, "_h_ref", ["trans_id", "copy_no"], n_rows=n_post)
-    mis_sel = selection.exact_k(post, k_mis, "_h_mis", ["trans_id", "copy_no"], n_rows=n_post)
+    ref_sel, mis_sel = selection.exact_k_many(
+        post, [(k_ref, "_h_ref", ["trans_id", "copy_no"]), (k_mis, "_h_mis", ["trans_id", "copy_no"])],
+        n_rows=n_post)
 
     flagged = (post.withColumn("is_orphan", ref_sel.predicate())
                .withColumn("is_missing", mis_sel.predicate())
@@ -132,3 +133,18 @@ def audit_summary(audit: DataFrame, summaries: list[dict]) -> DataFrame:
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+# Size of the manifest's sample of original k_symbol values.
+MANIFEST_SAMPLE = 20
+
+
+def missing_value_sample(audit: DataFrame, datasets: list[str], size: int = MANIFEST_SAMPLE
+                         ) -> DataFrame:
+    """O-2: the first ``size`` missing-value entries (by trans_id, copy_no) with
+    their original k_symbol, per data set -- a distributed top-k, not a sort."""
+    parts = [audit.where((F.col("kind") == "missing_value") & (F.col("dataset") == ds))
+             .orderBy("trans_id", "copy_no").limit(size)
+             .select("dataset", "trans_id", "copy_no", F.col("old_value").alias("original_k_symbol"))
+             for ds in sorted(datasets)]
+    return union_all(parts)

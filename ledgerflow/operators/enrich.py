@@ -81,3 +81,9 @@ def metrics(routed: DataFrame) -> DataFrame:
 def dlq_by_reason(dead: DataFrame) -> DataFrame:
     """A-9: dead letters per reason."""
     return dead.groupBy("dlq_reason").agg(F.count(F.lit(1)).cast("bigint").alias("records"))
+
+
+def rerun_dead_letters(dead: DataFrame, profile: DataFrame) -> DataFrame:
+    """ST-7: route the original transactions of stored dead letters again, e.g.
+    after a late profile has arrived; returns routed rows (enriched or still dead)."""
+    return route(dead.select("original_transaction.*"), profile)

@@ -84,3 +84,19 @@ def mart_counts(trans: DataFrame, profile: DataFrame) -> DataFrame:
         F.count_if(F.col("_hit").isNull() & F.col("account_id").isNull()).cast("bigint")
          .alias("excluded_null_account"),
     )
+
+
+def with_month(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("transaction_month", F.date_format("transaction_date", "yyyy-MM"))
+
+
+def write_mart(fact: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
+    """SNK-6: full rebuild of the mart, partitioned by transaction month.
+
+    Sorting within partitions by month lets each task write one file per month
+    at a time (no per-month shuffle, so a busy month cannot become one task);
+    ``maxRecordsPerFile`` bounds file sizes.
+    """
+    (with_month(fact).sortWithinPartitions("transaction_month")
+     .write.mode("overwrite").partitionBy("transaction_month")
+     .option("maxRecordsPerFile", max_records_per_file).parquet(path))

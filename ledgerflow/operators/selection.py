@@ -68,16 +68,41 @@ class Selection:
 def exact_k(df: DataFrame, k: int, h_col: str, tiebreak: list[str],
             bits: int | None = None, n_rows: int | None = None) -> Selection:
     """Plan an exact-k selection over ``df`` (two small actions: histogram, cut)."""
-    dtypes = [df.schema[h_col].dataType] + [df.schema[c].dataType for c in tiebreak]
-    if k <= 0:
-        return Selection(0, h_col, tiebreak, bits or 8, None, None, [], dtypes)
+    return exact_k_many(df, [(k, h_col, tiebreak)], bits, n_rows)[0]
+
+
+def exact_k_many(df: DataFrame, specs: list[tuple[int, str, list[str]]],
+                 bits: int | None = None, n_rows: int | None = None) -> list[Selection]:
+    """Several independent exact-k selections over the same rows.
+
+    All histograms come from one pass (each row contributes one bucket per
+    selection, tagged by selection index); then one bounded top-k per
+    selection inside its cut bucket.
+    """
     if bits is None:
         if n_rows is None:
             n_rows = df.count()
         bits = bucket_bits(n_rows)
-    b = _bucket(F.col(h_col), bits).alias("_b")
-    hist = sorted((r["_b"], r["n"]) for r in
-                  df.select(b).groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
+    active = [i for i, (k, _, _) in enumerate(specs) if k > 0]
+    hists: dict[int, list[tuple[int, int]]] = {i: [] for i in active}
+    if active:
+        tagged = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("s"), _bucket(F.col(specs[i][1]), bits).alias("b"))
+            for i in active])).alias("t")).select("t.s", "t.b")
+        for r in tagged.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n")).collect():
+            hists[r["s"]].append((r["b"], r["n"]))
+    out = []
+    for i, (k, h_col, tiebreak) in enumerate(specs):
+        dtypes = [df.schema[h_col].dataType] + [df.schema[c].dataType for c in tiebreak]
+        if k <= 0:
+            out.append(Selection(0, h_col, tiebreak, bits, None, None, [], dtypes))
+            continue
+        out.append(_cut(df, k, h_col, tiebreak, bits, sorted(hists[i]), dtypes))
+    return out
+
+
+def _cut(df: DataFrame, k: int, h_col: str, tiebreak: list[str], bits: int,
+         hist: list[tuple[int, int]], dtypes: list) -> Selection:
     before, cut, offsets = 0, None, []
     for bucket, n in hist:
         offsets.append((bucket, before))
@@ -87,18 +112,16 @@ def exact_k(df: DataFrame, k: int, h_col: str, tiebreak: list[str],
         before += n
     if cut is None:  # k >= all rows: everything is selected
         last = hist[-1][0] if hist else 0
-        cut_rows = (df.where(_bucket(F.col(h_col), bits) == F.lit(last))
-                    .agg(F.max(_tuple(h_col, tiebreak)).alias("t")).collect())
-        thr = tuple(cut_rows[0]["t"]) if cut_rows and cut_rows[0]["t"] is not None else None
+        rows = (df.where(_bucket(F.col(h_col), bits) == F.lit(last))
+                .agg(F.max(_tuple(h_col, tiebreak)).alias("t")).collect())
+        thr = tuple(rows[0]["t"]) if rows and rows[0]["t"] is not None else None
         return Selection(sum(n for _, n in hist), h_col, tiebreak, bits, last, thr, offsets, dtypes)
-    k_in_cut = k - before
     # Top-k inside one bucket only (bounded by the bucket's size from the histogram).
     in_cut = (df.where(_bucket(F.col(h_col), bits) == F.lit(cut))
               .select(_tuple(h_col, tiebreak).alias("t"))
-              .orderBy("t").limit(k_in_cut)
+              .orderBy("t").limit(k - before)
               .agg(F.max("t").alias("t")).collect())
-    thr = tuple(in_cut[0]["t"])
-    return Selection(k, h_col, tiebreak, bits, cut, thr, offsets, dtypes)
+    return Selection(k, h_col, tiebreak, bits, cut, tuple(in_cut[0]["t"]), offsets, dtypes)
 
 
 def ranked(spark: SparkSession, selected: DataFrame, sel: Selection, rank_col: str = "rank"

@@ -26,7 +26,7 @@ from . import selection
 # Synthetic period (start day and length in days).
 SYNTHETIC_START = "1999-01-01"
 SYNTHETIC_DURATION_DAYS = 365 * 6
-# Default corruption rates, data set sizes are derived from the data.
+# Default seed; data set sizes are derived from the data (dataset_sizes).
 DEFAULT_SEED = 42
 ACCOUNT_BUCKET_BITS = 12
 
@@ -119,14 +119,29 @@ class FitTables:
 
 
 def fit(spark: SparkSession, trans: DataFrame) -> FitTables:
-    """SY-1: fit all four distributions (the account table is written to the
-    shared work folder so later draws do not recompute it)."""
+    """SY-1: fit all four distributions.
+
+    The (deduplicated) input is persisted for the duration of the fit so its
+    shuffle runs once for the four aggregations; the fitted tables are small
+    and are written to the shared work folder, so later draws read them
+    instead of recomputing them from the transactions.
+    """
+    from pyspark import StorageLevel
+
     from ..session import scratch_path
-    scalars = fit_scalars(trans).collect()[0].asDict()
-    accounts = fit_account_weights(spark, trans, total_rows=int(scalars["account_rows"]))
-    path = scratch_path(spark, "fit-accounts")
-    accounts.write.mode("overwrite").parquet(path)
-    return FitTables(fit_operation(trans), fit_k_symbol(trans), spark.read.parquet(path), scalars)
+    src = trans.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        scalars = fit_scalars(src).collect()[0].asDict()
+        root = scratch_path(spark, "fit")
+        fit_account_weights(spark, src, total_rows=int(scalars["account_rows"])) \
+            .write.mode("overwrite").parquet(f"{root}/accounts")
+        fit_operation(src).coalesce(1).write.mode("overwrite").parquet(f"{root}/operations")
+        fit_k_symbol(src).coalesce(1).write.mode("overwrite").parquet(f"{root}/k_symbols")
+    finally:
+        src.unpersist()
+    return FitTables(spark.read.parquet(f"{root}/operations"),
+                     spark.read.parquet(f"{root}/k_symbols"),
+                     spark.read.parquet(f"{root}/accounts"), scalars)
 
 
 def _case_by_op(rows: list, field: str, op_key: Column, cast: str) -> Column:

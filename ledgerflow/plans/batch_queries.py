@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators import mart, staging
+from ..session import scratch_path
 from ..operators import profile as profile_ops
 from ..sources import testdata as td
 from . import oracle as O
@@ -63,3 +64,14 @@ def mart_counts(spark, sf_dir):
 def trans_excluded(spark, sf_dir):
     st = staged(spark, sf_dir)
     return mart.excluded_transactions(st.trans, mart.profile_of(st))
+
+
+@register("mart_materialized", O.with_base(
+    "SELECT *, strftime(transaction_date, '%Y-%m') AS transaction_month "
+    "FROM fct_enriched_transactions"))
+def mart_materialized(spark, sf_dir):
+    """SNK-6: the mart written as a month-partitioned table and read back."""
+    path = scratch_path(spark, "mart")
+    mart.write_mart(mart.fct_enriched_transactions(td.raw_tables(spark, sf_dir)), path)
+    back = spark.read.option("basePath", path).parquet(path)
+    return back.select(*mart.MART_COLUMNS, back["transaction_month"].cast("string"))

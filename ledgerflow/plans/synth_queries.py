@@ -381,3 +381,14 @@ def reconcile(c: corrupt_ops.Corrupted) -> DataFrame:
             for name, e, o in checks]
     return spark.createDataFrame(
         rows, "dataset string, check_name string, expected long, observed long, status string")
+
+
+@register("manifest_missing_sample", _sql(f"""
+    SELECT dataset, trans_id, copy_no, original_k_symbol FROM (
+      SELECT dataset, trans_id, copy_no, old_value AS original_k_symbol,
+        row_number() OVER (PARTITION BY dataset ORDER BY trans_id, copy_no) AS rn
+      FROM audit_all WHERE kind = 'missing_value')
+    WHERE rn <= {corrupt_ops.MANIFEST_SAMPLE}"""))
+def manifest_missing_sample(spark, sf_dir):
+    """O-2: the manifest keeps the original k_symbol of the first 20 nulled rows."""
+    return corrupt_ops.missing_value_sample(_audit(spark, sf_dir), DATASETS)

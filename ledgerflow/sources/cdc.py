@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import drop_tombstone_messages, route_topic
+from ..schemas import CDC_PROFILE
 from . import testdata as td
 
+CDC_PROFILE_FIELDS = CDC_PROFILE.fields
+
 # Topic names and consumer settings of the reference deployment.
 TRANS_TOPIC = "cdc.public.trans"
 PROFILE_TOPICS = ["cdc.public.account", "cdc.public.client", "cdc.public.disposition",
@@ -91,3 +94,40 @@ def json_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.text(path)
+
+
+# Columns carried by each profile table's change records.
+PROFILE_TABLE_COLUMNS = {
+    "account": ["account_id", "district_id", "frequency", "date"],
+    "client": ["client_id", "birth_number", "district_id"],
+    "disposition": ["disp_id", "client_id", "account_id", "type"],
+    "district": ["district_id", "name", "region", "avg_salary", "num_inhabitants"],
+}
+SNAPSHOT_LSN = -1
+
+
+def snapshot_changes(tables: dict[str, DataFrame]) -> DataFrame:
+    """Initial snapshot of the profile tables as change records (``__op`` = 'r',
+    the lowest lsn), in the routed profile-envelope shape."""
+    parts = []
+    for name, cols in PROFILE_TABLE_COLUMNS.items():
+        if name not in tables:
+            continue
+        parts.append(tables[name].select(
+            *cols, F.lit("r").alias("__op"), F.lit(name).alias("__table"),
+            F.lit(SNAPSHOT_LSN).cast("bigint").alias("__lsn"),
+            F.lit(0).cast("bigint").alias("__source_ts_ms"), F.lit("false").alias("__deleted")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in out.columns
+                        else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in CDC_PROFILE_FIELDS])
+
+
+def as_profile_changes(log: DataFrame, table: str) -> DataFrame:
+    """A single table's change log in the routed profile-envelope shape."""
+    tagged = log.withColumn("__table", F.lit(table))
+    return tagged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in tagged.columns
+                           else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in CDC_PROFILE_FIELDS])

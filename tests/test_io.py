@@ -64,3 +64,16 @@ def test_full_refresh_rejects_orphans(spark):
     loaded, counts = load.full_refresh(tables)
     got = {r["table_name"]: (r["loaded_rows"], r["rejected_rows"]) for r in counts.collect()}
     assert got == {"district": (1, 0), "account": (1, 1), "client": (2, 0), "disposition": (1, 2)}
+
+
+def test_mart_written_by_month(spark, tmp_dir):
+    import datetime as dt
+    from ledgerflow.operators import mart
+    fact = spark.createDataFrame([(1, dt.date(1999, 1, 5)), (2, dt.date(1999, 2, 1)),
+                                  (3, dt.date(1999, 1, 30))], "trans_id long, transaction_date date")
+    path = os.path.join(tmp_dir, "mart")
+    mart.write_mart(fact, path)
+    months = sorted(d for d in os.listdir(path) if d.startswith("transaction_month="))
+    assert months == ["transaction_month=1999-01", "transaction_month=1999-02"]
+    back = spark.read.parquet(path).where("transaction_month = '1999-01'")
+    assert sorted(r["trans_id"] for r in back.collect()) == [1, 3]

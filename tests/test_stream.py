@@ -71,3 +71,30 @@ def test_profile_state_stream_equals_compaction(spark, tmp_dir):
     want = cdc.compact(log.drop("__table"), "client_id")
     assert sorted(map(tuple, got.select(*want.columns).collect())) == \
         sorted(map(tuple, want.collect()))
+
+
+def test_dead_letter_rerun_after_late_profile(spark, tmp_dir):
+    log = td.cdc_trans(spark, SMALL)
+    prof = _profile(spark)
+    dead = enrich.dead_letters(enrich.route(log, prof))
+    n_ref = dead.where("dlq_reason = 'referential_violation'").count()
+    assert n_ref > 0
+    # The late profile rows arrive: every missing account now has a profile.
+    missing = dead.where("account_id IS NOT NULL").select("account_id").distinct()
+    late = missing.select(*[
+        F.col("account_id") if c == "account_id" else
+        F.lit(1).cast("bigint").alias(c) if c == "client_id" else
+        F.lit(None).cast(prof.schema[c].dataType).alias(c) for c in prof.columns])
+    rerun = enrich.rerun_dead_letters(dead, prof.unionByName(late))
+    assert enrich.enriched(rerun).count() == n_ref
+    assert enrich.dead_letters(rerun).count() == dead.count() - n_ref
+
+
+def test_snapshot_changes_shape(spark):
+    raw = td.raw_tables(spark, SMALL)
+    snap = cdc_src.snapshot_changes({"account": raw.account, "district": raw.district})
+    from ledgerflow.schemas import CDC_PROFILE
+    assert snap.schema.fieldNames() == CDC_PROFILE.fieldNames()
+    counts = {r["__table"]: r["count"] for r in snap.groupBy("__table").count().collect()}
+    assert counts == {"account": raw.account.count(), "district": raw.district.count()}
+    assert snap.where("__lsn <> -1 OR __op <> 'r'").count() == 0

@@ -3,8 +3,11 @@
 A rule set is a list of ``Rule``; ``run_checks`` turns it into one result
 DataFrame ``(test, table_name, column_name, severity, failures, status)``.
 
-Execution is batched per table: all ``not_null`` rules of a table are one
-aggregation (one scan), all ``accepted_values`` rules of a table are another;
+``run_checks`` is one job: every table is projected to the columns its rules
+use, and a table feeding several passes is persisted in that narrow form for
+the run (so the deduplicated fact and the mart are computed once, not once per
+rule).  Per table, all ``not_null`` rules are one aggregation and all
+``accepted_values`` rules are another;
 each ``unique`` rule is a grouped count (map-side partial aggregation, so a hot
 key costs one row per map task) and each ``relationships`` rule is a left-anti
 join on non-NULL keys.  Failure counts follow the usual definitions:
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, dates
+from ..schemas import DQ_RESULT
 
 PASS, WARN, ERROR = "PASS", "WARN", "ERROR"
 
@@ -90,7 +94,8 @@ def _relationship(rule: Rule, child: DataFrame, parent: DataFrame) -> DataFrame:
     return _explode_results(orphans.agg(_result(rule, F.count(F.lit(1))).alias("r0")))
 
 
-def run_checks(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+def check_plan(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """All rule results as one lazy union (one small row per rule)."""
     parts = _per_table(rules, tables, "not_null") + _per_table(rules, tables, "accepted_values")
     for r in rules:
         if r.kind == "unique":
@@ -100,6 +105,61 @@ def run_checks(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _columns_used(rules: list[Rule]) -> dict[str, list[str]]:
+    used: dict[str, list[str]] = {}
+    for r in rules:
+        for t, c in ((r.table, r.column), (r.to_table, r.to_column)):
+            if t is not None and c not in used.setdefault(t, []):
+                used[t].append(c)
+    return used
+
+
+def _groups_per_table(rules: list[Rule]) -> dict[str, int]:
+    """How many separate passes each table would get (fused kinds count once)."""
+    n: dict[str, int] = {}
+    kinds: dict[str, set] = {}
+    for r in rules:
+        for t in (r.table, r.to_table):
+            if t is None:
+                continue
+            if r.kind in ("not_null", "accepted_values") and t == r.table:
+                if r.kind in kinds.setdefault(t, set()):
+                    continue
+                kinds[t].add(r.kind)
+            n[t] = n.get(t, 0) + 1
+    return n
+
+
+def run_checks(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """Run the rule set as one job and return its (small) result table.
+
+    Each table is first projected to the columns its rules use; a table that
+    feeds more than one pass is persisted in that narrow form for the
+    duration of the run, so an expensive input (a deduplicated fact, the
+    mart) is computed once instead of once per rule.
+    """
+    from pyspark import StorageLevel
+
+    used = _columns_used(rules)
+    passes = _groups_per_table(rules)
+    narrow, held = {}, []
+    for name, cols in used.items():
+        df = tables[name].select(*cols)
+        if passes.get(name, 0) > 1:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(df)
+        narrow[name] = df
+    try:
+        rows = check_plan(narrow, rules).collect()
+    finally:
+        for df in held:
+            df.unpersist()
+    spark = next(iter(tables.values())).sparkSession
+    order = {r.name: i for i, r in enumerate(rules)}
+    rows = sorted(rows, key=lambda r: order.get(r["test"], len(order)))
+    return spark.createDataFrame([tuple(r) for r in rows], DQ_RESULT)
+
+
 def summarize(results: DataFrame) -> DataFrame:
     """Status counts of a result set; the run fails only on ERROR."""
     return results.groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("tests"))

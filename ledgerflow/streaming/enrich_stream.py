@@ -49,10 +49,32 @@ def _batch_path(base: str, batch_id: int) -> str:
     return f"{base}/batch_id={batch_id}"
 
 
+# Distinct account keys of one micro-batch that may be broadcast to narrow the profile.
+BATCH_KEYS_BROADCAST_MAX = 5_000_000
+
+
+def narrow_profile(batch: DataFrame, profile: DataFrame, n_keys: int,
+                   max_keys: int = BATCH_KEYS_BROADCAST_MAX) -> DataFrame:
+    """Keep only the profile rows of accounts in this micro-batch.
+
+    A left outer join can only build on the profile side, so a large profile
+    would be shuffled in full for every micro-batch.  When the batch's distinct
+    keys are few (checked count), they are broadcast into a left-semi join that
+    Catalyst pushes towards the profile's scans; the narrowed profile is then
+    small enough for AQE to broadcast into the join.
+    """
+    if n_keys > max_keys:
+        return profile
+    keys = batch.select("account_id").where(F.col("account_id").isNotNull()).distinct()
+    return profile.join(F.broadcast(keys), "account_id", "left_semi")
+
+
 def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFrame],
                       out: StreamOutputs) -> Callable[[DataFrame, int], None]:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        profile = profile_loader()
+        batch = batch.persist()
+        n_keys = batch.select("account_id").distinct().count()
+        profile = narrow_profile(batch, profile_loader(), n_keys)
         routed = enrich.route(batch, profile).persist()
         try:
             obs = Observation(f"enrich_{batch_id}")
@@ -73,6 +95,7 @@ def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFram
              .write.mode("overwrite").parquet(_batch_path(out.metrics, batch_id)))
         finally:
             routed.unpersist()
+            batch.unpersist()
     return write_batch
 
 

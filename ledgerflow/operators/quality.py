@@ -88,10 +88,15 @@ def _unique(rule: Rule, df: DataFrame) -> DataFrame:
 
 
 def _relationship(rule: Rule, child: DataFrame, parent: DataFrame) -> DataFrame:
-    keys = child.select(F.col(rule.column).alias("k")).where(F.col("k").isNotNull())
+    """Child rows whose key has no parent.  Child keys are counted first (map-side
+    combine), so a hot key crosses the shuffle as one row per map task and the
+    anti join runs over distinct keys only."""
+    keys = (child.select(F.col(rule.column).alias("k")).where(F.col("k").isNotNull())
+            .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
     parents = parent.select(F.col(rule.to_column).alias("k"))
     orphans = keys.join(parents, "k", "left_anti")
-    return _explode_results(orphans.agg(_result(rule, F.count(F.lit(1))).alias("r0")))
+    failures = F.coalesce(F.sum("n"), F.lit(0))
+    return _explode_results(orphans.agg(_result(rule, failures).alias("r0")))
 
 
 def check_plan(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:

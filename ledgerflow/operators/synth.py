@@ -144,15 +144,6 @@ def fit(spark: SparkSession, trans: DataFrame) -> FitTables:
                      spark.read.parquet(f"{root}/accounts"), scalars)
 
 
-def _case_by_op(rows: list, field: str, op_key: Column, cast: str) -> Column:
-    expr = None
-    for r in rows:
-        cond = op_key == F.lit(r["op_key"])
-        val = F.lit(r[field]).cast(cast)
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr if expr is not None else F.lit(None).cast(cast)
-
-
 def sample(spark: SparkSession, model: FitTables, n: int, start_id: int, seed: int = DEFAULT_SEED,
            dataset: str = "dev", num_partitions: int | None = None) -> DataFrame:
     """SY-2 ... SY-7: n rows with trans_id start_id .. start_id + n - 1."""
@@ -170,8 +161,13 @@ def sample(spark: SparkSession, model: FitTables, n: int, start_id: int, seed: i
     for r in ops:
         cond = (r_op >= F.lit(r["cum_lo"])) & (r_op < F.lit(r["cum_hi"]))
         op_key = F.when(cond, F.lit(r["op_key"])) if op_key is None else op_key.when(cond, F.lit(r["op_key"]))
-    base = ids.withColumn("op_key", op_key)
-    n_op = _case_by_op(ops, "n", F.col("op_key"), "bigint")
+    # Per-operation parameters by an equi-join on the (<= 6-row, checked) fitted table.
+    params = model.operations.select(
+        "op_key", F.col("n").alias("_n_op"), F.col("log_mean").alias("_mu"),
+        F.col("log_std").alias("_sigma"), F.col("amount_min").alias("_amt_lo"),
+        F.col("amount_max").alias("_amt_hi"))
+    base = ids.withColumn("op_key", op_key).join(F.broadcast(params), "op_key", "inner")
+    n_op = F.col("_n_op")
 
     # SY-4: k_symbol | operation -- equi-join on op_key + interval test.
     k_tab = model.k_symbols.select("op_key", "k_symbol", "cum_lo", "cum_hi")
@@ -193,11 +189,7 @@ def sample(spark: SparkSession, model: FitTables, n: int, start_id: int, seed: i
     day = uniform_int(f"{salt}:date", SYNTHETIC_DURATION_DAYS, "trans_id")
     d = F.date_add(F.lit(SYNTHETIC_START).cast("date"), day.cast("int"))
     z = standard_normal(f"{salt}:amt", "trans_id")
-    amount = codes.clipped_lognormal(
-        _case_by_op(ops, "log_mean", F.col("op_key"), "double"),
-        _case_by_op(ops, "log_std", F.col("op_key"), "double"), z,
-        _case_by_op(ops, "amount_min", F.col("op_key"), "double"),
-        _case_by_op(ops, "amount_max", F.col("op_key"), "double"))
+    amount = codes.clipped_lognormal(F.col("_mu"), F.col("_sigma"), z, F.col("_amt_lo"), F.col("_amt_hi"))
     return with_acc.select(
         "trans_id", "account_id",
         to_yymmdd(d).alias("date"),

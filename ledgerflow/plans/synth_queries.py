@@ -351,45 +351,49 @@ def reconcile_corruption(spark, sf_dir):
 
 
 def reconcile(c: corrupt_ops.Corrupted) -> DataFrame:
-    """CR-6: audited counts against what the data and the load path show."""
+    """CR-6: audited counts against what the data and the load path show.
+
+    Two jobs: one aggregation over the audit and the flagged rows together, and
+    one grouping by trans_id that yields both the duplicated ids and the copy a
+    first-wins load keeps (``min_by`` on copy_no, no window).
+    """
     fake_base = int(c.summary["fake_base"])
     ds = c.summary["dataset"]
-    audit = c.audit.agg(
-        F.count_if(F.col("kind") == "duplicate").alias("dup"),
-        F.count_if(F.col("kind") == "referential_violation").alias("ref"),
-        F.count_if((F.col("kind") == "referential_violation") & (F.col("copy_no") == 0)).alias("ref0"),
-        F.count_if((F.col("kind") == "missing_value") & F.col("old_value").isNotNull()).alias("mis"),
-    ).collect()[0]
-    data = c.flagged.agg(
-        F.count_if(F.col("copy_no") != 0).alias("added"),
-        F.count_if(F.col("account_id") >= fake_base).alias("fake"),
-        F.count_if(F.col("k_symbol").isNull()).alias("null_now"),
-        F.count_if(F.col("original_k_symbol").isNull()).alias("null_before"),
+    audit = c.audit.select(F.lit("audit").alias("_src"), "kind", "copy_no", "old_value",
+                           F.lit(None).cast("bigint").alias("account_id"),
+                           F.lit(None).cast("string").alias("k_symbol"),
+                           F.lit(None).cast("string").alias("original_k_symbol"))
+    data = c.flagged.select(F.lit("data").alias("_src"), F.lit(None).cast("string").alias("kind"),
+                            "copy_no", F.lit(None).cast("string").alias("old_value"),
+                            "account_id", "k_symbol", "original_k_symbol")
+    a, d = F.col("_src") == "audit", F.col("_src") == "data"
+    counts = audit.unionByName(data).agg(
+        F.count_if(a & (F.col("kind") == "duplicate")).alias("dup"),
+        F.count_if(a & (F.col("kind") == "referential_violation")).alias("ref"),
+        F.count_if(a & (F.col("kind") == "referential_violation") & (F.col("copy_no") == 0))
+         .alias("ref0"),
+        F.count_if(a & (F.col("kind") == "missing_value") & F.col("old_value").isNotNull())
+         .alias("mis"),
+        F.count_if(d & (F.col("copy_no") != 0)).alias("added"),
+        F.count_if(d & (F.col("account_id") >= fake_base)).alias("fake"),
+        F.count_if(d & F.col("k_symbol").isNull()).alias("null_now"),
+        F.count_if(d & F.col("original_k_symbol").isNull()).alias("null_before"),
     ).collect()[0]
-    dup_ids = (c.rows.groupBy("trans_id").count().where(F.col("count") > 1).count())
-    # The load path keeps the first copy (first-wins dedupe, as the insert-if-absent load).
-    survivors = staging.dedupe_first(c.rows, "trans_id", ["copy_no"])
-    fake_after = survivors.where(F.col("account_id") >= fake_base).count()
+    per_id = c.rows.groupBy("trans_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        # The load path keeps the first copy (first-wins, as the insert-if-absent load).
+        F.min_by("account_id", "copy_no").alias("kept_account"))
+    ids = per_id.agg(F.count_if(F.col("n") > 1).alias("dup_ids"),
+                     F.count_if(F.col("kept_account") >= fake_base).alias("fake_after")).collect()[0]
     checks = [
-        ("rows_added_by_duplicates", audit["dup"], data["added"]),
-        ("duplicated_ids", audit["dup"], dup_ids),
-        ("fake_accounts", audit["ref"], data["fake"]),
-        ("fake_accounts_after_dedupe", audit["ref0"], fake_after),
-        ("k_symbol_nulled", audit["mis"], data["null_now"] - data["null_before"]),
+        ("rows_added_by_duplicates", counts["dup"], counts["added"]),
+        ("duplicated_ids", counts["dup"], ids["dup_ids"]),
+        ("fake_accounts", counts["ref"], counts["fake"]),
+        ("fake_accounts_after_dedupe", counts["ref0"], ids["fake_after"]),
+        ("k_symbol_nulled", counts["mis"], counts["null_now"] - counts["null_before"]),
     ]
     spark = c.rows.sparkSession
     rows = [(ds, name, int(e), int(o), "MATCH" if int(e) == int(o) else "MISMATCH")
             for name, e, o in checks]
     return spark.createDataFrame(
         rows, "dataset string, check_name string, expected long, observed long, status string")
-
-
-@register("manifest_missing_sample", _sql(f"""
-    SELECT dataset, trans_id, copy_no, original_k_symbol FROM (
-      SELECT dataset, trans_id, copy_no, old_value AS original_k_symbol,
-        row_number() OVER (PARTITION BY dataset ORDER BY trans_id, copy_no) AS rn
-      FROM audit_all WHERE kind = 'missing_value')
-    WHERE rn <= {corrupt_ops.MANIFEST_SAMPLE}"""))
-def manifest_missing_sample(spark, sf_dir):
-    """O-2: the manifest keeps the original k_symbol of the first 20 nulled rows."""
-    return corrupt_ops.missing_value_sample(_audit(spark, sf_dir), DATASETS)

@@ -17,7 +17,8 @@ from ..functions.codes import MISSING_OPERATION
 from ..operators import corrupt as corrupt_ops
 from ..operators import staging, synth
 from ..schemas import TRANS_COLUMNS
-from ..session import work_dir
+from ..session import scratch_path, work_dir
+from ..sources import delimited
 from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register
@@ -397,3 +398,37 @@ def reconcile(c: corrupt_ops.Corrupted) -> DataFrame:
             for name, e, o in checks]
     return spark.createDataFrame(
         rows, "dataset string, check_name string, expected long, observed long, status string")
+
+
+def export(run: SynthRun, root: str) -> dict[str, str]:
+    """SNK-7 + SNK-8: both corrupted sets as ';' CSV (load-test layout) and the
+    manifest: the row-level audit (Parquet) plus one JSON summary row per set."""
+    spark = next(iter(run.corrupted.values())).rows.sparkSession
+    paths = {}
+    for ds in DATASETS:
+        paths[ds] = f"{root}/trans_{ds}.csv"
+        delimited.write_delimited(run.corrupted[ds].rows, paths[ds], "trans_loadtest")
+    audit = corrupt_ops.union_all([run.corrupted[ds].audit for ds in DATASETS])
+    audit.write.mode("overwrite").partitionBy("dataset").parquet(f"{root}/manifest/audit")
+    rows = [(ds, SEED, run.sizes[ds], int(s["rows_before"]), int(s["rows_after"]),
+             int(s["duplicate"]), int(s["referential_violation"]), int(s["missing_value"]))
+            for ds, s in ((d, run.corrupted[d].summary) for d in DATASETS)]
+    (spark.createDataFrame(rows, "dataset string, random_seed long, target_rows long, "
+                                 "rows_before long, rows_after long, duplicate_count long, "
+                                 "referential_violation_count long, missing_value_count long")
+     .withColumn("generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+     .coalesce(1).write.mode("overwrite").json(f"{root}/manifest/summary"))
+    paths["audit"] = f"{root}/manifest/audit"
+    paths["summary"] = f"{root}/manifest/summary"
+    return paths
+
+
+@register("synth_export_round_trip", _sql(
+    "SELECT dataset, " + ", ".join(TRANS_COLUMNS) + " FROM corrupt_all"))
+def synth_export_round_trip(spark, sf_dir):
+    """Export both corrupted sets and the manifest, then read the CSVs back."""
+    run = synthesize(spark, sf_dir)
+    paths = export(run, scratch_path(spark, "synth-export"))
+    return corrupt_ops.union_all([
+        delimited.read_delimited(spark, paths[ds], "trans_loadtest").withColumn("dataset", F.lit(ds))
+        for ds in DATASETS])

@@ -13,10 +13,14 @@ def dedupe_first(df: DataFrame, key: str | list[str], order: list[str] | None =
 
     ``row_number() = 1`` lets Catalyst insert a partial ``WindowGroupLimit``
     before the shuffle, so only the first row per key and map task is shuffled.
-    Without an order column the survivor is arbitrary, as in the reference.
+    Without an order column the survivor is an arbitrary but fixed copy (the
+    reference leaves it arbitrary).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order_cols = [F.col(c) for c in (order or keys)]
+    # Ties (no order column, or equal order values) are broken by a hash of the
+    # whole row, so a retried task picks the same survivor (deterministic plan).
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    order_cols = [F.col(c) for c in (order or [])] + [row_hash]
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     return (df.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1).drop("_rn"))

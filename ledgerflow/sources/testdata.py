@@ -207,7 +207,10 @@ def raw_trans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ts_ms(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp")) / 1000
+    """Milliseconds since the epoch of a wall-clock (NTZ) timestamp, independent of
+    the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz")) / 1000
 
 
 @memo_plan

@@ -98,3 +98,28 @@ def test_snapshot_changes_shape(spark):
     counts = {r["__table"]: r["count"] for r in snap.groupBy("__table").count().collect()}
     assert counts == {"account": raw.account.count(), "district": raw.district.count()}
     assert snap.where("__lsn <> -1 OR __op <> 'r'").count() == 0
+
+
+def test_json_file_stream_with_tombstones(spark, tmp_dir):
+    import json
+    import os
+    from ledgerflow.schemas import CDC_TRANS
+    src = os.path.join(tmp_dir, "topic")
+    os.makedirs(src)
+    recs = [{"trans_id": i, "account_id": (None if i == 3 else i % 4), "date": 930101,
+             "type": "PRIJEM", "operation": "VKLAD", "amount": 1.0 + i, "__op": "c", "__lsn": i,
+             "__source_ts_ms": 1700000000000 + i} for i in range(8)]
+    for part in range(2):
+        with open(os.path.join(src, f"part-{part}.json"), "w") as f:
+            for r in recs[part * 4:(part + 1) * 4]:
+                f.write(json.dumps(r) + "\n")
+    msgs = cdc_src.json_stream(spark, src, max_files_per_trigger=1)
+    parsed = cdc_src.parse_envelope(msgs, CDC_TRANS)
+    prof = spark.createDataFrame([(k, 100 + k, 700101, "M", "D", "R", 1.0) for k in range(3)],
+                                 "account_id long, client_id long, birth_number long, "
+                                 "account_frequency string, district_name string, "
+                                 "district_region string, avg_salary double")
+    out = enrich_stream.run_to_completion(spark, parsed, lambda: prof, os.path.join(tmp_dir, "o"))
+    assert out["enriched"].count() + out["dead_letters"].count() == 8
+    reasons = {r["dlq_reason"]: r["records"] for r in enrich.dlq_by_reason(out["dead_letters"]).collect()}
+    assert reasons == {"missing_account_id": 1, "referential_violation": 1}

@@ -10,9 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import mart, staging
+from ..operators import mart
 from ..sources import testdata as td
-from . import oracle as O
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -53,5 +52,3 @@ def _load_all() -> None:
 def staged(spark: SparkSession, sf_dir: str) -> mart.StagedTables:
     return mart.stage_all(td.raw_tables(spark, sf_dir))
 
-
-__all__ = ["register", "queries", "oracle_sql", "staged", "O", "staging"]

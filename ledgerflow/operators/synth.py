@@ -151,6 +151,9 @@ def sample(spark: SparkSession, model: FitTables, n: int, start_id: int, seed: i
     ops = model.operations.collect()
     if len(ops) > len(codes.TYPE_BY_OPERATION):
         raise ValueError("operation table larger than the known operation set")
+    unknown = [r["op_key"] for r in ops if r["type"] is None]
+    if unknown:  # F-10: an operation without a known type is an error
+        raise ValueError(f"operations without a known type: {unknown}")
     total = sum(int(r["n"]) for r in ops)
     parts = num_partitions or max(spark.sparkContext.defaultParallelism, n // 2_000_000 + 1)
     ids = spark.range(start_id, start_id + n, numPartitions=parts).withColumnRenamed("id", "trans_id")

@@ -182,7 +182,7 @@ def stream_end_to_end(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     # ST-4: the gate only reports; enrichment goes on regardless, misses go to the DLQ.
-    profile_stream.profile_ready(spark, root, min_accounts=100)
+    profile_stream.wait_for_profile(spark, root, timeout_s=0)
     out = enrich_stream.run_to_completion(
         spark, cdc_src.events_stream(spark, sf_dir),
         lambda: profile_stream.load_stream_profile(spark, root), scratch_path(spark, "e2e"))

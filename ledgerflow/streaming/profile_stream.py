@@ -126,3 +126,25 @@ def profile_ready(spark: SparkSession, root: str, min_accounts: int = 100) -> bo
     if not store.exists(spark, "account"):
         return False
     return store.read_live(spark, "account").limit(min_accounts).count() >= min_accounts
+
+
+# Warm-up gate defaults.
+WARMUP_MIN_ACCOUNTS = 100
+WARMUP_TIMEOUT_S = 120
+WARMUP_POLL_S = 2
+
+
+def wait_for_profile(spark: SparkSession, root: str, min_accounts: int = WARMUP_MIN_ACCOUNTS,
+                     timeout_s: float = WARMUP_TIMEOUT_S, poll_s: float = WARMUP_POLL_S) -> bool:
+    """ST-4: poll the state until ``min_accounts`` live accounts exist or the
+    timeout passes; returns whether the gate opened (callers go on regardless,
+    misses then go to the dead letters)."""
+    import time
+
+    deadline = time.monotonic() + timeout_s
+    while True:
+        if profile_ready(spark, root, min_accounts):
+            return True
+        if time.monotonic() >= deadline:
+            return False
+        time.sleep(poll_s)

@@ -88,3 +88,13 @@ def test_categorical_shares_roughly_follow_fit(spark, model):
         op = None if key == "__MISSING__" else key
         assert abs(got.get(op, 0) / 20000 - p) < 0.02
     assert df.where(F.col("k_symbol").isNull()).count() > 0
+
+
+def test_unknown_operation_is_an_error(spark):
+    df = spark.createDataFrame([(1, 5, 930101, "X", "NEW OP", 10.0, None, None, None, None)],
+                               "trans_id long, account_id long, date long, type string, "
+                               "operation string, amount double, balance double, k_symbol string, "
+                               "bank string, account string")
+    model = synth.fit(spark, df)
+    with pytest.raises(ValueError):
+        synth.sample(spark, model, 10, 1)

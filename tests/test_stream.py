@@ -123,3 +123,14 @@ def test_json_file_stream_with_tombstones(spark, tmp_dir):
     assert out["enriched"].count() + out["dead_letters"].count() == 8
     reasons = {r["dlq_reason"]: r["records"] for r in enrich.dlq_by_reason(out["dead_letters"]).collect()}
     assert reasons == {"missing_account_id": 1, "referential_violation": 1}
+
+
+def test_warmup_gate_times_out_and_opens(spark, tmp_dir):
+    root = f"{tmp_dir}/state"
+    assert profile_stream.wait_for_profile(spark, root, min_accounts=1, timeout_s=0) is False
+    raw = td.raw_tables(spark, SMALL)
+    changes = cdc_src.snapshot_changes({"account": raw.account})
+    profile_stream.make_state_writer(spark, profile_stream.ProfileStore(root))(changes, 0)
+    n = raw.account.count()
+    assert profile_stream.wait_for_profile(spark, root, min_accounts=n, timeout_s=0) is True
+    assert profile_stream.wait_for_profile(spark, root, min_accounts=n + 1, timeout_s=0) is False

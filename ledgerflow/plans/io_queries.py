@@ -29,7 +29,7 @@ def csv_round_trip(spark, sf_dir):
 def _batch(spark, sf_dir):
     """Staging batch: the corrupted dev set (copies included) followed by a
     replay of every real transaction, as a retried load would deliver it."""
-    run = synthesize(spark, sf_dir)
+    run = synthesize(spark, sf_dir, datasets=["dev"])
     dev = run.corrupted["dev"].rows.select(*TRANS_COLUMNS, F.lit(0).alias("src"),
                                            F.col("copy_no").alias("seq"))
     replay = td.raw_trans(spark, sf_dir).select(*TRANS_COLUMNS, F.lit(1).alias("src"),

@@ -43,8 +43,12 @@ class SynthRun:
     corrupted: dict
 
 
-def synthesize(spark: SparkSession, sf_dir: str, with_corruption: bool = True) -> SynthRun:
+def synthesize(spark: SparkSession, sf_dir: str, with_corruption: bool = True,
+               datasets: list[str] | None = None) -> SynthRun:
+    """Fit once, then draw (and corrupt) the requested data sets (default: both).
+    Id ranges do not depend on which sets are drawn."""
     work_dir(spark)  # checkpoint folder (the cluster's, or a local one in tests)
+    wanted = datasets or DATASETS
     model = synth.fit(spark, fit_input(spark, sf_dir))
     sizes = synth.dataset_sizes(int(model.scalars["rows"]))
     starts, nxt = {}, int(model.scalars["max_trans_id"]) + 1
@@ -52,7 +56,7 @@ def synthesize(spark: SparkSession, sf_dir: str, with_corruption: bool = True) -
         starts[ds] = nxt
         nxt += sizes[ds]
     clean, corrupted = {}, {}
-    for ds in DATASETS:
+    for ds in wanted:
         clean[ds] = synth.sample(spark, model, sizes[ds], starts[ds], SEED, ds)
         if with_corruption:
             # Lineage cut: the clean set feeds three selections and the output.

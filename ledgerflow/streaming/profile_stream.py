@@ -70,11 +70,18 @@ def _bucket(key: str, buckets: int):
 def merge_changes(spark: SparkSession, store: ProfileStore, table: str, changes: DataFrame) -> None:
     key = STATE_KEYS[table]
     cols = [c for c in STATE_COLUMNS[table] + META if c in changes.columns]
-    new = cdc.latest(changes.select(*cols), key).withColumn("_bucket", _bucket(key, store.buckets))
-    new = new.checkpoint(eager=True)
-    touched = [r["_bucket"] for r in new.select("_bucket").distinct().collect()]  # <= buckets
-    if not touched:
-        return
+    new = (cdc.latest(changes.select(*cols), key).withColumn("_bucket", _bucket(key, store.buckets))
+           .persist())
+    try:
+        touched = [r["_bucket"] for r in new.select("_bucket").distinct().collect()]  # <= buckets
+        if touched:
+            _merge_buckets(spark, store, table, key, new, touched)
+    finally:
+        new.unpersist()
+
+
+def _merge_buckets(spark: SparkSession, store: ProfileStore, table: str, key: str,
+                   new: DataFrame, touched: list[int]) -> None:
     if store.exists(spark, table):
         old = (store.read_state(spark, table).where(F.col("_bucket").isin(touched))
                .drop("__is_deleted"))

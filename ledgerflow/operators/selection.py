@@ -3,8 +3,9 @@
 * ``exact_k`` picks exactly ``k`` rows without replacement: the rows with the
   ``k`` smallest ``(h, tie-breakers)`` tuples, ``h`` being a 52-bit row hash.
   A histogram of hash-prefix buckets (bounded: 2^bits rows) finds the bucket
-  where the k-th row lies; one top-k inside that single bucket gives the k-th
-  tuple ``T``.  Selection is then the per-row predicate ``tuple <= T`` -- no
+  where the k-th row lies; a row_number over that single bucket's rows gives
+  the k-th tuple ``T`` (several selections share one histogram pass and one
+  threshold job).  Selection is then the per-row predicate ``tuple <= T`` -- no
   global sort, no join, nothing unbounded on the driver.
 * ``ranked`` numbers selected rows 1..k in tuple order: ``row_number`` per
   bucket plus the bucket's offset from the histogram (no unpartitioned window).
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,37 +93,67 @@ def exact_k_many(df: DataFrame, specs: list[tuple[int, str, list[str]]],
             for i in active])).alias("t")).select("t.s", "t.b")
         for r in tagged.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n")).collect():
             hists[r["s"]].append((r["b"], r["n"]))
+    plans = {}
+    for i, (k, h_col, tiebreak) in enumerate(specs):
+        if k > 0:
+            plans[i] = _locate(k, sorted(hists[i]))
+    thresholds = _thresholds(df, specs, plans, bits)
     out = []
     for i, (k, h_col, tiebreak) in enumerate(specs):
         dtypes = [df.schema[h_col].dataType] + [df.schema[c].dataType for c in tiebreak]
         if k <= 0:
             out.append(Selection(0, h_col, tiebreak, bits, None, None, [], dtypes))
             continue
-        out.append(_cut(df, k, h_col, tiebreak, bits, sorted(hists[i]), dtypes))
+        cut, taken, offsets, _ = plans[i]
+        out.append(Selection(taken, h_col, tiebreak, bits, cut, thresholds.get(i), offsets, dtypes))
     return out
 
 
-def _cut(df: DataFrame, k: int, h_col: str, tiebreak: list[str], bits: int,
-         hist: list[tuple[int, int]], dtypes: list) -> Selection:
-    before, cut, offsets = 0, None, []
+def _locate(k: int, hist: list[tuple[int, int]]):
+    """(cut bucket, rows selected, bucket offsets, rank of the k-th row inside the cut)."""
+    before, offsets = 0, []
     for bucket, n in hist:
         offsets.append((bucket, before))
         if before + n >= k:
-            cut = bucket
-            break
+            return bucket, k, offsets, k - before
         before += n
-    if cut is None:  # k >= all rows: everything is selected
-        last = hist[-1][0] if hist else 0
-        rows = (df.where(_bucket(F.col(h_col), bits) == F.lit(last))
-                .agg(F.max(_tuple(h_col, tiebreak)).alias("t")).collect())
-        thr = tuple(rows[0]["t"]) if rows and rows[0]["t"] is not None else None
-        return Selection(sum(n for _, n in hist), h_col, tiebreak, bits, last, thr, offsets, dtypes)
-    # Top-k inside one bucket only (bounded by the bucket's size from the histogram).
-    in_cut = (df.where(_bucket(F.col(h_col), bits) == F.lit(cut))
-              .select(_tuple(h_col, tiebreak).alias("t"))
-              .orderBy("t").limit(k - before)
-              .agg(F.max("t").alias("t")).collect())
-    return Selection(k, h_col, tiebreak, bits, cut, tuple(in_cut[0]["t"]), offsets, dtypes)
+    if not hist:
+        return None, 0, offsets, 0
+    last, n_last = hist[-1]
+    return last, before, offsets, n_last  # k >= all rows: everything is selected
+
+
+def _thresholds(df: DataFrame, specs, plans: dict, bits: int) -> dict[int, tuple]:
+    """The k-th (h, tiebreak...) tuple of every selection, from one job.
+
+    Only the rows of each selection's cut bucket take part (bounded by the
+    histogram); a row_number per selection finds the tuple at the needed rank.
+    Selections whose tuples have different types get their own job.
+    """
+    from pyspark.sql import Window
+
+    groups: dict[str, list[int]] = {}
+    for i, (cut, _, _, rank) in plans.items():
+        if cut is None or rank <= 0:
+            continue
+        _, h_col, tiebreak = specs[i]
+        sig = str([df.schema[h_col].dataType] + [df.schema[c].dataType for c in tiebreak])
+        groups.setdefault(sig, []).append(i)
+    found: dict[int, tuple] = {}
+    for members in groups.values():
+        parts = []
+        for i in members:
+            cut, _, _, rank = plans[i]
+            _, h_col, tiebreak = specs[i]
+            parts.append(df.where(_bucket(F.col(h_col), bits) == F.lit(cut))
+                         .select(F.lit(i).alias("_s"), F.lit(rank).alias("_need"),
+                                 _tuple(h_col, tiebreak).alias("t")))
+        rows = reduce(DataFrame.unionByName, parts)
+        w = Window.partitionBy("_s").orderBy("t")
+        for r in (rows.withColumn("_rn", F.row_number().over(w))
+                  .where(F.col("_rn") == F.col("_need")).select("_s", "t").collect()):
+            found[r["_s"]] = tuple(r["t"])
+    return found
 
 
 def ranked(spark: SparkSession, selected: DataFrame, sel: Selection, rank_col: str = "rank"

@@ -27,6 +27,8 @@ from ..functions.uniform import HASH_BITS
 
 # Rows that may be shipped in a broadcast hash table by these helpers.
 BROADCAST_MAX_ROWS = 2_000_000
+# Bins generated from one row at most (splits a hot interval across tasks).
+CHUNK_BINS = 1024
 
 
 def bucket_bits(n_rows: int, target_per_bucket: int = 250_000) -> int:
@@ -190,10 +192,22 @@ def interval_draw(draws: DataFrame, r_col: str, intervals: DataFrame, lo_col: st
     payload = payload or [c for c in intervals.columns if c not in (lo_col, hi_col, *group_cols)]
     width = max(1, math.ceil(total / max(1, n_intervals)))
     lo, hi = F.col(lo_col), F.col(hi_col)
-    exploded = (intervals.where(hi > lo)
-                .select(*group_cols, lo.alias("_lo"), hi.alias("_hi"), *payload,
-                        F.explode(F.sequence(F.floor(lo / width).cast("bigint"),
-                                             F.floor((hi - 1) / width).cast("bigint"))).alias("_bin")))
+    first = F.floor(lo / width).cast("bigint")
+    last = F.floor((hi - 1) / width).cast("bigint")
+    # A hot interval (one account with a third of all rows) spans a third of all
+    # bins: cut it into chunks of CHUNK_BINS bins, spread the chunks over tasks
+    # by hash, and only then expand each chunk into its bins.
+    chunks = (intervals.where(hi > lo)
+              .select(*group_cols, lo.alias("_lo"), hi.alias("_hi"), *payload,
+                      first.alias("_first"), last.alias("_last"))
+              .withColumn("_c", F.explode(F.sequence(
+                  F.lit(0).cast("bigint"),
+                  F.floor((F.col("_last") - F.col("_first")) / CHUNK_BINS).cast("bigint")))))
+    chunks = chunks.repartition("_lo", "_c")
+    start = F.col("_first") + F.col("_c") * CHUNK_BINS
+    exploded = (chunks.withColumn("_bin", F.explode(F.sequence(
+        start, F.least(F.col("_last"), start + (CHUNK_BINS - 1)))))
+        .drop("_first", "_last", "_c"))
     n_exploded = n_intervals + total // width + 1
     binned = draws.withColumn("_bin", F.floor(F.col(r_col) / width).cast("bigint"))
     joined = binned.join(maybe_broadcast(exploded, n_exploded), [*group_cols, "_bin"], "inner")

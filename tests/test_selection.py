@@ -57,3 +57,20 @@ def test_prefix_intervals_cover_range(spark):
     assert spans[0][0] == 0
     assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
     assert spans[-1][1] == sum((i * 7) % 5 + 1 for i in range(500))
+
+
+def test_interval_draw_hot_interval_is_chunked(spark):
+    import bisect
+    counts = [1, 9000, 3, 2]     # one interval holds nearly all mass -> thousands of bins
+    lo, acc = [], 0
+    for c in counts:
+        lo.append(acc)
+        acc += c
+    iv = spark.createDataFrame([(i, lo[i], lo[i] + c) for i, c in enumerate(counts)],
+                               "account_id long, cum_lo long, cum_hi long")
+    draws = spark.range(0, acc).withColumnRenamed("id", "r")
+    # n_intervals is passed large so the bin width is 1 and the hot interval spans 9000 bins.
+    got = selection.interval_draw(draws, "r", iv, "cum_lo", "cum_hi", acc, acc,
+                                  payload=["account_id"]).collect()
+    assert len(got) == acc
+    assert all(r["account_id"] == bisect.bisect_right(lo, r["r"]) - 1 for r in got)

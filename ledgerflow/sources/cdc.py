@@ -69,6 +69,14 @@ def kafka_sink_options(bootstrap: str, topic: str) -> dict[str, str]:
             "kafka.acks": "all", "kafka.retries": "3"}
 
 
+def kafka_write(df: DataFrame, bootstrap: str, topic: str, key_col: str = "trans_id") -> None:
+    """SNK-1/SNK-2 batch write to Kafka (inside ``foreachBatch``): JSON value with
+    NULL fields kept, key = ``key_col`` as text.  At-least-once: a replayed
+    micro-batch sends its records again (consumers dedupe on the key)."""
+    (json_records(df, key_col).write.format("kafka")
+     .options(**kafka_sink_options(bootstrap, topic)).save())
+
+
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
                   ) -> DataFrame:
     """The supplied ``events`` table as a file stream of CDC transactions."""

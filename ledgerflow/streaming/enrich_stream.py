@@ -49,6 +49,36 @@ def _batch_path(base: str, batch_id: int) -> str:
     return f"{base}/batch_id={batch_id}"
 
 
+class ParquetSinks:
+    """Enriched rows and dead letters as Parquet under ``batch_id=<n>`` (overwrite:
+    a replayed batch replaces its own output, so the file sinks are exactly-once)."""
+
+    def __init__(self, out: StreamOutputs):
+        self.out = out
+
+    def enriched(self, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(_batch_path(self.out.enriched, batch_id))
+
+    def dead_letters(self, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(_batch_path(self.out.dead_letters, batch_id))
+
+
+class KafkaSinks:
+    """Enriched rows and dead letters as JSON records on two topics (needs the
+    Kafka connector on the classpath)."""
+
+    def __init__(self, bootstrap: str, enriched_topic: str, dlq_topic: str):
+        self.bootstrap, self.enriched_topic, self.dlq_topic = bootstrap, enriched_topic, dlq_topic
+
+    def enriched(self, df: DataFrame, batch_id: int) -> None:
+        from ..sources.cdc import kafka_write
+        kafka_write(df, self.bootstrap, self.enriched_topic)
+
+    def dead_letters(self, df: DataFrame, batch_id: int) -> None:
+        from ..sources.cdc import kafka_write
+        kafka_write(df, self.bootstrap, self.dlq_topic)
+
+
 # Distinct account keys of one micro-batch that may be broadcast to narrow the profile.
 BATCH_KEYS_BROADCAST_MAX = 5_000_000
 
@@ -70,7 +100,9 @@ def narrow_profile(batch: DataFrame, profile: DataFrame, n_keys: int,
 
 
 def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFrame],
-                      out: StreamOutputs) -> Callable[[DataFrame, int], None]:
+                      out: StreamOutputs, sinks=None) -> Callable[[DataFrame, int], None]:
+    sinks = sinks or ParquetSinks(out)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         n_keys = batch.select("account_id").distinct().count()
@@ -80,12 +112,12 @@ def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFram
             obs = Observation(f"enrich_{batch_id}")
             observed = routed.observe(obs, *enrich.metric_columns())
             # One pass over `observed` computes the metrics while writing enriched rows.
-            enrich.enriched(observed).write.mode("overwrite").parquet(
-                _batch_path(out.enriched, batch_id))
-            (enrich.dead_letters(routed, nested=True)
-             .withColumn("dlq_published_at",
-                         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-             .write.mode("overwrite").parquet(_batch_path(out.dead_letters, batch_id)))
+            sinks.enriched(enrich.enriched(observed), batch_id)
+            sinks.dead_letters(
+                enrich.dead_letters(routed, nested=True).withColumn(
+                    "dlq_published_at",
+                    F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
+                batch_id)
             m = obs.get
             row = [(int(batch_id), int(m.get("processed", 0)), int(m.get("enriched", 0)),
                     int(m.get("dlq", 0)), int(m.get("dlq_missing_account", 0)))]
@@ -101,12 +133,15 @@ def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFram
 
 def start_enrichment(spark: SparkSession, transactions: DataFrame,
                      profile_loader: Callable[[], DataFrame], out_root: str,
-                     available_now: bool = True, max_files_per_trigger: int | None = None
-                     ) -> StreamingQuery:
-    """Start the enrichment query over a streaming DataFrame of CDC transactions."""
+                     available_now: bool = True, sinks=None) -> StreamingQuery:
+    """Start the enrichment query over a streaming DataFrame of CDC transactions.
+
+    ``out_root`` holds the checkpoint and the per-batch metrics; ``sinks``
+    (default Parquet below ``out_root``) receives enriched rows and dead letters.
+    """
     out = StreamOutputs(out_root)
     source = enrich_source_filter(transactions)
-    writer = (source.writeStream.foreachBatch(make_batch_writer(spark, profile_loader, out))
+    writer = (source.writeStream.foreachBatch(make_batch_writer(spark, profile_loader, out, sinks))
               .option("checkpointLocation", out.checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 second")

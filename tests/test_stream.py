@@ -134,3 +134,22 @@ def test_warmup_gate_times_out_and_opens(spark, tmp_dir):
     n = raw.account.count()
     assert profile_stream.wait_for_profile(spark, root, min_accounts=n, timeout_s=0) is True
     assert profile_stream.wait_for_profile(spark, root, min_accounts=n + 1, timeout_s=0) is False
+
+
+def test_pluggable_sinks_receive_both_outputs(spark, tmp_dir):
+    written = {}
+
+    class Capture:
+        def enriched(self, df, batch_id):
+            written["enriched"] = df.count()
+
+        def dead_letters(self, df, batch_id):
+            written["dlq"] = df.count()
+            assert "dlq_published_at" in df.columns and "original_transaction" in df.columns
+
+    batch = td.cdc_trans(spark, SMALL)
+    outs = enrich_stream.StreamOutputs(f"{tmp_dir}/o")
+    enrich_stream.make_batch_writer(spark, lambda: _profile(spark), outs, Capture())(batch, 0)
+    assert written["enriched"] + written["dlq"] == batch.count()
+    m = spark.read.parquet(outs.metrics).first()
+    assert (m["enriched"], m["dlq"]) == (written["enriched"], written["dlq"])

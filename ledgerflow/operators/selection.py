@@ -32,9 +32,10 @@ CHUNK_BINS = 1024
 
 
 def bucket_bits(n_rows: int, target_per_bucket: int = 250_000) -> int:
-    """Histogram resolution: ~target rows per bucket, between 2^8 and 2^20 buckets."""
+    """Histogram resolution: ~target rows per bucket, between 2^8 and 2^18 buckets
+    (the histogram reaches the driver; at 10^12 rows a bucket holds ~4M rows)."""
     want = max(1, math.ceil(n_rows / target_per_bucket))
-    return min(20, max(8, math.ceil(math.log2(want))))
+    return min(18, max(8, math.ceil(math.log2(want))))
 
 
 def _bucket(h: Column, bits: int) -> Column:

@@ -1,6 +1,7 @@
 """Driver contract: entry() runs, every query is registered, and a sample of
 queries equals its DuckDB oracle on the smallest supplied tables."""
 import math
+import re
 
 import duckdb
 import pytest
@@ -68,9 +69,11 @@ EXPECTED_QUERIES = [
 
 
 def test_every_query_is_registered_with_an_oracle():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert sorted(q) == EXPECTED_QUERIES
-    assert sorted(o) == EXPECTED_QUERIES
+    # The training-data queries (op<N>_..., pipeline) are optional and have tests of their own.
+    own = [n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)]
+    oracles = [n for n in entry.oracle_sql() if not re.match(r"op\d+_|pipeline$", n)]
+    assert sorted(own) == EXPECTED_QUERIES
+    assert sorted(oracles) == EXPECTED_QUERIES
 
 
 def _norm(v):

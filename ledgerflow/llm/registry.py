@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_language, digest_cache, suffix_repeats
+from ..session import scratch_path
+from . import bit_packing, crf_language, digest_cache, feistel_pii, piece_trie, suffix_repeats
 from .oracles import OP9_SQL, OP10_SQL
 from .textbatch import table
 
@@ -22,6 +23,32 @@ def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "language.n_words", "language.n_switches")
 
 
+def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each whole document, written as packed blocks and read back."""
+    path = scratch_path(spark, "packed-ids")
+    bit_packing.write(table(spark, sf_dir, "documents"), path)
+    return bit_packing.digests(spark, path)
+
+
+PII_KEY = b"corpus pseudonyms"  # a deployment passes a key of its own
+
+
+def op5_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each whole document with pseudonyms for its personal data."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (feistel_pii.pseudonymise(docs, PII_KEY)
+            .select("doc_id", "masked.text", "masked.n_found", F.concat_ws(",", "masked.kinds").alias("kinds")))
+
+
+def op8_piece_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of each whole document, and whether they decode to its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_trie.encode(docs).select("doc_id", "text", "pieces.ids", "pieces.ids_crc32")
+    return (piece_trie.decode(coded)
+            .select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids_crc32",
+                    F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")))
+
+
 def op9_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each whole document, by way of a cache of counts by content digest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,7 +64,8 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "rules.n_repeat_words", "rules.base_failed", "rules.kept"))
 
 
-_QUERIES = {f.__name__: f for f in (op1_crf_language, op9_digest_cache, op10_suffix_repeats)}
+_QUERIES = {f.__name__: f for f in (
+    op1_crf_language, op3_bit_packing, op5_feistel_pii, op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
 _ORACLES = {"op9_digest_cache": OP9_SQL, "op10_suffix_repeats": OP10_SQL}
 
 

@@ -1,6 +1,30 @@
 """DuckDB statements of the queries that SQL can express."""
 
-OP9_SQL = None  # byte-pair merges are tested against the library instead
+# All pairs that share a shingle, and the smallest id that links lead to.
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(list_slice(ws, i, i + 4), ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+e AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+r AS (
+  SELECT doc_id AS id, doc_id AS reach FROM d
+  UNION
+  SELECT r.id, e.b FROM r JOIN e ON e.a = r.reach)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT id, min(reach) AS component_id FROM r GROUP BY id) c ON c.id = d.doc_id
+"""
 
 # Covered words: the union of repeated passages of five words or more is the union of repeated
 # five-word windows.  A passage of over 100 words repeats where a window of 101 words does.

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bit_packing, crf_language, digest_cache, feistel_pii, piece_trie, suffix_repeats
-from .oracles import OP9_SQL, OP10_SQL
+from . import bit_packing, crf_language, digest_cache, feistel_pii, partenum_join, piece_trie, suffix_repeats
+from .oracles import OP7_SQL, OP10_SQL
 from .textbatch import table
 
 
@@ -40,6 +40,12 @@ def op5_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "masked.text", "masked.n_found", F.concat_ws(",", "masked.kinds").alias("kinds")))
 
 
+def op7_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of each whole document and the component of its links."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return partenum_join.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_piece_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of each whole document, and whether they decode to its text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,8 +71,8 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = {f.__name__: f for f in (
-    op1_crf_language, op3_bit_packing, op5_feistel_pii, op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
-_ORACLES = {"op9_digest_cache": OP9_SQL, "op10_suffix_repeats": OP10_SQL}
+    op1_crf_language, op3_bit_packing, op5_feistel_pii, op7_partenum_join, op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
+_ORACLES = {"op7_partenum_join": OP7_SQL, "op10_suffix_repeats": OP10_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -20,18 +20,22 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .textbatch import spans_of_size, strings
+from .components import stored
+from .idstore import Numbering
+from .textbatch import few, spans_of_size, strings
 
 TOKENIZER = "word_bpe_49k.json"
 SCHEMA = "digest binary, tokenizer string, n_tokens long"
 WORDS_KEPT = 400_000     # words whose counts a worker remembers
-PIECE = 1 << 21          # characters of text at a time
+PIECE = 1 << 20          # characters of text at a time
 
 
 @dataclass(frozen=True)
@@ -76,21 +80,41 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r"[\x1c-\x1f]", *map(re.escape, special)]))
-        self.known: dict[str, int] = {}
-
-    def encode(self, texts: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = Numbering()
+        self.sizes = np.zeros(0, np.int64)
+
+    def _library(self, text: str) -> int:
+        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _count_words(self, words: list[str]) -> np.ndarray:
+        """Tokens of each word: words are encoded in a row, and a token's place tells its word."""
+        out = np.zeros(len(words), np.int64)
+        for a, b in spans_of_size([len(w) + 1 for w in words], 1 << 16):
+            got = self.tokenizer.encode(" ".join(words[a:b]), add_special_tokens=False).offsets
+            at = np.fromiter((x for x, _ in got), np.int64, len(got))
+            ends = np.cumsum(np.fromiter((len(w) + 1 for w in words[a:b]), np.int64, b - a))
+            out[a:b] = np.bincount(np.searchsorted(ends, at, side="right"), minlength=b - a)
+        return out
 
-    def count(self, texts: list[str]) -> list[int]:
-        out: list[int] = []
+    def count(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros(len(texts), np.int64)
         for a, b in spans_of_size([len(x) for x in texts], PIECE):
-            parts = [None if self.whole.search(x) else x.split() for x in texts[a:b]]
             if len(self.known) > WORDS_KEPT:
-                self.known = {}
-            new = list({w for p in parts if p for w in p}.difference(self.known))
-            self.known.update(zip(new, self.encode(new)))
-            get = self.known.__getitem__
-            out += [sum(map(get, p)) if p is not None else self.encode([x])[0] for p, x in zip(parts, texts[a:b])]
+                self.clear()
+            whole = [self.whole.search(x) is not None for x in texts[a:b]]
+            words = [[] if w else x.split() for w, x in zip(whole, texts[a:b])]
+            many = np.fromiter(map(len, words), np.int64, len(words))
+            number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(many.sum()))
+            if self.known.new:
+                self.sizes = np.concatenate((self.sizes, self._count_words(self.known.new)))
+                self.known.new = []
+            total = np.concatenate(([0], np.cumsum(self.sizes[number])))
+            out[a:b] = np.diff(total[np.concatenate(([0], np.cumsum(many)))])
+            for i in np.flatnonzero(whole):
+                out[a + i] = self._library(texts[a + i])
         return out
 
 
@@ -113,14 +137,18 @@ def count_tokens(docs: DataFrame, cache: Cache, text_col: str = "text", path: st
     @F.pandas_udf("long")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for column in batches:
-            yield pd.Series(counter(path).count(strings(column)), dtype="int64")
-
-    misses = (docs.select(content_digest(F.col(text_col)).alias("digest"), text.alias("content"))
-              .groupBy("digest").agg(F.first("content").alias("content"))
-              .join(cache.read(spark, version), "digest", "left_anti"))
-    (misses.select("digest", F.lit(version).alias("tokenizer"), encoded("content").alias("n_tokens"))
+            yield pd.Series(counter(path).count(strings(column)))
+
+    keyed = docs.drop("n_bytes", "n_tokens").withColumn("__digest", content_digest(F.col(text_col)))
+    # Contents of several rows are found first; of the texts, only theirs are shuffled.
+    shared = few(stored(keyed.groupBy("__digest").count().where("count > 1").select("__digest"), "shared"))
+    known = few(stored(cache.read(spark, version).select(F.col("digest").alias("__digest")), "known"))
+    contents = keyed.select("__digest", text.alias("content")).join(known, "__digest", "left_anti")
+    once = contents.join(shared, "__digest", "left_anti")
+    several = contents.join(shared, "__digest", "left_semi").groupBy("__digest").agg(F.first("content").alias("content"))
+    (once.unionByName(several)
+     .select(F.col("__digest").alias("digest"), F.lit(version).alias("tokenizer"), encoded("content").alias("n_tokens"))
      .write.mode("append").parquet(cache.path))
-    keyed = (docs.drop("n_bytes", "n_tokens").withColumn("n_bytes", F.octet_length(text).cast("long"))
-             .withColumn("__digest", content_digest(F.col(text_col))))
     counts = cache.read(spark, version).withColumnRenamed("digest", "__digest")
-    return keyed.join(counts, "__digest", "left").drop("__digest")
+    return (keyed.withColumn("n_bytes", F.octet_length(text).cast("long")).join(counts, "__digest", "left")
+            .drop("__digest"))

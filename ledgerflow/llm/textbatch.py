@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # White space of the word rule `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+FEW_ROWS = 500_000       # narrow rows (a key of up to 32 bytes) sent to all executors at most
+
+
+def few(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast where a count shows that they are few; joined by shuffle otherwise."""
+    return F.broadcast(rows) if rows.count() <= FEW_ROWS else rows
+
+
 def strings(column: pd.Series) -> list[str]:
     """Python strings of a text column; null becomes the empty string."""
     return ["" if x is None or x != x else x for x in column.tolist()]

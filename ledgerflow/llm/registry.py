@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bit_packing, crf_language, digest_cache, feistel_pii, partenum_join, piece_trie, suffix_repeats
+from . import bit_packing, crf_language, digest_cache, feistel_pii, kd_shards, partenum_join, piece_trie, suffix_repeats
 from .oracles import OP7_SQL, OP10_SQL
 from .textbatch import table
 
@@ -40,6 +40,13 @@ def op5_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "masked.text", "masked.n_found", F.concat_ws(",", "masked.kinds").alias("kinds")))
 
 
+def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of each document, by a k-d tree over its metadata."""
+    return (kd_shards.shard(table(spark, sf_dir, "documents"), 16)
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard")))
+
+
 def op7_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles of each whole document and the component of its links."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,7 +78,7 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = {f.__name__: f for f in (
-    op1_crf_language, op3_bit_packing, op5_feistel_pii, op7_partenum_join, op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
+    op1_crf_language, op3_bit_packing, op5_feistel_pii, op6_kd_shards, op7_partenum_join, op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
 _ORACLES = {"op7_partenum_join": OP7_SQL, "op10_suffix_repeats": OP10_SQL}
 
 

@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .idstore import IdStore
-from .textbatch import spans_of_size
+from .textbatch import ragged, spans_of_size
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS = 1 << 16
-PIECE = 1 << 20          # characters of text at a time
+PIECE = 1 << 21          # characters of text at a time
 BLOCKS = ("part int, block int, first_id long, n_ids long, width int, packed binary, "
           "doc_ids array<long>, doc_sizes array<long>")
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -71,6 +71,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+# Letters, signs without apostrophe, and single line ends: the tokenizer takes runs of the first two
+# and a line end by itself, with the space before letters.
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r".,!?;:%#&$*|\"()=+@/<>\[\]{}-"
+PART = re.compile(f" ?[{_LETTERS}]+|[{_SIGNS}]+|\n")
+PLAIN = re.compile(f"(?: ?[{_LETTERS}]+|[{_SIGNS}]+|(?<!\n)\n(?!\n))+")
+
+
 class ByteEncoder:
     """Ids as the library gives them, remembering units.
 
@@ -89,29 +96,44 @@ class ByteEncoder:
         for piece, i in self.tokenizer.get_vocab().items():
             self.n_bytes[i] = len(piece)
         self.odd = re.compile(r" (?=\s|$)")
+        self.parts = IdStore(self._encode_parts)
         self.store = IdStore(self._encode_units)
 
     def _library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Units that begin with a space stay apart when they are encoded end to end."""
-        alone = [i for i, u in enumerate(units) if u[:1] != " "]
-        joined = [i for i, u in enumerate(units) if u[:1] == " "]
-        ids = [self._library(units[i]) for i in alone]
-        sizes = [np.array([len(x) for x in ids], np.int64)]
-        for a, b in spans_of_size([len(units[i]) for i in joined], 1 << 16):
-            part = [units[i] for i in joined[a:b]]
-            got = self._library("".join(part))
-            ends = np.cumsum([len(u.encode("utf-8")) for u in part])
-            cut = np.searchsorted(np.cumsum(self.n_bytes[got]), ends, side="left") + 1
+    def _encode_row(self, row: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings that stay apart when they are encoded end to end, and how many each has."""
+        got = self._library("".join(row))
+        ends = np.cumsum([len(u.encode("utf-8")) for u in row])
+        cut = np.searchsorted(np.cumsum(self.n_bytes[got]), ends, side="left") + 1
+        return got, np.diff(cut, prepend=0)
+
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Parts that begin with a space stay apart in a row, others with a line end after each."""
+        spaced = [i for i, u in enumerate(parts) if u[:1] == " "]
+        plain = [i for i, u in enumerate(parts) if u[:1] != " " and u != "\n" and PLAIN.fullmatch(u)]
+        alone = sorted(set(range(len(parts))).difference(spaced, plain))
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for a, b in spans_of_size([len(parts[i]) for i in spaced], 1 << 16):
+            got, size = self._encode_row([parts[i] for i in spaced[a:b]])
             ids.append(got)
-            sizes.append(np.diff(cut, prepend=0))
+            sizes.append(size)
+        for a, b in spans_of_size([len(parts[i]) + 1 for i in plain], 1 << 16):
+            got, size = self._encode_row([x for i in plain[a:b] for x in (parts[i], "\n")])
+            ids.append(got[ragged((np.cumsum(size) - size)[::2], size[::2])])
+            sizes.append(size[::2])
+        for i in alone:
+            ids.append(self._library(parts[i]))
+            sizes.append(np.array([len(ids[-1])], np.int64))
         size = np.concatenate(sizes)
-        order = np.array(alone + joined, np.int64)
-        start, width = np.empty_like(size), np.empty_like(size)
-        start[order], width[order] = np.cumsum(size) - size, size
-        return np.concatenate(ids), start, width
+        back = np.argsort(np.array(spaced + plain + alone, np.int64))
+        start = np.cumsum(size) - size
+        return np.concatenate(ids)[ragged(start[back], size[back])], size[back]
+
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Plain units are cut where the tokenizer cuts them; their parts recur more often."""
+        return self.parts.ids_of([PART.findall(u) if PLAIN.fullmatch(u) else [u] for u in units])
 
     def _units(self, text: str) -> list[str]:
         parts = text.split(" ") if self.odd.search(text) is None else re.split(r" (?=\S)", text)

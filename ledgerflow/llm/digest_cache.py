@@ -20,7 +20,6 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,13 +28,12 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .components import stored
-from .idstore import Numbering
+from .idstore import IdStore
 from .textbatch import few, spans_of_size, strings
 
 TOKENIZER = "word_bpe_49k.json"
 SCHEMA = "digest binary, tokenizer string, n_tokens long"
-WORDS_KEPT = 400_000     # words whose counts a worker remembers
-PIECE = 1 << 20          # characters of text at a time
+PIECE = 1 << 21          # characters of text at a time
 
 
 @dataclass(frozen=True)
@@ -72,6 +70,12 @@ def content_digest(text: Column) -> Column:
     return F.unhex(F.sha2(normal, 256))
 
 
+# The tokenizer takes runs of letters and runs of signs by themselves (but for apostrophes).
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r".,!?;:%#&$*|\"()=+@/<>\[\]{}-"
+PART = re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+")
+PLAIN = re.compile(f"[{_LETTERS}{_SIGNS}]+")
+
+
 class Counter:
     """Counts tokens as the library does, remembering words."""
 
@@ -80,39 +84,31 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r"[\x1c-\x1f]", *map(re.escape, special)]))
-        self.clear()
-
-    def clear(self) -> None:
-        self.known = Numbering()
-        self.sizes = np.zeros(0, np.int64)
+        self.parts = IdStore(self._count_parts, counts_only=True)
+        self.words = IdStore(self._count_words, counts_only=True)
 
     def _library(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _count_words(self, words: list[str]) -> np.ndarray:
-        """Tokens of each word: words are encoded in a row, and a token's place tells its word."""
-        out = np.zeros(len(words), np.int64)
-        for a, b in spans_of_size([len(w) + 1 for w in words], 1 << 16):
-            got = self.tokenizer.encode(" ".join(words[a:b]), add_special_tokens=False).offsets
+    def _count_parts(self, parts: list[str]) -> tuple[None, np.ndarray]:
+        """Tokens of each part: parts are encoded in a row, and a token's place tells its part."""
+        out = np.zeros(len(parts), np.int64)
+        for a, b in spans_of_size([len(w) + 1 for w in parts], 1 << 16):
+            got = self.tokenizer.encode(" ".join(parts[a:b]), add_special_tokens=False).offsets
             at = np.fromiter((x for x, _ in got), np.int64, len(got))
-            ends = np.cumsum(np.fromiter((len(w) + 1 for w in words[a:b]), np.int64, b - a))
+            ends = np.cumsum(np.fromiter((len(w) + 1 for w in parts[a:b]), np.int64, b - a))
             out[a:b] = np.bincount(np.searchsorted(ends, at, side="right"), minlength=b - a)
-        return out
+        return None, out
+
+    def _count_words(self, words: list[str]) -> tuple[None, np.ndarray]:
+        """Plain words are cut where the tokenizer cuts them, in lower case; their parts recur more often."""
+        return None, self.parts.counts_of([PART.findall(w.lower()) if PLAIN.fullmatch(w) else [w] for w in words])
 
     def count(self, texts: list[str]) -> np.ndarray:
         out = np.zeros(len(texts), np.int64)
         for a, b in spans_of_size([len(x) for x in texts], PIECE):
-            if len(self.known) > WORDS_KEPT:
-                self.clear()
             whole = [self.whole.search(x) is not None for x in texts[a:b]]
-            words = [[] if w else x.split() for w, x in zip(whole, texts[a:b])]
-            many = np.fromiter(map(len, words), np.int64, len(words))
-            number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(many.sum()))
-            if self.known.new:
-                self.sizes = np.concatenate((self.sizes, self._count_words(self.known.new)))
-                self.known.new = []
-            total = np.concatenate(([0], np.cumsum(self.sizes[number])))
-            out[a:b] = np.diff(total[np.concatenate(([0], np.cumsum(many)))])
+            out[a:b] = self.words.counts_of([[] if w else x.split() for w, x in zip(whole, texts[a:b])])
             for i in np.flatnonzero(whole):
                 out[a + i] = self._library(texts[a + i])
         return out

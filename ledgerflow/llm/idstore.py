@@ -9,7 +9,9 @@ import numpy as np
 
 from .textbatch import ragged
 
-UNITS_KEPT = 500_000     # units whose ids a worker remembers
+UNITS_KEPT = 400_000     # units that a worker remembers; beyond, those used once are forgotten
+
+Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
 class Numbering(dict):
@@ -26,31 +28,59 @@ class Numbering(dict):
 
 
 class IdStore:
-    """``encode_new`` gives new units' ids: all ids, and for each unit its first place and its size."""
+    """``encode_new`` gives new units' ids end to end, and how many each has.
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        self.encode_new = encode_new
-        self.clear()
+    With ``counts_only`` the ids it gives are not kept.
+    """
 
-    def clear(self) -> None:
+    def __init__(self, encode_new: Encode, counts_only: bool = False, kept: int = UNITS_KEPT):
+        self.encode_new, self.counts_only, self.kept = encode_new, counts_only, kept
         self.known = Numbering()
         self.flat = np.zeros(0, np.int32)
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
-    def ids_of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts given as units, end to end, and how many each text has."""
-        if len(self.known) > UNITS_KEPT:
-            self.clear()
+    def _forget(self) -> None:
+        """Keep the units that were used more than once; none where those are too many as well."""
+        keep = np.flatnonzero(self.uses > 1)
+        keep = keep[:0] if len(keep) > 0.8 * self.kept else keep
+        units = list(self.known)
+        self.known = Numbering()
+        self.known.update((units[i], n) for n, i in enumerate(keep.tolist()))
+        sizes = self.size[keep]
+        if not self.counts_only:
+            self.flat = self.flat[ragged(self.start[keep], sizes)]
+        self.start, self.size, self.uses = np.cumsum(sizes) - sizes, sizes, np.zeros(len(keep), np.int64)
+
+    def _numbers(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > self.kept:
+            self._forget()
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         unit = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64, int(counts.sum()))
         if self.known.new:
-            ids, start, size = self.encode_new(self.known.new)
+            ids, size = self.encode_new(self.known.new)
             self.known.new = []
-            self.start = np.concatenate((self.start, start + len(self.flat)))
+            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
             self.size = np.concatenate((self.size, size))
-            self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
+            self.uses = np.concatenate((self.uses, np.zeros(len(size), np.int64)))
+            if not self.counts_only:
+                self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
+        self.uses += np.bincount(unit, minlength=len(self.uses))
+        return unit, counts
+
+    def ids_of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as units, end to end, and how many each text has."""
+        unit, counts = self._numbers(texts)
         sizes = self.size[unit]
-        total = np.concatenate(([0], np.cumsum(sizes)))
-        edge = np.concatenate(([0], np.cumsum(counts)))
-        return self.flat[ragged(self.start[unit], sizes)], np.diff(total[edge])
+        return self.flat[ragged(self.start[unit], sizes)], _sums(sizes, counts)
+
+    def counts_of(self, texts: list[list[str]]) -> np.ndarray:
+        """How many ids each of the texts has."""
+        unit, counts = self._numbers(texts)
+        return _sums(self.size[unit], counts)
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    total = np.concatenate(([0], np.cumsum(values)))
+    return np.diff(total[np.concatenate(([0], np.cumsum(counts)))])

@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding: a forward pass over a trie of distinct marked words.
 
 A text is marked as the model does (a mark for each space, one in front) and cut into marked words:
-no piece holds a mark after another character, so words are encoded one by one.  The distinct words
-that a worker hasn't met yet are sorted and walked as a trie, depth first: a state for each prefix
-is kept on a stack, and a word begins with the states of the prefix that it shares with the word
-before.
+no piece holds a mark after another character, so words are encoded one by one.  A word is cut further
+between characters that stand side by side in no piece.  The distinct parts that a worker hasn't met
+yet are sorted and walked as a trie, depth first: a state for each prefix is kept on a stack, and a
+part begins with the states of the prefix that it shares with the part before.
 
 The given model is a merge (BPE) model.  A Viterbi pass that maximises the sum of scores gives other
 pieces than such a model, so the forward state is the one that its merges define: a sequence of
@@ -38,8 +38,8 @@ from .textbatch import spans_of_size
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-PAIRS_KEPT = 500_000     # pairs of pieces whose verdict a worker remembers
-PIECE = 1 << 19          # characters of text at a time
+PAIRS_KEPT = 400_000     # pairs of pieces whose verdict a worker remembers
+PIECE = 1 << 21          # characters of text at a time
 
 
 def model_path(name: str = MODEL) -> str:
@@ -65,14 +65,17 @@ class Pieces:
         ranked = [s for p, s in self.score.items() if len(p) > 1 and p.strip(MARK)]
         if len(set(ranked)) < len(ranked):
             raise ValueError("pieces of equal score: a prefix may have more than one last piece")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         # Pieces that the merges make; others never occur.
-        self.made = {p for p in self.id if len(p) == 1 or self.merge(p) == [p]}
+        self.made = {p: i for p, i in self.id.items() if len(p) == 1 or self.merge(p) == [p]}
+        if not {c for p in self.id if len(p) > 1 for c in p} <= self.id.keys():
+            raise ValueError("a piece holds a character that is no piece")
         # The longest piece that ends with two given characters.
         self.reach: dict[str, int] = {}
         for p in self.made:
             self.reach[p[-2:]] = max(self.reach.get(p[-2:], 1), len(p))
-        self.lines = not any("\n" in p for p in self.id)  # then a line end is a word of its own
+        # Characters side by side in some piece; merges never cross between others.
+        self.beside = {p[i:i + 2] for p in self.id for i in range(len(p) - 1)}
         self.bytes_of = [p.replace(MARK, " ").encode("utf-8") for p in self.piece]
         for value, i in self.byte.items():
             self.bytes_of[i] = bytes([value])
@@ -80,6 +83,7 @@ class Pieces:
             if model.is_control(i):
                 self.bytes_of[i] = b""
         self.bytes_of[self.unknown] = " ⁇ ".encode()
+        self.parts = IdStore(self.encode_parts)
         self.words = IdStore(self.encode_words)
 
     def merge(self, word: str) -> list[str]:
@@ -100,49 +104,55 @@ class Pieces:
             if at < len(pairs):
                 pairs[at] = score(parts[at] + parts[at + 1])
 
-    def goes(self, left: str, right: str) -> bool:
+    def goes(self, key: int, left: str, right: str) -> bool:
         """Whether the merges leave these two pieces side by side."""
-        key = (left, right)
-        verdict = self.pairs.get(key)
-        if verdict is None:
-            if len(self.pairs) > PAIRS_KEPT:
-                self.pairs.clear()
-            verdict = self.pairs[key] = self.merge(left + right) == [left, right]
+        if len(self.pairs) > PAIRS_KEPT:
+            self.pairs.clear()
+        verdict = self.pairs[key] = self.merge(left + right) == [left, right]
         return verdict
 
-    def walk(self, words: list[str]) -> Iterator[list[str]]:
-        """The pieces of each of the sorted words; states of shared prefixes are used again."""
-        last: list[str] = [""]      # last[i]: the last piece of the prefix of i characters
+    def walk(self, parts: list[str]) -> Iterator[list[int]]:
+        """The ids of each of the sorted parts; states of shared prefixes are used again.
+
+        Each character of a part of two or more is a piece, as no other character stands beside one.
+        """
+        last: list[int] = [-1]      # last[i]: the last piece of the prefix of i characters
+        size: list[int] = [0]       # its length
         before = ""
-        made, reach, pairs, goes = self.made, self.reach, self.pairs, self.goes
-        for word in words:
+        ids, reach, pairs, piece_of = self.made, self.reach, self.pairs, self.piece
+        for part in parts:
             shared = 0
-            for a, b in zip(before, word):
+            for a, b in zip(before, part):
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1:]
-            for end in range(shared + 1, len(word) + 1):
+            del last[shared + 1:], size[shared + 1:]
+            for end in range(shared + 1, len(part) + 1):
                 # From the longest piece that ends here to the single character.
-                start = max(0, end - reach.get(word[max(end - 2, 0):end], 1))
+                start = max(0, end - reach.get(part[max(end - 2, 0):end], 1))
                 while True:
-                    piece = word[start:end]
-                    if piece in made or start == end - 1:
-                        verdict = not start or pairs.get((last[start], piece))
-                        if verdict or (verdict is None and goes(last[start], piece)):
-                            last.append(piece)
+                    i = ids.get(part[start:end])
+                    if i is not None:
+                        left = last[start]
+                        if left < 0:
+                            break
+                        key = left << 20 | i
+                        verdict = pairs.get(key)
+                        if verdict or (verdict is None and self.goes(key, piece_of[left], piece_of[i])):
                             break
                     start += 1
-            before = word
-            parts, end = [], len(word)
+                last.append(i)
+                size.append(end - start)
+            before = part
+            out, end = [], len(part)
             while end:
-                parts.append(last[end])
-                end -= len(last[end])
-            yield parts[::-1]
+                out.append(last[end])
+                end -= size[end]
+            yield out[::-1]
 
-    def ids(self, parts: list[str]) -> list[int]:
+    def ids(self, pieces: list[str]) -> list[int]:
         out: list[int] = []
-        for p in parts:
+        for p in pieces:
             i = self.id.get(p)
             if i is not None:
                 out.append(i)
@@ -152,19 +162,25 @@ class Pieces:
                 out.append(self.unknown)
         return out
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of distinct words (or of words and line ends in a row) for the store."""
-        parts = [re.split("(\n)", w) if self.lines and "\n" in w else [w] for w in words]
-        single = sorted({p for ps in parts for p in ps if p and not p.startswith(MARK * 2)})
-        found = dict(zip(single, map(self.ids, self.walk(single))))
-        flat, size = [], np.zeros(len(words), np.int64)
-        for i, ps in enumerate(parts):
-            for p in ps:
-                if p:
-                    got = found[p] if p in found else self.ids(self.merge(p))
-                    flat += got
-                    size[i] += len(got)
-        return np.array(flat, np.int32), np.cumsum(size) - size, size
+    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Parts of one character by the vocabulary, with more than one mark by merges, others by the walk."""
+        walked = sorted(p for p in parts if len(p) > 1 and not p.startswith(MARK * 2))
+        found = dict(zip(walked, self.walk(walked)))
+        each = [found[p] if p in found else self.ids(self.merge(p)) for p in parts]
+        return np.array([i for x in each for i in x], np.int32), np.array([len(x) for x in each], np.int64)
+
+    def cut(self, word: str) -> list[str]:
+        """A word's parts: cut between characters that stand side by side in no piece."""
+        beside, out, at = self.beside, [], 0
+        for i in range(1, len(word)):
+            if word[i - 1:i + 1] not in beside:
+                out.append(word[at:i])
+                at = i
+        out.append(word[at:])
+        return out
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.parts.ids_of([self.cut(w) for w in words])
 
     def split(self, text: str) -> list[str]:
         """Marked words of a text."""

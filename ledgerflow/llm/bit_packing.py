@@ -75,6 +75,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 # and a line end by itself, with the space before letters.
 _LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r".,!?;:%#&$*|\"()=+@/<>\[\]{}-"
 PART = re.compile(f" ?[{_LETTERS}]+|[{_SIGNS}]+|\n")
+_ODD = [" " + c for c in " \t\n\v\f\r\x85\xa0"]
 PLAIN = re.compile(f"(?: ?[{_LETTERS}]+|[{_SIGNS}]+|(?<!\n)\n(?!\n))+")
 
 
@@ -90,7 +91,7 @@ class ByteEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         special = self.tokenizer.get_added_tokens_decoder()
-        self.whole = re.compile("|".join([r"[\x1c-\x1f]", *(re.escape(t.content) for t in special.values())]))
+        self.whole = ["\x1c", "\x1d", "\x1e", "\x1f", *(t.content for t in special.values())]
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.n_bytes = np.zeros(self.vocabulary, np.int64)  # a byte-level piece has a character for each byte
         for piece, i in self.tokenizer.get_vocab().items():
@@ -133,15 +134,29 @@ class ByteEncoder:
 
     def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Plain units are cut where the tokenizer cuts them; their parts recur more often."""
-        return self.parts.ids_of([PART.findall(u) if PLAIN.fullmatch(u) else [u] for u in units])
+        texts = [u[1:] if u[:1] == " " else " " + u for u in units]
+        return self.parts.ids_of([PART.findall(u) if PLAIN.fullmatch(u) else [u] for u in texts])
 
     def _units(self, text: str) -> list[str]:
-        parts = text.split(" ") if self.odd.search(text) is None else re.split(r" (?=\S)", text)
-        return [parts[0], *[" " + x for x in parts[1:]]]
+        """A text's units: without the space in front, and the first, which has none, with one."""
+        units = re.split(r" (?=\S)", text) if self._odd(text) else text.split(" ")
+        units[0] = " " + units[0]
+        return units
+
+    def _odd(self, text: str) -> bool:
+        """Whether white space or nothing follows a space."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.odd.search(text) is not None
+        return text[-1:] == " " or any(map(text.__contains__, _ODD))
+
+    def _whole(self, text: str) -> bool:
+        return any(map(text.__contains__, self.whole))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
-        whole = [i for i, x in enumerate(texts) if self.whole.search(x)]
+        whole = [i for i, x in enumerate(texts) if self._whole(x)]
         units = [self._units(x) if x else [] for x in texts]
         for i in whole:
             units[i] = []

@@ -127,9 +127,11 @@ def blocks_of(page: str) -> list[Block]:
             parts.append(" ")
             continue
         if m[1]:
+            if tag in BLOCK:
+                flush()
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == tag:
-                    if tag in BLOCK or any(x[3] for x in stack[depth:]):
+                    if any(x[3] for x in stack[depth:]):
                         flush()
                     pop_to(depth)
                     break

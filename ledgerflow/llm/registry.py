@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bit_packing, crf_language, digest_cache, feistel_pii, kd_shards, partenum_join, piece_trie, suffix_repeats
+from . import (
+    bit_packing,
+    bm25_decontam,
+    crf_language,
+    digest_cache,
+    feistel_pii,
+    kd_shards,
+    mincut_extract,
+    partenum_join,
+    piece_trie,
+    suffix_repeats,
+)
 from .oracles import OP7_SQL, OP10_SQL
 from .textbatch import table
 
@@ -23,6 +34,15 @@ def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "language.n_words", "language.n_switches")
 
 
+def op2_bm25_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with each benchmark item that it holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = bm25_decontam.find(docs, table(spark, sf_dir, "benchmark"))
+    return (held.select("doc_id", F.explode("held").alias("m"))
+            .select("doc_id", "m.item_id", "m.score", F.col("m.question").alias("question_overlap"),
+                    F.col("m.answer").alias("answer_overlap")))
+
+
 def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of each whole document, written as packed blocks and read back."""
     path = scratch_path(spark, "packed-ids")
@@ -30,6 +50,13 @@ def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_packing.digests(spark, path)
 
 
+def op4_mincut_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each whole page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return (mincut_extract.extract(pages, mincut_extract.fit(pages))
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
+
+
 PII_KEY = b"corpus pseudonyms"  # a deployment passes a key of its own
 
 
@@ -78,7 +105,8 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = {f.__name__: f for f in (
-    op1_crf_language, op3_bit_packing, op5_feistel_pii, op6_kd_shards, op7_partenum_join, op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
+    op1_crf_language, op2_bm25_decontam, op3_bit_packing, op4_mincut_extract, op5_feistel_pii, op6_kd_shards, op7_partenum_join,
+    op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
 _ORACLES = {"op7_partenum_join": OP7_SQL, "op10_suffix_repeats": OP10_SQL}
 
 

@@ -27,14 +27,13 @@ result; repeated items are listed each.  The column ``out`` is replaced; other c
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .textbatch import ragged, spans_of_size, strings
@@ -272,6 +271,15 @@ def _runs(h: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
+def _holder(sent: Broadcast, least: float, question_share: float, answer_share: float) -> Callable[[Column], Column]:
+    @F.pandas_udf(MATCH)
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in batches:
+            yield pd.Series(matches(strings(column), sent.value, least, question_share, answer_share))
+
+    return held
+
+
 def find(docs: DataFrame, items: DataFrame, text_col: str = "text", out: str = "held", least: float = 0.5,
          question_share: float = 0.75, answer_share: float = 0.5) -> DataFrame:
     """All rows with the column ``out``: the items that the text holds (see MATCH)."""
@@ -301,13 +309,7 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", out: str = "
         terms = mine.select(F.explode("words").alias("w")).distinct()
         documents = {r.w & 0xFFFFFFFFFFFFFFFF: r.n for r in df.join(terms, "w").collect()}
         sent = spark.sparkContext.broadcast(build(listed, documents, total, length))
-
-        @F.pandas_udf(MATCH)
-        def held(batches: Iterator[pd.Series], sent=sent) -> Iterator[pd.Series]:
-            for column in batches:
-                yield pd.Series(matches(strings(column), sent.value, least, question_share, answer_share))
-
         names.append(f"__held{p}")
-        result = result.withColumn(names[-1], held(F.col(text_col).cast("string")))
+        result = result.withColumn(names[-1], _holder(sent, least, question_share, answer_share)(F.col(text_col).cast("string")))
     every = F.array_sort(F.concat(*[F.col(n) for n in names])) if names else F.lit(None).cast(MATCH)
     return result.withColumn(out, F.coalesce(every, F.array().cast(MATCH))).drop(*names)

@@ -16,11 +16,12 @@ k + 1 partitions only with a probability below 1e-18 (nine standard deviations a
 band, more above).  Which shingles are common is taken from a bounded sample; it only orders.
 
 Candidates.  Rows (signature, id) are dealt and sorted by signature; a pass over each part pairs the
-members of small groups, and those of larger groups with the group's first member.  Candidates are
-verified on whole sets: first the best partner of each id, then those pairs whose ends are not yet in
-one component.  Larger groups that still hold more than one component give the next members as
-further first ones, round by round, until each pair across components has been seen.  So no link
-between components is lost, and groups of near copies cost one pair for each member.
+members of small groups, and those of larger groups with the group's first member.  A set's sketch
+(how many shingles fall into each hashed class) rules out pairs whose counts alone differ by more than
+a link allows; the others are verified on whole sets.  Larger groups that still hold more than one
+component give the next members as further first ones, round by round, until each pair across
+components has been seen.  So no link between components is lost, and groups of near copies cost one
+pair for each member.
 
 Equal texts are one class throughout, represented by its smallest id.
 
@@ -46,11 +47,12 @@ from .textbatch import spans_of_size
 
 SHINGLE = 5              # words
 SMALL_BAND = 64          # below, each shingle is a partition of its own
-SMALL_GROUP = 8          # members of a signature's group that are all paired at once
-LEADERS = 16             # further first members of a larger group in each later round
-SAMPLE = 3000            # documents of the sample that tells common shingles
-COMMON_SHARE = 0.002     # share of the sample from which a shingle is common
-COMMON_MOST = 200_000    # common shingles that are told at most (the order of others is by size)
+SMALL_GROUP = 16         # members of a signature's group that are all paired at once
+LEADERS = 64             # further first members of a larger group in each later round
+SAMPLE = 20_000          # documents of the sample that tells common shingles
+COMMON_LEAST = 4         # documents of the sample from which on a shingle is common
+COMMON_MOST = 1_000_000  # common shingles that are told at most (the order of others is by size)
+MOST_CLASSES = 2048      # counters of a sketch
 BROADCAST_IDS = 500_000  # ids sent to all executors at most (8 MB); more are joined by shuffle
 PIECE = 1 << 20          # characters of text at a time
 
@@ -144,9 +146,8 @@ def _texts(column: pa.Array) -> list[str]:
 
 
 def common_shingles(docs: DataFrame, rows: int) -> np.ndarray:
-    """Sorted hashes of shingles in COMMON_SHARE of a hashed sample of about SAMPLE documents."""
+    """Sorted hashes of shingles in COMMON_LEAST documents of a hashed sample of about SAMPLE."""
     share = max(1, rows // SAMPLE)
-    least = max(3, int(SAMPLE * COMMON_SHARE))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,15 +156,37 @@ def common_shingles(docs: DataFrame, rows: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
 
     sample = docs.where(F.pmod(F.xxhash64("id", F.lit("common")), F.lit(share)) == 0).select("text")
-    top = (sample.mapInArrow(hashes, "h long").groupBy("h").count().where(F.col("count") >= least)
-           .orderBy(F.desc("count"), "h").limit(COMMON_MOST).select("h").collect())
-    return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
-
-
-# kind 0: an id and its size; 1: a pair of a small group; 2: a larger group's first member and another.
+    top = (sample.mapInArrow(hashes, "h long").groupBy("h").count().where(F.col("count") >= COMMON_LEAST)
+           .orderBy(F.desc("count"), "h").limit(COMMON_MOST).select("h").toArrow())
+    return np.sort(top.column("h").to_numpy().view(np.uint64))
+
+
+def sketch(items: np.ndarray) -> bytes:
+    """How many shingles fall into each of a number of hashed classes, up to 255; more classes for larger sets."""
+    if not len(items):
+        return b""
+    classes = min(MOST_CLASSES, max(16, 1 << max(0, len(items).bit_length() - 2)))
+    counts = np.bincount((items >> np.uint64(8)).astype(np.int64) & (classes - 1), minlength=classes)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_link(x: bytes, y: bytes, size_x: int, size_y: int) -> bool:
+    """False only where the counts alone differ by more than linked sets can."""
+    p, q = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    if len(p) != len(q):
+        if len(p) < len(q):
+            p, q = q, p
+        if p.max() == 255:
+            return True  # a count that stopped can't be added up
+        p = p.reshape(-1, len(q)).sum(axis=0)
+        p = np.minimum(p, 255)
+    return 7 * int(np.abs(p - q).sum()) <= size_x + size_y
+
+
+# kind 0: an id, its size and sketch; 1: a pair of a small group; 2: a larger group's first member and another.
 _FOUND = pa.schema([("kind", pa.int32()), ("sig", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
-                    ("size_a", pa.int32()), ("size_b", pa.int32())])
-FOUND = "kind int, sig long, a long, b long, size_a int, size_b int"
+                    ("size_a", pa.int32()), ("size_b", pa.int32()), ("sketch", pa.binary())])
+FOUND = "kind int, sig long, a long, b long, size_a int, size_b int, sketch binary"
 
 
 def _signature_rows(texts: DataFrame, common: np.ndarray) -> DataFrame:
@@ -173,7 +196,7 @@ def _signature_rows(texts: DataFrame, common: np.ndarray) -> DataFrame:
         for batch in batches:
             ids, text = batch.column(0).to_numpy(zero_copy_only=False), _texts(batch.column(1))
             for a, b in spans_of_size([len(x) for x in text], PIECE):
-                sigs, owner, sizes = [], [], []
+                sigs, owner, sizes, sketches = [], [], [], []
                 for i, items in zip(range(a, b), shingler().sets(text[a:b])):
                     # One more row tells the size; it travels by a hash of the id.
                     got = np.append(signatures(items, sent.value), mix(ids[i:i + 1].astype(np.int64).view(np.uint64)))
@@ -182,11 +205,12 @@ def _signature_rows(texts: DataFrame, common: np.ndarray) -> DataFrame:
                     size = np.full(len(got), len(items), np.int32)
                     size[-1] = -1 - size[-1]
                     sizes.append(size)
+                    sketches += [None] * (len(got) - 1) + [sketch(items)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)),
-                                                  pa.array(np.concatenate(owner)),
-                                                  pa.array(np.concatenate(sizes))], ["sig", "id", "size"])
+                                                  pa.array(np.concatenate(owner)), pa.array(np.concatenate(sizes)),
+                                                  pa.array(sketches, pa.binary())], ["sig", "id", "size", "sketch"])
 
-    return texts.select("id", "text").mapInArrow(rows, "sig long, id long, size int")
+    return texts.select("id", "text").mapInArrow(rows, "sig long, id long, size int, sketch binary")
 
 
 def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +218,10 @@ def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
     open_large = False       # the held row is the first member of a larger group that goes on
 
-    def found(kind: int, sig, a, b, size_a, size_b) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *map(pa.array, (sig, a, b, size_a, size_b))],
-                                          schema=_FOUND)
+    def found(kind: int, sig, a, b, size_a, size_b, sketches=None) -> pa.RecordBatch:
+        sketches = pa.nulls(len(a), pa.binary()) if sketches is None else sketches
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)),
+                                           *map(pa.array, (sig, a, b, size_a, size_b)), sketches], schema=_FOUND)
 
     def pairs(sig, ids, size, large_first: bool) -> Iterator[pa.RecordBatch]:
         new = np.concatenate(([True], sig[1:] != sig[:-1]))
@@ -219,7 +244,7 @@ def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told = size < 0
         if told.any():
             zero = np.zeros(int(told.sum()), np.int64)
-            yield found(0, zero, ids[told], zero, -1 - size[told], zero.astype(np.int32))
+            yield found(0, zero, ids[told], zero, -1 - size[told], zero.astype(np.int32), batch.column(3).filter(pa.array(told)))
             sig, ids, size = sig[~told], ids[~told], size[~told]
         sig, ids, size = (np.concatenate(x) for x in zip(held, (sig, ids, size)))
         if not len(sig):
@@ -252,8 +277,7 @@ def _near(a: str = "size_a", b: str = "size_b") -> Column:
 
 
 def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose whole sets link."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    """The pairs (a, b) of ids whose whole sets link; the pairs are stored ones."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,28 +303,27 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.mapInArrow(linked, "a long, b long")
 
 
-def _relabel(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs with the component of each end, those within one component left out."""
-    la = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    lb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    return (pairs.join(la, "a", "left").join(lb, "b", "left")
-            .withColumn("ca", F.coalesce("ca", "a")).withColumn("cb", F.coalesce("cb", "b")).where("ca <> cb"))
+def plausible(pairs: DataFrame, told: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches don't rule out a link."""
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_a, size_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = [may_link(x.as_py(), y.as_py(), m, n) for x, y, m, n in zip(batch.column(4), batch.column(5), size_a, size_b)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one, two = (told.select(F.col("a").alias(c), F.col("size_a").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
+    return stored(joined.mapInArrow(kept, "a long, b long"), "plausible")
 
 
 def link(texts: DataFrame, found: DataFrame) -> DataFrame:
     """Components of all links, from what the signatures found."""
-    near = found.where(F.col("kind") > 0).where(_near())
-    counted = stored(near.groupBy("a", "b").agg(F.count("*").alias("n")), "candidates")
-    # First the best partner of each id: groups of near copies join up by one pair for each member.
-    best = counted.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
-    links = stored(verified(texts, best), "links")
-    labels = components(links)
-    rest = _relabel(counted.select("a", "b"), labels)
-    links = links.union(stored(verified(texts, rest), "links"))
+    told = found.where("kind = 0").dropDuplicates(["a"])
+    first = found.where(F.col("kind") > 0).where(_near()).select("a", "b").distinct()
+    links = stored(verified(texts, plausible(first, told)), "links")
     labels = components(links)
     # Members of larger groups, their first ones done.
-    large = found.where(F.col("kind") == 2)
-    members = large.select("sig", F.col("b").alias("id"), F.col("size_b").alias("size"))
+    members = found.where(F.col("kind") == 2).select("sig", F.col("b").alias("id"), F.col("size_b").alias("size"))
     while True:
         placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("sig")
@@ -308,14 +331,14 @@ def link(texts: DataFrame, found: DataFrame) -> DataFrame:
         if not members.take(1):
             return labels
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
-        lead = (members.withColumn("r", rank).where(F.col("r") <= LEADERS)
-                .select("sig", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca")))
-        lead = stored(lead, "leaders")
+        lead = stored(members.withColumn("r", rank).where(F.col("r") <= LEADERS)
+                      .select("sig", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca")), "leaders")
         pairs = (members.select("sig", F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("cb"))
-                 .join(lead, "sig").where("ca <> cb and a <> b").where(_near())
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        links = links.union(stored(verified(texts, pairs), "links"))
-        labels = components(links)
+                 .join(lead, "sig").where("ca <> cb and a < b").where(_near()).select("a", "b").distinct())
+        new = stored(verified(texts, plausible(pairs, told)), "links")
+        if new.take(1):
+            links = links.union(new)
+            labels = components(links)
         members = (members.select("sig", "id", "size")
                    .join(lead.select("sig", F.col("a").alias("id")), ["sig", "id"], "left_anti"))
 

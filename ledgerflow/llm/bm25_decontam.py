@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import ragged, spans_of_size, strings
+from .textbatch import odd_numbers, ragged, spans_of_size, strings
 
 K1, B = 1.2, 0.75
 BLOCK = 8                # items of a block
@@ -46,7 +46,7 @@ PIECE = 1 << 20          # characters of text at a time
 ROOM = 1 << 22           # sums of a batch: passages x blocks at most
 MATCH = "array<struct<item_id:long,score:double,question:double,answer:double>>"
 
-_ODD = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_ODD = odd_numbers(256)
 _M = np.uint64(0xD6E8FEB86659FD93)
 _KIND: np.ndarray | None = None
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .textbatch import spans_of_size, strings
+from .textbatch import odd_numbers, spans_of_size, strings
 
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double, n_words long, n_switches long"
@@ -42,6 +42,7 @@ _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _M3 = np.uint64(0x165667B19E3779F9)
 _M4 = np.uint64(0xD6E8FEB86659FD93)
+_ODD = odd_numbers(64)
 
 
 @dataclass
@@ -110,8 +111,7 @@ def word_features(text: str) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np
         owner += [numbers, numbers]
     affix_h = np.stack(affix, axis=1).ravel()
     owner_h = np.stack(owner, axis=1).ravel()
-    odd = (np.arange(1, 65, dtype=np.uint64) * _M1) | np.uint64(1)
-    lexicon = np.add.reduceat(c[at] * odd[place & 63], np.cumsum(length) - length) + length.astype(np.uint64)
+    lexicon = np.add.reduceat(c[at] * _ODD[place & 63], np.cumsum(length) - length) + length.astype(np.uint64)
     return start, length, [
         (0, word, _bucket(tri)), (1, word, _bucket(bi)),
         (2, owner_h, _bucket(affix_h)), (3, numbers, _bucket(lexicon * _M2)),
@@ -295,6 +295,10 @@ def training_spans(docs: DataFrame, use: Column, id_col: str, text_col: str, lan
               .select(F.col(lang_col).alias("label"), h.alias("h"),
                       F.substring(F.col(text_col), (F.pmod(F.abs(h % 1000003), room) + 1).cast("int"),
                                   F.lit(span_chars)).alias("span"))
+              .withColumn("salt", F.pmod("h", F.lit(64)))
+              # Ranked within parts of a label first: no task gets a label's rows of all tasks.
+              .withColumn("r", F.row_number().over(Window.partitionBy("label", "salt").orderBy("h", "span")))
+              .where(F.col("r") <= docs_per_label)
               .withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h", "span")))
               .where(F.col("r") <= docs_per_label).select("label", "span"))
     return [(r.label, r.span) for r in picked.collect()]

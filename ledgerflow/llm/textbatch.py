@@ -50,3 +50,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     begin = np.cumsum(lengths) - lengths
     return np.repeat(starts.astype(np.int64) - begin, lengths) + np.arange(total, dtype=np.int64)
+
+
+def odd_numbers(n: int) -> np.ndarray:
+    """Well mixed odd 64-bit numbers, as multipliers of hashed sums."""
+    z = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (z ^ (z >> np.uint64(31))) | np.uint64(1)

@@ -25,6 +25,8 @@ GENDERS = ["M", "F"]
 # Dead-letter reasons (F-11).
 REASON_MISSING_ACCOUNT = "missing_account_id"
 REASON_REFERENTIAL = "referential_violation"
+# Own value: a message whose value is no JSON object of the expected shape.
+REASON_UNREADABLE = "unreadable_message"
 
 
 def _c(x: Column | str) -> Column:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ORDER = ("__lsn", "__source_ts_ms")
+# Offset coordinates that decide between changes of equal order, where the source has them.
+TIE_BREAKERS = ("partition", "offset")
 
 
 def is_deleted(df: DataFrame):
@@ -27,14 +29,20 @@ def latest(log: DataFrame, keys: list[str] | str, order: tuple[str, ...] = DEFAU
     keys = [keys] if isinstance(keys, str) else list(keys)
     tagged = log.withColumn("__is_deleted", is_deleted(log))
     values = [c for c in tagged.columns if c not in keys]
-    order_cols = [c for c in order if c in tagged.columns]
-    ordering = F.struct(*[F.col(c) for c in order_cols])
+    ordering = _ordering(tagged, order, values)
     picked = (_keys_not_null(tagged, keys)
               .groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(c) for c in values]), ordering).alias("_v")))
     return picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
+def _ordering(df: DataFrame, order: tuple[str, ...], values: list[str]):
+    """The order of changes: a total one, so that the same rows give the same survivor in any
+    arrangement.  Equal order and offset: a hash of the row decides."""
+    cols = [F.col(c) for c in (*order, *TIE_BREAKERS) if c in df.columns]
+    return F.struct(*cols, F.xxhash64(*[F.col(c) for c in values if c not in TIE_BREAKERS]))
+
+
 def _keys_not_null(df: DataFrame, keys: list[str]) -> DataFrame:
     cond = None
     for k in keys:
@@ -66,7 +74,7 @@ def owner_links(disposition_log: DataFrame, order: tuple[str, ...] = DEFAULT_ORD
     return (owners.groupBy("account_id")
             .agg(F.max_by(F.struct("client_id", "disp_id", *[c for c in order if c in owners.columns]),
                           ordering).alias("_v"))
-            .select("account_id", "_v.client_id", "_v.disp_id", "_v.__lsn"))
+            .select("account_id", "_v.client_id", "_v.disp_id", *[f"_v.{c}" for c in order[:1] if c in owners.columns]))
 
 
 def state_counts(name: str, log: DataFrame, keys: list[str] | str,
@@ -78,7 +86,7 @@ def state_counts(name: str, log: DataFrame, keys: list[str] | str,
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     tagged = log.withColumn("__is_deleted", is_deleted(log))
-    ordering = F.struct(*[F.col(c) for c in order if c in tagged.columns])
+    ordering = _ordering(tagged, order, [c for c in tagged.columns if c not in keys])
     key_ok = None
     for k in keys:
         c = F.col(k).isNotNull()

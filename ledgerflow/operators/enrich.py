@@ -14,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import REASON_MISSING_ACCOUNT, dlq_reason
+from ..functions.codes import REASON_MISSING_ACCOUNT, REASON_UNREADABLE, dlq_reason
 from ..schemas import ENRICHED_FIELDS
 
+# Column that holds the text of a message that could not be parsed.
+UNREADABLE = "__unreadable"
 PROFILE_FIELDS = ["client_id", "birth_number", "account_frequency", "district_name",
                   "district_region", "avg_salary"]
 
@@ -30,7 +32,10 @@ def route(trans: DataFrame, profile: DataFrame) -> DataFrame:
     missing = no_key.select("*", *[F.lit(None).cast(p.schema[c].dataType).alias(c)
                                    for c in PROFILE_FIELDS])
     both = joined.unionByName(missing)
-    return both.withColumn("dlq_reason", dlq_reason("account_id", "client_id"))
+    reason = dlq_reason("account_id", "client_id")
+    if UNREADABLE in trans.columns:
+        reason = F.when(F.col(UNREADABLE).isNotNull(), F.lit(REASON_UNREADABLE)).otherwise(reason)
+    return both.withColumn("dlq_reason", reason)
 
 
 def enriched(routed: DataFrame) -> DataFrame:
@@ -69,15 +74,6 @@ def metric_columns():
     ]
 
 
-def metrics(routed: DataFrame) -> DataFrame:
-    """One row: processed / enriched / dlq counts and the success rate in percent."""
-    m = routed.agg(*metric_columns())
-    return m.select(*[F.col(c).cast("bigint").alias(c) for c in m.columns],
-                    F.when(F.col("processed") > 0,
-                           F.col("enriched").cast("double") * F.lit(100.0)
-                           / F.col("processed").cast("double")).alias("success_rate_pct"))
-
-
 def dlq_by_reason(dead: DataFrame) -> DataFrame:
     """A-9: dead letters per reason."""
     return dead.groupBy("dlq_reason").agg(F.count(F.lit(1)).cast("bigint").alias("records"))

@@ -50,11 +50,14 @@ def customer_profile(accounts: DataFrame, dispositions: DataFrame, clients: Data
 
 def stream_profile(accounts: DataFrame, dispositions: DataFrame, clients: DataFrame,
                    districts: DataFrame) -> DataFrame:
-    """Profile in the stream record's shape (P-5 / J-6 with fallback)."""
+    """Profile in the stream record's shape (P-5 / J-6 with fallback): one row for each account.
+
+    An account with several OWNER dispositions has the owner of the newest one (the greatest
+    ``disp_id``), so a transaction is enriched once."""
     a = accounts.select("account_id", F.col("district_id").alias("account_district_id"),
                         F.col("frequency").alias("account_frequency"))
     owners = (dispositions.where(F.col("disposition_type") == "OWNER")
-              .select("account_id", "client_id"))
+              .groupBy("account_id").agg(F.max_by("client_id", F.struct("disp_id", "client_id")).alias("client_id")))
     c = clients.select("client_id", "birth_number", F.col("district_id").alias("client_district_id"))
     d = districts.select(F.col("district_id").alias("_district_id"), "district_name",
                          F.col("region").alias("district_region"), "avg_salary")

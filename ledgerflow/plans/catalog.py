@@ -48,7 +48,6 @@ def _load_all() -> None:
     from . import io_queries  # noqa: F401
 
 
-@td.memo_plan
 def staged(spark: SparkSession, sf_dir: str) -> mart.StagedTables:
     return mart.stage_all(td.raw_tables(spark, sf_dir))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich
 from ..operators import profile as profile_ops
+from ..schemas import STATE_KEYS
 from ..session import scratch_path
 from ..sources import cdc as cdc_src
 from ..streaming import enrich_stream, profile_stream
@@ -18,23 +19,42 @@ from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register, staged
 
-_PROFILE_CTE = {"stream_profile": """
-    SELECT a.account_id, c.client_id, c.birth_number, a.frequency AS account_frequency,
-      d.district_name, d.region AS district_region, d.avg_salary
-    FROM stg_account a
-    JOIN (SELECT * FROM stg_disposition WHERE disposition_type = 'OWNER') disp
-      ON a.account_id = disp.account_id
-    JOIN stg_client c ON disp.client_id = c.client_id
-    LEFT JOIN stg_district d ON coalesce(c.district_id, a.district_id) = d.district_id""",
-    "routed": """
+
+
+def _routed(log: str, profile: str) -> str:
+    """A log's records with the profile of their account and the reason of those without one."""
+    return f"""
     SELECT t.*, p.client_id, p.birth_number, p.account_frequency, p.district_name,
       p.district_region, p.avg_salary,
       CASE WHEN t.account_id IS NULL THEN 'missing_account_id'
            WHEN p.client_id IS NULL THEN 'referential_violation' END AS dlq_reason
-    FROM cdc_trans_log t LEFT JOIN stream_profile p ON t.account_id = p.account_id"""}
+    FROM {log} t LEFT JOIN {profile} p ON t.account_id = p.account_id"""
+
+
+def _profile(owners: str, clients: str, accounts: str = "raw_account") -> str:
+    """One row for each account with an owner: the district is the client's, else the account's."""
+    return f"""
+    WITH held AS (
+      SELECT o.account_id, c.client_id, c.birth_number, c.district_id AS own_district
+      FROM {owners} o, {clients} c WHERE c.client_id = o.client_id)
+    SELECT a.account_id, held.client_id, held.birth_number, a.frequency AS account_frequency,
+      d.name AS district_name, d.region AS district_region, d.avg_salary
+    FROM held INNER JOIN {accounts} a USING (account_id)
+    LEFT JOIN raw_district d ON d.district_id = ifnull(held.own_district, a.district_id)"""
+
+
+_OWNERS = """
+    SELECT account_id, arg_max(client_id, disp_id) AS client_id
+    FROM raw_disposition WHERE type = 'OWNER' GROUP BY account_id"""
+_PROFILE_CTE = {"owner_now": _OWNERS, "stream_profile": _profile("owner_now", "raw_client"),
+                "routed": _routed("cdc_trans_log", "stream_profile")}
+
+
+CHANGE_FILES = 6         # files of a change log in these queries, one micro-batch each
 
 
 def _profile_loader(spark, sf_dir):
+    """Built anew for each micro-batch, so that it sees the tables as they are then."""
     def load():
         st = staged(spark, sf_dir)
         return profile_ops.stream_profile(st.account, st.disposition, st.client, st.district)
@@ -118,13 +138,11 @@ def stream_profile_state(spark, sf_dir):
     merged batch by batch into the bucketed state table; live rows returned."""
     log = td.cdc_client(spark, sf_dir).withColumn("__table", F.lit("client"))
     src = scratch_path(spark, "client-cdc")
-    log.repartitionByRange(4, "__lsn").write.mode("overwrite").parquet(src)
+    log.repartition(CHANGE_FILES, "client_id").write.mode("overwrite").parquet(src)
     root = scratch_path(spark, "profile-state")
     changes = cdc_src.parquet_stream(spark, src, log.schema, max_files_per_trigger=1)
     q = profile_stream.start_profile_stream(spark, changes, root)
-    q.awaitTermination(600)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    enrich_stream.drained(q)
     return profile_stream.ProfileStore(root).read_live(spark, "client")
 
 
@@ -144,18 +162,8 @@ _E2E_CTES = {
       SELECT account_id, client_id FROM (
         SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY disp_id DESC) AS rn
         FROM raw_disposition WHERE type = 'OWNER') WHERE rn = 1""",
-    "profile_e2e": """
-      SELECT a.account_id, c.client_id, c.birth_number, a.frequency AS account_frequency,
-        d.name AS district_name, d.region AS district_region, d.avg_salary
-      FROM raw_account a JOIN owner_e2e o ON a.account_id = o.account_id
-      JOIN client_live c ON o.client_id = c.client_id
-      LEFT JOIN raw_district d ON coalesce(c.district_id, a.district_id) = d.district_id""",
-    "routed_e2e": """
-      SELECT t.*, p.client_id, p.birth_number, p.account_frequency, p.district_name,
-        p.district_region, p.avg_salary,
-        CASE WHEN t.account_id IS NULL THEN 'missing_account_id'
-             WHEN p.client_id IS NULL THEN 'referential_violation' END AS dlq_reason
-      FROM cdc_trans_log t LEFT JOIN profile_e2e p ON t.account_id = p.account_id""",
+    "profile_e2e": _profile("owner_e2e", "client_live"),
+    "routed_e2e": _routed("cdc_trans_log", "profile_e2e"),
 }
 
 
@@ -174,16 +182,17 @@ def stream_end_to_end(spark, sf_dir):
          "district": raw.district}).unionByName(
         cdc_src.as_profile_changes(td.cdc_client(spark, sf_dir), "client"))
     src = scratch_path(spark, "profile-changes")
-    changes.repartitionByRange(2, "__lsn").write.mode("overwrite").parquet(src)
+    # Files by table and key, not by lsn: all snapshot rows have the same one.
+    key = F.coalesce(*[F.when(F.col("__table") == t, F.col(k)) for t, k in STATE_KEYS.items()])
+    changes.repartition(CHANGE_FILES, "__table", key).write.mode("overwrite").parquet(src)
     root = scratch_path(spark, "profile-state")
     q = profile_stream.start_profile_stream(
         spark, cdc_src.parquet_stream(spark, src, changes.schema, max_files_per_trigger=1), root)
-    q.awaitTermination(900)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    # ST-4: the gate only reports; enrichment goes on regardless, misses go to the DLQ.
-    profile_stream.wait_for_profile(spark, root, timeout_s=0)
+    enrich_stream.drained(q)
+    # ST-4: enrichment goes on where the gate stays closed, too; misses go to the dead letters,
+    # and each batch's metrics tell whether the gate was open and which version it used.
+    warm = profile_stream.wait_for_profile(spark, root, timeout_s=0)
     out = enrich_stream.run_to_completion(
         spark, cdc_src.events_stream(spark, sf_dir),
-        lambda: profile_stream.load_stream_profile(spark, root), scratch_path(spark, "e2e"))
+        lambda: profile_stream.load_stream_profile(spark, root), scratch_path(spark, "e2e"), warm=warm)
     return out["enriched"].drop("batch_id")

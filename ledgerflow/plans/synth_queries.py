@@ -28,7 +28,6 @@ DATASETS = ["dev", "loadtest"]
 RATES = corrupt_ops.DEFAULT_RATES
 
 
-@td.memo_plan
 def fit_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = td.raw_trans(spark, sf_dir)
     return staging.dedupe_first(raw, "trans_id", ["ingest_seq"]).select(*TRANS_COLUMNS)

@@ -15,6 +15,7 @@ def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
 
 
+# The tables' columns and types, the change records' and the outputs' fields.
 DISTRICT = _struct(
     ("district_id", L, False), ("name", S, False), ("region", S, True),
     ("num_inhabitants", L, True),
@@ -76,7 +77,15 @@ ENRICHED_FIELDS = [
     "avg_salary", "__op", "__lsn", "__source_ts_ms", "__enriched",
 ]
 
-DLQ_FIELDS = ["trans_id", "account_id", "dlq_reason", "__source_ts_ms", "original_transaction"]
+# Profile tables, their keys, and the columns of their change records.
+STATE_KEYS = {"account": "account_id", "client": "client_id", "disposition": "disp_id",
+              "district": "district_id"}
+STATE_COLUMNS = {
+    "account": ["account_id", "district_id", "frequency", "date"],
+    "client": ["client_id", "birth_number", "district_id"],
+    "disposition": ["disp_id", "client_id", "account_id", "type"],
+    "district": ["district_id", "name", "region", "avg_salary", "num_inhabitants"],
+}
 
 DQ_RESULT = _struct(("test", S, False), ("table_name", S, False), ("column_name", S, True),
                     ("severity", S, False), ("failures", L, False), ("status", S, False))

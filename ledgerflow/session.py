@@ -7,6 +7,7 @@ is only for tests, the bench and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,12 +48,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process ("local-cluster" is not)."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder in whatever store it is; a missing one is fine."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when that is unset (local
-    tests) a fresh temporary folder is created and registered as the checkpoint
-    directory.
+    Uses the cluster's ``spark.checkpoint.dir``; only when that is unset and the
+    master is local (tests) a fresh temporary folder is created and registered as
+    the checkpoint directory.  On a cluster without one this raises: executors do
+    not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +75,8 @@ def work_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     sc.setCheckpointDir(configured)
     got = sc.getCheckpointDir()

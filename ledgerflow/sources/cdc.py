@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import drop_tombstone_messages, route_topic
-from ..schemas import CDC_PROFILE
+from ..operators.enrich import UNREADABLE
+from ..schemas import CDC_PROFILE, STATE_COLUMNS
 from . import testdata as td
 
 CDC_PROFILE_FIELDS = CDC_PROFILE.fields
@@ -24,32 +25,43 @@ PROFILE_TOPICS = ["cdc.public.account", "cdc.public.client", "cdc.public.disposi
                   "cdc.public.district"]
 ENRICHED_TOPIC = "transactions.events"
 DLQ_TOPIC = "transactions.dlq"
-MAX_RECORDS_PER_POLL = 500
 
 
 def kafka_stream(spark: SparkSession, bootstrap: str, topics: list[str],
-                 max_offsets_per_trigger: int = MAX_RECORDS_PER_POLL) -> DataFrame:
-    """Kafka source from the earliest offset (needs the Kafka connector on the classpath)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", ",".join(topics))
-            .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-            .load())
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka source from the earliest offset (needs the Kafka connector on the classpath).
+
+    ``max_offsets_per_trigger`` bounds a micro-batch, so that a long backlog is
+    worked off in several; without it a batch takes all there is.
+    """
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap)
+              .option("subscribe", ",".join(topics))
+              .option("startingOffsets", "earliest"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return reader.load()
 
 
 def parse_envelope(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """FL-3 + F-12: drop tombstones (NULL value), then decode the JSON value.
 
     Keeps ``topic``-derived ``__table`` when the message carries no table name,
-    and the Kafka offset coordinates as tie-breakers for ordering.
+    and the Kafka offset coordinates as tie-breakers for ordering.  A value that
+    is no JSON object of this shape keeps its text in ``__unreadable`` and has no
+    other field: no message is dropped, the router dead-letters it.
     """
     msgs = drop_tombstone_messages(messages)
     if "topic" in msgs.columns:
         msgs = route_topic(msgs).withColumnRenamed("__table", "_topic_table")
     extra = [c for c in ("_topic_table", "partition", "offset") if c in msgs.columns]
-    parsed = msgs.select(F.from_json(F.col("value").cast("string"), schema).alias("r"), *extra)
-    out = parsed.select("r.*", *extra)
+    text = F.col("value").cast("string")
+    marked = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType(), True)])
+    parsed = msgs.select(text.alias("_text"), F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
+                         .alias("r"), *extra)
+    bad = F.col(f"r.{UNREADABLE}").isNotNull() | F.col("r").isNull() | ~F.ltrim("_text").startswith("{")
+    out = parsed.select(*[F.when(~bad, F.col(f"r.`{f.name}`")).alias(f.name) for f in schema.fields],
+                        F.when(bad, F.col("_text")).alias(UNREADABLE), *extra)
     if "_topic_table" in out.columns:
         tbl = F.coalesce(F.col("__table"), F.col("_topic_table")) if "__table" in out.columns \
             else F.col("_topic_table")
@@ -104,13 +116,6 @@ def json_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.text(path)
 
 
-# Columns carried by each profile table's change records.
-PROFILE_TABLE_COLUMNS = {
-    "account": ["account_id", "district_id", "frequency", "date"],
-    "client": ["client_id", "birth_number", "district_id"],
-    "disposition": ["disp_id", "client_id", "account_id", "type"],
-    "district": ["district_id", "name", "region", "avg_salary", "num_inhabitants"],
-}
 SNAPSHOT_LSN = -1
 
 
@@ -118,7 +123,7 @@ def snapshot_changes(tables: dict[str, DataFrame]) -> DataFrame:
     """Initial snapshot of the profile tables as change records (``__op`` = 'r',
     the lowest lsn), in the routed profile-envelope shape."""
     parts = []
-    for name, cols in PROFILE_TABLE_COLUMNS.items():
+    for name, cols in STATE_COLUMNS.items():
         if name not in tables:
             continue
         parts.append(tables[name].select(

@@ -56,29 +56,6 @@ OP_BY_EVENT = {"signup": "c", "view": "r", "click": "u", "purchase": "u", "error
 TABLES = ["region", "nation", "customer", "orders", "events"]
 
 
-def memo_plan(fn):
-    """Reuse a built DataFrame per (session, folder, args).
-
-    DataFrames are immutable lazy plans, so reusing one only skips rebuilding
-    the plan on the driver (py4j round trips); every query still executes in
-    full.
-    """
-    cache: dict = {}
-
-    def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (id(spark), sf_dir.rstrip("/"), args)
-        hit = cache.get(key)
-        if hit is not None and hit[0] is spark:
-            return hit[1]
-        value = fn(spark, sf_dir, *args)
-        cache[key] = (spark, value)
-        return value
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
-@memo_plan
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -91,7 +68,6 @@ def _case(col: Column, mapping: dict[str, str], default: Column) -> Column:
     return expr.otherwise(default)
 
 
-@memo_plan
 def raw_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
@@ -122,7 +98,6 @@ def raw_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@memo_plan
 def raw_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey").cast("bigint")
@@ -141,7 +116,6 @@ def birth_number_formula(k: Column) -> Column:
     return (F.lit(20) + k % 60) * 10000 + (k % 12 + 1 + (k % 2) * 50) * 100 + k % 28 + 1
 
 
-@memo_plan
 def raw_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey").cast("bigint")
@@ -152,7 +126,6 @@ def raw_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@memo_plan
 def raw_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey").cast("bigint")
@@ -197,7 +170,6 @@ def _trans_columns(o: DataFrame, copy: bool) -> DataFrame:
     )
 
 
-@memo_plan
 def raw_trans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions with an ``ingest_seq`` (0 = first arrival, 1 = a later copy)."""
     o = read_table(spark, sf_dir, "orders")
@@ -213,7 +185,6 @@ def _ts_ms(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz")) / 1000
 
 
-@memo_plan
 def cdc_trans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened CDC records of transactions (SRC-7 shape), from ``events``."""
     e = read_table(spark, sf_dir, "events")
@@ -246,7 +217,6 @@ def events_as_cdc_trans(e: DataFrame) -> DataFrame:
     )
 
 
-@memo_plan
 def cdc_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log of clients: key user_id, lsn event_id, district event_id % 25."""
     e = read_table(spark, sf_dir, "events")
@@ -264,9 +234,8 @@ def cdc_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@memo_plan
 def cdc_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log of dispositions: key disp_id = user_id % 40 (several per account),
+    """Change log of dispositions: key disp_id = 3 * user_id + event_id % 2 (several per account),
     type flips to DISPONENT on every 7th event, deletes on event_id % 45 = 4."""
     e = read_table(spark, sf_dir, "events")
     eid = F.col("event_id").cast("bigint")
@@ -293,7 +262,6 @@ class RawTables:
     trans: DataFrame
 
 
-@memo_plan
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(
         district=raw_district(spark, sf_dir),

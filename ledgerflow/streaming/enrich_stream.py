@@ -17,11 +17,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import enrich
+from ..schemas import CDC_PROFILE, CDC_TRANS, ENRICHED_FIELDS
 
 
 @dataclass
@@ -45,6 +48,10 @@ class StreamOutputs:
         return f"{self.root}/_checkpoint"
 
 
+METRICS = ("processed long, enriched long, dlq long, dlq_missing_account long, "
+           "profile_version long, profile_warm boolean")
+
+
 def _batch_path(base: str, batch_id: int) -> str:
     return f"{base}/batch_id={batch_id}"
 
@@ -79,35 +86,29 @@ class KafkaSinks:
         kafka_write(df, self.bootstrap, self.dlq_topic)
 
 
-# Distinct account keys of one micro-batch that may be broadcast to narrow the profile.
-BATCH_KEYS_BROADCAST_MAX = 5_000_000
-
-
-def narrow_profile(batch: DataFrame, profile: DataFrame, n_keys: int,
-                   max_keys: int = BATCH_KEYS_BROADCAST_MAX) -> DataFrame:
+def narrow_profile(batch: DataFrame, profile: DataFrame) -> DataFrame:
     """Keep only the profile rows of accounts in this micro-batch.
 
     A left outer join can only build on the profile side, so a large profile
-    would be shuffled in full for every micro-batch.  When the batch's distinct
-    keys are few (checked count), they are broadcast into a left-semi join that
-    Catalyst pushes towards the profile's scans; the narrowed profile is then
-    small enough for AQE to broadcast into the join.
+    would be shuffled in full for every micro-batch.  The semi-join with the
+    batch's distinct keys comes first; AQE broadcasts the keys, and then the
+    narrowed profile, where their measured bytes allow it.
     """
-    if n_keys > max_keys:
-        return profile
     keys = batch.select("account_id").where(F.col("account_id").isNotNull()).distinct()
-    return profile.join(F.broadcast(keys), "account_id", "left_semi")
+    return profile.join(keys, "account_id", "left_semi")
 
 
 def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFrame],
-                      out: StreamOutputs, sinks=None) -> Callable[[DataFrame, int], None]:
+                      out: StreamOutputs, sinks=None, warm: bool = True) -> Callable[[DataFrame, int], None]:
+    """``profile_loader`` gives the profile, or the profile and its version, which
+    the batch's metrics then carry; ``warm`` tells whether the gate had opened."""
     sinks = sinks or ParquetSinks(out)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        n_keys = batch.select("account_id").distinct().count()
-        profile = narrow_profile(batch, profile_loader(), n_keys)
-        routed = enrich.route(batch, profile).persist()
+        loaded = profile_loader()
+        profile, version = loaded if isinstance(loaded, tuple) else (loaded, None)
+        # Written to both sinks, so the join is done once.
+        routed = enrich.route(batch, narrow_profile(batch, profile)).persist()
         try:
             obs = Observation(f"enrich_{batch_id}")
             observed = routed.observe(obs, *enrich.metric_columns())
@@ -120,59 +121,66 @@ def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFram
                 batch_id)
             m = obs.get
             row = [(int(batch_id), int(m.get("processed", 0)), int(m.get("enriched", 0)),
-                    int(m.get("dlq", 0)), int(m.get("dlq_missing_account", 0)))]
-            (spark.createDataFrame(row, "batch_id long, processed long, enriched long, dlq long, "
-                                        "dlq_missing_account long")
-             .drop("batch_id").coalesce(1)
+                    int(m.get("dlq", 0)), int(m.get("dlq_missing_account", 0)), version, warm)]
+            (spark.createDataFrame(row, f"batch_id long, {METRICS}").drop("batch_id").coalesce(1)
              .write.mode("overwrite").parquet(_batch_path(out.metrics, batch_id)))
         finally:
             routed.unpersist()
-            batch.unpersist()
     return write_batch
 
 
 def start_enrichment(spark: SparkSession, transactions: DataFrame,
                      profile_loader: Callable[[], DataFrame], out_root: str,
-                     available_now: bool = True, sinks=None) -> StreamingQuery:
+                     available_now: bool = True, sinks=None, warm: bool = True,
+                     every: str = "1 second") -> StreamingQuery:
     """Start the enrichment query over a streaming DataFrame of CDC transactions.
 
     ``out_root`` holds the checkpoint and the per-batch metrics; ``sinks``
     (default Parquet below ``out_root``) receives enriched rows and dead letters.
+    No record is filtered: deleted transactions pass (Q-3), and what can't be read
+    or has no key goes to the dead letters with its reason.
     """
     out = StreamOutputs(out_root)
-    source = enrich_source_filter(transactions)
-    writer = (source.writeStream.foreachBatch(make_batch_writer(spark, profile_loader, out, sinks))
+    writer = (transactions.writeStream.foreachBatch(make_batch_writer(spark, profile_loader, out, sinks, warm))
               .option("checkpointLocation", out.checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="1 second")
-    return writer.start()
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
 
 
-def enrich_source_filter(transactions: DataFrame) -> DataFrame:
-    """Deleted transactions are passed through (Q-3); nothing is filtered here
-    except rows without any value, which a parsed tombstone turns into."""
-    return transactions.where(F.col("trans_id").isNotNull() | F.col("account_id").isNotNull()
-                              | F.col("__lsn").isNotNull())
+def _read_batches(spark: SparkSession, path: str, empty: T.StructType) -> DataFrame:
+    """What the batches wrote; a source without records has written none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], T.StructType([*empty.fields, T.StructField("batch_id", T.IntegerType())]))
 
 
 def read_outputs(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
     out = StreamOutputs(out_root)
+    types = {f.name: f for s in (CDC_TRANS, CDC_PROFILE) for f in s.fields}
+    enriched = T.StructType([types.get(c, T.StructField(c, T.BooleanType() if c == "__enriched" else T.StringType()))
+                             for c in ENRICHED_FIELDS])
+    dead = T.StructType([T.StructField("original_transaction", CDC_TRANS), T.StructField("dlq_reason", T.StringType()),
+                         *[types[c] for c in ("trans_id", "account_id", "__source_ts_ms")],
+                         T.StructField("dlq_published_at", T.StringType())])
     return {
-        "enriched": spark.read.parquet(out.enriched),
-        "dead_letters": spark.read.parquet(out.dead_letters),
-        "metrics": spark.read.parquet(out.metrics),
+        "enriched": _read_batches(spark, out.enriched, enriched),
+        "dead_letters": _read_batches(spark, out.dead_letters, dead),
+        "metrics": _read_batches(spark, out.metrics, T.StructType.fromDDL(METRICS)),
     }
 
 
+def drained(query: StreamingQuery) -> None:
+    """Wait until an ``availableNow`` query has taken all of its source, however long that takes."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def run_to_completion(spark: SparkSession, transactions: DataFrame,
                       profile_loader: Callable[[], DataFrame], out_root: str,
-                      timeout_s: float = 600) -> dict[str, DataFrame]:
+                      warm: bool = True) -> dict[str, DataFrame]:
     """Run with ``availableNow`` until the source is drained; return the outputs."""
-    q = start_enrichment(spark, transactions, profile_loader, out_root, available_now=True)
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError("enrichment stream did not drain in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    drained(start_enrichment(spark, transactions, profile_loader, out_root, available_now=True, warm=warm))
     return read_outputs(spark, out_root)

@@ -1,153 +1,167 @@
 """Incremental profile state from CDC streams (ST-1, ST-2, ST-4 in streaming form).
 
-Each state table (account, client, disposition, district) is stored as Parquet
-partitioned by a hash bucket of its key.  A micro-batch:
-
-1. compacts its own changes per key (``cdc.latest``, tombstones kept);
-2. reads only the buckets it touches from the current table (partition pruning);
-3. re-compacts old + new rows, cuts the lineage with ``checkpoint()`` (the
-   shared checkpoint folder), and overwrites just those bucket partitions
-   (dynamic partition overwrite).
-
-Replaying a batch gives the same state (``max_by`` over the same ordering), so
-the at-least-once replay of a restarted query is harmless; the stream's own
-checkpoint records progress.  Readers drop tombstones.
+Each state table (account, client, disposition, district) is a base and a row of
+deltas, each in a folder of its own that is never changed once it is published:
+
+1. a micro-batch compacts its own changes per key (``cdc.latest``, tombstones
+   kept) and writes them as the delta of its batch id;
+2. every ``COMPACT_EVERY`` batches it writes a new base instead: the state so far
+   and its own changes, compacted;
+3. it then publishes a version: a one-row file that names the base and the deltas
+   of each table.  Readers take the greatest version, so they see whole batches
+   only, and a crash before the last step leaves nothing behind that is read.
+
+Replaying a batch writes the same folders and the same version again.  A table's
+state is the compaction of base and deltas (``max_by`` over a total order).
+Superseded folders are deleted one compaction later.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc
 from ..operators import profile as profile_ops
-from ..session import work_dir
-
-# State tables, their keys, and the columns each one keeps.
-STATE_KEYS = {"account": "account_id", "client": "client_id", "disposition": "disp_id",
-              "district": "district_id"}
-STATE_COLUMNS = {
-    "account": ["account_id", "district_id", "frequency", "date"],
-    "client": ["client_id", "birth_number", "district_id"],
-    "disposition": ["disp_id", "client_id", "account_id", "type"],
-    "district": ["district_id", "name", "region", "avg_salary", "num_inhabitants"],
-}
+from ..schemas import CDC_PROFILE, STATE_COLUMNS, STATE_KEYS
+from ..session import remove_path, work_dir
+
 META = ["__op", "__lsn", "__source_ts_ms", "__deleted"]
-DEFAULT_BUCKETS = 64
+COMPACT_EVERY = 16       # batches from one base to the next
+
+# Warm-up gate defaults.
+WARMUP_MIN_ACCOUNTS = 100
+WARMUP_TIMEOUT_S = 120
+WARMUP_POLL_S = 2
+
+
+def state_schema(table: str) -> T.StructType:
+    types = {f.name: f.dataType for f in CDC_PROFILE.fields}
+    ties = [T.StructField(c, T.LongType()) for c in cdc.TIE_BREAKERS]
+    return T.StructType([*[T.StructField(c, types[c]) for c in STATE_COLUMNS[table] + META], *ties])
 
 
 @dataclass
 class ProfileStore:
     root: str
-    buckets: int = DEFAULT_BUCKETS
 
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    def folder(self, table: str, kind: str, batch_id: int) -> str:
+        return f"{self.root}/{table}/{kind}-{batch_id}"
 
-    def exists(self, spark: SparkSession, table: str) -> bool:
+    def manifest(self, spark: SparkSession, below: int | None = None) -> dict | None:
+        """The greatest published version, or the greatest below a given one:
+        {"version", "parts": {table: [folder]}}."""
         try:
-            spark.read.parquet(self.path(table)).schema
-            return True
-        except AnalysisException:
-            return False
+            rows = spark.read.schema("version long, parts string").json(f"{self.root}/_versions")
+            if below is not None:
+                rows = rows.where(F.col("version") < below)
+            last = rows.agg(F.max_by("parts", "version").alias("parts"), F.max("version").alias("version")).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return None if last.version is None else {"version": last.version, "parts": json.loads(last.parts)}
 
     def read_state(self, spark: SparkSession, table: str) -> DataFrame:
-        """Latest row per key, tombstones included."""
-        return spark.read.parquet(self.path(table))
-
-    def read_live(self, spark: SparkSession, table: str) -> DataFrame:
-        return cdc.live(self.read_state(spark, table)).drop("_bucket")
-
-
-def _bucket(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+        """Latest row per key, tombstones included; an empty table where nothing is published."""
+        found = self.manifest(spark)
+        return self._read_parts(spark, table, found["parts"].get(table, []) if found else [])
 
+    def _read_parts(self, spark: SparkSession, table: str, parts: list[str]) -> DataFrame:
+        schema = state_schema(table)
+        rows = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+        return cdc.latest(rows, STATE_KEYS[table])
 
-def merge_changes(spark: SparkSession, store: ProfileStore, table: str, changes: DataFrame) -> None:
-    key = STATE_KEYS[table]
-    cols = [c for c in STATE_COLUMNS[table] + META if c in changes.columns]
-    new = (cdc.latest(changes.select(*cols), key).withColumn("_bucket", _bucket(key, store.buckets))
-           .persist())
-    try:
-        touched = [r["_bucket"] for r in new.select("_bucket").distinct().collect()]  # <= buckets
-        if touched:
-            _merge_buckets(spark, store, table, key, new, touched)
-    finally:
-        new.unpersist()
-
-
-def _merge_buckets(spark: SparkSession, store: ProfileStore, table: str, key: str,
-                   new: DataFrame, touched: list[int]) -> None:
-    if store.exists(spark, table):
-        old = (store.read_state(spark, table).where(F.col("_bucket").isin(touched))
-               .drop("__is_deleted"))
-        both = old.unionByName(new.drop("__is_deleted"), allowMissingColumns=True).drop("_bucket")
-        merged = cdc.latest(both, key).withColumn("_bucket", _bucket(key, store.buckets))
-    else:
-        merged = new
-    # Lineage cut: the partitions read above are overwritten below.
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_bucket").parquet(store.path(table)))
+    def read_live(self, spark: SparkSession, table: str) -> DataFrame:
+        return cdc.live(self.read_state(spark, table)).drop(*cdc.TIE_BREAKERS)
+
+
+def publish(spark: SparkSession, store: ProfileStore, batch: DataFrame, batch_id: int) -> None:
+    """Write the batch's changes of each table and publish the version ``batch_id``."""
+    before = store.manifest(spark, below=batch_id)  # a replayed batch goes on from the one before its own
+    parts, rebase = {}, batch_id > 0 and batch_id % COMPACT_EVERY == 0
+    for table, key in STATE_KEYS.items():
+        schema = state_schema(table)
+        if key not in batch.columns:
+            continue
+        changes = batch.where(F.col("__table") == F.lit(table))
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in batch.columns
+                   else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        old = before["parts"].get(table, []) if before else []
+        new = changes.select(*columns)
+        if rebase and old:
+            new = spark.read.schema(schema).parquet(*old).unionByName(new)
+        folder = store.folder(table, "base" if rebase else "delta", batch_id)
+        cdc.latest(new, key).drop("__is_deleted").write.mode("overwrite").parquet(folder)
+        parts[table] = [folder] if rebase else [*old, folder]
+    (spark.createDataFrame([(batch_id, json.dumps(parts))], "version long, parts string").coalesce(1)
+     .write.mode("overwrite").json(f"{store.root}/_versions/batch={batch_id}"))
+    if rebase:
+        _clean(spark, store, batch_id)
+
+
+def _clean(spark: SparkSession, store: ProfileStore, batch_id: int) -> None:
+    """Drop versions and parts from before the last compaction: their readers have had a whole round."""
+    keep_from = batch_id - COMPACT_EVERY
+    rows = spark.read.schema("version long, parts string").json(f"{store.root}/_versions").collect()
+    kept = {f for r in rows if r.version >= keep_from for fs in json.loads(r.parts).values() for f in fs}
+    for r in rows:
+        if r.version < keep_from:
+            for folders in json.loads(r.parts).values():
+                for f in folders:
+                    if f not in kept:
+                        remove_path(spark, f)
+            remove_path(spark, f"{store.root}/_versions/batch={r.version}")
 
 
 def make_state_writer(spark: SparkSession, store: ProfileStore):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        for table, key in STATE_KEYS.items():
-            if key not in batch.columns:
-                continue
-            part = batch.where(F.col("__table") == F.lit(table))
-            merge_changes(spark, store, table, part)
+        publish(spark, store, batch, batch_id)
     return write_batch
 
 
 def start_profile_stream(spark: SparkSession, changes: DataFrame, root: str,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, every: str = "1 second") -> StreamingQuery:
     """``changes``: a streaming DataFrame of routed profile changes (``__table`` set)."""
     work_dir(spark)
-    store = ProfileStore(root)
-    w = (changes.writeStream.foreachBatch(make_state_writer(spark, store))
+    w = (changes.writeStream.foreachBatch(make_state_writer(spark, ProfileStore(root)))
          .option("checkpointLocation", f"{root}/_checkpoint"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)).start()
 
 
-def load_stream_profile(spark: SparkSession, root: str) -> DataFrame:
-    """The profile used by the enrichment stream: live state + owner links + fallback."""
-    store = ProfileStore(root)
-    accounts = store.read_live(spark, "account")
-    clients = store.read_live(spark, "client")
-    districts = store.read_live(spark, "district").withColumnRenamed("name", "district_name")
-    owners = cdc.owner_links(store.read_live(spark, "disposition"))
-    return profile_ops.stream_profile(
-        accounts, owners.withColumn("disposition_type", F.lit("OWNER")), clients, districts)
-
+def load_stream_profile(spark: SparkSession, root: str) -> tuple[DataFrame, int | None]:
+    """The profile of the newest version and that version: live state + owner links + fallback.
 
-def profile_ready(spark: SparkSession, root: str, min_accounts: int = 100) -> bool:
-    """ST-4 warm-up gate: enough live accounts to start the transaction stream."""
+    All four tables are of one version.  Before the first one the profile is empty."""
     store = ProfileStore(root)
-    if not store.exists(spark, "account"):
-        return False
-    return store.read_live(spark, "account").limit(min_accounts).count() >= min_accounts
-
-
-# Warm-up gate defaults.
-WARMUP_MIN_ACCOUNTS = 100
-WARMUP_TIMEOUT_S = 120
-WARMUP_POLL_S = 2
+    found = store.manifest(spark)
+    parts = found["parts"] if found else {}
+    live = {t: cdc.live(store._read_parts(spark, t, parts.get(t, []))) for t in STATE_KEYS}
+    # The newest live OWNER disposition of an account by change order, not by disp_id.
+    owners = cdc.owner_links(live["disposition"], cdc.DEFAULT_ORDER)
+    profile = profile_ops.stream_profile(
+        live["account"], owners.withColumn("disposition_type", F.lit("OWNER")), live["client"],
+        live["district"].withColumnRenamed("name", "district_name"))
+    return profile, (found["version"] if found else None)
+
+
+def profile_ready(spark: SparkSession, root: str, min_accounts: int = WARMUP_MIN_ACCOUNTS) -> bool:
+    """ST-4 warm-up gate: enough live accounts to start the transaction stream."""
+    return ProfileStore(root).read_live(spark, "account").limit(min_accounts).count() >= min_accounts
 
 
 def wait_for_profile(spark: SparkSession, root: str, min_accounts: int = WARMUP_MIN_ACCOUNTS,
                      timeout_s: float = WARMUP_TIMEOUT_S, poll_s: float = WARMUP_POLL_S) -> bool:
     """ST-4: poll the state until ``min_accounts`` live accounts exist or the
-    timeout passes; returns whether the gate opened (callers go on regardless,
-    misses then go to the dead letters)."""
-    import time
-
+    timeout passes; returns whether the gate opened (callers go on regardless:
+    misses then go to the dead letters, and the metrics tell)."""
     deadline = time.monotonic() + timeout_s
     while True:
         if profile_ready(spark, root, min_accounts):

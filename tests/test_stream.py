@@ -66,7 +66,7 @@ def test_profile_state_stream_equals_compaction(spark, tmp_dir):
     q = profile_stream.start_profile_stream(
         spark, cdc_src.parquet_stream(spark, src, log.schema, max_files_per_trigger=1),
         f"{tmp_dir}/state")
-    q.awaitTermination(300)
+    enrich_stream.drained(q)
     got = profile_stream.ProfileStore(f"{tmp_dir}/state").read_live(spark, "client")
     want = cdc.compact(log.drop("__table"), "client_id")
     assert sorted(map(tuple, got.select(*want.columns).collect())) == \
@@ -153,3 +153,129 @@ def test_pluggable_sinks_receive_both_outputs(spark, tmp_dir):
     assert written["enriched"] + written["dlq"] == batch.count()
     m = spark.read.parquet(outs.metrics).first()
     assert (m["enriched"], m["dlq"]) == (written["enriched"], written["dlq"])
+
+
+def test_no_message_is_lost(spark, tmp_dir):
+    """Enriched and dead letters together are all messages but the tombstones."""
+    import json
+    from ledgerflow.schemas import CDC_TRANS
+    good = json.dumps({"trans_id": 1, "account_id": 1, "amount": 1.5, "__op": "c", "__lsn": 1})
+    values = [good, "{broken", json.dumps({"amount": 2.0}), json.dumps({"trans_id": 4, "account_id": None}),
+              "[1, 2]", "null", "", json.dumps({"trans_id": "x", "account_id": 1}), None, None]
+    src = f"{tmp_dir}/messages"
+    spark.createDataFrame([("cdc.public.trans", v) for v in values], "topic string, value string").write.parquet(src)
+    stream = cdc_src.parse_envelope(spark.readStream.schema("topic string, value string").parquet(src), CDC_TRANS)
+    prof = spark.createDataFrame([(1, 101, 700101, "M", "D", "R", 1.0)], PROFILE)
+    out = enrich_stream.run_to_completion(spark, stream, lambda: prof, f"{tmp_dir}/o")
+    reasons = {r["dlq_reason"]: r["records"] for r in enrich.dlq_by_reason(out["dead_letters"]).collect()}
+    assert out["enriched"].count() == 1
+    assert reasons == {"unreadable_message": 5, "missing_account_id": 2}
+    texts = {r[0] for r in out["dead_letters"].select("original_transaction.__unreadable").collect()}
+    assert {"{broken", "[1, 2]", ""} <= texts
+
+
+PROFILE = ("account_id long, client_id long, birth_number long, account_frequency string, district_name string, "
+           "district_region string, avg_salary double")
+
+
+def test_each_batch_sees_the_profile_as_it_is_then(spark, tmp_dir):
+    src, prof = f"{tmp_dir}/src", f"{tmp_dir}/profile"
+    log = td.cdc_trans(spark, SMALL).where("account_id IS NOT NULL").limit(40).withColumn("account_id", F.lit(7).cast("long"))
+    log.repartition(2, "__lsn").write.parquet(src)
+    spark.createDataFrame([], PROFILE).write.parquet(prof)
+    calls = []
+
+    def load():
+        calls.append(1)
+        if len(calls) == 2:
+            spark.createDataFrame([(7, 70, 700101, "M", "D", "R", 1.0)], PROFILE).write.mode("append").parquet(prof)
+        return spark.read.parquet(prof)
+    out = enrich_stream.run_to_completion(
+        spark, cdc_src.parquet_stream(spark, src, log.schema, max_files_per_trigger=1), load, f"{tmp_dir}/o")
+    by_batch = {r["batch_id"]: (r["enriched"], r["dlq"]) for r in out["metrics"].collect()}
+    assert by_batch[0][0] == 0 and by_batch[1][1] == 0 and by_batch[1][0] > 0
+
+
+def test_drained_empty_source_and_cold_state(spark, tmp_dir):
+    log = td.cdc_trans(spark, SMALL)
+    src = f"{tmp_dir}/none"
+    log.limit(0).write.parquet(src)
+    profile, version = profile_stream.load_stream_profile(spark, f"{tmp_dir}/nothing")
+    assert profile.count() == 0 and version is None
+    out = enrich_stream.run_to_completion(spark, cdc_src.parquet_stream(spark, src, log.schema), lambda: (profile, version), f"{tmp_dir}/o")
+    assert out["enriched"].count() == out["dead_letters"].count() == 0
+    assert all(m["processed"] == 0 for m in out["metrics"].collect())
+    # A cold state dead-letters what it can't enrich.
+    writer = enrich_stream.make_batch_writer(spark, lambda: profile_stream.load_stream_profile(spark, f"{tmp_dir}/nothing"),
+                                             enrich_stream.StreamOutputs(f"{tmp_dir}/p"), warm=False)
+    writer(log, 0)
+    m = enrich_stream.read_outputs(spark, f"{tmp_dir}/p")["metrics"].first()
+    assert m["enriched"] == 0 and m["dlq"] == log.count() and m["profile_warm"] is False and m["profile_version"] is None
+
+
+def _client(k, district, op="u", lsn=1, ts=1, **more):
+    return {"client_id": k, "birth_number": 700101, "district_id": district, "__op": op, "__lsn": lsn, "__source_ts_ms": ts,
+            "__deleted": "true" if op == "d" else "false", "__table": "client", **more}
+
+
+def _changes(spark, rows):
+    return spark.createDataFrame([tuple(r.get(c) for c in CLIENT_FIELDS) for r in rows],
+                                 "client_id long, birth_number long, district_id long, __op string, __lsn long, "
+                                 "__source_ts_ms long, __deleted string, __table string, partition long, offset long")
+
+
+CLIENT_FIELDS = ["client_id", "birth_number", "district_id", "__op", "__lsn", "__source_ts_ms", "__deleted", "__table", "partition", "offset"]
+
+
+def test_state_over_many_versions(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(profile_stream, "COMPACT_EVERY", 2)
+    store = profile_stream.ProfileStore(f"{tmp_dir}/state")
+    batches = [[_client(1, 1), _client(2, 1)], [_client(1, None, "d", 2)], [_client(1, 5, "c", 3), _client(2, 9, lsn=0)],
+               [_client(3, 1, ts=1, lsn=4, offset=7), _client(3, 2, ts=1, lsn=4, offset=8)], [_client(2, 4, lsn=5)], [_client(4, 4, "d", 9)]]
+    for i, rows in enumerate(batches):
+        profile_stream.publish(spark, store, _changes(spark, rows), i)
+        profile_stream.publish(spark, store, _changes(spark, rows), i)  # a replay
+        assert store.manifest(spark)["version"] == i
+    live = {r.client_id: r.district_id for r in store.read_live(spark, "client").collect()}
+    assert live == {1: 5, 2: 4, 3: 2}  # re-created; late change ignored; tie by offset
+    # A crash before a version is published leaves the state as it was.
+    _changes(spark, [_client(9, 9)]).write.parquet(store.folder("client", "delta", 99))
+    assert {r.client_id for r in store.read_live(spark, "client").collect()} == {1, 2, 3}
+
+
+def test_equal_order_gives_one_survivor_in_any_arrangement(spark):
+    rows = [_client(1, d) for d in range(6)]
+    got = {cdc.compact(_changes(spark, rows[i:] + rows[:i]).repartition(3), "client_id").first().district_id for i in range(6)}
+    assert len(got) == 1
+
+
+def test_two_owners_give_one_enriched_record(spark):
+    st = staged(spark, SMALL)
+    more = st.disposition.where("disposition_type = 'OWNER'").limit(5)
+    both = st.disposition.unionByName(more.withColumn("disp_id", F.col("disp_id") + 1_000_000))
+    prof = profile_ops.stream_profile(st.account, both, st.client, st.district)
+    assert prof.count() == prof.select("account_id").distinct().count()
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    import pytest
+    from ledgerflow import session
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Spark:
+        sparkContext, conf = Context(), Conf()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_dir(Spark())
+    assert session.is_local("local[4]") and session.is_local("local[*]") and not session.is_local("yarn")

@@ -6,14 +6,13 @@ most (s + t) / 7 shingles, for sizes s and t.
 
 Signatures.  Sizes fall into bands [2^b, 2^(b+1)); a set takes part in its own band and, where a
 partner can be smaller than that, in the one below.  Within a band the domain of shingles is cut by
-hash into partitions (1.5 * 2^b of them; in bands under 64 each shingle is a partition), and a
-signature is what a set holds of one partition.  Sets that differ in k shingles differ in at most k
+hash into partitions (from 1.25 * 2^b of them down to 0.81 * 2^b in higher bands; in bands under 64
+each shingle is a partition), and a signature is what a set holds of one partition.  Sets that differ in k shingles differ in at most k
 partitions, so each set gives k + 1 signatures: those first in an order that depends on the
 signature's content alone (without common shingles first, then larger ones, then by hash).  Take the
 set whose last signature comes first in that order: of its k + 1 signatures one is the same in the
 other set, and comes before the other's last, so both give it.  A set holds shingles in fewer than
-k + 1 partitions only with a probability below 1e-18 (nine standard deviations at the smallest such
-band, more above).  Which shingles are common is taken from a bounded sample; it only orders.
+k + 1 partitions only with a probability below 1e-12 (over seven standard deviations in every band).  Which shingles are common is taken from a bounded sample; it only orders.
 
 Candidates.  Rows (signature, id) are dealt and sorted by signature; a pass over each part pairs the
 members of small groups, and those of larger groups with the group's first member.  A set's sketch
@@ -42,24 +41,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components, stored
-from .idstore import UNITS_KEPT, Numbering
-from .textbatch import spans_of_size
+from .textbatch import odd_numbers, spans_of_size
 
 SHINGLE = 5              # words
 SMALL_BAND = 64          # below, each shingle is a partition of its own
-SMALL_GROUP = 16         # members of a signature's group that are all paired at once
-LEADERS = 64             # further first members of a larger group in each later round
+PARTITIONS = {6: 20, 7: 16, 8: 14}  # sixteenths of 2^band, by band; 13 above
+SMALL_GROUP = 4          # members of a signature's group that are all paired at once
+LEADERS = 256            # members of a larger group outside its main component, in each later round
 SAMPLE = 20_000          # documents of the sample that tells common shingles
 COMMON_LEAST = 4         # documents of the sample from which on a shingle is common
 COMMON_MOST = 1_000_000  # common shingles that are told at most (the order of others is by size)
-MOST_CLASSES = 2048      # counters of a sketch
+MOST_CLASSES = 4096      # counters of a sketch
+AT_ONCE = 512            # members compared with the first ones of their group at a time
 BROADCAST_IDS = 500_000  # ids sent to all executors at most (8 MB); more are joined by shuffle
 PIECE = 1 << 20          # characters of text at a time
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
-                 0xFF51AFD7ED558CCD], np.uint64)
+_ODD = odd_numbers(SHINGLE)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -68,32 +67,43 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Shingler:
-    """Sets of hashed shingles; remembers the hashes of words."""
-
-    def __init__(self):
-        self.words = Numbering()
-        self.hashes = np.zeros(0, np.uint64)
-
-    def sets(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """For each text its distinct shingles as sorted 64-bit hashes."""
-        import xxhash
-        for a, b in spans_of_size([len(x) for x in texts], PIECE):
-            if len(self.words) > UNITS_KEPT:
-                self.__init__()
-            for text in texts[a:b]:
-                found = text.encode("utf-8", "replace").lower().split()
-                number = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
-                if self.words.new:
-                    new = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words.new], np.uint64)
-                    self.words.new = []
-                    self.hashes = np.concatenate((self.hashes, new))
-                h = self.hashes[number]
-                n = max(1, len(h) - SHINGLE + 1) if len(h) else 0
-                total = np.full(n, min(len(h), SHINGLE), np.uint64)
-                for j in range(min(SHINGLE, len(h))):
-                    total += h[j:j + n] * _ODD[j]
-                yield np.unique(mix(total))
+_PLACES = odd_numbers(1 << 16)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint64)
+
+
+def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of each word of UTF-8 bytes, ASCII letters in lower case."""
+    inside = ~_SPACE[raw]
+    flips = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
+    start, length = flips[0::2], flips[1::2] - flips[0::2]
+    if not len(start):
+        return np.zeros(0, np.uint64), start
+    at = np.flatnonzero(inside)
+    place = at - np.repeat(start, length)
+    h = np.add.reduceat(_LOWER[raw[at]] * _PLACES[place & 0xFFFF], np.cumsum(length) - length)
+    return mix(h + length.astype(np.uint64)), start
+
+
+def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """For each text its distinct shingles as sorted 64-bit hashes."""
+    for a, b in spans_of_size([len(x) for x in texts], PIECE):
+        raw = [x.encode("utf-8", "replace") for x in texts[a:b]]
+        h, start = _word_hashes(np.frombuffer(b"\n".join(raw), np.uint8))
+        many = np.diff(np.searchsorted(start, np.cumsum([0] + [len(x) + 1 for x in raw])))
+        runs = np.full(max(0, len(h) - SHINGLE + 1), SHINGLE, np.uint64)
+        for j in range(SHINGLE):
+            runs += h[j:j + len(runs)] * _ODD[j]
+        runs = mix(runs)
+        at = 0
+        for n in many.tolist():
+            if n >= SHINGLE:
+                yield np.unique(runs[at:at + n - SHINGLE + 1])
+            elif n:
+                yield mix(np.array([n], np.uint64) + (h[at:at + n] * _ODD[:n]).sum(dtype=np.uint64))
+            else:
+                yield h[:0]
+            at += n
 
 
 def signatures(items: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -119,7 +129,7 @@ def _band_signatures(items: np.ndarray, band: int, most: int, common: np.ndarray
     if 1 << band < SMALL_BAND:
         size = np.ones(len(items), np.int64)
     else:
-        parts = np.uint64(3 << (band - 1))
+        parts = np.uint64(PARTITIONS.get(band, 13) * (1 << band - 4))
         part = mix(items + salt) % parts
         order = np.argsort(part, kind="stable")
         part = part[order]
@@ -132,15 +142,6 @@ def _band_signatures(items: np.ndarray, band: int, most: int, common: np.ndarray
     return content[np.lexsort((content, -size, ~rare))[:most]]
 
 
-_SHINGLERS: list[Shingler] = []  # of this worker
-
-
-def shingler() -> Shingler:
-    if not _SHINGLERS:
-        _SHINGLERS.append(Shingler())
-    return _SHINGLERS[0]
-
-
 def _texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
@@ -151,7 +152,7 @@ def common_shingles(docs: DataFrame, rows: int) -> np.ndarray:
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(shingler().sets(_texts(batch.column(0))))
+            found = list(shingle_sets(_texts(batch.column(0))))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
 
@@ -165,22 +166,40 @@ def sketch(items: np.ndarray) -> bytes:
     """How many shingles fall into each of a number of hashed classes, up to 255; more classes for larger sets."""
     if not len(items):
         return b""
-    classes = min(MOST_CLASSES, max(16, 1 << max(0, len(items).bit_length() - 2)))
+    classes = min(MOST_CLASSES, max(16, 1 << max(0, len(items).bit_length() - 1)))
     counts = np.bincount((items >> np.uint64(8)).astype(np.int64) & (classes - 1), minlength=classes)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def may_link(x: bytes, y: bytes, size_x: int, size_y: int) -> bool:
     """False only where the counts alone differ by more than linked sets can."""
-    p, q = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
-    if len(p) != len(q):
-        if len(p) < len(q):
-            p, q = q, p
-        if p.max() == 255:
-            return True  # a count that stopped can't be added up
-        p = p.reshape(-1, len(q)).sum(axis=0)
-        p = np.minimum(p, 255)
-    return 7 * int(np.abs(p - q).sum()) <= size_x + size_y
+    one, two = [np.frombuffer(x, np.uint8)], [np.frombuffer(y, np.uint8)]
+    return bool(_may_link(one, np.array([size_x]), two, np.array([size_y]))[0, 0])
+
+
+def _folded(sketches: list[np.ndarray], classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches (of one length) with fewer classes, and which of them can't be: a count that stopped
+    can't be added up."""
+    m = np.stack(sketches).astype(np.int16)
+    full = (m == 255).any(axis=1)
+    if m.shape[1] > classes:
+        m = np.minimum(m.reshape(len(m), -1, classes).sum(axis=1), 255).astype(np.int16)
+    return m, full
+
+
+def _may_link(xs: list[np.ndarray], size_x: np.ndarray, ys: list[np.ndarray], size_y: np.ndarray) -> np.ndarray:
+    """For each x and y whether their sketches don't rule out a link."""
+    out = np.ones((len(xs), len(ys)), bool)
+    len_x, len_y = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+    for a in np.unique(len_x):
+        for b in np.unique(len_y):
+            i, j = np.flatnonzero(len_x == a), np.flatnonzero(len_y == b)
+            p, p_full = _folded([xs[k] for k in i], min(a, b))
+            q, q_full = _folded([ys[k] for k in j], min(a, b))
+            apart = np.stack([np.abs(q - row).sum(axis=1, dtype=np.int64) for row in p])
+            ok = 7 * apart <= size_x[i][:, None] + size_y[j][None, :]
+            out[np.ix_(i, j)] = ok | ((p_full[:, None] | q_full[None, :]) & (a != b))
+    return out
 
 
 # kind 0: an id, its size and sketch; 1: a pair of a small group; 2: a larger group's first member and another.
@@ -197,7 +216,7 @@ def _signature_rows(texts: DataFrame, common: np.ndarray) -> DataFrame:
             ids, text = batch.column(0).to_numpy(zero_copy_only=False), _texts(batch.column(1))
             for a, b in spans_of_size([len(x) for x in text], PIECE):
                 sigs, owner, sizes, sketches = [], [], [], []
-                for i, items in zip(range(a, b), shingler().sets(text[a:b])):
+                for i, items in zip(range(a, b), shingle_sets(text[a:b])):
                     # One more row tells the size; it travels by a hash of the id.
                     got = np.append(signatures(items, sent.value), mix(ids[i:i + 1].astype(np.int64).view(np.uint64)))
                     sigs.append(got)
@@ -282,7 +301,7 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [x.tobytes() for x in shingler().sets(_texts(batch.column(1)))]
+            sets = [x.tobytes() for x in shingle_sets(_texts(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "items"])
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,6 +335,36 @@ def plausible(pairs: DataFrame, told: DataFrame) -> DataFrame:
     return stored(joined.mapInArrow(kept, "a long, b long"), "plausible")
 
 
+def _against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Plausible pairs of each group's first rows (lead 0) with its other members (lead 1), of rows
+    sorted by group and lead; keeps one group's first rows."""
+    current, ids, sizes, comps, sketches = None, [], [], [], []
+    for batch in batches:
+        sig, lead, who, size, comp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        drawn = [np.frombuffer(x, np.uint8) for x in batch.column(5).to_pylist()]
+        at = 0
+        while at < len(sig):
+            if sig[at] != current:
+                current, ids, sizes, comps, sketches = sig[at], [], [], [], []
+            end = at + int(np.searchsorted(sig[at:], current, side="right"))
+            first = at + int(np.searchsorted(lead[at:end], 1))
+            ids += who[at:first].tolist()
+            sizes += size[at:first].tolist()
+            comps += comp[at:first].tolist()
+            sketches += drawn[at:first]
+            for lo in range(first, end, AT_ONCE) if ids else ():
+                part = slice(lo, min(lo + AT_ONCE, end))
+                n, m = np.array(sizes, np.int64), size[part].astype(np.int64)
+                ok = _may_link(sketches, n, drawn[part], m)
+                ok &= (np.array(comps)[:, None] != comp[part][None, :])
+                ok &= 4 * np.minimum(n[:, None], m[None, :]) >= 3 * np.maximum(n[:, None], m[None, :])
+                i, j = np.nonzero(ok)
+                if len(i):
+                    x, y = np.array(ids, np.int64)[i], who[part][j]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            at = end
+
+
 def link(texts: DataFrame, found: DataFrame) -> DataFrame:
     """Components of all links, from what the signatures found."""
     told = found.where("kind = 0").dropDuplicates(["a"])
@@ -323,6 +372,7 @@ def link(texts: DataFrame, found: DataFrame) -> DataFrame:
     links = stored(verified(texts, plausible(first, told)), "links")
     labels = components(links)
     # Members of larger groups, their first ones done.
+    drawn = told.select(F.col("a").alias("id"), "sketch")
     members = found.where(F.col("kind") == 2).select("sig", F.col("b").alias("id"), F.col("size_b").alias("size"))
     while True:
         placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -330,17 +380,23 @@ def link(texts: DataFrame, found: DataFrame) -> DataFrame:
         members = stored(placed.join(mixed, "sig", "left_semi"), "members")
         if not members.take(1):
             return labels
+        # Members outside the group's main component are compared with all of other components; one that
+        # has been is done with this group, and a group of one component is.
+        main = (members.groupBy("sig", "component").agg(F.count("*").alias("n"))
+                .groupBy("sig").agg(F.max_by("component", F.struct("n", "component")).alias("main")))
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
-        lead = stored(members.withColumn("r", rank).where(F.col("r") <= LEADERS)
-                      .select("sig", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca")), "leaders")
-        pairs = (members.select("sig", F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("cb"))
-                 .join(lead, "sig").where("ca <> cb and a < b").where(_near()).select("a", "b").distinct())
-        new = stored(verified(texts, plausible(pairs, told)), "links")
+        lead = stored(members.join(main, "sig").where("component <> main").withColumn("r", rank).where(F.col("r") <= LEADERS)
+                      .select("sig", "id", "size", "component"), "leaders")
+        rows = (members.select("sig", "id", "size", "component", F.lit(1).alias("lead"))
+                .unionByName(lead.withColumn("lead", F.lit(0))).join(drawn, "id")
+                .select("sig", "lead", "id", "size", "component", "sketch"))
+        pairs = (rows.repartition("sig").sortWithinPartitions("sig", "lead", "id")
+                 .mapInArrow(_against, "a long, b long").distinct())
+        new = stored(verified(texts, stored(pairs, "plausible")), "links")
         if new.take(1):
             links = links.union(new)
             labels = components(links)
-        members = (members.select("sig", "id", "size")
-                   .join(lead.select("sig", F.col("a").alias("id")), ["sig", "id"], "left_anti"))
+        members = members.select("sig", "id", "size").join(lead.select("sig", "id"), ["sig", "id"], "left_anti")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

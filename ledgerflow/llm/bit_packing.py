@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .idstore import IdStore
-from .textbatch import ragged, spans_of_size
+from .idstore import HashedStore, IdStore
+from .textbatch import odd_numbers, ragged, spans_of_size
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS = 1 << 16
-PIECE = 1 << 21          # characters of text at a time
+PIECE = 1 << 20          # characters of text at a time
 BLOCKS = ("part int, block int, first_id long, n_ids long, width int, packed binary, "
           "doc_ids array<long>, doc_sizes array<long>")
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -79,12 +79,59 @@ _ODD = [" " + c for c in " \t\n\v\f\r\x85\xa0"]
 PLAIN = re.compile(f"(?: ?[{_LETTERS}]+|[{_SIGNS}]+|(?<!\n)\n(?!\n))+")
 
 
+# Kinds of bytes in plain texts; apostrophes aren't, as the tokenizer cuts some letters off behind them.
+_NONE, _LETTER, _DIGIT, _SIGN, _SPACE, _LINE, _END = range(7)
+_KIND = np.full(256, _NONE, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123), 0xC3]] = _LETTER
+_KIND[list(b"0123456789")] = _DIGIT
+_KIND[list(b".,!?;:%#&$*|\"()=+@/<>[]{}-_~^`\\")] = _SIGN
+_KIND[[32, 10, 0]] = _SPACE, _LINE, _END
+_PLACES = odd_numbers(1 << 16)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+
+
+def plain_parts(raw: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts joined, whether each is plain, and the parts of all: start, length and text's number.
+
+    A plain text holds ASCII and Latin-1 letters, digits, signs, single spaces each before another
+    kind, and single line ends.  Its parts are those that the tokenizer cuts: runs of letters, of digits
+    or of signs, each with the space before it, and line ends.
+    """
+    joined = b"\0".join(raw) + b"\0"
+    c = np.frombuffer(joined, np.uint8)
+    kind = _KIND[c]
+    lead = np.flatnonzero(c == 0xC3)
+    follow = c[lead + 1]
+    letter = (follow >= 0x80) & (follow <= 0xBF) & (follow != 0x97) & (follow != 0xB7)
+    kind[lead[letter] + 1] = _LETTER
+    kind[lead[~letter]] = _NONE
+    ends = np.cumsum([len(x) + 1 for x in raw])
+    after = np.append(kind[1:], _END)
+    bad = kind == _NONE
+    bad |= (kind == _SPACE) & ((after == _SPACE) | (after == _LINE) | (after == _END))
+    bad |= (kind == _LINE) & (after == _LINE)
+    inner = np.flatnonzero(kind == _END)
+    bad[inner[~np.isin(inner, ends - 1)]] = True  # a zero byte of a text's own
+    plain = np.ones(len(raw), bool)
+    plain[np.searchsorted(ends, np.flatnonzero(bad), side="right")] = False
+    first = np.flatnonzero(np.diff(kind, prepend=np.uint8(255)))
+    length = np.diff(np.append(first, len(c)))
+    run = kind[first]
+    spaced = np.concatenate(([False], run[:-1] == _SPACE)) & (run != _LINE)
+    keep = (run != _SPACE) & (run != _END)
+    start, length = (first - spaced)[keep], (length + spaced)[keep]
+    text = np.searchsorted(ends, start, side="right")
+    keep = plain[text]
+    return joined, plain, start[keep], length[keep], text[keep]
+
+
 class ByteEncoder:
-    """Ids as the library gives them, remembering units.
+    """Ids as the library gives them, remembering what it has met.
 
-    The tokenizer cuts a text before each space that is followed by another character than white
-    space, whatever surrounds it; those units are encoded one by one.  Texts that hold a special
-    string or a control character that counts as white space in Python alone go to the library whole.
+    Plain texts are cut into parts in numpy.  In others the tokenizer cuts before each space that is
+    followed by another character than white space, whatever surrounds it; those units are encoded one
+    by one.  Texts that hold a special string or a control character that counts as white space in Python
+    alone go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -97,6 +144,7 @@ class ByteEncoder:
         for piece, i in self.tokenizer.get_vocab().items():
             self.n_bytes[i] = len(piece)
         self.odd = re.compile(r" (?=\s|$)")
+        self.hashed = HashedStore(self._encode_parts)
         self.parts = IdStore(self._encode_parts)
         self.store = IdStore(self._encode_units)
 
@@ -156,17 +204,35 @@ class ByteEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
-        whole = [i for i, x in enumerate(texts) if self._whole(x)]
-        units = [self._units(x) if x else [] for x in texts]
-        for i in whole:
-            units[i] = []
-        ids, sizes = self.store.ids_of(units)
-        if whole:
-            parts = np.split(ids, np.cumsum(sizes)[:-1])
-            for i in whole:
-                parts[i] = self._library(texts[i])
-            ids, sizes = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
-        return ids, sizes
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        whole = np.array([self._whole(x) for x in texts])
+        raw = [b"" if w else x.encode("utf-8", "replace") for w, x in zip(whole, texts)]
+        joined, plain, start, length, owner = plain_parts(raw)
+        ids, many = self._encode_plain(joined, start, length)
+        sizes = np.bincount(owner, many, minlength=len(texts)).astype(np.int64)
+        other = np.flatnonzero(~plain | whole)
+        if not len(other):
+            return ids, sizes
+        units, sizes_of = self.store.ids_of([[] if whole[i] else self._units(texts[i]) for i in other])
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for i, got in zip(other, np.split(units, np.cumsum(sizes_of)[:-1])):
+            parts[i] = self._library(texts[i]) if whole[i] else got
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+    def _encode_plain(self, joined: bytes, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(start):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        at = ragged(start, length)
+        begin = np.cumsum(length) - length
+        place = np.arange(len(at)) - np.repeat(begin, length)
+        h = np.add.reduceat(np.frombuffer(joined, np.uint8)[at].astype(np.uint64) * _PLACES[place & 0xFFFF], begin)
+        h = (h ^ (h >> np.uint64(31))) * _MIX + length.astype(np.uint64)
+
+        def texts(which: np.ndarray) -> list[str]:
+            return [joined[a:b].decode("utf-8") for a, b in zip(start[which].tolist(), (start + length)[which].tolist())]
+
+        return self.hashed.ids_of(h, texts)
 
 
 _ENCODERS: dict[str, ByteEncoder] = {}  # of this worker

@@ -84,3 +84,48 @@ class IdStore:
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate(([0], np.cumsum(values)))
     return np.diff(total[np.concatenate(([0], np.cumsum(counts)))])
+
+
+class HashedStore:
+    """As IdStore, for units that are given as 64-bit hashes; their texts are only made where they are new.
+
+    Two units of one hash would be taken for one: with n distinct units that happens with a probability
+    of n * n / 2 ** 65 (under 1e-5 for ten million).
+    """
+
+    def __init__(self, encode_new: Encode, kept: int = UNITS_KEPT):
+        self.encode_new, self.kept = encode_new, kept
+        self.hashes = np.zeros(0, np.uint64)  # sorted
+        self.flat = np.zeros(0, np.int32)
+        self.start = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.uses > 1)
+        keep = keep[:0] if len(keep) > 0.8 * self.kept else keep
+        self.flat = self.flat[ragged(self.start[keep], self.size[keep])]
+        self.hashes, self.size = self.hashes[keep], self.size[keep]
+        self.start, self.uses = np.cumsum(self.size) - self.size, np.zeros(len(keep), np.int64)
+
+    def ids_of(self, hashes: np.ndarray, texts: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units end to end, and how many each has; ``texts`` gives the units at some places."""
+        if len(self.hashes) > self.kept:
+            self._forget()
+        distinct, first, back, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+        at = np.searchsorted(self.hashes, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != distinct[inside]
+        if new.any():
+            ids, size = self.encode_new(texts(first[new]))
+            start = len(self.flat) + np.cumsum(size) - size
+            self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
+            where = at[new]
+            self.start, self.size = np.insert(self.start, where, start), np.insert(self.size, where, size)
+            self.uses = np.insert(self.uses, where, 0)
+            self.hashes = np.insert(self.hashes, where, distinct[new])
+            at = np.searchsorted(self.hashes, distinct)
+        self.uses[at] += count
+        unit = at[back]
+        return self.flat[ragged(self.start[unit], self.size[unit])], self.size[unit]

@@ -33,13 +33,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .idstore import IdStore
-from .textbatch import spans_of_size
+from .idstore import UNITS_KEPT, IdStore
+from .textbatch import spans_of_size, strings
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-PAIRS_KEPT = 400_000     # pairs of pieces whose verdict a worker remembers
-PIECE = 1 << 21          # characters of text at a time
+PAIRS_KEPT = 300_000     # pairs of pieces whose verdict a worker remembers
+PIECE = 1 << 20          # characters of text at a time
 
 
 def model_path(name: str = MODEL) -> str:
@@ -83,8 +83,8 @@ class Pieces:
             if model.is_control(i):
                 self.bytes_of[i] = b""
         self.bytes_of[self.unknown] = " ⁇ ".encode()
-        self.parts = IdStore(self.encode_parts)
-        self.words = IdStore(self.encode_words)
+        self.parts = IdStore(self.encode_parts, kept=UNITS_KEPT // 2)
+        self.words = IdStore(self.encode_words, kept=UNITS_KEPT // 2)
 
     def merge(self, word: str) -> list[str]:
         """The model's merges, step by step: the best-scored pair of neighbours first, leftmost of equals."""
@@ -210,25 +210,28 @@ def pieces(path: str) -> Pieces:
 
 
 def encode(docs: DataFrame, text_col: str = "text", out: str = "pieces", model: str | None = None) -> DataFrame:
-    """All rows with the struct column ``out``: ids, and the checksum of them as 32-bit integers."""
+    """All rows with the struct column ``out``: ids, the checksum of them as 32-bit integers, and
+    whether they decode to the text (made in the same pass)."""
     path = model or model_path()
 
-    @F.pandas_udf("ids array<int>, ids_crc32 long")
+    @F.pandas_udf("ids array<int>, ids_crc32 long, round_trip boolean")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        p = pieces(path)
         for column in batches:
-            texts = [x if isinstance(x, str) else None for x in column.tolist()]
-            ids: list = [None] * len(texts)
-            for a, b in spans_of_size([len(x or "") for x in texts], PIECE):
-                flat, sizes = pieces(path).encode([x or "" for x in texts[a:b]])
-                ids[a:b] = np.split(flat, np.cumsum(sizes)[:-1])
-            crc = [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
-            yield pd.DataFrame({"ids": ids, "ids_crc32": crc})
+            texts, ids, crc, same = strings(column), [], [], []
+            for a, b in spans_of_size([len(x) for x in texts], PIECE):
+                flat, sizes = p.encode(texts[a:b])
+                for text, row in zip(texts[a:b], np.split(flat, np.cumsum(sizes)[:-1])):
+                    ids.append(row)
+                    crc.append(zlib.crc32(row.astype("<u4").tobytes()))
+                    same.append(p.decode(row.tolist()) == text)
+            yield pd.DataFrame({"ids": ids, "ids_crc32": crc, "round_trip": same})
 
     text = F.col(text_col).cast("string")
-    # A null text has null ids; the column itself is never null.
-    return docs.withColumn(out, encoded(text)).withColumn(out, F.struct(
-        F.when(text.isNotNull(), F.col(out).ids).alias("ids"),
-        F.when(text.isNotNull(), F.col(out).ids_crc32).alias("ids_crc32")))
+    # A null text has null fields; the column itself is never null.
+    fields = ("ids", "ids_crc32", "round_trip")
+    return docs.withColumn(out, encoded(text)).withColumn(
+        out, F.struct(*[F.when(text.isNotNull(), F.col(f"{out}.{f}")).alias(f) for f in fields]))
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", out: str = "decoded", model: str | None = None) -> DataFrame:

@@ -33,13 +33,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .idstore import UNITS_KEPT, IdStore
-from .textbatch import spans_of_size, strings
+from .idstore import UNITS_KEPT, HashedStore, IdStore
+from .textbatch import odd_numbers, ragged, spans_of_size, strings
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 PAIRS_KEPT = 300_000     # pairs of pieces whose verdict a worker remembers
 PIECE = 1 << 20          # characters of text at a time
+_PLACES = odd_numbers(1 << 16)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def model_path(name: str = MODEL) -> str:
@@ -85,6 +87,13 @@ class Pieces:
         self.bytes_of[self.unknown] = " ⁇ ".encode()
         self.parts = IdStore(self.encode_parts, kept=UNITS_KEPT // 2)
         self.words = IdStore(self.encode_words, kept=UNITS_KEPT // 2)
+        self.plain = HashedStore(self.encode_words)
+        # Between which ASCII characters a word can be cut before anything else is known of it.
+        self.apart = np.zeros((256, 256), bool)
+        for a in range(33, 127):
+            for b in range(33, 127):
+                self.apart[a, b] = chr(a) + chr(b) not in self.beside
+        self.lines = not any("\n" in p for p in self.id)
 
     def merge(self, word: str) -> list[str]:
         """The model's merges, step by step: the best-scored pair of neighbours first, leftmost of equals."""
@@ -193,7 +202,62 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
-        return self.words.ids_of([self.split(x) for x in texts])
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        raw = [x.encode("utf-8", "replace") if self.lines and MARK not in x and "\0" not in x else b" " for x in texts]
+        joined, simple, start, length, marked, owner = self._plain_words(raw)
+        ids, many = self._encode_plain(joined, start, length, marked)
+        sizes = np.bincount(owner, many, minlength=len(texts)).astype(np.int64)
+        other = np.flatnonzero(~simple)
+        if not len(other):
+            return ids, sizes
+        got, sizes_of = self.words.ids_of([self.split(texts[i]) for i in other])
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for i, x in zip(other, np.split(got, np.cumsum(sizes_of)[:-1])):
+            parts[i] = x
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+    def _plain_words(self, raw: list[bytes]):
+        """Texts joined, whether each is simple, and the words of those: start, length, mark, text's number.
+
+        A simple text has single spaces, none at its ends or beside a line end, and no line end first.
+        Its words are cut at spaces, line ends and between ASCII characters that no piece holds side by side.
+        """
+        joined = b"\0".join(raw) + b"\0"
+        c = np.frombuffer(joined, np.uint8)
+        before = np.concatenate(([np.uint8(0)], c[:-1]))
+        after = np.append(c[1:], np.uint8(0))
+        ends = np.cumsum([len(x) + 1 for x in raw])
+        bad = (c == 32) & ((after == 32) | (after == 10) | (after == 0) | (before == 0) | (before == 10))
+        bad |= (c == 10) & (before == 0)
+        simple = np.ones(len(raw), bool)
+        simple[np.searchsorted(ends, np.flatnonzero(bad), side="right")] = False
+        gap = (c == 32) | (c == 0)
+        begins = ~gap & ((before == 32) | (before == 0) | (before == 10) | (c == 10) | self.apart[before, c])
+        start = np.flatnonzero(begins)
+        stop = np.minimum(np.append(start[1:], len(c)), len(c))
+        # A word ends before a gap.
+        gaps = np.flatnonzero(gap)
+        stop = np.minimum(stop, gaps[np.minimum(np.searchsorted(gaps, start), len(gaps) - 1)])
+        text = np.searchsorted(ends, start, side="right")
+        keep = simple[text]
+        start, stop, text = start[keep], stop[keep], text[keep]
+        return joined, simple, start, stop - start, (before[start] == 32) | (before[start] == 0), text
+
+    def _encode_plain(self, joined: bytes, start: np.ndarray, length: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(start):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        at = ragged(start, length)
+        begin = np.cumsum(length) - length
+        place = np.arange(len(at)) - np.repeat(begin, length)
+        h = np.add.reduceat(np.frombuffer(joined, np.uint8)[at].astype(np.uint64) * _PLACES[place & 0xFFFF], begin)
+        h = (h ^ (h >> np.uint64(31))) * _MIX + (2 * length + marked).astype(np.uint64)
+
+        def texts(which: np.ndarray) -> list[str]:
+            return [(MARK if m else "") + joined[a:b].decode("utf-8")
+                    for a, b, m in zip(start[which].tolist(), (start + length)[which].tolist(), marked[which].tolist())]
+
+        return self.plain.ids_of(h, texts)
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")

@@ -336,8 +336,8 @@ def plausible(pairs: DataFrame, told: DataFrame) -> DataFrame:
 
 
 def _against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Plausible pairs of each group's first rows (lead 0) with its other members (lead 1), of rows
-    sorted by group and lead; keeps one group's first rows."""
+    """The plausible partners of each group's first rows (lead 0) among its other members (lead 1), of
+    rows sorted by group and lead: (id, packed ids).  Keeps one group's first rows."""
     current, ids, sizes, comps, sketches = None, [], [], [], []
     for batch in batches:
         sig, lead, who, size, comp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
@@ -358,13 +358,34 @@ def _against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ok = _may_link(sketches, n, drawn[part], m)
                 ok &= (np.array(comps)[:, None] != comp[part][None, :])
                 ok &= 4 * np.minimum(n[:, None], m[None, :]) >= 3 * np.maximum(n[:, None], m[None, :])
-                i, j = np.nonzero(ok)
-                if len(i):
-                    x, y = np.array(ids, np.int64)[i], who[part][j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                some = np.flatnonzero(ok.any(axis=1))
+                if len(some):
+                    partners = [who[part][ok[i]].astype(np.int64).tobytes() for i in some]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[some]), pa.array(partners, pa.binary())],
+                                                     ["id", "partners"])
             at = end
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs (a, b) of rows (id, packed ids) sorted by id; keeps one id's partners."""
+    current, held = None, []
+
+    def pairs() -> pa.RecordBatch:
+        y = np.unique(np.concatenate(held))
+        x = np.full(len(y), current, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    for batch in batches:
+        for x, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if x != current and held:
+                yield pairs()
+                held = []
+            current = x
+            held.append(np.frombuffer(packed, np.int64))
+    if held:
+        yield pairs()
+
+
 def link(texts: DataFrame, found: DataFrame) -> DataFrame:
     """Components of all links, from what the signatures found."""
     told = found.where("kind = 0").dropDuplicates(["a"])
@@ -390,8 +411,10 @@ def link(texts: DataFrame, found: DataFrame) -> DataFrame:
         rows = (members.select("sig", "id", "size", "component", F.lit(1).alias("lead"))
                 .unionByName(lead.withColumn("lead", F.lit(0))).join(drawn, "id")
                 .select("sig", "lead", "id", "size", "component", "sketch"))
-        pairs = (rows.repartition("sig").sortWithinPartitions("sig", "lead", "id")
-                 .mapInArrow(_against, "a long, b long").distinct())
+        partners = (rows.repartition("sig").sortWithinPartitions("sig", "lead", "id")
+                    .mapInArrow(_against, "id long, partners binary"))
+        pairs = (partners.repartition("id").sortWithinPartitions("id")
+                 .mapInArrow(_merged, "a long, b long").distinct())
         new = stored(verified(texts, stored(pairs, "plausible")), "links")
         if new.take(1):
             links = links.union(new)

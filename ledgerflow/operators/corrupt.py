@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.uniform import hash52
 from ..schemas import TRANS_COLUMNS
+from ..session import scratch_path
 from . import selection
 
 # Default rates and the fake-id offset.
@@ -47,42 +48,64 @@ class Corrupted:
 
 
 def corrupt(spark: SparkSession, clean: DataFrame, n: int, max_real_account: int,
-            rates: dict | None = None, seed: int = 42, dataset: str = "dev") -> Corrupted:
+            rates: dict | None = None, seed: int = 42, dataset: str = "dev",
+            kinds: list[str] | None = None) -> Corrupted:
+    """Corrupt a clean set of ``n`` rows; ``kinds`` (default all) limits the work to these errors.
+
+    The rows and all hashes that decide, of a row and of its possible copy, are computed once and
+    stored as a columnar table: histograms and cuts then read single columns of it.
+    """
     rates = {**DEFAULT_RATES, **(rates or {})}
+    kinds = KINDS if kinds is None else kinds
     salt = f"{seed}:{dataset}"
     k_dup = k_of(n, rates["duplicate"])
     k_ref = k_of(n, rates["referential"])
     k_mis = k_of(n, rates["missing"])
     fake_base = int(max_real_account) + FAKE_ID_OFFSET
 
-    base = clean.select(*TRANS_COLUMNS).withColumn("copy_no", F.lit(0).cast("bigint"))
-    base = base.withColumn("_h_dup", hash52(f"{salt}:dup", "trans_id"))
+    hashes = {"_h_dup": hash52(f"{salt}:dup", "trans_id")}
+    for name, wanted in (("ref", "referential_violation"), ("mis", "missing_value")):
+        if wanted in kinds:
+            for c in (0, 1):
+                hashes[f"_h_{name}{c}"] = hash52(f"{salt}:{name}", F.col("trans_id"), F.lit(c).cast("bigint"))
+    path = scratch_path(spark, f"clean-{dataset}")
+    clean.select(*TRANS_COLUMNS, *[h.alias(c) for c, h in hashes.items()]).write.parquet(path)
+    base = spark.read.parquet(path)
     dup_sel = selection.exact_k(base, k_dup, "_h_dup", ["trans_id"], n_rows=n)
-    copies = base.where(dup_sel.predicate()).withColumn("copy_no", F.lit(1).cast("bigint"))
-    # O-1: bag append of the copies.
-    post = base.unionByName(copies).drop("_h_dup")
+    drawn = [name for name in ("ref", "mis") if f"_h_{name}0" in hashes]
+
+    def version(rows: DataFrame, copy_no: int) -> DataFrame:
+        return rows.select(*TRANS_COLUMNS, F.lit(copy_no).cast("bigint").alias("copy_no"),
+                           *[F.col(f"_h_{x}{copy_no}").alias(f"_h_{x}") for x in drawn])
 
-    post = (post.withColumn("_h_ref", hash52(f"{salt}:ref", "trans_id", "copy_no"))
-            .withColumn("_h_mis", hash52(f"{salt}:mis", "trans_id", "copy_no")))
+    # O-1: bag append of the copies.
+    post = version(base, 0).unionByName(version(base.where(dup_sel.predicate()), 1))
     n_post = n + min(k_dup, n)
-    ref_sel, mis_sel = selection.exact_k_many(
-        post, [(k_ref, "_h_ref", ["trans_id", "copy_no"]), (k_mis, "_h_mis", ["trans_id", "copy_no"])],
-        n_rows=n_post)
+    ks = {"ref": k_ref, "mis": k_mis}
+    selected = dict(zip(drawn, selection.exact_k_many(
+        post, [(ks[x], f"_h_{x}", ["trans_id", "copy_no"]) for x in drawn], n_rows=n_post)))
+
+    def is_selected(name: str):
+        return selected[name].predicate() if name in selected else F.lit(False)
 
-    flagged = (post.withColumn("is_orphan", ref_sel.predicate())
-               .withColumn("is_missing", mis_sel.predicate())
+    flagged = (post.withColumn("is_orphan", is_selected("ref"))
+               .withColumn("is_missing", is_selected("mis"))
                .withColumn("is_copy", F.col("copy_no") == 1))
-    # CR-2: consecutive fake ids for the orphan rows only (two disjoint branches).
-    orphans = selection.ranked(spark, flagged.where(F.col("is_orphan")), ref_sel, "_rank")
-    orphans = orphans.withColumn("fake_account_id", F.lit(fake_base) + F.col("_rank") - 1).drop("_rank")
-    others = flagged.where(~F.col("is_orphan")).withColumn("fake_account_id", F.lit(None).cast("bigint"))
-    flagged = (orphans.unionByName(others)
+    no_fake = flagged.withColumn("fake_account_id", F.lit(None).cast("bigint"))
+    if "ref" in selected:
+        # CR-2: consecutive fake ids for the orphan rows only (two disjoint branches).
+        orphans = selection.ranked(spark, flagged.where(F.col("is_orphan")), selected["ref"], "_rank")
+        orphans = orphans.withColumn("fake_account_id", F.lit(fake_base) + F.col("_rank") - 1).drop("_rank")
+        flagged = orphans.unionByName(no_fake.where(~F.col("is_orphan")))
+    else:
+        flagged = no_fake
+    flagged = (flagged
                .withColumn("original_account_id", F.col("account_id"))
                .withColumn("original_k_symbol", F.col("k_symbol"))
                .withColumn("account_id", F.coalesce(F.col("fake_account_id"), F.col("account_id")))
                .withColumn("k_symbol", F.when(F.col("is_missing"), F.lit(None).cast("string"))
                            .otherwise(F.col("k_symbol")))
-               .drop("_h_ref", "_h_mis")
+               .drop(*[f"_h_{x}" for x in drawn])
                .withColumn("dataset", F.lit(dataset)))
 
     rows = flagged.select(*TRANS_COLUMNS, "copy_no")

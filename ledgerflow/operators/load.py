@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .staging import dedupe_first
@@ -23,17 +23,22 @@ def insert_if_absent(target_keys: DataFrame, batch: DataFrame, key: str,
     return first.join(target_keys.select(key), key, "left_anti")
 
 
-def load_audit(target: DataFrame, batch: DataFrame, inserted: DataFrame) -> DataFrame:
-    """SNK-5: rows before, in staging, inserted and after, as one row (one
-    aggregation over the tagged union, combined map-side)."""
-    tagged = (target.select(F.lit("before").alias("_k"))
-              .unionByName(batch.select(F.lit("staging").alias("_k")))
-              .unionByName(inserted.select(F.lit("inserted").alias("_k"))))
-    counts = tagged.agg(
-        F.count_if(F.col("_k") == "before").cast("bigint").alias("rows_before"),
-        F.count_if(F.col("_k") == "staging").cast("bigint").alias("staging_rows"),
-        F.count_if(F.col("_k") == "inserted").cast("bigint").alias("inserted_rows"))
-    return counts.withColumn("rows_after", F.col("rows_before") + F.col("inserted_rows"))
+def append_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: str,
+                     order: list[str] | None = None) -> DataFrame:
+    """SNK-4 + SNK-5: append to the stored table at ``path`` what it doesn't hold yet.
+
+    Returns one row: rows of the table before, rows of the batch, rows of the table
+    after, and the difference as inserted rows.  All are counted on what is stored,
+    before and after the load; a second run of the same batch inserts nothing.
+    """
+    target = spark.read.parquet(path)
+    before = target.count()
+    seen = Observation()
+    insert_if_absent(target, batch.observe(seen, F.count(F.lit(1)).alias("n")), key, order).select(
+        *target.columns).write.mode("append").parquet(path)
+    after = spark.read.parquet(path).count()
+    return spark.createDataFrame([(before, int(seen.get["n"]), after - before, after)],
+                                 "rows_before long, staging_rows long, inserted_rows long, rows_after long")
 
 
 @dataclass(frozen=True)
@@ -72,14 +77,7 @@ def tag_keys(table: DataFrame, fks: list[ForeignKey], loaded: dict[str, DataFram
     return tagged
 
 
-def enforce_keys(table: DataFrame, fks: list[ForeignKey], loaded: dict[str, DataFrame]
-                 ) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) rows of ``table`` under its foreign keys (J-10)."""
-    tagged = tag_keys(table, fks, loaded)
-    return (tagged.where(F.col("_ok")).drop("_ok"), tagged.where(~F.col("_ok")).drop("_ok"))
-
-
-def full_refresh(tables: dict[str, DataFrame], write=None) -> tuple[dict[str, DataFrame], DataFrame]:
+def full_refresh(tables: dict[str, DataFrame], write) -> tuple[dict[str, DataFrame], DataFrame]:
     """SNK-3: reload every table in dependency order with key checks.
 
     ``write(name, df) -> DataFrame`` persists a table (overwrite) and returns
@@ -87,15 +85,15 @@ def full_refresh(tables: dict[str, DataFrame], write=None) -> tuple[dict[str, Da
     Returns the loaded tables and per-table counts (SNK-5).
     """
     loaded: dict[str, DataFrame] = {}
-    counts = None
+    counts = []
     for name in LOAD_ORDER:
         if name not in tables:
             continue
-        tagged = tag_keys(tables[name], FOREIGN_KEYS[name], loaded)
-        accepted = tagged.where(F.col("_ok")).drop("_ok")
-        loaded[name] = write(name, accepted) if write else accepted
-        c = tagged.agg(F.count_if(F.col("_ok")).cast("bigint").alias("loaded_rows"),
-                       F.count_if(~F.col("_ok")).cast("bigint").alias("rejected_rows")
-                       ).select(F.lit(name).alias("table_name"), "loaded_rows", "rejected_rows")
-        counts = c if counts is None else counts.unionByName(c)
-    return loaded, counts
+        # Both counts are taken while the accepted rows are written.
+        seen = Observation()
+        tagged = tag_keys(tables[name], FOREIGN_KEYS[name], loaded).observe(
+            seen, F.count_if(F.col("_ok")).alias("ok"), F.count_if(~F.col("_ok")).alias("bad"))
+        loaded[name] = write(name, tagged.where(F.col("_ok")).drop("_ok"))
+        counts.append((name, int(seen.get["ok"]), int(seen.get["bad"])))
+    spark = next(iter(tables.values())).sparkSession
+    return loaded, spark.createDataFrame(counts, "table_name string, loaded_rows long, rejected_rows long")

@@ -12,7 +12,7 @@ from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register
 from .synth_queries import _sql as synth_sql
-from .synth_queries import fit_input, synthesize
+from .synth_queries import DATASETS, fit_input, synthesize
 
 _COLS = ", ".join(TRANS_COLUMNS)
 
@@ -26,47 +26,53 @@ def csv_round_trip(spark, sf_dir):
     return delimited.read_delimited(spark, path, "trans_loadtest")
 
 
-def _batch(spark, sf_dir):
-    """Staging batch: the corrupted dev set (copies included) followed by a
-    replay of every real transaction, as a retried load would deliver it."""
-    run = synthesize(spark, sf_dir, datasets=["dev"])
-    dev = run.corrupted["dev"].rows.select(*TRANS_COLUMNS, F.lit(0).alias("src"),
-                                           F.col("copy_no").alias("seq"))
-    replay = td.raw_trans(spark, sf_dir).select(*TRANS_COLUMNS, F.lit(1).alias("src"),
-                                                F.col("ingest_seq").alias("seq"))
-    return dev.unionByName(replay)
-
-
-_BATCH_SQL = f"""
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trans_id ORDER BY src, seq) AS rn
-                   FROM (SELECT {_COLS}, 0 AS src, copy_no AS seq FROM corrupt_dev
-                         UNION ALL SELECT {_COLS}, 1, ingest_seq FROM raw_trans)) WHERE rn = 1"""
-
-
-@register("idempotent_append", synth_sql(f"""
-    SELECT {_COLS} FROM ({_BATCH_SQL}) b
-    WHERE NOT EXISTS (SELECT 1 FROM fit_in t WHERE t.trans_id = b.trans_id)"""))
+def _staged_load(spark, sf_dir):
+    """The stored target (all real transactions, once each) and the staging table: both corrupted
+    sets, copies included, then a replay of every real transaction, as a retried load delivers it."""
+    target, staging = scratch_path(spark, "trans"), scratch_path(spark, "trans-staging")
+    fit_input(spark, sf_dir).write.parquet(target)
+    run = synthesize(spark, sf_dir)
+    parts = [run.corrupted[ds].rows.select(*TRANS_COLUMNS, F.lit(i).alias("src"), F.col("copy_no").alias("seq"))
+             for i, ds in enumerate(DATASETS)]
+    parts.append(td.raw_trans(spark, sf_dir).select(*TRANS_COLUMNS, F.lit(len(parts)).alias("src"),
+                                                    F.col("ingest_seq").alias("seq")))
+    for part in parts:
+        part.write.mode("append").parquet(staging)
+    return target, spark.read.parquet(staging)
+
+
+_STAGED_SQL = f"""
+    SELECT {_COLS}, 0 AS src, copy_no AS seq FROM corrupt_dev
+    UNION ALL SELECT {_COLS}, 1, copy_no FROM corrupt_loadtest
+    UNION ALL SELECT {_COLS}, 2, ingest_seq FROM raw_trans"""
+_INSERTED_SQL = f"""
+    SELECT {_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY trans_id ORDER BY src, seq) AS rn
+                         FROM ({_STAGED_SQL})) b
+    WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM fit_in t WHERE t.trans_id = b.trans_id)"""
+
+
+@register("idempotent_append", synth_sql(f"SELECT {_COLS} FROM fit_in UNION ALL {_INSERTED_SQL}"))
 def idempotent_append(spark, sf_dir):
-    target = fit_input(spark, sf_dir)
-    inserted = load.insert_if_absent(target, _batch(spark, sf_dir), "trans_id", ["src", "seq"])
-    return inserted.select(*TRANS_COLUMNS)
+    """SNK-4: the stored table after the same load has run twice."""
+    target, staging = _staged_load(spark, sf_dir)
+    for _ in range(2):
+        load.append_if_absent(spark, target, staging, "trans_id", ["src", "seq"])
+    return spark.read.parquet(target).select(*TRANS_COLUMNS)
 
 
 @register("load_audit", synth_sql(f"""
-    SELECT CAST((SELECT count(*) FROM fit_in) AS BIGINT) AS rows_before,
-      CAST((SELECT count(*) FROM corrupt_dev) + (SELECT count(*) FROM raw_trans) AS BIGINT)
-        AS staging_rows,
-      CAST((SELECT count(*) FROM ({_BATCH_SQL}) b
-            WHERE NOT EXISTS (SELECT 1 FROM fit_in t WHERE t.trans_id = b.trans_id)) AS BIGINT)
-        AS inserted_rows,
-      CAST((SELECT count(*) FROM fit_in) + (SELECT count(*) FROM ({_BATCH_SQL}) b
-            WHERE NOT EXISTS (SELECT 1 FROM fit_in t WHERE t.trans_id = b.trans_id)) AS BIGINT)
-        AS rows_after"""))
+    WITH c AS (SELECT (SELECT count(*) FROM fit_in) AS before, (SELECT count(*) FROM ({_STAGED_SQL})) AS staged,
+                      (SELECT count(*) FROM ({_INSERTED_SQL})) AS added)
+    SELECT CAST(1 AS BIGINT) AS run, CAST(before AS BIGINT) AS rows_before, CAST(staged AS BIGINT) AS staging_rows,
+      CAST(added AS BIGINT) AS inserted_rows, CAST(before + added AS BIGINT) AS rows_after FROM c
+    UNION ALL
+    SELECT 2, before + added, staged, 0, before + added FROM c"""))
 def load_audit(spark, sf_dir):
-    target = fit_input(spark, sf_dir)
-    batch = _batch(spark, sf_dir)
-    inserted = load.insert_if_absent(target, batch, "trans_id", ["src", "seq"])
-    return load.load_audit(target, batch, inserted)
+    """SNK-5: counts of the stored table before and after each of two runs of the same load."""
+    target, staging = _staged_load(spark, sf_dir)
+    runs = [load.append_if_absent(spark, target, staging, "trans_id", ["src", "seq"])
+            .select(F.lit(i).cast("bigint").alias("run"), "*") for i in (1, 2)]
+    return runs[0].unionByName(runs[1])
 
 
 @register("full_refresh_load", O.with_base("""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich
 from ..operators import profile as profile_ops
-from ..schemas import STATE_KEYS
+from ..schemas import CDC_PROFILE, CDC_TRANS, STATE_COLUMNS, STATE_KEYS
 from ..session import scratch_path
 from ..sources import cdc as cdc_src
 from ..streaming import enrich_stream, profile_stream
@@ -46,7 +46,7 @@ def _profile(owners: str, clients: str, accounts: str = "raw_account") -> str:
 _OWNERS = """
     SELECT account_id, arg_max(client_id, disp_id) AS client_id
     FROM raw_disposition WHERE type = 'OWNER' GROUP BY account_id"""
-_PROFILE_CTE = {"owner_now": _OWNERS, "stream_profile": _profile("owner_now", "raw_client"),
+PROFILE_CTE = {"owner_now": _OWNERS, "stream_profile": _profile("owner_now", "raw_client"),
                 "routed": _routed("cdc_trans_log", "stream_profile")}
 
 
@@ -71,7 +71,7 @@ def run_stream(spark, sf_dir) -> dict:
     SELECT trans_id, account_id, date, type, operation, amount, balance, k_symbol, client_id,
       birth_number, account_frequency, district_name, district_region, avg_salary,
       __op, __lsn, __source_ts_ms, true AS __enriched
-    FROM routed WHERE dlq_reason IS NULL""", _PROFILE_CTE))
+    FROM routed WHERE dlq_reason IS NULL""", PROFILE_CTE))
 def stream_enriched(spark, sf_dir):
     return run_stream(spark, sf_dir)["enriched"].drop("batch_id")
 
@@ -83,7 +83,7 @@ _ORIG = ["trans_id", "account_id", "date", "type", "operation", "amount", "balan
 @register("stream_dlq", O.with_base(
     "SELECT dlq_reason, trans_id, account_id, __source_ts_ms, "
     + ", ".join(f"{c} AS orig_{c}" for c in _ORIG)
-    + " FROM routed WHERE dlq_reason IS NOT NULL", _PROFILE_CTE))
+    + " FROM routed WHERE dlq_reason IS NOT NULL", PROFILE_CTE))
 def stream_dlq(spark, sf_dir):
     dl = run_stream(spark, sf_dir)["dead_letters"]
     orig = dl.schema["original_transaction"].dataType.fieldNames()
@@ -93,7 +93,7 @@ def stream_dlq(spark, sf_dir):
 
 @register("dlq_by_reason", O.with_base("""
     SELECT dlq_reason, CAST(count(*) AS BIGINT) AS records
-    FROM routed WHERE dlq_reason IS NOT NULL GROUP BY dlq_reason""", _PROFILE_CTE))
+    FROM routed WHERE dlq_reason IS NOT NULL GROUP BY dlq_reason""", PROFILE_CTE))
 def dlq_by_reason(spark, sf_dir):
     return enrich.dlq_by_reason(run_stream(spark, sf_dir)["dead_letters"])
 
@@ -106,7 +106,7 @@ def dlq_by_reason(spark, sf_dir):
         AS dlq_missing_account,
       CAST(count(*) FILTER (WHERE dlq_reason IS NULL) AS DOUBLE) * 100.0
         / CAST(count(*) AS DOUBLE) AS success_rate_pct
-    FROM routed""", _PROFILE_CTE))
+    FROM routed""", PROFILE_CTE))
 def stream_metrics(spark, sf_dir):
     m = run_stream(spark, sf_dir)["metrics"]
     s = m.agg(*[F.sum(c).cast("bigint").alias(c)
@@ -118,7 +118,7 @@ def stream_metrics(spark, sf_dir):
 
 @register("enrich_batch", O.with_base("""
     SELECT dlq_reason, CAST(count(*) AS BIGINT) AS records FROM routed GROUP BY dlq_reason""",
-    _PROFILE_CTE))
+    PROFILE_CTE))
 def enrich_batch(spark, sf_dir):
     """J-5 in batch form over the whole CDC log (the re-run path for late profiles, ST-7)."""
     st = staged(spark, sf_dir)
@@ -196,3 +196,120 @@ def stream_end_to_end(spark, sf_dir):
         spark, cdc_src.events_stream(spark, sf_dir),
         lambda: profile_stream.load_stream_profile(spark, root), scratch_path(spark, "e2e"), warm=warm)
     return out["enriched"].drop("batch_id")
+
+
+# --------------------------------------------------------------------------
+# The same records as JSON messages, as a broker delivers and takes them.
+# --------------------------------------------------------------------------
+
+def _messages(log, topic: str):
+    """Change records as messages: key text, JSON value with NULL fields kept, and after each delete a
+    tombstone (NULL value)."""
+    fields = [c for c in log.columns if c != "__table"]
+    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    records = log.select(F.lit(topic).alias("topic"), F.col(log.columns[0]).cast("string").alias("key"),
+                         value.alias("value"), F.col("__deleted").alias("_d"))
+    tombstones = records.where("_d = 'true'").withColumn("value", F.lit(None).cast("string"))
+    return records.unionByName(tombstones).drop("_d")
+
+
+@register("cdc_envelope", O.with_base("SELECT * FROM cdc_trans_log"))
+def cdc_envelope(spark, sf_dir):
+    """SRC-7, FL-3, F-12: the transaction topic's messages, tombstones among them, parsed back."""
+    messages = _messages(td.cdc_trans(spark, sf_dir), cdc_src.TRANS_TOPIC)
+    return cdc_src.parse_envelope(messages, CDC_TRANS).select(*CDC_TRANS.fieldNames())
+
+
+def _routed_sql() -> str:
+    data = [f.name for f in CDC_PROFILE.fields if not f.name.startswith("__")]
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS __table, " + ", ".join(c if c in cols else f"NULL AS {c}" for c in data) + f" FROM raw_{t}"
+        for t, cols in STATE_COLUMNS.items())
+
+
+@register("profile_topics_routed", O.with_base(_routed_sql()))
+def profile_topics_routed(spark, sf_dir):
+    """SRC-6, FL-4: messages of the four profile topics in one subscription; the table of a record is
+    its topic's last part, as the messages don't carry it."""
+    raw = td.raw_tables(spark, sf_dir)
+    changes = cdc_src.snapshot_changes({t: getattr(raw, t) for t in STATE_COLUMNS})
+    parts = [_messages(changes.where(F.col("__table") == t).select(key, *[c for c in changes.columns if c != key]), topic)
+             for (t, key), topic in zip(STATE_KEYS.items(), cdc_src.PROFILE_TOPICS)]
+    messages = parts[0]
+    for p in parts[1:]:
+        messages = messages.unionByName(p)
+    parsed = cdc_src.parse_envelope(messages, CDC_PROFILE)
+    return parsed.select("__table", *[f.name for f in CDC_PROFILE.fields if not f.name.startswith("__")])
+
+
+def _json_outputs(spark, sf_dir) -> dict:
+    """The enrichment stream over a file dump of the transaction topic."""
+    dump = scratch_path(spark, "trans-topic")
+    messages = _messages(td.cdc_trans(spark, sf_dir), cdc_src.TRANS_TOPIC)
+    messages.write.parquet(dump)
+    stream = cdc_src.parse_envelope(cdc_src.parquet_stream(spark, dump, messages.schema), CDC_TRANS)
+    return enrich_stream.run_to_completion(spark, stream, _profile_loader(spark, sf_dir), scratch_path(spark, "json-stream"))
+
+
+def _read_back(records, schema):
+    """Sink records, read as a consumer does: key, fields, and how many fields the JSON object has."""
+    return records.select("key", F.from_json("value", schema).alias("r"),
+                          F.size(F.json_object_keys("value")).cast("bigint").alias("n_fields"))
+
+
+@register("enriched_json", O.with_base("""
+    SELECT CAST(trans_id AS VARCHAR) AS key, CAST(18 AS BIGINT) AS n_fields, trans_id, account_id, date, type, operation,
+      amount, balance, k_symbol, client_id, birth_number, account_frequency, district_name, district_region, avg_salary,
+      __op, __lsn, __source_ts_ms, true AS __enriched
+    FROM routed WHERE dlq_reason IS NULL""", PROFILE_CTE))
+def enriched_json(spark, sf_dir):
+    """SNK-1 as JSON records, from JSON messages."""
+    rows = _json_outputs(spark, sf_dir)["enriched"].drop("batch_id")
+    return _read_back(cdc_src.json_records(rows), rows.schema).select("key", "n_fields", "r.*")
+
+
+@register("dlq_json", O.with_base("""
+    SELECT CAST(trans_id AS VARCHAR) AS key, CAST(6 AS BIGINT) AS n_fields, dlq_reason, trans_id, account_id, __source_ts_ms,
+    """ + ", ".join(f"{c} AS orig_{c}" for c in _ORIG) + " FROM routed WHERE dlq_reason IS NOT NULL", PROFILE_CTE))
+def dlq_json(spark, sf_dir):
+    """SNK-2 as JSON records; the publication time is a field, not compared."""
+    rows = _json_outputs(spark, sf_dir)["dead_letters"].drop("batch_id")
+    back = _read_back(cdc_src.json_records(rows), rows.schema)
+    return back.select("key", "n_fields", "r.dlq_reason", "r.trans_id", "r.account_id", "r.__source_ts_ms",
+                       *[F.col(f"r.original_transaction.{c}").alias(f"orig_{c}") for c in _ORIG])
+
+
+@register("dlq_rerun", O.with_base("""
+    SELECT CASE WHEN r.dlq_reason IS NULL THEN 'enriched' ELSE r.dlq_reason END AS outcome,
+      CAST(count(*) AS BIGINT) AS records
+    FROM (SELECT t.*, CASE WHEN t.account_id IS NULL THEN 'missing_account_id'
+                           WHEN p.account_id IS NULL THEN 'referential_violation' END AS dlq_reason
+          FROM (SELECT * FROM routed WHERE dlq_reason IS NOT NULL) t
+          LEFT JOIN (SELECT DISTINCT account_id FROM routed WHERE account_id % 2 = 0) p ON t.account_id = p.account_id) r
+    GROUP BY 1""", PROFILE_CTE))
+def dlq_rerun(spark, sf_dir):
+    """ST-7: stored dead letters are routed again after profiles of the even accounts have arrived."""
+    dead = run_stream(spark, sf_dir)["dead_letters"]
+    late = (td.cdc_trans(spark, sf_dir).where("account_id % 2 = 0").select("account_id").distinct()
+            .withColumn("client_id", F.col("account_id")))
+    profile = _profile_loader(spark, sf_dir)()
+    filled = late.select(*[F.col(c) if c in late.columns else F.lit(None).cast(profile.schema[c].dataType).alias(c)
+                           for c in profile.columns])
+    now = profile.join(filled.select("account_id"), "account_id", "left_anti").unionByName(filled)
+    again = enrich.rerun_dead_letters(dead, now)
+    return (again.groupBy(F.coalesce("dlq_reason", F.lit("enriched")).alias("outcome"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("records")))
+
+
+@register("stream_replay", O.with_base("""
+    SELECT dlq_reason, CAST(count(*) AS BIGINT) AS records FROM routed GROUP BY dlq_reason""", PROFILE_CTE))
+def stream_replay(spark, sf_dir):
+    """ST-5: a batch that is delivered twice replaces its own output in both sinks."""
+    outputs = enrich_stream.StreamOutputs(scratch_path(spark, "replay"))
+    writer = enrich_stream.make_batch_writer(spark, _profile_loader(spark, sf_dir), outputs)
+    for _ in range(2):
+        writer(td.cdc_trans(spark, sf_dir), 0)
+    read = enrich_stream.read_outputs(spark, outputs.root)
+    both = (read["enriched"].select(F.lit(None).cast("string").alias("dlq_reason"))
+            .unionByName(read["dead_letters"].select("dlq_reason")))
+    return both.groupBy("dlq_reason").agg(F.count(F.lit(1)).cast("bigint").alias("records"))

@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import MISSING_OPERATION
 from ..operators import corrupt as corrupt_ops
-from ..operators import staging, synth
+from ..operators import enrich, mart, quality, staging, synth
+from ..operators import profile as profile_ops
+from ..operators.quality import Rule
 from ..schemas import TRANS_COLUMNS
 from ..session import scratch_path, work_dir
 from ..sources import delimited
 from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register
+from .stream_queries import PROFILE_CTE
 
 SEED = synth.DEFAULT_SEED
 DATASETS = ["dev", "loadtest"]
@@ -43,9 +46,9 @@ class SynthRun:
 
 
 def synthesize(spark: SparkSession, sf_dir: str, with_corruption: bool = True,
-               datasets: list[str] | None = None) -> SynthRun:
-    """Fit once, then draw (and corrupt) the requested data sets (default: both).
-    Id ranges do not depend on which sets are drawn."""
+               datasets: list[str] | None = None, kinds: list[str] | None = None) -> SynthRun:
+    """Fit once, then draw (and corrupt) the requested data sets (default: both), with the
+    requested kinds of errors (default: all).  Id ranges do not depend on which sets are drawn."""
     work_dir(spark)  # checkpoint folder (the cluster's, or a local one in tests)
     wanted = datasets or DATASETS
     model = synth.fit(spark, fit_input(spark, sf_dir))
@@ -58,10 +61,8 @@ def synthesize(spark: SparkSession, sf_dir: str, with_corruption: bool = True,
     for ds in wanted:
         clean[ds] = synth.sample(spark, model, sizes[ds], starts[ds], SEED, ds)
         if with_corruption:
-            # Lineage cut: the clean set feeds three selections and the output.
-            frozen = clean[ds].checkpoint(eager=True)
             corrupted[ds] = corrupt_ops.corrupt(
-                spark, frozen, sizes[ds], int(model.scalars["max_account_id"]), RATES, SEED, ds)
+                spark, clean[ds], sizes[ds], int(model.scalars["max_account_id"]), RATES, SEED, ds, kinds)
     return SynthRun(model, sizes, starts, clean, corrupted)
 
 
@@ -247,24 +248,24 @@ def corrupted_transactions(spark, sf_dir):
                                   for ds in DATASETS])
 
 
-def _audit(spark, sf_dir) -> DataFrame:
-    run = synthesize(spark, sf_dir)
+def _audit(spark, sf_dir, kind: str) -> DataFrame:
+    run = synthesize(spark, sf_dir, kinds=[kind])
     return corrupt_ops.union_all([run.corrupted[ds].audit for ds in DATASETS])
 
 
 @register("corrupt_duplicates", _sql("SELECT * FROM audit_all WHERE kind = 'duplicate'"))
 def corrupt_duplicates(spark, sf_dir):
-    return _audit(spark, sf_dir).where(F.col("kind") == "duplicate")
+    return _audit(spark, sf_dir, "duplicate").where(F.col("kind") == "duplicate")
 
 
 @register("corrupt_orphans", _sql("SELECT * FROM audit_all WHERE kind = 'referential_violation'"))
 def corrupt_orphans(spark, sf_dir):
-    return _audit(spark, sf_dir).where(F.col("kind") == "referential_violation")
+    return _audit(spark, sf_dir, "referential_violation").where(F.col("kind") == "referential_violation")
 
 
 @register("corrupt_missing", _sql("SELECT * FROM audit_all WHERE kind = 'missing_value'"))
 def corrupt_missing(spark, sf_dir):
-    return _audit(spark, sf_dir).where(F.col("kind") == "missing_value")
+    return _audit(spark, sf_dir, "missing_value").where(F.col("kind") == "missing_value")
 
 
 def _planned_sql() -> str:
@@ -301,20 +302,10 @@ def corrupt_audit_summary(spark, sf_dir):
       start_id AS first_trans_id, start_id + n - 1 AS last_trans_id
     FROM sizes"""))
 def manifest_summary(spark, sf_dir):
-    model = synth.fit(spark, fit_input(spark, sf_dir))
-    sizes = synth.dataset_sizes(int(model.scalars["rows"]))
-    start = int(model.scalars["max_trans_id"]) + 1
-    rows = []
-    for ds in DATASETS:
-        n = sizes[ds]
-        k = {kind: corrupt_ops.k_of(n, RATES[kind]) for kind in RATES}
-        rows.append((ds, SEED, n, n, n + min(k["duplicate"], n), k["duplicate"],
-                     k["referential"], k["missing"], start, start + n - 1))
-        start += n
-    return spark.createDataFrame(
-        rows, "dataset string, random_seed long, target_rows long, rows_before long, "
-              "rows_after long, duplicate_count long, referential_violation_count long, "
-              "missing_value_count long, first_trans_id long, last_trans_id long")
+    """SNK-8: the summary as it is written, counted on the written audit and rows, and read back."""
+    run = synthesize(spark, sf_dir)
+    paths = export_manifest(run, scratch_path(spark, "manifest"))
+    return spark.read.schema(MANIFEST_SUMMARY).json(paths["summary"]).drop("generated_at")
 
 
 @register("reconcile_corruption", _sql("""
@@ -411,18 +402,31 @@ def export(run: SynthRun, root: str) -> dict[str, str]:
     for ds in DATASETS:
         paths[ds] = f"{root}/trans_{ds}.csv"
         delimited.write_delimited(run.corrupted[ds].rows, paths[ds], "trans_loadtest")
+    return {**paths, **export_manifest(run, root)}
+
+
+MANIFEST_SUMMARY = ("dataset string, random_seed long, target_rows long, rows_before long, rows_after long, "
+                    "duplicate_count long, referential_violation_count long, missing_value_count long, "
+                    "first_trans_id long, last_trans_id long, generated_at string")
+
+
+def export_manifest(run: SynthRun, root: str) -> dict[str, str]:
+    """SNK-8: the row-level audit as Parquet, and one JSON summary row per set with the counts of the
+    written audit and of the rows."""
+    spark = next(iter(run.corrupted.values())).rows.sparkSession
+    paths = {"audit": f"{root}/manifest/audit", "summary": f"{root}/manifest/summary"}
     audit = corrupt_ops.union_all([run.corrupted[ds].audit for ds in DATASETS])
-    audit.write.mode("overwrite").partitionBy("dataset").parquet(f"{root}/manifest/audit")
-    rows = [(ds, SEED, run.sizes[ds], int(s["rows_before"]), int(s["rows_after"]),
-             int(s["duplicate"]), int(s["referential_violation"]), int(s["missing_value"]))
-            for ds, s in ((d, run.corrupted[d].summary) for d in DATASETS)]
-    (spark.createDataFrame(rows, "dataset string, random_seed long, target_rows long, "
-                                 "rows_before long, rows_after long, duplicate_count long, "
-                                 "referential_violation_count long, missing_value_count long")
+    audit.write.mode("overwrite").partitionBy("dataset").parquet(paths["audit"])
+    kinds = spark.read.parquet(paths["audit"]).groupBy("dataset").agg(
+        *[F.count_if(F.col("kind") == k).alias(f"{k}_count") for k in corrupt_ops.KINDS])
+    rows = corrupt_ops.union_all([run.corrupted[ds].flagged.select("dataset", "trans_id", "copy_no") for ds in DATASETS])
+    sizes = rows.groupBy("dataset").agg(
+        F.count_if(F.col("copy_no") == 0).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"),
+        F.min("trans_id").alias("first_trans_id"), F.max("trans_id").alias("last_trans_id"))
+    asked = spark.createDataFrame([(ds, SEED, run.sizes[ds]) for ds in DATASETS], "dataset string, random_seed long, target_rows long")
+    (asked.join(sizes, "dataset", "left").join(kinds, "dataset", "left")
      .withColumn("generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-     .coalesce(1).write.mode("overwrite").json(f"{root}/manifest/summary"))
-    paths["audit"] = f"{root}/manifest/audit"
-    paths["summary"] = f"{root}/manifest/summary"
+     .coalesce(1).write.mode("overwrite").json(paths["summary"]))
     return paths
 
 
@@ -445,4 +449,61 @@ def synth_export_round_trip(spark, sf_dir):
     WHERE rn <= {corrupt_ops.MANIFEST_SAMPLE}"""))
 def manifest_missing_sample(spark, sf_dir):
     """O-2: the manifest keeps the original k_symbol of the first 20 nulled rows."""
-    return corrupt_ops.missing_value_sample(_audit(spark, sf_dir), DATASETS)
+    return corrupt_ops.missing_value_sample(_audit(spark, sf_dir, "missing_value"), DATASETS)
+
+
+_QUALITY_CHECKS = [Rule("unique", "corrupted", "trans_id"),
+                   Rule("relationships", "corrupted", "account_id", "warn", to_table="account", to_column="account_id"),
+                   Rule("not_null", "corrupted", "k_symbol")]
+
+
+@register("reconcile_quality", O.with_base(f"""
+    SELECT dataset, check_name, CAST(expected AS BIGINT) AS expected, CAST(observed AS BIGINT) AS observed,
+      CASE WHEN expected = observed THEN 'MATCH' ELSE 'MISMATCH' END AS status
+    FROM (
+      SELECT dataset, 'unique_trans_id' AS check_name, sum(CAST(is_copy AS INT)) AS expected,
+        (SELECT count(*) FROM (SELECT trans_id FROM corrupt_all x WHERE x.dataset = c.dataset
+                               GROUP BY trans_id HAVING count(*) > 1)) AS observed
+      FROM corrupt_all c GROUP BY dataset
+      UNION ALL
+      SELECT dataset, 'account_relationship',
+        count(*) FILTER (WHERE is_orphan OR original_account_id NOT IN (SELECT account_id FROM raw_account)),
+        count(*) FILTER (WHERE account_id NOT IN (SELECT account_id FROM raw_account))
+      FROM corrupt_all GROUP BY dataset
+      UNION ALL
+      SELECT dataset, 'dead_letters',
+        count(*) FILTER (WHERE is_orphan OR original_account_id NOT IN (SELECT account_id FROM stream_profile)),
+        count(*) FILTER (WHERE account_id NOT IN (SELECT account_id FROM stream_profile))
+      FROM corrupt_all GROUP BY dataset
+      UNION ALL
+      SELECT dataset, 'k_symbol_not_null',
+        count(*) FILTER (WHERE original_k_symbol IS NULL OR is_missing), count(*) FILTER (WHERE k_symbol IS NULL)
+      FROM corrupt_all GROUP BY dataset)""", {**_all_ctes(), **PROFILE_CTE}))
+def reconcile_quality(spark, sf_dir):
+    """CR-6: the data tests and the stream's routing, run on the corrupted sets, find what the audit
+    says, and besides only what the uncorrupted rows would have failed already (rows drawn for accounts
+    that are orphans in the fit input, k_symbol values that were NULL)."""
+    run = synthesize(spark, sf_dir)
+    raw = td.raw_tables(spark, sf_dir)
+    staged = mart.stage_all(raw)
+    profile = profile_ops.stream_profile(staged.account, staged.disposition, staged.client, staged.district)
+    accounts, profiled = raw.account.select("account_id").distinct(), profile.select("account_id")
+    rows = []
+    for ds in DATASETS:
+        c = run.corrupted[ds]
+        path = scratch_path(spark, f"flagged-{ds}")
+        c.flagged.select(*TRANS_COLUMNS, "is_copy", "is_orphan", "is_missing", "original_account_id", "original_k_symbol").write.parquet(path)
+        data = spark.read.parquet(path)
+        found = {r["test"]: r["failures"] for r in quality.run_checks(
+            {"corrupted": data, "account": raw.account}, _QUALITY_CHECKS).collect()}
+        test = [r.name for r in _QUALITY_CHECKS]
+        audited = data.agg(F.count_if("is_copy").alias("dup"), F.count_if("is_orphan").alias("ref"),
+                           F.count_if(F.col("is_missing") | F.col("original_k_symbol").isNull()).alias("null")).first()
+        # What the rows that weren't made orphans fail by themselves: counted by account first.
+        own = data.where(~F.col("is_orphan")).groupBy("original_account_id").count().withColumnRenamed("original_account_id", "account_id")
+        baseline = [own.join(k, "account_id", "left_anti").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] for k in (accounts, profiled)]
+        dead = enrich.route(data, profile).where(F.col("dlq_reason").isNotNull()).count()
+        checks = [("unique_trans_id", audited["dup"], found[test[0]]), ("account_relationship", audited["ref"] + baseline[0], found[test[1]]),
+                  ("dead_letters", audited["ref"] + baseline[1], dead), ("k_symbol_not_null", audited["null"], found[test[2]])]
+        rows += [(ds, n, int(e), int(o), "MATCH" if int(e) == int(o) else "MISMATCH") for n, e, o in checks]
+    return spark.createDataFrame(rows, "dataset string, check_name string, expected long, observed long, status string")

@@ -20,6 +20,7 @@ def test_entry_runs(spark):
 
 
 EXPECTED_QUERIES = [
+    "cdc_envelope",
     "cdc_latest_client",
     "cdc_owner_link",
     "cdc_state_counts",
@@ -31,6 +32,8 @@ EXPECTED_QUERIES = [
     "csv_round_trip",
     "customer_profile",
     "dlq_by_reason",
+    "dlq_json",
+    "dlq_rerun",
     "dq_accepted_values",
     "dq_domain_rejects",
     "dq_foreign_keys",
@@ -39,6 +42,7 @@ EXPECTED_QUERIES = [
     "dq_summary",
     "dq_unique",
     "enrich_batch",
+    "enriched_json",
     "fct_enriched_transactions",
     "fit_account_weights",
     "fit_k_symbol",
@@ -51,7 +55,9 @@ EXPECTED_QUERIES = [
     "manifest_summary",
     "mart_counts",
     "mart_materialized",
+    "profile_topics_routed",
     "reconcile_corruption",
+    "reconcile_quality",
     "stage_account",
     "stage_client",
     "stage_disposition",
@@ -62,6 +68,7 @@ EXPECTED_QUERIES = [
     "stream_enriched",
     "stream_metrics",
     "stream_profile_state",
+    "stream_replay",
     "synth_export_round_trip",
     "synth_transactions",
     "trans_excluded",
@@ -84,7 +91,8 @@ def _norm(v):
 
 @pytest.mark.parametrize("name", ["fct_enriched_transactions", "customer_profile", "dq_summary",
                                   "cdc_owner_link", "fit_operation", "synth_transactions",
-                                  "corrupt_orphans", "stream_enriched"])
+                                  "corrupt_orphans", "stream_enriched",
+                                  "reconcile_quality", "load_audit"])
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:

@@ -38,8 +38,8 @@ from .textbatch import odd_numbers, ragged, spans_of_size, strings
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-PAIRS_KEPT = 300_000     # pairs of pieces whose verdict a worker remembers
-PIECE = 1 << 20          # characters of text at a time
+PAIRS_KEPT = 200_000     # pairs of pieces whose verdict a worker remembers
+PIECE = 1 << 19          # characters of text at a time
 _PLACES = odd_numbers(1 << 16)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -85,8 +85,8 @@ class Pieces:
             if model.is_control(i):
                 self.bytes_of[i] = b""
         self.bytes_of[self.unknown] = " ⁇ ".encode()
-        self.parts = IdStore(self.encode_parts, kept=UNITS_KEPT // 2)
-        self.words = IdStore(self.encode_words, kept=UNITS_KEPT // 2)
+        self.parts = IdStore(self.encode_parts, kept=UNITS_KEPT // 4)
+        self.words = IdStore(self.encode_words, kept=UNITS_KEPT // 4)
         self.plain = HashedStore(self.encode_words)
         # Between which ASCII characters a word can be cut before anything else is known of it.
         self.apart = np.zeros((256, 256), bool)
@@ -282,14 +282,13 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "pieces", model:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         p = pieces(path)
         for column in batches:
-            texts, ids, crc, same = strings(column), [], [], []
+            texts = strings(column)
+            # Results leave by pieces, so that ids of few texts are held at a time.
             for a, b in spans_of_size([len(x) for x in texts], PIECE):
                 flat, sizes = p.encode(texts[a:b])
-                for text, row in zip(texts[a:b], np.split(flat, np.cumsum(sizes)[:-1])):
-                    ids.append(row)
-                    crc.append(zlib.crc32(row.astype("<u4").tobytes()))
-                    same.append(p.decode(row.tolist()) == text)
-            yield pd.DataFrame({"ids": ids, "ids_crc32": crc, "round_trip": same})
+                ids = np.split(flat, np.cumsum(sizes)[:-1])
+                yield pd.DataFrame({"ids": ids, "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids],
+                                    "round_trip": [p.decode(x.tolist()) == t for x, t in zip(ids, texts[a:b])]})
 
     text = F.col(text_col).cast("string")
     # A null text has null fields; the column itself is never null.

@@ -61,12 +61,12 @@ def idempotent_append(spark, sf_dir):
 
 
 @register("load_audit", synth_sql(f"""
-    WITH c AS (SELECT (SELECT count(*) FROM fit_in) AS before, (SELECT count(*) FROM ({_STAGED_SQL})) AS staged,
+    SELECT * FROM (WITH c AS (SELECT (SELECT count(*) FROM fit_in) AS before, (SELECT count(*) FROM ({_STAGED_SQL})) AS staged,
                       (SELECT count(*) FROM ({_INSERTED_SQL})) AS added)
     SELECT CAST(1 AS BIGINT) AS run, CAST(before AS BIGINT) AS rows_before, CAST(staged AS BIGINT) AS staging_rows,
       CAST(added AS BIGINT) AS inserted_rows, CAST(before + added AS BIGINT) AS rows_after FROM c
     UNION ALL
-    SELECT 2, before + added, staged, 0, before + added FROM c"""))
+    SELECT 2, before + added, staged, 0, before + added FROM c)"""))
 def load_audit(spark, sf_dir):
     """SNK-5: counts of the stored table before and after each of two runs of the same load."""
     target, staging = _staged_load(spark, sf_dir)

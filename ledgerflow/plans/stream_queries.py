@@ -280,10 +280,9 @@ def dlq_json(spark, sf_dir):
 
 
 @register("dlq_rerun", O.with_base("""
-    SELECT CASE WHEN r.dlq_reason IS NULL THEN 'enriched' ELSE r.dlq_reason END AS outcome,
-      CAST(count(*) AS BIGINT) AS records
-    FROM (SELECT t.*, CASE WHEN t.account_id IS NULL THEN 'missing_account_id'
-                           WHEN p.account_id IS NULL THEN 'referential_violation' END AS dlq_reason
+    SELECT coalesce(reason_now, 'enriched') AS outcome, CAST(count(*) AS BIGINT) AS records
+    FROM (SELECT CASE WHEN t.account_id IS NULL THEN 'missing_account_id'
+                           WHEN p.account_id IS NULL THEN 'referential_violation' END AS reason_now
           FROM (SELECT * FROM routed WHERE dlq_reason IS NOT NULL) t
           LEFT JOIN (SELECT DISTINCT account_id FROM routed WHERE account_id % 2 = 0) p ON t.account_id = p.account_id) r
     GROUP BY 1""", PROFILE_CTE))

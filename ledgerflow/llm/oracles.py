@@ -71,3 +71,49 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     AND 100 * n5 <= 30 * n_words AND NOT long_one AS kept
 FROM f
 """
+
+
+def _kd_sql(shards: int = 16) -> str:
+    """The k-d tree by windows: sums of bytes in the order of the widest dimension's keys, level by level."""
+    def place(c: str) -> str:
+        return (f"CASE WHEN {c} IS NULL OR max({c}) OVER () = min({c}) OVER () THEN 0 ELSE CAST(floor((CAST({c} AS DOUBLE) - "
+                f"CAST(min({c}) OVER () AS DOUBLE)) * 1048575.0::DOUBLE / (CAST(max({c}) OVER () AS DOUBLE) - "
+                f"CAST(min({c}) OVER () AS DOUBLE))) AS BIGINT) END")
+
+    def bits(text: str, digits: int, drop: int) -> str:
+        return f"(CAST(('0x' || substr(md5({text}), 1, {digits})) AS BIGINT) >> {drop})"
+
+    parts = [r"""tab AS (
+  SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+  FROM range(256) r(i))""", f"""l0 AS (
+  SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 1 AS size, {place('n_chars')} AS k0, {place('doc_id')} AS k1,
+    coalesce({bits('source', 5, 0)}, 0) AS k2, coalesce({bits('lang', 5, 0)}, 0) AS k3,
+    ({bits("coalesce(text, '')", 6, 0)} << 19) | ({bits('CAST(doc_id AS VARCHAR)', 4, 1)} << 4) AS tie, 0 AS node
+  FROM documents)"""]
+    level, n = 0, shards
+    while n > 1:  # a power of two: all nodes of a level are split alike
+        rows = f"l{level}"
+        extents = ", ".join(f"max(k{d}) OVER (PARTITION BY node) - min(k{d}) OVER (PARTITION BY node) AS e{d}" for d in range(4))
+        key = "CASE " + " ".join(f"WHEN e{d} = greatest(e0, e1, e2, e3) THEN k{d}" for d in range(4)) + " END"
+        parts += [f"a{level} AS (SELECT *, {extents} FROM {rows})",
+                  f"b{level} AS (SELECT *, (({key}) << 43) | tie AS key FROM a{level})",
+                  f"c{level} AS (SELECT *, sum(size) OVER (PARTITION BY node ORDER BY key) AS so_far, "
+                  f"sum(size) OVER (PARTITION BY node) / 2.0 AS target, sum(size) OVER (PARTITION BY node, key) AS w FROM b{level})",
+                  f"d{level} AS (SELECT node, min(key) AS cut FROM c{level} WHERE so_far >= target GROUP BY node)",
+                  f"""l{level + 1} AS (
+  SELECT doc_id, t, size, k0, k1, k2, k3, tie, node * 2 + CASE WHEN key < cut THEN 0
+    WHEN key = cut AND abs(so_far - target) < abs(so_far - w - target) THEN 0 ELSE 1 END AS node
+  FROM c{level} JOIN d{level} USING (node))"""]
+        level, n = level + 1, n // 2
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, CAST(size AS BIGINT) AS size,
+  xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST(('0x' || x) AS BIGINT)),
+    lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS text_crc32,
+  'bytes' AS law, CAST(node AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY node ORDER BY (tie >> 4) % greatest(64, (SELECT count(*) FROM documents) // {shards * 20_000}), tie, doc_id) - 1
+    AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM l{level}, tab"""
+
+
+OP6_SQL = _kd_sql()

@@ -20,7 +20,7 @@ from . import (
     piece_trie,
     suffix_repeats,
 )
-from .oracles import OP7_SQL, OP10_SQL
+from .oracles import OP6_SQL, OP7_SQL, OP10_SQL
 from .textbatch import table
 
 
@@ -105,7 +105,7 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = {f.__name__: f for f in (
     op1_crf_language, op2_bm25_decontam, op3_bit_packing, op4_mincut_extract, op5_feistel_pii, op6_kd_shards, op7_partenum_join,
     op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
-_ORACLES = {"op7_partenum_join": OP7_SQL, "op10_suffix_repeats": OP10_SQL}
+_ORACLES = {"op6_kd_shards": OP6_SQL, "op7_partenum_join": OP7_SQL, "op10_suffix_repeats": OP10_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

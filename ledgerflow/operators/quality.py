@@ -170,6 +170,18 @@ def summarize(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("tests"))
 
 
+class ChecksFailed(Exception):
+    """A data test of severity ERROR has failed; the message names the tests."""
+
+
+def require_passing(results: DataFrame) -> DataFrame:
+    """The results, or ChecksFailed where one has the status ERROR; warnings pass."""
+    failed = [f"{r['test']}: {r['failures']}" for r in results.where(F.col("status") == "ERROR").collect()]
+    if failed:
+        raise ChecksFailed("; ".join(failed))
+    return results
+
+
 # ---------------------------------------------------------------------------
 # The declared test suite of the batch build (31 tests).
 # ---------------------------------------------------------------------------

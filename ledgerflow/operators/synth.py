@@ -15,12 +15,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.dates import to_yymmdd
 from ..functions.uniform import standard_normal, uniform_int
+from ..session import scratch_path
 from . import selection
 
 # Synthetic period (start day and length in days).
@@ -29,6 +31,8 @@ SYNTHETIC_DURATION_DAYS = 365 * 6
 # Default seed; data set sizes are derived from the data (dataset_sizes).
 DEFAULT_SEED = 42
 ACCOUNT_BUCKET_BITS = 12
+# Columns of the transactions that the fit reads.
+FIT_COLUMNS = ["trans_id", "account_id", "date", "operation", "amount", "k_symbol"]
 
 
 def _round6(x: Column) -> Column:
@@ -80,9 +84,13 @@ def fit_account_weights(spark: SparkSession, trans: DataFrame, total_rows: int |
     """A-4 over all rows: activity count and weight per account, plus cumulative
     [cum_lo, cum_hi) in (hash bucket, account_id) order, computed distributed."""
     keyed = trans.where(F.col("account_id").isNotNull())
-    if total_rows is None:
-        total_rows = keyed.count()
     counts = keyed.groupBy("account_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    if total_rows is None:
+        # Stored, so that the input is counted once for the total and the sums.
+        path = scratch_path(spark, "account-counts")
+        counts.write.parquet(path)
+        counts = spark.read.parquet(path)
+        total_rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     with_cum = selection.prefix_intervals(spark, counts, "n", ["account_id"], bits=bits)
     return with_cum.select(
         "account_id", "n", "bucket", "cum_lo", "cum_hi",
@@ -126,10 +134,7 @@ def fit(spark: SparkSession, trans: DataFrame) -> FitTables:
     and are written to the shared work folder, so later draws read them
     instead of recomputing them from the transactions.
     """
-    from pyspark import StorageLevel
-
-    from ..session import scratch_path
-    src = trans.persist(StorageLevel.MEMORY_AND_DISK)
+    src = trans.select(*FIT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scalars = fit_scalars(src).collect()[0].asDict()
         root = scratch_path(spark, "fit")
@@ -148,7 +153,7 @@ def sample(spark: SparkSession, model: FitTables, n: int, start_id: int, seed: i
            dataset: str = "dev", num_partitions: int | None = None) -> DataFrame:
     """SY-2 ... SY-7: n rows with trans_id start_id .. start_id + n - 1."""
     salt = f"{seed}:{dataset}"
-    ops = model.operations.collect()
+    ops = model.operations.limit(len(codes.TYPE_BY_OPERATION) + 1).collect()
     if len(ops) > len(codes.TYPE_BY_OPERATION):
         raise ValueError("operation table larger than the known operation set")
     unknown = [r["op_key"] for r in ops if r["type"] is None]

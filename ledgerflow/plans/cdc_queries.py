@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import cdc
+from ..schemas import STATE_KEYS
+from ..sources import cdc as cdc_src
 from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register
@@ -50,8 +54,20 @@ def _counts_sql(name: str, log: str, key: str) -> str:
 @register("cdc_state_counts", O.with_base(
     _counts_sql("client", "cdc_client_log", "client_id") + "\nUNION ALL\n"
     + _counts_sql("disposition", "cdc_disposition_log", "disp_id") + "\nUNION ALL\n"
-    + _counts_sql("trans", "cdc_trans_log", "trans_id")))
+    + _counts_sql("trans", "cdc_trans_log", "trans_id") + "".join(
+        f"\nUNION ALL\nSELECT '{t}', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), "
+        f"CAST(0 AS BIGINT) FROM raw_{t}" for t in ("account", "district"))))
 def cdc_state_counts(spark, sf_dir):
+    """A-7 for all tables: change logs, and the snapshot of those that have no other changes here."""
+    raw = td.raw_tables(spark, sf_dir)
+    snapshot = cdc_src.snapshot_changes({"account": raw.account, "district": raw.district})
+    counts = _log_counts(spark, sf_dir)
+    for t in ("account", "district"):
+        counts = counts.unionByName(cdc.state_counts(t, snapshot.where(F.col("__table") == t), STATE_KEYS[t]))
+    return counts
+
+
+def _log_counts(spark, sf_dir):
     return (cdc.state_counts("client", td.cdc_client(spark, sf_dir), "client_id")
             .unionByName(cdc.state_counts("disposition", td.cdc_disposition(spark, sf_dir), "disp_id"))
             .unionByName(cdc.state_counts("trans", td.cdc_trans(spark, sf_dir), "trans_id")))

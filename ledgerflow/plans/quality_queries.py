@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from ..operators import mart, quality
+from pyspark.sql import functions as F
+
+from ..operators import mart, quality, synth
+from ..operators import profile as profile_ops
 from ..operators.quality import Rule
+from ..session import scratch_path
 from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register
@@ -21,6 +25,10 @@ ORACLE_TABLE = {
 def check_tables(spark, sf_dir) -> dict:
     raw = td.raw_tables(spark, sf_dir)
     st = mart.stage_all(raw)
+    # The fact is deduplicated once; the tests of the staged table and of the mart both read the result.
+    path = scratch_path(spark, "staged-trans")
+    st.trans.write.parquet(path)
+    st.trans = spark.read.parquet(path)
     return {
         "trans": raw.trans, "account": raw.account, "client": raw.client,
         "disposition": raw.disposition, "district": raw.district,
@@ -124,3 +132,111 @@ def dq_domain_rejects(spark, sf_dir):
                 "disposition", raw.disposition, quality.disposition_domain_rules()))
             .unionByName(quality.domain_reject_counts(
                 "client", raw.client, quality.client_domain_rules())))
+
+
+# --------------------------------------------------------------------------
+# The same rules on rows that break them: values of some ids are made invalid.
+# --------------------------------------------------------------------------
+
+_DIRTY_TRANS_SQL = """
+    SELECT * REPLACE (
+      CASE WHEN trans_id % 101 = 0 THEN NULL ELSE account_id END AS account_id,
+      CASE WHEN trans_id % 103 = 0 THEN 991332 WHEN trans_id % 107 = 0 THEN -1 ELSE date END AS date,
+      CASE WHEN trans_id % 109 = 0 THEN 'OTHER' ELSE type END AS type,
+      CASE WHEN trans_id % 113 = 0 THEN 0.0 WHEN trans_id % 127 = 0 THEN -5.0 WHEN trans_id % 131 = 0 THEN NULL ELSE amount END AS amount)
+    FROM raw_trans"""
+_DIRTY = {"dirty_trans": _DIRTY_TRANS_SQL,
+          "dirty_client": "SELECT * REPLACE (CASE WHEN client_id % 7 = 0 THEN NULL ELSE district_id END AS district_id, "
+                          "CASE WHEN client_id % 11 = 0 THEN 5001 ELSE birth_number END AS birth_number) FROM raw_client",
+          "dirty_disposition": "SELECT * REPLACE (CASE WHEN disp_id % 13 = 0 THEN 'USER' ELSE type END AS type) FROM raw_disposition"}
+
+
+def _dirty_trans(spark, sf_dir):
+    i = F.col("trans_id")
+    none, amount = F.lit(None), F.col("amount")
+    return (td.raw_trans(spark, sf_dir)
+            .withColumn("account_id", F.when(i % 101 == 0, none.cast("bigint")).otherwise(F.col("account_id")))
+            .withColumn("date", F.when(i % 103 == 0, F.lit(991332).cast("bigint")).when(i % 107 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("date")))
+            .withColumn("type", F.when(i % 109 == 0, F.lit("OTHER")).otherwise(F.col("type")))
+            .withColumn("amount", F.when(i % 113 == 0, F.lit(0.0)).when(i % 127 == 0, F.lit(-5.0))
+                        .when(i % 131 == 0, none.cast("double")).otherwise(amount)))
+
+
+def _dirty_client(spark, sf_dir):
+    k = F.col("client_id")
+    return (td.raw_client(spark, sf_dir)
+            .withColumn("district_id", F.when(k % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("district_id")))
+            .withColumn("birth_number", F.when(k % 11 == 0, F.lit(5001).cast("bigint")).otherwise(F.col("birth_number"))))
+
+
+def _dirty_disposition(spark, sf_dir):
+    return td.raw_disposition(spark, sf_dir).withColumn(
+        "type", F.when(F.col("disp_id") % 13 == 0, F.lit("USER")).otherwise(F.col("type")))
+
+
+@register("dq_dirty_rejects", O.with_base("\nUNION ALL\n".join(
+    _domain_sql("trans", "dirty_trans", _TRANS_DOMAIN_SQL)
+    + _domain_sql("disposition", "dirty_disposition", _DISP_DOMAIN_SQL)
+    + _domain_sql("client", "dirty_client", _CLIENT_DOMAIN_SQL)), _DIRTY))
+def dq_dirty_rejects(spark, sf_dir):
+    """FL-5 on rows that break each rule."""
+    parts = [("trans", _dirty_trans, quality.trans_domain_rules()),
+             ("disposition", _dirty_disposition, quality.disposition_domain_rules()),
+             ("client", _dirty_client, quality.client_domain_rules())]
+    out = None
+    for name, rows, rules in parts:
+        counts = quality.domain_reject_counts(name, rows(spark, sf_dir), rules)
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@register("domain_split", O.with_base("""
+    SELECT coalesce(reason, 'accepted') AS outcome, CAST(count(*) AS BIGINT) AS records FROM (
+      SELECT CASE """ + " ".join(f"WHEN NOT ({p}) THEN '{n}'" for n, p in _TRANS_DOMAIN_SQL)
+    + """ END AS reason FROM dirty_trans) GROUP BY 1""", _DIRTY))
+def domain_split(spark, sf_dir):
+    """FL-5: accepted rows and rejected rows by the first rule that they break."""
+    accepted, rejected = quality.split_domain(_dirty_trans(spark, sf_dir), quality.trans_domain_rules())
+    both = (accepted.select(F.lit("accepted").alias("outcome"))
+            .unionByName(rejected.select(F.col("reject_reason").alias("outcome"))))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).cast("bigint").alias("records"))
+
+
+_DIRTY_RULES = [Rule("not_null", "trans", "account_id"), Rule("not_null", "trans", "amount"), Rule("unique", "trans", "trans_id"),
+                Rule("accepted_values", "trans", "type", values=("PRIJEM", "VYDAJ", "VYBER")),
+                Rule("accepted_values", "disposition", "type", values=("OWNER", "DISPONENT")),
+                Rule("not_null", "client", "district_id"), Rule("unique", "client", "client_id")]
+
+
+@register("dq_dirty_rules", O.with_base("\nUNION ALL\n".join(
+    _rule_sql(r).replace(" raw_", " dirty_") for r in _DIRTY_RULES), _DIRTY))
+def dq_dirty_rules(spark, sf_dir):
+    """DQ-1 ... DQ-3 on rows that break them."""
+    tables = {"trans": _dirty_trans(spark, sf_dir), "client": _dirty_client(spark, sf_dir),
+              "disposition": _dirty_disposition(spark, sf_dir)}
+    return quality.run_checks(tables, _DIRTY_RULES)
+
+
+@register("fit_dirty_scalars", O.with_base("""
+    SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE amount > 0) AS BIGINT) AS fit_rows,
+      CAST(count(*) FILTER (WHERE NOT (amount > 0) OR amount IS NULL) AS BIGINT) AS dropped_rows,
+      CAST(count(*) FILTER (WHERE account_id IS NOT NULL) AS BIGINT) AS account_rows
+    FROM dirty_trans""", _DIRTY))
+def fit_dirty_scalars(spark, sf_dir):
+    """FL-2 on amounts that are zero, negative or missing."""
+    return synth.fit_scalars(_dirty_trans(spark, sf_dir)).select("rows", "fit_rows", "dropped_rows", "account_rows")
+
+
+@register("profile_district_fallback", O.with_base("""
+    SELECT a.account_id, c.client_id, c.district_id AS client_district_id, a.district_id AS account_district_id,
+      d.name AS district_name
+    FROM (SELECT account_id, arg_max(client_id, disp_id) AS client_id FROM raw_disposition WHERE type = 'OWNER' GROUP BY 1) o
+    JOIN raw_account a USING (account_id) JOIN dirty_client c ON c.client_id = o.client_id
+    LEFT JOIN raw_district d ON d.district_id = ifnull(c.district_id, a.district_id)""", _DIRTY))
+def profile_district_fallback(spark, sf_dir):
+    """J-7 where clients have no district of their own."""
+    raw = td.raw_tables(spark, sf_dir)
+    st = mart.stage_all(raw)
+    return (profile_ops.stream_profile(st.account, st.disposition, _dirty_client(spark, sf_dir),
+                                       raw.district.withColumnRenamed("name", "district_name"))
+            .select("account_id", "client_id", "client_district_id", "account_district_id", "district_name"))

@@ -34,7 +34,10 @@ EXPECTED_QUERIES = [
     "dlq_by_reason",
     "dlq_json",
     "dlq_rerun",
+    "domain_split",
     "dq_accepted_values",
+    "dq_dirty_rejects",
+    "dq_dirty_rules",
     "dq_domain_rejects",
     "dq_foreign_keys",
     "dq_not_null",
@@ -45,6 +48,7 @@ EXPECTED_QUERIES = [
     "enriched_json",
     "fct_enriched_transactions",
     "fit_account_weights",
+    "fit_dirty_scalars",
     "fit_k_symbol",
     "fit_operation",
     "fit_scalars",
@@ -55,6 +59,7 @@ EXPECTED_QUERIES = [
     "manifest_summary",
     "mart_counts",
     "mart_materialized",
+    "profile_district_fallback",
     "profile_topics_routed",
     "reconcile_corruption",
     "reconcile_quality",
@@ -108,3 +113,14 @@ def test_matches_oracle(spark, name):
         order = sorted(range(len(cols)), key=lambda i: cols[i])
         return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=str)
     assert canon(df.columns, s_rows) == canon(d_cols, d_rows)
+
+
+def test_entry_without_the_optional_modules():
+    """The library and its queries work where the training-data subpackage isn't installed."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.modules['ledgerflow.llm'] = None; sys.modules['corpus_pipeline'] = None; "
+            "import __spark_entry__ as e; n = sorted(e.queries()); assert n == sorted(e.oracle_sql()), n; print(len(n))")
+    root = entry.__file__.rsplit("/", 1)[0]
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and int(out.stdout) == len(EXPECTED_QUERIES), out.stderr

@@ -61,3 +61,13 @@ def test_foreign_keys_reject_missing_parents(spark):
     n_disp = tables["disposition"].join(tables["account"], "account_id", "left_anti").count()
     assert res["relationships_disposition_account_id__account_account_id"][0] == n_disp > 0
     assert res["relationships_disposition_client_id__client_client_id"] == (0, "PASS")
+
+
+def test_a_failed_error_test_fails_the_run(spark):
+    import pytest
+    from ledgerflow.operators import quality
+    from ledgerflow.schemas import DQ_RESULT
+    rows = [("a", "t", "c", "error", 0, "PASS"), ("b", "t", "c", "warn", 3, "WARN")]
+    assert quality.require_passing(spark.createDataFrame(rows, DQ_RESULT)).count() == 2
+    with pytest.raises(quality.ChecksFailed, match="c1: 2"):
+        quality.require_passing(spark.createDataFrame([*rows, ("c1", "t", "c", "error", 2, "ERROR")], DQ_RESULT))

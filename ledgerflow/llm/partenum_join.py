@@ -54,7 +54,7 @@ COMMON_MOST = 1_000_000  # common shingles that are told at most (the order of o
 MOST_CLASSES = 4096      # counters of a sketch
 AT_ONCE = 512            # members compared with the first ones of their group at a time
 BROADCAST_IDS = 500_000  # ids sent to all executors at most (8 MB); more are joined by shuffle
-PIECE = 1 << 20          # characters of text at a time
+PIECE = 1 << 18          # characters of text at a time
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
@@ -152,9 +152,10 @@ def common_shingles(docs: DataFrame, rows: int) -> np.ndarray:
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(shingle_sets(_texts(batch.column(0))))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
+            text = _texts(batch.column(0))
+            for a, b in spans_of_size([len(x) for x in text], PIECE):
+                found = np.concatenate(list(shingle_sets(text[a:b])))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["h"])
 
     sample = docs.where(F.pmod(F.xxhash64("id", F.lit("common")), F.lit(share)) == 0).select("text")
     top = (sample.mapInArrow(hashes, "h long").groupBy("h").count().where(F.col("count") >= COMMON_LEAST)
@@ -301,8 +302,10 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [x.tobytes() for x in shingle_sets(_texts(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "items"])
+            text = _texts(batch.column(1))
+            for a, b in spans_of_size([len(x) for x in text], PIECE):
+                sets = [x.tobytes() for x in shingle_sets(text[a:b])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], ["id", "items"])
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:  # tasks that only see Arrow batches don't load pandas
+    import pandas as pd
+
 # White space of the word rule `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"
 

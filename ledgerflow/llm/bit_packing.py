@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .idstore import HashedStore, IdStore
-from .textbatch import odd_numbers, ragged, spans_of_size
+from .textbatch import odd_numbers, ragged, spans_of_size, worker_cache
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -235,13 +235,11 @@ class ByteEncoder:
         return self.hashed.ids_of(h, texts)
 
 
-_ENCODERS: dict[str, ByteEncoder] = {}  # of this worker
-
-
 def encoder(path: str) -> ByteEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ByteEncoder(path)
-    return _ENCODERS[path]
+    held = worker_cache("byte pieces")
+    if path not in held:
+        held[path] = ByteEncoder(path)
+    return held[path]
 
 
 _BLOCK_TYPE = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first_id", pa.int64()), ("n_ids", pa.int64()),

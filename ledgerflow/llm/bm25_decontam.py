@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import odd_numbers, ragged, spans_of_size, strings
+from .textbatch import odd_numbers, ragged, spans_of_size, strings, worker_cache
 
 K1, B = 1.2, 0.75
 BLOCK = 8                # items of a block
@@ -274,6 +274,7 @@ def _runs(h: np.ndarray, k: int) -> np.ndarray:
 def _holder(sent: Broadcast, least: float, question_share: float, answer_share: float) -> Callable[[Column], Column]:
     @F.pandas_udf(MATCH)
     def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache("benchmark")
         for column in batches:
             yield pd.Series(matches(strings(column), sent.value, least, question_share, answer_share))
 

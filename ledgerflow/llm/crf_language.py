@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .textbatch import odd_numbers, spans_of_size, strings
+from .textbatch import odd_numbers, spans_of_size, strings, worker_cache
 
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double, n_words long, n_switches long"
@@ -346,6 +346,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out: str = "
 
     @F.pandas_udf(RESULT)
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker_cache("language")
         for column in batches:
             yield label_texts(strings(column), sent.value)
 

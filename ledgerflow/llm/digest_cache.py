@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .components import stored
 from .idstore import IdStore
-from .textbatch import few, spans_of_size, strings
+from .textbatch import few, spans_of_size, strings, worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
 SCHEMA = "digest binary, tokenizer string, n_tokens long"
@@ -114,13 +114,11 @@ class Counter:
         return out
 
 
-_COUNTERS: dict[str, Counter] = {}  # of this worker
-
-
 def counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
-    return _COUNTERS[path]
+    held = worker_cache("counts")
+    if path not in held:
+        held[path] = Counter(path)
+    return held[path]
 
 
 def count_tokens(docs: DataFrame, cache: Cache, text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textbatch import worker_cache
+
 RESULT = "text string, n_found int, kinds array<string>"
 ROUNDS = 10
 REMEMBERED = 100_000     # pseudonyms that a worker remembers
@@ -243,13 +245,11 @@ class Masker:
         return ("".join([*out, text[at:]]), kinds) if kinds else (text, [])
 
 
-_MASKERS: dict[bytes, Masker] = {}  # of this worker
-
-
 def masker(key: bytes) -> Masker:
-    if key not in _MASKERS:
-        _MASKERS[key] = Masker(key)
-    return _MASKERS[key]
+    held = worker_cache("pseudonyms")
+    if key not in held:
+        held[key] = Masker(key)
+    return held[key]
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", out: str = "masked") -> DataFrame:

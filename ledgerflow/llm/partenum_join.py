@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components, stored
-from .textbatch import odd_numbers, spans_of_size
+from .textbatch import odd_numbers, spans_of_size, worker_cache
 
 SHINGLE = 5              # words
 SMALL_BAND = 64          # below, each shingle is a partition of its own
@@ -87,6 +87,7 @@ def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
     """For each text its distinct shingles as sorted 64-bit hashes."""
+    worker_cache("shingles")  # nothing is held: drops what other tasks did
     for a, b in spans_of_size([len(x) for x in texts], PIECE):
         raw = [x.encode("utf-8", "replace") for x in texts[a:b]]
         h, start = _word_hashes(np.frombuffer(b"\n".join(raw), np.uint8))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .idstore import UNITS_KEPT, HashedStore, IdStore
-from .textbatch import odd_numbers, ragged, spans_of_size, strings
+from .textbatch import odd_numbers, ragged, spans_of_size, strings, worker_cache
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -264,13 +264,11 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
-_MODELS: dict[str, Pieces] = {}  # of this worker
-
-
 def pieces(path: str) -> Pieces:
-    if path not in _MODELS:
-        _MODELS[path] = Pieces(path)
-    return _MODELS[path]
+    held = worker_cache("pieces")
+    if path not in held:
+        held[path] = Pieces(path)
+    return held[path]
 
 
 def encode(docs: DataFrame, text_col: str = "text", out: str = "pieces", model: str | None = None) -> DataFrame:

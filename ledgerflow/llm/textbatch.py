@@ -26,6 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_HELD: dict[str, dict] = {}
+
+
+def worker_cache(kind: str) -> dict:
+    """What this Python worker remembers for tasks of one kind; what it held for others is dropped."""
+    for other in [k for k in _HELD if k != kind]:
+        del _HELD[other]
+    return _HELD.setdefault(kind, {})
+
+
 FEW_ROWS = 500_000       # narrow rows (a key of up to 32 bytes) sent to all executors at most
 
 

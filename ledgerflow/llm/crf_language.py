@@ -93,8 +93,8 @@ def word_features(text: str) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np
     word = np.repeat(np.arange(len(start)), length)
     place = at - np.repeat(start, length)
     one = c[at]
-    two = np.where(at > 0, c[at - 1], 0)
-    three = np.where(place >= 2, c[at - 2], 0)
+    two = np.where(place >= 1, c[np.maximum(at - 1, 0)], 0)
+    three = np.where(place >= 2, c[np.maximum(at - 2, 0)], 0)
     bi = (one * _M1) ^ (two * _M2)
     tri = bi ^ (three * _M3)
     # The affixes: up to three letters from each end, told apart by a salt.

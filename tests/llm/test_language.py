@@ -101,3 +101,8 @@ def test_long_text_by_pieces_equals_whole(model, monkeypatch):
     cut = crf.label_texts([text], model)
     assert whole.lang_pred[0] == cut.lang_pred[0] and abs(whole.score[0] - cut.score[0]) < 1e-3
     assert whole.n_words[0] == cut.n_words[0]
+
+
+@pytest.mark.parametrize("text", ["a", "é", " b", "ab", "日"])
+def test_very_short_texts(model, text):
+    assert crf.label_texts([text], model).lang_pred[0] in model.labels

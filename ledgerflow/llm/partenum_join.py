@@ -12,7 +12,8 @@ partitions, so each set gives k + 1 signatures: those first in an order that dep
 signature's content alone (without common shingles first, then larger ones, then by hash).  Take the
 set whose last signature comes first in that order: of its k + 1 signatures one is the same in the
 other set, and comes before the other's last, so both give it.  A set holds shingles in fewer than
-k + 1 partitions only with a probability below 1e-12 (over seven standard deviations in every band).  Which shingles are common is taken from a bounded sample; it only orders.
+k + 1 partitions only with a probability estimated below 1e-12 (over seven standard deviations in every
+band, by a normal approximation).  Which shingles are common is taken from a bounded sample; it only orders.
 
 Candidates.  Rows (signature, id) are dealt and sorted by signature; a pass over each part pairs the
 members of small groups, and those of larger groups with the group's first member.  A set's sketch

@@ -15,7 +15,9 @@ get equal pseudonyms in all documents, and different values of one format differ
     secret  the value after token, secret, password or key (16 characters or more; hexadecimal
             values stay so), and access keys of the form AKIA and 16 letters and digits
 
-Numbers that don't validate stay as they are.  Separators stay in place.
+Of a card, iban or phone the longest part from its start to an end of a group of letters or digits that
+validates is taken, so what stands behind the value doesn't hide it; an iban's country length and the ten
+digits of +1 and +7 go first.  Numbers that don't validate stay as they are.  Separators stay in place.
 
 Defined results: null stays null; texts without personal data stay as they are.  A day that can be
 read both ways is read month first.  Repeated rows get the same result.  The result is one struct
@@ -60,6 +62,15 @@ PATTERN = re.compile(r"""
 | (?P<phone>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}|(?:\([0-9]{3}\)\ ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4})(?![0-9]))
 | (?P<card>(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))
 """, re.VERBOSE)
+CARD = re.compile(r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")
+# What issued cards begin with, and their lengths.
+ISSUED = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|(?:5\d|2[2-7]|35)\d{14}|3[47]\d{13}|3[0689]\d{12}|6\d{15,18}")
+# Lengths of IBANs (fixed values of the registry).
+IBAN_LENGTH = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
 _MAY = re.compile(r"[0-9@]|(?i:token|secret|passw|key)|AKIA")
 
 
@@ -129,7 +140,7 @@ def _into(shape: str, chars: str) -> str:
 
 def card(p: Permuter, text: str) -> str | None:
     digits = re.sub(r"\D", "", text)
-    if luhn(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
+    if len(digits) < 13 or luhn(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
         return None
     body = p.characters(digits[:-1], "card")
     return _into(text, body + str(luhn(body)))
@@ -212,6 +223,17 @@ KINDS: dict[str, Callable[[Permuter, str], str | None]] = {
     "secret": secret, "access": access}
 
 
+def _ends(kind: str, text: str, a: int, b: int) -> list[int]:
+    """Ends of a match to try: where the format tells its length the one of that length, then the longest first."""
+    if kind not in ("card", "iban", "phone"):
+        return [b]
+    ends = [b, *(e for e in range(b - 1, a, -1) if text[e - 1].isalnum() and not text[e].isalnum())]
+    own = IBAN_LENGTH.get(text[a:a + 2]) if kind == "iban" else 11 if text[a:a + 2] in ("+1", "+7") else None
+    if own:
+        ends.sort(key=lambda e: sum(map(str.isalnum, text[a:e])) != own)
+    return ends
+
+
 class Masker:
     def __init__(self, key: bytes):
         self.permuter = Permuter(key)
@@ -225,6 +247,30 @@ class Masker:
             self.known[k] = KINDS[kind](self.permuter, value)
         return self.known[k]
 
+    def valid(self, kind: str, text: str, a: int, b: int) -> tuple[int, int, str] | None:
+        """The span from ``a`` within a match that validates, and its pseudonym."""
+        for e in _ends(kind, text, a, b):
+            new = self.pseudonym(kind, text[a:e])
+            if new is not None:
+                return a, e, new
+        return None
+
+    def value(self, kind: str, text: str, a: int, b: int) -> tuple[int, int, str] | None:
+        """As ``valid``; a number that validates only with the head of an issued card behind it leaves the card whole."""
+        found = self.valid(kind, text, a, b)
+        if found and kind == "card":
+            e = found[1]
+            digits = re.sub(r"\D", "", text[a:e])
+            least = len(digits) + 1 if ISSUED.fullmatch(digits) else 13
+            for s in range(a + 1, e):
+                if not text[s - 1].isdigit() and (m := CARD.match(text, s)) and m.end() > e:
+                    other = self.valid(kind, text, s, m.end())
+                    if other and other[1] > e:
+                        digits = re.sub(r"\D", "", text[s:other[1]])
+                        if len(digits) >= least and ISSUED.fullmatch(digits):
+                            return other
+        return found
+
     def mask(self, text: str) -> tuple[str, list[str]]:
         if not _MAY.search(text):
             return text, []
@@ -233,12 +279,13 @@ class Masker:
         while (m := PATTERN.search(text, pos)) is not None:
             kind = "secret" if m.group("secret") is not None else m.lastgroup
             a, b = m.span("value" if kind == "secret" else kind)
-            new = self.pseudonym(kind, text[a:b])
-            if new is None:
+            found = self.value(kind, text, a, b)
+            if found is None:
                 # Not valid as this kind: look on behind its first run of letters or digits.
                 pos = a + len(re.match(r"\W*\w*", text[a:b]).group()) or a + 1
                 pos = max(pos, a + 1)
                 continue
+            a, b, new = found
             out += [text[at:a], new]
             kinds.append(kind)
             at = pos = b

@@ -55,6 +55,25 @@ def test_what_does_not_validate_stays(masker, text):
     assert masker.mask(text) == (text, [])
 
 
+@pytest.mark.parametrize("kind,value,behind", [
+    ("card", "4111 1111 1111 1111", " 12/27"), ("card", "4111 1111 1111 1111", " 124"), ("card", "4111111111111111", " 77"),
+    ("iban", "BE68 5390 0754 7034", " EUR"), ("iban", "BE68539007547034", " BIC"), ("iban", "BE68 5390 0754 7034", " KREDBEBB"),
+    ("iban", "BE68 5390 0754 7034", " IBAN OF BANK"), ("iban", "DE89 3704 0044 0532 0130 00", " EUR"),
+    ("phone", "+1 (743) 555-3824", " 24 hours"), ("phone", "+17435553824", " 24"), ("phone", "+1 743 555 3824", " 2024 1234"),
+    ("phone", "+44 20 7946 0958", " 2024 1234")])
+def test_value_with_more_behind_it(masker, kind, value, behind):
+    alone, kinds = masker.mask(value)
+    assert kinds == [kind] and alone != value
+    assert masker.mask(f"see {value}{behind}") == (f"see {alone}{behind}", [kind])
+
+
+def test_number_before_a_card_leaves_it_whole(masker):
+    alone = masker.mask("4111 1111 1111 1111")[0]
+    for n in range(10, 100):
+        masked = masker.mask(f"{n} 4111 1111 1111 1111")[0]
+        assert masked.endswith(alone) or pii.luhn(f"{n}411111111111111") == 1  # the whole number may validate
+
+
 def test_dates_are_a_permutation_of_days(masker):
     days = [f"2024-01-{d:02d}" for d in range(1, 32)]
     assert len({masker.mask(d)[0] for d in days}) == 31

@@ -11,8 +11,8 @@ get equal pseudonyms in all documents, and different values of one format differ
     ssn     ddd-dd-dddd with valid parts
     ip      four numbers of 0 to 255
     date    a calendar day of 1900 to 2099: yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy or dd/mm/yyyy
-    email   letters and digits of the local part and of all host labels but the last
-    secret  the value after token, secret, password or key (16 characters or more; hexadecimal
+    email   letters and digits of the whole local part and of all host labels but the last
+    secret  the whole value after token, secret, password or key (16 characters or more; hexadecimal
             values stay so), and access keys of the form AKIA and 16 letters and digits
 
 Of a card, iban or phone the longest part from its start to an end of a group of letters or digits that
@@ -40,6 +40,7 @@ from .textbatch import worker_cache
 RESULT = "text string, n_found int, kinds array<string>"
 ROUNDS = 10
 REMEMBERED = 100_000     # pseudonyms that a worker remembers
+PIECE = 512              # characters permuted as one number; values up to that long are remembered
 
 _DAY0 = dt.date(1900, 1, 1).toordinal()
 _DAYS = dt.date(2100, 1, 1).toordinal() - _DAY0
@@ -51,9 +52,11 @@ _CLASS = {c: k for k in CLASSES for c in k}
 _HEX = {c: k for k in ("0123456789abcdef",) for c in k}
 _UPPER = {c: k for k in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",) for c in k}
 
-PATTERN = re.compile(r"""
-  (?P<email>[\w.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))
-| (?P<secret>(?<![A-Za-z])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,3}[:=]\s{0,3}["']?(?P<value>[A-Za-z0-9+/_=.-]{16,512}))
+_LOCAL = r"[\w.+%-]"
+EMAIL = re.compile(_LOCAL + r"++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])")
+_LOCALS = re.compile(_LOCAL + "+")
+PATTERN = re.compile(rf"(?P<email>(?<!{_LOCAL}){EMAIL.pattern})" + r"""
+| (?P<secret>(?<![A-Za-z])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,3}[:=]\s{0,3}["']?(?P<value>[A-Za-z0-9+/_=.-]{16,}+))
 | (?P<access>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))
 | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
 | (?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))
@@ -97,7 +100,18 @@ class Permuter:
                 return value
 
     def characters(self, text: str, kind: str, classes: dict[str, str] = _CLASS) -> str:
-        """Each letter or digit becomes one of its class; the text is permuted as one number."""
+        """Each letter or digit becomes one of its class.
+
+        The text is permuted as one number; of a longer one than PIECE each piece is, by a permutation that
+        depends on the piece's place and on the text before it.
+        """
+        out, before = [self._piece(text[:PIECE], kind, classes)], hashlib.blake2b(digest_size=16)
+        for at in range(PIECE, len(text), PIECE):
+            before.update(text[at - PIECE:at].encode("utf-8", "surrogatepass"))
+            out.append(self._piece(text[at:at + PIECE], f"{kind}:{at}:{before.hexdigest()}", classes))
+        return "".join(out)
+
+    def _piece(self, text: str, kind: str, classes: dict[str, str]) -> str:
         value, n = 0, 1
         for c in text:
             if c in classes:
@@ -240,6 +254,8 @@ class Masker:
         self.known: dict[tuple[str, str], str | None] = {}
 
     def pseudonym(self, kind: str, value: str) -> str | None:
+        if len(value) > PIECE:
+            return KINDS[kind](self.permuter, value)
         k = (kind, value)
         if k not in self.known:
             if len(self.known) > REMEMBERED:
@@ -285,10 +301,15 @@ class Masker:
                 pos = a + len(re.match(r"\W*\w*", text[a:b]).group()) or a + 1
                 pos = max(pos, a + 1)
                 continue
-            a, b, new = found
+            start, (a, b, new) = m.start(), found
             out += [text[at:a], new]
             kinds.append(kind)
             at = pos = b
+            # A value that began before an email's local part and ended in it: the rest is the local part.
+            if (m := EMAIL.match(text, b)) if not _LOCALS.fullmatch(text, start, b) else None:
+                out.append(self.pseudonym("email", m.group()))
+                kinds.append("email")
+                at = pos = m.end()
         return ("".join([*out, text[at:]]), kinds) if kinds else (text, [])
 
 

@@ -74,6 +74,54 @@ def test_number_before_a_card_leaves_it_whole(masker):
         assert masked.endswith(alone) or pii.luhn(f"{n}411111111111111") == 1  # the whole number may validate
 
 
+def _letters(n):
+    return "".join("abcdefghijklmnopqrstuvwxyz0123456789"[(i * i + i // 7) % 36] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 513, 1024, 2000, 100_000])
+def test_long_secret_goes_whole(masker, n):
+    value = _letters(n)
+    masked, kinds = masker.mask(f"token={value} end")
+    new = re.fullmatch("token=(.*) end", masked).group(1)
+    assert kinds == ["secret"] and len(new) == n
+    assert all(new[i:i + 20] != value[i:i + 20] for i in range(0, n - 19, 20)) and new[-8:] != value[-8:]
+    assert masker.mask(f"token={value} end")[0] == masked
+
+
+def test_pieces_of_long_values_depend_on_their_place(masker):
+    p = masker.permuter
+    new = p.characters("a" * 3 * pii.PIECE, "x")
+    assert len({new[i:i + pii.PIECE] for i in range(0, len(new), pii.PIECE)}) == 3
+    one, other = p.characters("a" + "c" * 1000, "x"), p.characters("b" + "c" * 1000, "x")
+    assert one[-400:] != other[-400:]
+    p = pii.Permuter(KEY)  # still a permutation where a text has several pieces
+    was, pii.PIECE = pii.PIECE, 1
+    try:
+        assert len({p.characters(f"{i:03d}", "x") for i in range(1000)}) == 1000
+    finally:
+        pii.PIECE = was
+
+
+@pytest.mark.parametrize("n", [64, 65, 300])
+def test_long_local_part_goes_whole(masker, n):
+    local = _letters(n)
+    masked, kinds = masker.mask(f"to {local}@example.com.")
+    new = re.fullmatch(r"to (.*)@(.*)\.com\.", masked).group(1)
+    assert kinds == ["email"] and len(new) == n and new[:10] != local[:10] and new[-10:] != local[-10:]
+
+
+def test_email_behind_another_value(masker):
+    masked, kinds = masker.mask("(743) 555-3824john.smith@example.com")
+    assert kinds == ["phone", "email"] and "john" not in masked and "example" not in masked
+    masked, kinds = masker.mask("token=abcdefghijklmnopqrst%john@example.com")
+    assert kinds == ["secret", "email"] and "john" not in masked and "example" not in masked
+
+
+def test_long_runs_take_time_in_proportion(masker):
+    for text in ("9 " + "a.b-" * 500_000, "1.2.3.4-" * 30_000, "token=" + "x" * 200_000):
+        masker.mask(text)
+
+
 def test_dates_are_a_permutation_of_days(masker):
     days = [f"2024-01-{d:02d}" for d in range(1, 32)]
     assert len({masker.mask(d)[0] for d in days}) == 31

@@ -76,12 +76,12 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def word_features(text: str) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
-    """Words of a text as (start, length) in the lower-cased text, and the features of each.
+    """Words of a lower-cased text as (start, length), and the features of each.
 
     A feature set is (table, place, bucket): ``place`` has the word's number for each bucket and
     doesn't fall.
     """
-    raw = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+    raw = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     letter = _is_letter()[raw]
     flips = np.flatnonzero(np.diff(np.concatenate(([0], letter.view(np.int8), [0]))))
     start, stop = flips[0::2], flips[1::2]
@@ -127,7 +127,7 @@ def _scores(n_words: int, features, weights: np.ndarray) -> np.ndarray:
 
 
 def emissions(text: str, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, length and score of each label for the words of a text, by pieces of bounded size."""
+    """Start, length and score of each label for the words of a lower-cased text, by pieces of bounded size."""
     starts, lengths, scores, at = [], [], [], 0
     while at < len(text):
         end = min(len(text), at + PIECE)
@@ -246,7 +246,7 @@ def train(spans: list[tuple[str, str]], rounds: int = 60, seed: int = 1) -> Mode
     # Runs of 4 to 32 words of one span, shuffled: neighbours differ in language.
     runs, parts, gold_of, n_words = [], [[] for _ in range(TABLES)], [], 0
     for lab, span in sorted(spans):
-        start, _, feats = word_features(span)
+        start, _, feats = word_features(span.lower())
         for tab, place, bucket in feats:
             parts[tab].append((place + n_words, bucket))
         gold_of.append(np.full(len(start), of[lab]))
@@ -317,11 +317,12 @@ def label_texts(texts: list[str], model: Model) -> pd.DataFrame:
     lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
     words, switches = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     for a, b in spans_of_size([len(x) for x in texts], PIECE) if model.labels else ():
-        joined = "\n".join(texts[a:b])
+        lowered = [x.lower() for x in texts[a:b]]  # may be longer than the text
+        joined = "\n".join(lowered)
         start, length, scores = emissions(joined, model.weights)
         if not len(start):
             continue
-        ends = np.cumsum([len(x) + 1 for x in texts[a:b]])
+        ends = np.cumsum([len(x) + 1 for x in lowered])
         doc = np.searchsorted(ends, start, side="right")
         begin = np.flatnonzero(np.diff(doc, prepend=-1))
         post = posteriors(scores, begin, model.transitions)

@@ -106,3 +106,16 @@ def test_long_text_by_pieces_equals_whole(model, monkeypatch):
 @pytest.mark.parametrize("text", ["a", "é", " b", "ab", "日"])
 def test_very_short_texts(model, text):
     assert crf.label_texts([text], model).lang_pred[0] in model.labels
+
+
+def test_letters_that_grow_in_lower_case(model, monkeypatch):
+    texts = ["\u0130\u0130\u0130\u0130\u0130\u0130 a", "12 34", *[t for _, t in crf_spans()], "\u0130stanbul \u0130zmir \u0130" * 9, "--", "the end of it"]
+    for piece in (crf.PIECE, 64):
+        monkeypatch.setattr(crf, "PIECE", piece)
+        together = crf.label_texts(texts, model)
+        for i, text in enumerate(texts):
+            alone = crf.label_texts([text], model).iloc[0]
+            row = together.iloc[i]
+            assert (row.lang_pred, row.n_words, row.n_switches) == (alone.lang_pred, alone.n_words, alone.n_switches)
+            assert abs(row.score - alone.score) < 1e-4
+    assert together.lang_pred[1] == together.lang_pred[5] == "und"

@@ -8,7 +8,7 @@ element.  The minimum cut is the labelling of least cost: blocks on the source's
 
 The classifier is fitted to a bounded sample of pages (``sample_pages``).  Its labels come from
 elements and names that say what they hold (article, nav, class="ad", ...): the nearest such ancestor
-counts.  Weights are drawn towards a prior, which holds alone where a sample has no labels.
+counts; of a body, main, article or heading only whole classes and roles do.  Weights are drawn towards a prior, which holds alone where a sample has no labels.
 
 Blocks: character references are decoded, white space becomes one space, ends are trimmed; blocks of
 the text are joined by an empty line in page order.
@@ -36,8 +36,7 @@ from .textbatch import strings
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option
 p pre search section summary table tbody td tfoot th thead title tr ul""".split())
-SILENT = frozenset("""script style noscript template title textarea select svg math iframe object canvas audio video
-button datalist""".split())
+SILENT = frozenset("script style noscript template title textarea select svg iframe button datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # A start of the first closes an open one of the second.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -46,14 +45,17 @@ SCOPES = frozenset(["table", "ul", "ol", "dl", "div", "article", "section", "bod
                     "footer", "header"])
 
 CONTENT_TAGS = frozenset(["article", "main"])
-BOILER_TAGS = frozenset(["nav", "footer", "aside", "form", "menu", "dialog", "head", "figcaption"])
+BOILER_TAGS = frozenset(["nav", "footer", "aside", "form", "menu", "dialog", "head"])
 BOILER_NAMES = re.compile(r"""(?ix)(?<![a-z])(?:nav|navbar|navigation|menu|side-?bar|footer|masthead|site-?header|page-?header
 |top-?bar|comments?|reply|replies|respond|disqus|promo|advert\w*|ads?|sponsor\w*|banner|cookies?|consent|notices?|alert
 |share|sharing|social|related|recommend\w*|trending|popular|subscribe|newsletter|breadcrumbs?|pagination|pager|widget
 |pop-?up|modal|overlay|legal|copyright|login|log-?in|sign-?up|register|search|skip|tags|toolbar|contentinfo|complementary
 |rail|teaser|outbrain|taboola|paywall|toc|meta)(?![a-z])""")
 CONTENT_NAMES = re.compile(r"(?ix)(?<![a-z])(?:article|article-?body|content|main|main-?content|post|post-?body|entry|story|body-?text)(?![a-z])")
-_NAMES = re.compile(r"""(?is)\b(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
+# A page's or an article's own element, or a heading: only a whole class or role says what it is.
+WHOLE = frozenset(["body", "main", "article", "h1", "h2", "h3", "h4", "h5", "h6"])
+_HAS = re.compile(r"(?i)(?:no|not|has|with|without|hide)[-_]")  # with-sidebar is no sidebar
+_NAMES = re.compile(r"""(?is)\b(class|id|role|itemprop|aria-label|data-component)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
 
@@ -73,15 +75,24 @@ class Block:
     said: int                # 1: the nearest telling ancestor says content; -1: boilerplate; 0: none
 
 
-def _said(tag: str, attributes: str) -> int:
+def _said(tag: str, attributes: str, above: int) -> int:
+    """What an element says of its text; ``above``: what those around it say."""
     if tag in BOILER_TAGS:
         return -1
     if "=" in attributes:
-        names = " ".join(_NAMES.findall(attributes))
-        if names:
-            if BOILER_NAMES.search(names):
+        names = [(k.lower(), w) for k, v in _NAMES.findall(attributes) for w in v.strip("\"'").split() if not _HAS.match(w)]
+        if tag in WHOLE:
+            tokens = [w for k, w in names if k in ("class", "role")]
+            if tag != "body" and any(map(BOILER_NAMES.fullmatch, tokens)):  # a page's body holds its article
                 return -1
-            if CONTENT_NAMES.search(names):
+            if any(map(CONTENT_NAMES.fullmatch, tokens)):
+                return 1
+        elif names:
+            # A part of a section's id within an article is an anchor's (related-work).
+            words = " ".join(w for k, w in names if k != "id" or tag != "section" or above <= 0 or BOILER_NAMES.fullmatch(w))
+            if BOILER_NAMES.search(words):
+                return -1
+            if CONTENT_NAMES.search(words):
                 return 1
     return 1 if tag in CONTENT_TAGS else 0
 
@@ -164,7 +175,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
         number += 1
-        stack.append((tag, _said(tag, m[3]) or stack[-1][1], number, tag in BLOCK))
+        stack.append((tag, _said(tag, m[3], stack[-1][1]) or stack[-1][1], number, tag in BLOCK))
         if tag == "a":
             links += 1
     flush()

@@ -50,6 +50,32 @@ def test_article_without_the_rest():
     assert mx.main_text(PAGE.format(), mx.PRIOR) == TEXT
 
 
+ARTICLE = ("<p>First paragraph of the article, with text that is long enough.</p><h2 id=\"legal\">Legal matters, told</h2>"
+           "<section id=\"related-work\"><p>Other papers have looked at this question, at length.</p></section>"
+           "<figure><img src=a><figcaption>A caption of the figure, with its words.</figcaption></figure>"
+           "<p>The formula <math><mi>x</mi><mo>=</mo><mn>7</mn></math> holds, as we have seen before.</p>"
+           "<p><object>A described drawing, shown in words.</object></p>")
+KEPT = ["First paragraph of the article, with text that is long enough.", "Legal matters, told",
+        "Other papers have looked at this question, at length.", "A caption of the figure, with its words.",
+        "The formula x=7 holds, as we have seen before.", "A described drawing, shown in words."]
+
+
+@pytest.mark.parametrize("page", [
+    "<body><article>{}</article>", "<body class='with-sidebar'><article>{}</article>", "<main class='content no-sidebar'>{}</main>",
+    "<article class='post share-enabled'>{}</article>", "<body class='page-search popular'><main id='no-menu'>{}</main>",
+    "<div class='content has-banner'>{}</div>"])
+def test_article_keeps_captions_formulas_and_anchored_parts(page):
+    page = page.format(ARTICLE + "<div class='sidebar'><p>Buy our things now, please.</p></div>")
+    assert mx.main_text(page, mx.PRIOR).split("\n\n") == KEPT
+
+
+@pytest.mark.parametrize("page", [
+    "<article class='comment'><p>Nice article, thank you for it.</p></article>", "<section id='comments'><p>Nice article, thank you.</p></section>",
+    "<main><section id='related'><p>Related stories, of other days.</p></section></main>", "<section class='related-posts'><p>More stories.</p></section>"])
+def test_what_says_boilerplate_goes(page):
+    assert mx.main_text(page, mx.PRIOR) == ""
+
+
 def test_training_moves_weights_and_needs_no_labels():
     blocks = [b for b in mx.blocks_of(PAGE.format()) if b.said]
     w = mx.train(mx.features(blocks), np.array([b.said for b in blocks]))

@@ -4,7 +4,8 @@ Each row is a point: numbers are scaled to 20 bits between the table's least and
 texts are placed by a hash.  A node that has to become n shards is split along its widest dimension
 at the key where the rows before hold the share of bytes that the left shards need; a key is the
 place in that dimension, then a hash of the text, then one of the id, so rows of one place can be
-split and equal texts stay side by side.  The weighted median is found by distributed histograms:
+split and equal texts of one place are side by side.  Splits along the id's dimension scatter equal
+texts over shards, also groups of two.  The weighted median is found by distributed histograms:
 each pass sums bytes by 10 more bits of the key, in all nodes of a level at once, until the cut falls
 on one row or the key is used up.  So each leaf is its share of the bytes but for about a row.
 

@@ -117,3 +117,95 @@ FROM l{level}, tab"""
 
 
 OP6_SQL = _kd_sql()
+
+
+# All phrases of one to four words counted, then the rules of the list on whole tables.
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+f AS (
+  SELECT lang, k, list_slice(ws, i, i + k - 1) AS ws, count(*) AS n
+  FROM i, range(1, 5) r(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT lang, k, ws, n AS a FROM f WHERE k > 1 AND n >= 30),
+scored AS (
+  SELECT c.lang, c.ws, c.a, x.n AS l, y.n AS r, (2000000::HUGEINT * c.a) // (x.n + y.n) AS score,
+    row_number() OVER (PARTITION BY c.lang, c.ws ORDER BY (2000000::HUGEINT * c.a) // (x.n + y.n), cut) AS nth
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidate) c
+  JOIN f x ON x.lang = c.lang AND x.ws = list_slice(c.ws, 1, cut)
+  JOIN f y ON y.lang = c.lang AND y.ws = list_slice(c.ws, cut + 1, c.k)),
+longer AS (
+  SELECT lang, list_slice(ws, b, b + size - 1) AS ws, max(a) AS a
+  FROM candidate, range(2, 4) s(size), range(1, 4) t(b) WHERE size < k AND b + size - 1 <= k GROUP BY ALL),
+kept AS (
+  SELECT s.lang, array_to_string(s.ws, ' ') AS phrase, s.a, s.l, s.r, s.score
+  FROM scored s LEFT JOIN longer o ON o.lang = s.lang AND o.ws = s.ws
+  WHERE s.nth = 1 AND (o.a IS NULL OR 100::HUGEINT * o.a < 80::HUGEINT * s.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+# Each window of 20 words by its words; a word goes with any window that isn't the first of its kind.
+OP12_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+h AS (
+  SELECT doc_id, ws[i] AS word, i, CASE WHEN i + 19 <= len(ws) THEN md5(array_to_string(list_slice(ws, i, i + 19), ' ')) END AS h
+  FROM s),
+g AS (
+  SELECT doc_id, word, i, h IS NOT NULL AND row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS later FROM h),
+c AS (
+  SELECT doc_id, word, i, bool_or(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM g),
+k AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM c GROUP BY doc_id)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+# Near words share a pattern: with one letter replaced by a star, or with a star put between two.
+OP13_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+  FROM range(256) r(i)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-zÀ-ÿ]+')) AS run
+  FROM documents),
+each AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295::BIGINT] || list_transform(
+    regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..'), lambda x: CAST(('0x' || x) AS BIGINT)),
+    lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM each, tab),
+made AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+    ELSE run END AS word, n
+  FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+patterns AS (
+  SELECT word, n, substr(word, 1, CAST(i AS INTEGER)) || '*' || substr(word, CAST(i AS INTEGER) + 1 + d) AS p
+  FROM (SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM words), (VALUES (0), (1)) v(d) WHERE i < length(word) OR d = 0),
+pairs AS (SELECT DISTINCT x.word, y.word AS near, y.n AS near_n FROM patterns x JOIN patterns y ON x.p = y.p AND x.word <> y.word),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+    row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS nth
+  FROM pairs),
+found AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form,
+    CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word AND b.nth = 1),
+chain AS (
+  SELECT word, form AS root FROM found WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN found f ON f.word = c.root WHERE f.form IS NOT NULL),
+last AS (SELECT c.word, c.root FROM chain c JOIN found f ON f.word = c.root WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(l.root, f.word) AS root, f.n, f.n_near, f.form_n FROM found f LEFT JOIN last l USING (word)
+"""

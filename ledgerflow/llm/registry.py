@@ -17,10 +17,13 @@ from . import (
     kd_shards,
     mincut_extract,
     partenum_join,
+    phrase_mining,
     piece_trie,
+    spelling_variants,
+    substring_dedup,
     suffix_repeats,
 )
-from .oracles import OP6_SQL, OP7_SQL, OP10_SQL
+from .oracles import OP6_SQL, OP7_SQL, OP10_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 from .textbatch import table
 
 
@@ -102,10 +105,27 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "rules.n_repeat_words", "rules.base_failed", "rules.kept"))
 
 
+def op11_toivonen_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocated phrases of each language."""
+    return phrase_mining.collocations(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
+def op12_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each whole document and what is left without repeated windows of 20 words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs).select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
+
+
+def op13_pivotal_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of the documents with its more frequent form and the form's last root."""
+    return spelling_variants.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _QUERIES = {f.__name__: f for f in (
     op1_crf_language, op2_bm25_decontam, op3_bit_packing, op4_mincut_extract, op5_feistel_pii, op6_kd_shards, op7_partenum_join,
-    op8_piece_trie, op9_digest_cache, op10_suffix_repeats)}
-_ORACLES = {"op6_kd_shards": OP6_SQL, "op7_partenum_join": OP7_SQL, "op10_suffix_repeats": OP10_SQL}
+    op8_piece_trie, op9_digest_cache, op10_suffix_repeats, op11_toivonen_phrases, op12_doubling_dedup, op13_pivotal_variants)}
+_ORACLES = {"op6_kd_shards": OP6_SQL, "op7_partenum_join": OP7_SQL, "op10_suffix_repeats": OP10_SQL, "op11_toivonen_phrases": OP11_SQL,
+            "op12_doubling_dedup": OP12_SQL, "op13_pivotal_variants": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

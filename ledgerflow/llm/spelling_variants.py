@@ -7,13 +7,13 @@ results of MIN_LENGTH code points with MIN_COUNT occurrences are the words.
 Near words (one code point inserted, deleted or replaced).  A word's bigrams are ordered by how often they
 are in the vocabulary, the rarest first; its prefix holds the first three and all that rank equal to the
 third.  Of these, dynamic programming picks the two pivots: bigrams that don't overlap, of the least
-frequency together.  One edit leaves one of two disjoint bigrams whole: the first pivot, and all before
+frequency together (the first at its distance from the start, the second at its distance from the end).  One edit leaves one of two disjoint bigrams whole: the first pivot, and all before
 it, if the edit is behind it; otherwise the second, and all behind it.  Take the word whose prefix ends
 earlier in the order (either, if both end alike): its pivot ranks within the other's prefix.  So words meet
 where a pivot of one is among the prefix bigrams of the other, at the same distance from the start with the
 same letters before it, or from the end with the same behind it, and lengths at most one apart (the position
 limits).  They are verified by the bits of their letters and by edit distance in the join.  The table of
-bigrams has 90 x 90 rows at most.  Keys with many words are dealt over several tasks.
+bigrams has 90 x 90 x 16 places at most.  Keys with many words are dealt over several tasks.
 
 Defined results: null and empty texts have no words; a null id counts as an empty string; rows of one id
 count each; an empty table has no words.
@@ -76,32 +76,46 @@ def _grams(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return who[inner], inner - begin[who[inner]], letters[inner] * LETTERS + letters[inner + 1]
 
 
+PLACES = 16               # places from the start and from the end that are told apart; the last stands for all further ones
+
+
 def gram_counts(vocabulary: DataFrame) -> np.ndarray:
-    """How often each of the 90 x 90 bigrams occurs in the vocabulary."""
+    """How often each of the 90 x 90 bigrams occurs in the vocabulary, by place from the start [0] and from the end [1]."""
+    shape = (2, LETTERS * LETTERS, PLACES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(LETTERS * LETTERS, np.int64)
+        total = np.zeros(2 * LETTERS * LETTERS * PLACES, np.int64)
         for batch in batches:
-            total += np.bincount(_grams(batch.column("word").to_pylist())[2], minlength=len(total))
+            who, pos, gram = _grams(batch.column("word").to_pylist())
+            for cell in _cells(who, pos, gram):
+                total += np.bincount(cell, minlength=len(total))
         some = np.flatnonzero(total)
-        yield pa.record_batch([some.astype(np.int32), total[some]], names=["gram", "n"])
-    found = vocabulary.select("word").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    out = np.zeros(LETTERS * LETTERS, np.int64)
-    for gram, n in found.collect():   # 8,100 rows at most
-        out[gram] = n
+        yield pa.record_batch([some.astype(np.int32), total[some]], names=["cell", "n"])
+    found = vocabulary.select("word").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    out = np.zeros(shape, np.int64)
+    for cell, n in found.toLocalIterator():   # 2 x 129,600 rows at most
+        out.flat[cell] = n
     return out
 
 
-def pivots(places: np.ndarray, costs: np.ndarray, sizes: np.ndarray, wanted: int = EDITS + 1) -> np.ndarray:
-    """For rows of ``sizes`` bigrams in order of place: marks ``wanted`` that don't overlap, of the least cost together.
+def _cells(who: np.ndarray, pos: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the table of counts of bigrams, of each word in order: by distance from the start and from the end."""
+    ends = pos[np.searchsorted(who, who, "right") - 1] - pos
+    return (gram * PLACES + np.minimum(pos, PLACES - 1),
+            (LETTERS * LETTERS + gram) * PLACES + np.minimum(ends, PLACES - 1))
+
+
+def pivots(places: np.ndarray, costs: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """For rows of ``sizes`` bigrams in order of place: marks len(costs) that don't overlap, of the least cost together.
 
-    best[j][i] is the least cost of j + 1 disjoint bigrams of which i is the last.
+    costs[j] holds what each would cost as the j-th; best[j][i] is the least cost of j + 1 of which i is the last.
     """
     rows, width = places.shape
     far = np.int64(2**62)
     inside = np.arange(width) < sizes[:, None]
-    best = [np.where(inside, costs, far)]
+    best = [np.where(inside, costs[0], far)]
     back = []
-    for _ in range(1, wanted):
+    for cost in costs[1:]:
         now, come = np.full((rows, width), far), np.zeros((rows, width), np.int64)
         least, which = np.full(rows, far), np.zeros(rows, np.int64)    # over bigrams that end before the next begins
         done = np.zeros(rows, np.int64)
@@ -112,7 +126,7 @@ def pivots(places: np.ndarray, costs: np.ndarray, sizes: np.ndarray, wanted: int
                 better = open_ & (value < least)
                 least, which = np.where(better, value, least), np.where(better, done, which)
                 done = done + open_
-            now[:, i] = np.where(inside[:, i] & (least < far), least + np.where(inside[:, i], costs[:, i], 0), far)
+            now[:, i] = np.where(inside[:, i] & (least < far), least + cost[:, i], far)
             come[:, i] = which
         best.append(now)
         back.append(come)
@@ -127,9 +141,9 @@ def pivots(places: np.ndarray, costs: np.ndarray, sizes: np.ndarray, wanted: int
 
 def index(vocabulary: DataFrame, counts: np.ndarray) -> DataFrame:
     """A row for each bigram of each word's prefix: (word, n, bits, last, len, gram, pos, pivot); pivots are 1 and 2, others 0."""
-    order = np.lexsort((np.arange(len(counts)), counts))
-    rank = np.empty(len(counts), np.int64)
-    rank[order] = np.arange(len(counts))
+    total = counts[0].sum(1)
+    rank = np.empty(len(total), np.int64)
+    rank[np.lexsort((np.arange(len(total)), total))] = np.arange(len(total))
     first = GRAM * EDITS + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +152,7 @@ def index(vocabulary: DataFrame, counts: np.ndarray) -> DataFrame:
                 batch = whole.slice(a, 20_000)
                 names = batch.column("word").to_pylist()
                 who, pos, gram = _grams(names)
+                cells = _cells(who, pos, gram)
                 ranked = rank[gram]
                 by_rank = np.lexsort((ranked, who))
                 heads = np.searchsorted(who, np.arange(len(names)))
@@ -146,8 +161,10 @@ def index(vocabulary: DataFrame, counts: np.ndarray) -> DataFrame:
                 who, pos, gram, ranked = who[inside], pos[inside], gram[inside], ranked[inside]
                 sizes = np.bincount(who, minlength=len(names))
                 column = np.arange(len(who)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                places, costs = np.zeros((2, len(names), sizes.max()), np.int64)
-                places[who, column], costs[who, column] = pos, counts[gram]
+                places, *costs = np.zeros((3, len(names), sizes.max()), np.int64)
+                places[who, column] = pos
+                for cost, cell in zip(costs, cells):
+                    cost[who, column] = counts.ravel()[cell[inside]]
                 mark = pivots(places, costs, sizes)
                 mark = (mark * np.cumsum(mark, 1))[who, column]
                 letters, n = _code_points(names)

@@ -12,8 +12,10 @@ and the next pass counts the phrases that have come into reach by it.  When a pa
 frequent phrases have been counted: both parts of a frequent phrase are frequent, so proposed by then.
 
 The proposed set is a KeySet of fixed size.  A phrase that it takes for proposed by chance only means that
-more is counted, and nothing is counted twice: a pass leaves out what was within reach before.  Each
-phrase is counted by its own characters; a batch's phrases are added up before they are shuffled.
+more is counted, and nothing is counted twice: a pass leaves out what was within reach before.  These
+passes count 64-bit hashes of phrases; two phrases of one hash only make a count too large.  So a last pass
+counts the phrases of frequent hashes by their own characters.  A batch's phrases are added up before
+they are shuffled.
 
 Defined results: null and empty texts have no words; a null language is `und`; rows of one id count
 each; an empty table gives no phrases.
@@ -30,12 +32,12 @@ from pyspark.sql import functions as F
 
 from .components import stored
 from .keysets import KeySet, copied, dealt, hot_keys
-from .textbatch import ragged, small_batches
-from .wordhash import byte_table, cut, hashes, mixed, seed, text_bytes
+from .textbatch import ragged, slices, small_batches
+from .wordhash import byte_table, cut, mixed, seed, text_bytes
 
 LONGEST = 4
 LEAST = 30                # occurrences of a candidate
-SAMPLE = 8                # one document of so many
+SAMPLE = 16               # one document of so many
 SAMPLE_LEAST = 2          # occurrences in the sample that propose
 TOP = 2000
 UNKNOWN = "und"
@@ -45,12 +47,13 @@ _OUTSIDE = _BREAKS | byte_table(b" \t")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEP = np.uint64(0x9FB21C651E98DF25)
-_HASHES = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
-_COUNTS = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("hash", pa.int64()), ("n", pa.int64())])
+_HASHES = pa.schema([("k", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
+_COUNTS = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+_PIECE = 4 << 20          # bytes of text looked at together
 
 
 class _Phrases:
-    """Words of a batch; the phrases of k words that begin at each, told by hashes that hold the language."""
+    """Words of a batch, with hashes that hold the language, and where phrases of k words begin."""
 
     def __init__(self, batch: pa.RecordBatch):
         data, bounds = text_bytes(batch.column("text"))
@@ -58,81 +61,84 @@ class _Phrases:
         self.langs = batch.column("lang").dictionary_encode()
         self.lang = self.langs.indices.to_numpy(zero_copy_only=False)[w.row]
         seeds = np.array([seed(x) for x in self.langs.dictionary.to_pylist()], np.uint64)
-        broken = np.concatenate([[0], np.cumsum(_BREAKS[w.data])])
-        self.piece = broken[w.start] + w.row if len(w.start) else np.zeros(0, np.int64)  # equal within a piece only
-        self.by_size = {1: mixed(w.hash ^ seeds[self.lang]) if len(w.hash) else w.hash}
+        self.single = mixed(w.hash ^ seeds[self.lang]) if len(w.hash) else w.hash
+        self.next = np.diff(w.row) == 0                                # the next word is in the same piece
+        at, byte = np.arange(len(w.end) - 1) if len(w.end) else w.end, w.end[:-1]
+        for _ in range(3):                                             # bytes between the two, one after another
+            near = byte < w.start[at + 1]
+            at, byte = at[near], byte[near]
+            self.next[at[_BREAKS[w.data[byte]]]] = False
+            byte = byte + 1
+        breaks = np.flatnonzero(_BREAKS[w.data]) if len(at) else at    # longer gaps
+        self.next[at[np.searchsorted(breaks, byte) < np.searchsorted(breaks, w.start[at + 1])]] = False
+
+    def levels(self, proposed: KeySet | None, before: KeySet | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(k, starts, hashes) of phrases both of whose parts are proposed (None: any), but were not before."""
+        starts, hashed = np.arange(len(self.single)), self.single
+        yield 1, starts[:0] if before else starts, hashed[:0] if before else hashed
+        old = np.ones(len(starts), bool)          # of the starts: within reach before
         for k in range(2, LONGEST + 1):
-            a, n = self.by_size[k - 1], max(len(w.hash) - k + 1, 0)
-            self.by_size[k] = mixed(a[:n] * _STEP + self.by_size[1][k - 1:k - 1 + n])
+            ok = np.ones(len(starts), bool) if proposed is None else proposed.has(hashed)
+            was = old & before.has(hashed) if before else old
+            starts, hashed, was = starts[ok], hashed[ok], was[ok]
+            pair = np.flatnonzero((np.diff(starts) == 1) & self.next[starts[:-1] + k - 2]) if len(starts) else starts
+            starts, old = starts[pair], was[pair] & was[pair + 1] if len(pair) else pair.astype(bool)
+            hashed = mixed(hashed[pair] * _STEP + self.single[starts + k - 1])
+            yield (k, starts, hashed) if before is None else (k, starts[~old], hashed[~old])
 
-    def starts(self, k: int) -> np.ndarray:
-        """Words with which a phrase of k words begins."""
-        n = max(len(self.piece) - k + 1, 0)
-        return np.flatnonzero(self.piece[:n] == self.piece[k - 1:k - 1 + n]) if k > 1 else np.arange(n)
 
-    def reached(self, k: int, starts: np.ndarray, proposed: KeySet) -> np.ndarray:
-        """Whether both parts of a phrase are proposed."""
-        part = self.by_size[k - 1]
-        out = proposed.has(part[starts])
-        out[out] = proposed.has(part[starts[out] + 1])
-        return out
+def _tally(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the hashes, where each distinct one begins in it, and how many there are of it."""
+    order = np.argsort(hashed)
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(hashed[order]) != 0])) if len(hashed) else order
+    return order, heads, np.diff(np.append(heads, len(hashed)))
 
 
-def _sampled(docs: DataFrame) -> DataFrame:
-    """(hash, n) of all phrases but the longest in the documents given."""
+def _hash_counts(docs: DataFrame, proposed: KeySet | None, before: KeySet | None, most: int = LONGEST) -> DataFrame:
+    """(k, hash, n) of phrases within reach of ``proposed`` and not of ``before``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b, "text", _PIECE)):
+            for k, _, hashed in _Phrases(batch).levels(proposed, before):
+                if k <= most and len(hashed):
+                    order, heads, n = _tally(hashed)
+                    yield pa.record_batch([np.full(len(heads), k, np.int32), hashed[order[heads]].view(np.int64), n], schema=_HASHES)
+    return (docs.select("lang", "text").mapInArrow(run, "k int, hash long, n long")
+            .groupBy("k", "hash").agg(F.sum("n").alias("n")))
+
+
+def _exact_counts(docs: DataFrame, wanted: KeySet) -> DataFrame:
+    """(lang, k, phrase, n) of phrases of wanted hashes, counted by their characters; for each language a
+    row of k = 0 with the number of words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (s for b in batches for s in slices(b, "text", _PIECE)):
             p = _Phrases(batch)
-            found = np.concatenate([p.by_size[k][p.starts(k)] for k in range(1, LONGEST)])
-            values, n = np.unique(found, return_counts=True)
-            yield pa.record_batch([values.view(np.int64), n], schema=_HASHES)
-    return docs.select("lang", "text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-
+            n = np.bincount(p.lang, minlength=len(p.langs.dictionary))
+            yield pa.record_batch([p.langs.dictionary, np.zeros(len(n), np.int32), pa.array([""] * len(n), pa.string()),
+                                   n.astype(np.int64)], schema=_COUNTS)
+            for k, starts, hashed in p.levels(wanted):
+                ok = wanted.has(hashed)
+                yield from _phrase_rows(p, k, starts[ok], hashed[ok])
+    return (docs.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
+            .groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")))
 
-def _counted(docs: DataFrame, proposed: KeySet, before: KeySet | None) -> DataFrame:
-    """(lang, k, phrase, hash, n): phrases within reach of ``proposed`` and not of ``before``.
 
-    Without ``before`` also single words, and for each language a row of k = 0 with the number of words.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = _Phrases(batch)
-            if before is None:
-                n = np.bincount(p.lang, minlength=len(p.langs.dictionary))
-                yield pa.record_batch([p.langs.dictionary, pa.array(np.zeros(len(n), np.int32)), pa.array([""] * len(n)),
-                                       pa.array(np.zeros(len(n), np.int64)), pa.array(n.astype(np.int64))], schema=_COUNTS)
-            for k in range(1 if before is None else 2, LONGEST + 1):
-                starts = p.starts(k)
-                if k > 1:
-                    starts = starts[p.reached(k, starts, proposed)]
-                    if before is not None:
-                        starts = starts[~p.reached(k, starts, before)]
-                yield from _phrase_rows(p, k, starts)
-    return (docs.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, hash long, n long")
-            .groupBy("lang", "k", "phrase").agg(F.first("hash").alias("hash"), F.sum("n").alias("n")))
-
-
-def _phrase_rows(p: _Phrases, k: int, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _phrase_rows(p: _Phrases, k: int, starts: np.ndarray, hashed: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Distinct phrases of a batch with their numbers.  Phrases of one hash have the same words but for
-    chance; a second hash, of their characters, shows chance, and then all rows go out singly."""
-    values, at, which, n = np.unique(p.by_size[k][starts], return_index=True, return_inverse=True, return_counts=True)
-    text, bounds = _joined(p, k, starts[at])
-    sums = _sums(p, k, starts)
-    if (sums != sums[at][which]).any():
-        values, n, at = p.by_size[k][starts], np.ones(len(starts), np.int64), np.arange(len(starts))
-        text, bounds = _joined(p, k, starts)
-    lang = pa.DictionaryArray.from_arrays(pa.array(p.lang[starts[at]].astype(np.int32)), p.langs.dictionary).cast(pa.string())
-    for i in range(0, len(at), 200_000):
-        j = min(i + 200_000, len(at))
-        phrase = pa.Array.from_buffers(pa.string(), j - i, [None, pa.py_buffer((bounds[i:j + 1] - bounds[i]).astype(np.int32)),
-                                                            pa.py_buffer(text[bounds[i]:bounds[j]])])
-        yield pa.record_batch([lang.slice(i, j - i), pa.array(np.full(j - i, k, np.int32)), phrase,
-                               pa.array(values[i:j].view(np.int64)), pa.array(n[i:j].astype(np.int64))], schema=_COUNTS)
+    chance; a second hash, of their words in another order of steps, shows chance, and then all go out singly."""
+    order, heads, n = _tally(hashed)
+    sums = _sums(p, k, starts)[order]
+    if (sums != np.repeat(sums[heads], n)).any():
+        heads, n = np.arange(len(starts)), np.ones(len(starts), np.int64)
+    at = starts[order[heads]]
+    text, bounds = _joined(p, k, at)
+    lang = pa.DictionaryArray.from_arrays(pa.array(p.lang[at].astype(np.int32)), p.langs.dictionary).cast(pa.string())
+    if len(at):
+        phrase = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(text)])
+        yield pa.record_batch([lang, np.full(len(at), k, np.int32), phrase.cast(pa.string()), n], schema=_COUNTS)
 
 
 def _sums(p: _Phrases, k: int, starts: np.ndarray) -> np.ndarray:
-    """Another hash of phrases: of their words' lengths and hashes in another order of steps."""
-    w, out = p.words, p.lang[starts].astype(np.uint64) if len(starts) else np.zeros(0, np.uint64)
+    w, out = p.words, p.lang[starts].astype(np.uint64)
     for i in reversed(range(k)):
         out = mixed(out * _STEP + w.hash[starts + i] + (w.end - w.start)[starts + i].astype(np.uint64))
     return out
@@ -157,14 +163,14 @@ def frequent(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE) -> DataF
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"),
                        (F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0).alias("chosen"))
-    proposed = KeySet.of(spark, _sampled(rows.where("chosen")).where(F.col("n") >= SAMPLE_LEAST), "hash")
-    before, found = None, None
+    sampled = _hash_counts(rows.where("chosen"), None, None, LONGEST - 1)
+    proposed, before, found = KeySet.of(spark, sampled.where(F.col("n") >= SAMPLE_LEAST), "hash"), None, None
     while True:
-        new = stored(_counted(rows, proposed, before).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
-        found = new if found is None else found.union(new)
-        failures = new.where(_unproposed(proposed)("hash") & F.col("k").between(1, LONGEST - 1)).select("hash")
+        new = stored(_hash_counts(rows, proposed, before).where(F.col("n") >= least), "phrases")
+        found = KeySet.of(spark, new, "hash", found)
+        failures = new.where(_unproposed(proposed)("hash") & (F.col("k") < LONGEST)).select("hash")
         if failures.isEmpty():
-            return found.select("lang", "k", "phrase", "n")
+            return stored(_exact_counts(rows, found).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
         before, proposed = proposed, KeySet.of(spark, failures, "hash", proposed)
 
 
@@ -198,7 +204,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample: in
     candidates = counts.where("k > 1").withColumnRenamed("n", "a")
 
     cuts = candidates.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
-    cuts = cuts.withColumns({"head": _part(True, F.col("cut")), "rest": _part(False, F.col("cut"))})
+    cuts = stored(cuts.withColumns({"head": _part(True, F.col("cut")), "rest": _part(False, F.col("cut"))}), "cuts")
     cuts = _with_count(_with_count(cuts, "head", "l", counts), "rest", "r", counts)
     exact = "decimal(38,0)"
     cuts = cuts.withColumn("score", F.expr(f"(cast(2000000 as {exact}) * cast(a as decimal(20,0))) div cast(l + r as {exact})"))

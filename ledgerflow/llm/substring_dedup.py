@@ -33,12 +33,13 @@ from pyspark.sql import types as T
 
 from .components import stored
 from .keysets import KeySet, copied, dealt, hot_keys
-from .textbatch import small_batches
+from .textbatch import slices, small_batches
 from .wordhash import WHITE, Words, cut, mixed, text_bytes
 
 WORDS = 20
 SHORTEST = 5
 
+_PIECE = 4 << 20          # bytes of text looked at together
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _ANCHORS = pa.schema([("hash", pa.int64())])
 _WINDOWS = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()),
@@ -99,7 +100,7 @@ def _candidates(w: _Windows, steps: list[tuple[int, KeySet]]) -> np.ndarray:
 def _anchors(docs: DataFrame, words: int, length: int, steps: list[tuple[int, KeySet]]) -> DataFrame:
     """Anchors of ``length`` words of the windows that are left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b, "text", _PIECE)):
             w = _Windows(cut(*text_bytes(batch.column("text")), WHITE), words)
             whole = _candidates(w, steps)
             if len(whole):
@@ -113,7 +114,7 @@ def _windows(docs: DataFrame, words: int, steps: list[tuple[int, KeySet]]) -> Da
     length = steps[-1][0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b, "text", _PIECE)):
             w = _Windows(cut(*text_bytes(batch.column("text")), WHITE), words)
             whole = _candidates(w, steps)
             if not len(whole):
@@ -154,7 +155,8 @@ def repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
             .select("anchor", "hash", "id", "digest", (F.col("s") + F.col("i")).alias("start"))
             .select("id", "digest", "start", F.expr("min(struct(id, digest, start)) over (partition by anchor, hash)").alias("first")))
 
-    many = (found.join(F.broadcast(hot), "anchor", "left_semi").select("anchor", "id", "digest", F.col("start").alias("s"), each)
+    warm = stored(found.join(F.broadcast(hot), "anchor", "left_semi"), "windows")
+    many = (warm.select("anchor", "id", "digest", F.col("start").alias("s"), each)
             .select("anchor", "hash", "id", "digest", (F.col("s") + F.col("i")).alias("start")))
     firsts = stored(many.groupBy("anchor", "hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     hot_windows = hot_keys(firsts, key, "n")

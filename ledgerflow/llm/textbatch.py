@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,12 @@ def spans_of_size(sizes: list[int] | np.ndarray, most: int) -> Iterator[tuple[in
         yield a, len(sizes)
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with at most ``most`` bytes of text; a longer text is alone."""
+    yield from (batch.slice(a, b - a) for a, b in spans_of_size(
+        np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)), most))
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start+1, ... of each (start, length), one after another."""
     lengths = lengths.astype(np.int64)

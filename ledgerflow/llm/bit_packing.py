@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 
 from .idstore import HashedStore, IdStore
 from .textbatch import odd_numbers, ragged, spans_of_size, worker_cache
+from .wordhash import whole_hash
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -228,6 +229,8 @@ class ByteEncoder:
         place = np.arange(len(at)) - np.repeat(begin, length)
         h = np.add.reduceat(np.frombuffer(joined, np.uint8)[at].astype(np.uint64) * _PLACES[place & 0xFFFF], begin)
         h = (h ^ (h >> np.uint64(31))) * _MIX + length.astype(np.uint64)
+        for i in np.flatnonzero(length > len(_PLACES)).tolist():
+            h[i] = whole_hash(joined[start[i]:start[i] + length[i]])
 
         def texts(which: np.ndarray) -> list[str]:
             return [joined[a:b].decode("utf-8") for a, b in zip(start[which].tolist(), (start + length)[which].tolist())]

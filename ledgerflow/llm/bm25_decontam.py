@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .textbatch import odd_numbers, ragged, spans_of_size, strings, worker_cache
+from .wordhash import whole_hash
 
 K1, B = 1.2, 0.75
 BLOCK = 8                # items of a block
@@ -74,6 +75,8 @@ def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     place = at - np.repeat(start, length)
     h = np.add.reduceat(raw[at].astype(np.uint64) * _ODD[place & 255], np.cumsum(length) - length)
     h = (h ^ (h >> np.uint64(31))) * _M + length.astype(np.uint64)
+    for i in np.flatnonzero(length > 256).tolist():
+        h[i] = whole_hash(raw[start[i]:start[i] + length[i]].tobytes())
     return h ^ (h >> np.uint64(29)), start
 
 

@@ -54,6 +54,7 @@ BOILER_NAMES = re.compile(r"""(?ix)(?<![a-z])(?:nav|navbar|navigation|menu|side-
 CONTENT_NAMES = re.compile(r"(?ix)(?<![a-z])(?:article|article-?body|content|main|main-?content|post|post-?body|entry|story|body-?text)(?![a-z])")
 # A page's or an article's own element, or a heading: only a whole class or role says what it is.
 WHOLE = frozenset(["body", "main", "article", "h1", "h2", "h3", "h4", "h5", "h6"])
+CONTAINERS = frozenset(["div", "section", "ul", "ol", "dl", "header", "details", "fieldset", "span"])
 _HAS = re.compile(r"(?i)(?:no|not|has|with|without|hide)[-_]")  # with-sidebar is no sidebar
 _NAMES = re.compile(r"""(?is)\b(class|id|role|itemprop|aria-label|data-component)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 
@@ -64,6 +65,19 @@ FEATURES = ["bias", "log_chars", "log_words", "link_share", "ends_sentence", "co
 PRIOR = np.array([-1.0, 0.35, 0.35, -4.0, 1.0, 0.3, -0.5, -1.0, 0.8, 0.3, -0.5, 3.0, -6.0, -0.8])
 NEXT_WEIGHT = 0.6        # edge between neighbours in page order
 SIBLING_WEIGHT = 0.6     # edge between a block and the next one of the same parent
+DEEPEST = 512            # elements open at once; text of deeper ones belongs to the deepest of them
+
+
+# What names of boxes are made of besides (share-buttons, related-posts), fixed values.
+FURNITURE = frozenset("""area article articles bar block box button buttons container entry footer form group header icons
+inner items link links list message news panel post posts row section slot stories unit up wrap wrapper""".split())
+
+
+def _is_furniture(name: str) -> bool:
+    """Whether a whole name says boilerplate: one of the names, or made of them and of words for boxes."""
+    parts = [p for p in re.split("[-_]+", name.lower()) if p]
+    said = [BOILER_NAMES.fullmatch(p) is not None for p in parts]
+    return BOILER_NAMES.fullmatch(name) is not None or any(said) and all(s or p in FURNITURE for s, p in zip(said, parts))
 
 
 @dataclass(slots=True)
@@ -87,9 +101,16 @@ def _said(tag: str, attributes: str, above: int) -> int:
                 return -1
             if any(map(CONTENT_NAMES.fullmatch, tokens)):
                 return 1
+        elif above > 0:
+            # Within an article a part of a name may be about its subject (related-work, meta-analysis), and a paragraph's
+            # or a table's name about its place (share): only a container's whole class, role or id says what it is.
+            tokens = [w for k, w in names if k in ("class", "role", "id")]
+            if tag in CONTAINERS and any(map(_is_furniture, tokens)):
+                return -1
+            if any(map(CONTENT_NAMES.fullmatch, tokens)):
+                return 1
         elif names:
-            # A part of a section's id within an article is an anchor's (related-work).
-            words = " ".join(w for k, w in names if k != "id" or tag != "section" or above <= 0 or BOILER_NAMES.fullmatch(w))
+            words = " ".join(w for _, w in names)
             if BOILER_NAMES.search(words):
                 return -1
             if CONTENT_NAMES.search(words):
@@ -103,11 +124,12 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple[str, int, int, bool]] = [("", 0, 0, True)]  # tag, what was said, number, block element
     parts: list[str] = []
     links, link_chars, number, pos, end = 0, 0, 0, 0, len(page)
+    tags_end = page.rfind(">") + 1       # behind it no tag ends: a search there would look through all that is left
 
     def flush() -> None:
         nonlocal parts, link_chars
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 owner = [x for x in stack if x[3]]
                 found.append(Block(text, owner[-2].__getitem__(2) if len(owner) > 1 else 0, min(link_chars, len(text)),
@@ -122,8 +144,8 @@ def blocks_of(page: str) -> list[Block]:
         del stack[depth:]
 
     while pos < end:
-        m = TOKEN.search(page, pos)
-        text = page[pos:m.start()] if m else page[pos:]
+        m = TOKEN.search(page, pos, tags_end) if pos < tags_end else None
+        text = html.unescape(page[pos:m.start()] if m else page[pos:].partition("<!--")[0])
         if text:
             parts.append(text)
             if links:
@@ -132,6 +154,8 @@ def blocks_of(page: str) -> list[Block]:
             break
         pos = m.end()
         if m[2] is None:
+            if pos == tags_end and m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break       # an open comment takes the rest
             continue
         tag = m[2].lower()
         if tag == "br":
@@ -174,6 +198,8 @@ def blocks_of(page: str) -> list[Block]:
                         break
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
+        if len(stack) > DEEPEST:
+            continue
         number += 1
         stack.append((tag, _said(tag, m[3], stack[-1][1]) or stack[-1][1], number, tag in BLOCK))
         if tag == "a":
@@ -192,7 +218,7 @@ def features(blocks: list[Block]) -> np.ndarray:
         digits = 0.0 if n >= 400 else sum(map(str.isdigit, t)) / n
         rows.append((1.0, np.log1p(n) - 4, np.log1p(words) - 2.5, b.link_chars / n, t[-1] in ".!?…\"”»", min(1.0, t.count(",") / 3),
                      upper, digits, b.tag in ("p", "blockquote", "pre"), len(b.tag) == 2 and b.tag[0] == "h" and b.tag[1].isdigit(),
-                     b.tag in ("li", "td", "th", "dt", "dd", "option"), b.said > 0, b.said < 0, words < 4))
+                     b.tag in ("li", "td", "th", "dt", "dd", "option") and b.said <= 0, b.said > 0, b.said < 0, words < 4 and b.said <= 0))
     return np.array(rows, np.float64).reshape(len(rows), len(FEATURES))
 
 

@@ -27,8 +27,9 @@ Equal texts are one class throughout, represented by its smallest id.
 
 Defined results: null and empty texts, and texts without words, have no shingles and link with
 nothing, also not with each other: the component is the own id.  A row without id takes the component
-of its text's class, null where that has no id.  Rows that share an id are one document.  Other
-columns pass through; n_shingles and component_id are replaced.
+of its text's class; where no row of that text has an id it is not in the join (n_shingles 0, component
+null).  An id stands for one text: rows that share an id but not the text need keys of their own first,
+as the pipeline gives them.  Other columns pass through; n_shingles and component_id are replaced.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ from pyspark.sql.window import Window
 
 from .components import components, stored
 from .textbatch import odd_numbers, spans_of_size, worker_cache
+from .wordhash import whole_hash
 
 SHINGLE = 5              # words
 SMALL_BAND = 64          # below, each shingle is a partition of its own
@@ -83,7 +85,10 @@ def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(inside)
     place = at - np.repeat(start, length)
     h = np.add.reduceat(_LOWER[raw[at]] * _PLACES[place & 0xFFFF], np.cumsum(length) - length)
-    return mix(h + length.astype(np.uint64)), start
+    h = mix(h + length.astype(np.uint64))
+    for i in np.flatnonzero(length > len(_PLACES)).tolist():
+        h[i] = whole_hash(_LOWER[raw[start[i]:start[i] + length[i]]].astype(np.uint8).tobytes())
+    return h, start
 
 
 def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from .idstore import UNITS_KEPT, HashedStore, IdStore
 from .textbatch import odd_numbers, ragged, spans_of_size, strings, worker_cache
+from .wordhash import whole_hash
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -252,6 +253,8 @@ class Pieces:
         place = np.arange(len(at)) - np.repeat(begin, length)
         h = np.add.reduceat(np.frombuffer(joined, np.uint8)[at].astype(np.uint64) * _PLACES[place & 0xFFFF], begin)
         h = (h ^ (h >> np.uint64(31))) * _MIX + (2 * length + marked).astype(np.uint64)
+        for i in np.flatnonzero(length > len(_PLACES)).tolist():
+            h[i] = whole_hash(joined[start[i]:start[i] + length[i]]) + np.uint64(marked[i])
 
         def texts(which: np.ndarray) -> list[str]:
             return [(MARK if m else "") + joined[a:b].decode("utf-8")

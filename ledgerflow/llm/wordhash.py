@@ -25,9 +25,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def whole_hash(word: bytes) -> np.uint64:
+    """Hash over all bytes of a word, for those that are longer than a table of multipliers."""
+    return np.uint64(int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little"))
+
+
 def seed(value: str) -> np.uint64:
     """A fixed 64-bit number for a string."""
-    return np.uint64(int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "little"))
+    return whole_hash(value.encode())
 
 
 @dataclass
@@ -65,7 +70,7 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         value = eights[start[who] + part] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
         out[who] = mixed(out[who] + value * _K[part // 8 % 3] + _K[(part // 8 + 1) % 4])
     for i in np.flatnonzero(n > SHORT).tolist():
-        out[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+        out[i] = whole_hash(data[start[i]:end[i]].tobytes())
     return out
 
 

@@ -47,7 +47,7 @@ def _index(items):
 def _tables():
     import pyarrow.parquet as pq
     docs = pq.read_table(f"{SF}/documents.parquet").to_pylist()
-    items = [(r["item_id"], r["text"]) for r in pq.read_table("/root/testdata/check_s/benchmark.parquet").to_pylist()]
+    items = [(r["item_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.01/benchmark.parquet").to_pylist()]
     return [d["text"] for d in docs], items
 
 

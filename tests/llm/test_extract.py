@@ -76,6 +76,37 @@ def test_what_says_boilerplate_goes(page):
     assert mx.main_text(page, mx.PRIOR) == ""
 
 
+ROWS = "<table><tr><th>Year</th><th>Rain</th></tr><tr><td>1985</td><td>12 mm</td></tr></table><ul><li>First</li><li>Second</li></ul>"
+
+
+@pytest.mark.parametrize("inside, kept", [
+    ("<p>The numbers of the years are told in this table.</p>" + ROWS,
+     ["The numbers of the years are told in this table.", "Year", "Rain", "1985", "12 mm", "First", "Second"]),
+    ("<div class='related-work'><p>Other papers have looked at this.</p></div><p>And so do we, in this one.</p>",
+     ["Other papers have looked at this.", "And so do we, in this one."]),
+    ("<p class='intro share'>The share of the rain in a year, told.</p><p class=meta-analysis>All studies were put together.</p>",
+     ["The share of the rain in a year, told.", "All studies were put together."]),
+    ("<p>One paragraph of the article, with its text.</p><div class='share-buttons'>Tell your friends</div><div class='related_posts'>"
+     "<p>Other stories, of other days.</p></div><div id='post-meta'>by us</div>", ["One paragraph of the article, with its text."])])
+def test_parts_of_an_article_by_whole_names(spark, inside, kept):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for weights in (mx.PRIOR, mx.fit(pages)):
+        assert mx.main_text(f"<nav><a href=a>Home</a></nav><article>{inside}</article><footer>end</footer>", weights).split("\n\n") == kept
+
+
+def test_references_are_decoded_within_a_text():
+    assert [b.text for b in mx.blocks_of("<p>a &am<b>p; b</b> &lt;i&gt;</p>")] == ["a &amp; b <i>"]
+
+
+@pytest.mark.parametrize("unit", ["a <b ", "a < b ", "<!a ", "<b '", "<b><center>", "</b ", "<!--a ", "<div>x"])
+def test_broken_pages_take_linear_time(unit):
+    import time
+    for end in ("", ">"):
+        page, begin = unit * (1_000_000 // len(unit)) + end, time.process_time()
+        mx.blocks_of(page)
+        assert time.process_time() - begin < 8
+
+
 def test_training_moves_weights_and_needs_no_labels():
     blocks = [b for b in mx.blocks_of(PAGE.format()) if b.said]
     w = mx.train(mx.features(blocks), np.array([b.said for b in blocks]))

@@ -50,12 +50,22 @@ def edge(spark):
             .withColumn("n_chars", F.length("text").cast("long")))
 
 
+def test_near_copies_of_shared_and_missing_ids(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (2, a), (2, b), (None, a + " more"), (None, "c d e f g h"), (None, "c d e f g h"), (2, b), (7, b + " end"), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for _ in range(2):
+        kept = sorted((r.doc_id or -1, r.text) for r in cp.ngram_jaccard(spark, docs.repartition(3), SF).collect())
+        assert kept == [(-1, "c d e f g h"), (1, a), (2, b), (9, "")]
+
+
 def test_cases(spark, edge):
     out = cp.language_id(spark, edge, SF)
     assert all(any(c.isalpha() for c in r.text) for r in out.collect()) and out.count() > 0
     kept = cp.ngram_jaccard(spark, edge, SF).collect()
-    ids = [r.doc_id for r in kept if r.doc_id is not None]
-    assert len(ids) == len(set(ids))
+    pairs = [(r.doc_id, r.text) for r in kept]
+    assert len(pairs) == len(set(pairs))
     assert sum(r.text == "One two three." for r in kept) == 1
     assert cp.decontaminate(spark, edge, SF).count() == edge.count()
     assert cp.pii(spark, edge, SF).count() == edge.count()

@@ -3,8 +3,9 @@
 Stages take (spark, docs, sf_dir).  All but the last return the columns of ``docs``:
 
     language_id     rows whose text has no known language, or none with a share of MIN_SCORE, go
-    ngram_jaccard   of each group of near copies the row of the smallest id stays; of rows that share
-                    an id, or have none and the same text, one stays
+    ngram_jaccard   of each group of near copies the row of the smallest id stays (rows without an id come
+                    last, ties go by a hash of the text); rows that share an id are judged by their own
+                    texts; of rows of one id and text one stays
     decontaminate   rows that hold a benchmark item go
     pii             personal data becomes pseudonyms; n_chars is counted anew
     sentencepiece   doc_id, lang, source, the ids of the text's pieces, their number and checksum, and
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from ledgerflow.llm import bm25_decontam, crf_language, feistel_pii, partenum_join, piece_trie
 from ledgerflow.llm.components import stored
 from ledgerflow.llm.registry import PII_KEY
-from ledgerflow.llm.textbatch import few, small_batches, table
+from ledgerflow.llm.textbatch import small_batches, table
 
 MIN_SCORE = 0.4
 
@@ -37,17 +38,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .select(*docs.columns))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a key __node of their own: the id where no other row has it, or a number below all ids from id and text.
+
+    Of rows of one id and text, one is left.
+    """
+    several = stored(docs.groupBy("doc_id").count().where("doc_id is null or count > 1").select(F.col("doc_id").alias("__shared")), "shared")
+    alike = F.col("doc_id").eqNullSafe(F.col("__shared"))
+    one = docs.join(several, alike, "left_anti").withColumn("__node", F.col("doc_id"))
+    low = F.lit(-(1 << 62)) - F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    more = docs.join(several, alike, "left_semi").withColumn("__node", low).dropDuplicates(["__node"])
+    return one.union(more)
+
+
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    joined = partenum_join.join(docs)
-    gone = stored(joined.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    shared = few(stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "shared"))
-    kept = docs.where("doc_id is not null").join(few(gone), "doc_id", "left_anti")
-    once = kept.join(shared, "doc_id", "left_anti")
-    several = kept.join(shared, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = joined.where("doc_id is null and component_id is null").dropDuplicates(["text"])
-    columns = docs.columns
-    return once.select(columns).union(several.select(columns)).union(nameless.select(columns))
+    keyed = _keyed(docs)
+    joined = partenum_join.join(keyed.select("__node", "doc_id", "text"), id_col="__node")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "__node")
+    members = stored(joined.select("__node", "doc_id", "component_id"), "members")
+    first = members.groupBy("component_id").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = stored(members.join(first, "component_id").where(F.col("first.__node") != F.col("__node")).select("__node"), "gone")
+    return keyed.join(gone, "__node", "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

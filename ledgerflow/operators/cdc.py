@@ -68,7 +68,11 @@ def owner_links(disposition_log: DataFrame, order: tuple[str, ...] = DEFAULT_ORD
     removes the link; declared deviation Q-6), then the newest live OWNER link
     per account wins, matching "last write wins" per account.
     """
-    current = compact(disposition_log, "disp_id", order)
+    return newest_owner(compact(disposition_log, "disp_id", order), order)
+
+
+def newest_owner(current: DataFrame, order: tuple[str, ...] = DEFAULT_ORDER) -> DataFrame:
+    """ST-2 over live rows, one for each ``disp_id``: the newest OWNER link of each account."""
     owners = current.where(F.col("type") == F.lit("OWNER"))
     ordering = F.struct(*[F.col(c) for c in order if c in owners.columns], F.col("disp_id"))
     return (owners.groupBy("account_id")

@@ -49,11 +49,14 @@ def customer_profile(accounts: DataFrame, dispositions: DataFrame, clients: Data
 
 
 def stream_profile(accounts: DataFrame, dispositions: DataFrame, clients: DataFrame,
-                   districts: DataFrame) -> DataFrame:
-    """Profile in the stream record's shape (P-5 / J-6 with fallback): one row for each account.
+                   districts: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Profile in the stream record's shape (P-5 / J-6 with fallback): one row for each account, or
+    for each of the accounts in ``keys``, which cut accounts and dispositions down first.
 
     An account with several OWNER dispositions has the owner of the newest one (the greatest
     ``disp_id``), so a transaction is enriched once."""
+    if keys is not None:
+        accounts, dispositions = (x.join(keys.select("account_id"), "account_id", "left_semi") for x in (accounts, dispositions))
     a = accounts.select("account_id", F.col("district_id").alias("account_district_id"),
                         F.col("frequency").alias("account_frequency"))
     owners = (dispositions.where(F.col("disposition_type") == "OWNER")

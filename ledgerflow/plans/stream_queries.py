@@ -7,6 +7,9 @@ work directory, then returns the written output.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..operators import enrich
@@ -55,12 +58,20 @@ CHANGE_FILES = 6         # files of a change log in these queries, one micro-bat
 
 def _profile_loader(spark, sf_dir):
     """Built anew for each micro-batch, so that it sees the tables as they are then."""
-    def load():
+    def load(keys, batch_id):
         st = staged(spark, sf_dir)
-        return profile_ops.stream_profile(st.account, st.disposition, st.client, st.district)
+        return profile_ops.stream_profile(st.account, st.disposition, st.client, st.district, keys)
     return load
 
 
+def _both_sides(out):
+    """Records of both outputs with the reason of those that are dead."""
+    rest = [c for c in ("trans_id", "account_id", "date", "amount", "k_symbol")]
+    dead = out["dead_letters"].select(*[F.col(f"original_transaction.{c}").alias(c) for c in rest],
+                                      F.lit(None).cast("long").alias("client_id"), "dlq_reason")
+    return out["enriched"].select(*rest, "client_id", F.lit(None).cast("string").alias("dlq_reason")).unionByName(dead)
+
+
 def run_stream(spark, sf_dir) -> dict:
     out = scratch_path(spark, "enrich-stream")
     return enrich_stream.run_to_completion(
@@ -192,12 +203,139 @@ def stream_end_to_end(spark, sf_dir):
     # ST-4: enrichment goes on where the gate stays closed, too; misses go to the dead letters,
     # and each batch's metrics tell whether the gate was open and which version it used.
     warm = profile_stream.wait_for_profile(spark, root, timeout_s=0)
+    stream = _transaction_arrivals(spark, td.cdc_trans(spark, sf_dir), 3)
     out = enrich_stream.run_to_completion(
-        spark, cdc_src.events_stream(spark, sf_dir),
-        lambda: profile_stream.load_stream_profile(spark, root), scratch_path(spark, "e2e"), warm=warm)
+        spark, stream, lambda keys, _: profile_stream.keyed_profile(spark, root, keys), scratch_path(spark, "e2e"), warm=warm)
     return out["enriched"].drop("batch_id")
 
 
+def _transaction_arrivals(spark, log, count, order=None):
+    """The transaction log as a file stream of ``count`` micro-batches, by ``trans_id`` modulo their number."""
+    src = scratch_path(spark, "trans-arrivals")
+    order = F.pmod(F.coalesce("trans_id", F.lit(0)), F.lit(count)) if order is None else order
+    files = cdc_src.arrivals(log.withColumn("__arrival", order), "__arrival", count, src)
+    return cdc_src.parquet_stream(spark, src, log.schema, max_files_per_trigger=files)
+
+
+PROFILE_ARRIVALS, TRANS_ARRIVALS, GATE_SHARE = 8, 6, 0.3
+
+_GATE_CTES = {
+    "client_log": f"""
+      SELECT client_id, district_id, __lsn, __source_ts_ms, __deleted = 'true' OR __op = 'd' AS gone,
+        __lsn % {PROFILE_ARRIVALS} AS arrival FROM cdc_client_log WHERE client_id IS NOT NULL
+      UNION ALL SELECT client_id, district_id, -1, 0, false, 0 FROM raw_client""",
+    "opening": f"""
+      SELECT min(v) AS g FROM range({PROFILE_ARRIVALS}) r(v)
+      WHERE (SELECT count(*) FROM raw_account WHERE account_id % {PROFILE_ARRIVALS} <= v)
+        >= (SELECT ceil({GATE_SHARE}::DOUBLE * count(*)) FROM raw_account)""",
+    "batches": f"""
+      SELECT b AS batch_id, least(g + b, {PROFILE_ARRIVALS - 1}) AS v FROM range({TRANS_ARRIVALS}) r(b), opening""",
+    "client_at": """
+      SELECT v, client_id, arg_max(district_id, (__lsn, __source_ts_ms)) AS district_id
+      FROM client_log JOIN (SELECT DISTINCT v FROM batches) ON arrival <= v
+      GROUP BY v, client_id HAVING NOT arg_max(gone, (__lsn, __source_ts_ms))""",
+    "profile_at": f"""
+      SELECT c.v, a.account_id, c.client_id, d.avg_salary
+      FROM owner_now o JOIN raw_account a ON a.account_id = o.account_id
+      JOIN client_at c ON c.client_id = o.client_id AND a.account_id % {PROFILE_ARRIVALS} <= c.v
+      LEFT JOIN raw_district d ON d.district_id = coalesce(c.district_id, a.district_id)""",
+}
+
+
+@register("stream_gate", O.with_base(f"""
+    SELECT b.batch_id, b.v AS profile_version, true AS profile_warm, CAST(count(*) AS BIGINT) AS processed,
+      CAST(count(p.client_id) AS BIGINT) AS enriched, CAST(count(*) - count(p.client_id) AS BIGINT) AS dlq,
+      CAST(count(*) FILTER (WHERE t.account_id IS NULL) AS BIGINT) AS dlq_missing_account,
+      CAST(sum(p.client_id) AS BIGINT) AS client_sum, CAST(sum(p.avg_salary) AS BIGINT) AS salary_sum
+    FROM batches b JOIN cdc_trans_log t ON t.trans_id % {TRANS_ARRIVALS} = b.batch_id
+    LEFT JOIN profile_at p ON p.v = b.v AND p.account_id = t.account_id
+    GROUP BY b.batch_id, b.v""", {"owner_now": _OWNERS, **_GATE_CTES}))
+def stream_gate(spark, sf_dir):
+    """ST-4, ST-1, ST-3 and SRC-5 at once: the profile stream takes a limited number of files at each trigger; the
+    gate is polled while it works, and when it opens the transaction stream starts beside it.  Batch b asks for the
+    version that is b after the opening one, and waits for it where the profile stream isn't there yet."""
+    raw = td.raw_tables(spark, sf_dir)
+    snapshot = cdc_src.snapshot_changes({t: getattr(raw, t) for t in STATE_COLUMNS})
+    log = cdc_src.as_profile_changes(td.cdc_client(spark, sf_dir), "client")
+    n = F.lit(PROFILE_ARRIVALS)
+    first = F.when(F.col("__table") == "account", F.pmod("account_id", n)).otherwise(F.lit(0))
+    changes = snapshot.withColumn("__arrival", first).unionByName(log.withColumn("__arrival", F.pmod("__lsn", n)))
+    src, root = scratch_path(spark, "profile-arrivals"), scratch_path(spark, "profile-state")
+    files = cdc_src.arrivals(changes, "__arrival", PROFILE_ARRIVALS, src)
+    transactions = _transaction_arrivals(spark, td.cdc_trans(spark, sf_dir), TRANS_ARRIVALS)
+    least = math.ceil(GATE_SHARE * raw.account.count())
+
+    profiles = profile_stream.start_profile_stream(
+        spark, cdc_src.parquet_stream(spark, src, changes.drop("__arrival").schema, max_files_per_trigger=files), root)
+    opened = profile_stream.opening_version(spark, root, least, poll_s=0.2)
+
+    def load(keys, batch_id):
+        version = profile_stream.wait_for_version(spark, root, (opened or 0) + batch_id, lambda: profiles.isActive)
+        return profile_stream.keyed_profile(spark, root, keys, version)
+
+    out = enrich_stream.run_to_completion(spark, transactions, load, scratch_path(spark, "gate"), warm=opened is not None)
+    enrich_stream.drained(profiles)
+    sums = out["enriched"].groupBy("batch_id").agg(F.sum("client_id").alias("client_sum"), F.sum("avg_salary").cast("long").alias("salary_sum"))
+    return out["metrics"].join(sums, "batch_id", "left").withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+RECOVERY_ARRIVALS, BROKEN_BATCH = 5, 2
+
+
+class _BrokenSinks(enrich_stream.ParquetSinks):
+    """Fails after the enriched records of a batch are written and before its dead letters are."""
+
+    def dead_letters(self, df, batch_id):
+        if batch_id == BROKEN_BATCH:
+            raise RuntimeError("sink lost")
+        super().dead_letters(df, batch_id)
+
+
+@register("stream_recovery", O.with_base(
+    "SELECT trans_id, account_id, date, amount, k_symbol, client_id, dlq_reason FROM routed", PROFILE_CTE))
+def stream_recovery(spark, sf_dir):
+    """ST-5: the stream fails between its two sinks in a middle batch and is started again; Spark's offset and commit
+    logs lead it to that batch, whose first output is replaced, so each record is in one output once."""
+    stream = _transaction_arrivals(spark, td.cdc_trans(spark, sf_dir), RECOVERY_ARRIVALS)
+    root, load = scratch_path(spark, "recovery"), _profile_loader(spark, sf_dir)
+    broken = enrich_stream.start_enrichment(spark, stream, load, root, sinks=_BrokenSinks(enrich_stream.StreamOutputs(root)))
+    try:
+        broken.awaitTermination()
+    except StreamingQueryException:
+        pass
+    if broken.exception() is None:
+        raise AssertionError("the stream was to fail")
+    again = enrich_stream.start_enrichment(spark, stream, load, root)
+    enrich_stream.drained(again)
+    done = [p["batchId"] for p in again.recentProgress if p["numInputRows"]]
+    if done and min(done) != BROKEN_BATCH:
+        raise AssertionError(f"went on from batch {min(done)}, not from {BROKEN_BATCH}")
+    return _both_sides(enrich_stream.read_outputs(spark, root))
+
+
+@register("stream_deduplicated", O.with_base("""
+    SELECT t.trans_id, t.account_id, t.date, t.amount, t.k_symbol, p.client_id,
+      CASE WHEN t.account_id IS NULL THEN 'missing_account_id' WHEN p.client_id IS NULL THEN 'referential_violation' END AS dlq_reason
+    FROM (SELECT *, row_number() OVER (PARTITION BY trans_id ORDER BY ingest_seq) AS rn FROM raw_trans) t
+    LEFT JOIN stream_profile p ON p.account_id = t.account_id WHERE t.rn = 1""",
+    {k: PROFILE_CTE[k] for k in ("owner_now", "stream_profile")}))
+def stream_deduplicated(spark, sf_dir):
+    """ST-5 with W-1: deliveries repeated in later micro-batches (copies that differ, and a whole batch again) are
+    cleaned in the stream by Spark's state store before the join; the first one wins."""
+    raw = td.raw_tables(spark, sf_dir).trans
+    meta = {"__op": F.lit("c"), "__table": F.lit("trans"), "__lsn": F.col("trans_id"), "__source_ts_ms": F.lit(0).cast("long"),
+            "__deleted": F.lit("false")}
+    rows = raw.withColumns(meta).withColumn("__arrival", (F.col("trans_id") % 4 + F.col("ingest_seq")).cast("int"))
+    again = rows.where("__arrival = 1 and ingest_seq = 0").withColumn("__arrival", F.lit(5))
+    log = rows.unionByName(again).select(*CDC_TRANS.fieldNames(), "__arrival")
+    src = scratch_path(spark, "repeated-deliveries")
+    files = cdc_src.arrivals(log, "__arrival", 6, src)
+    stream = cdc_src.parquet_stream(spark, src, CDC_TRANS, max_files_per_trigger=files)
+    out = enrich_stream.run_to_completion(spark, enrich_stream.deduplicated(stream), _profile_loader(spark, sf_dir),
+                                          scratch_path(spark, "deduplicated"))
+    return _both_sides(out)
+
+
 # --------------------------------------------------------------------------
 # The same records as JSON messages, as a broker delivers and takes them.
 # --------------------------------------------------------------------------
@@ -291,7 +429,7 @@ def dlq_rerun(spark, sf_dir):
     dead = run_stream(spark, sf_dir)["dead_letters"]
     late = (td.cdc_trans(spark, sf_dir).where("account_id % 2 = 0").select("account_id").distinct()
             .withColumn("client_id", F.col("account_id")))
-    profile = _profile_loader(spark, sf_dir)()
+    profile = _profile_loader(spark, sf_dir)(None, 0)
     filled = late.select(*[F.col(c) if c in late.columns else F.lit(None).cast(profile.schema[c].dataType).alias(c)
                            for c in profile.columns])
     now = profile.join(filled.select("account_id"), "account_id", "left_anti").unionByName(filled)

@@ -53,13 +53,6 @@ def is_local(master: str) -> bool:
     return re.fullmatch(r"local(\[.*\])?", master) is not None
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder in whatever store it is; a missing one is fine."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 

@@ -107,6 +107,18 @@ def parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(path)
 
 
+def arrivals(rows: DataFrame, order: str, count: int, path: str, files: int = 2) -> int:
+    """Rows as files that arrive one after another: those of ``order`` 0 first, then 1, ...; returns files for each.
+
+    A file stream over ``path`` that takes ``files`` at each trigger has one micro-batch for each arrival (each
+    needs as many rows as files).
+    """
+    for i in range(count):
+        (rows.where(F.col(order) == i).drop(order).repartition(files)
+         .write.mode("overwrite" if i == 0 else "append").parquet(path))
+    return files
+
+
 def json_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                 ) -> DataFrame:
     """Text lines as Kafka-like messages (``value``), e.g. a captured topic dump."""

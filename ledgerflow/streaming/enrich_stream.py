@@ -1,9 +1,9 @@
 """Structured Streaming enrichment with two outputs (ST-3 ... ST-7, SNK-1, SNK-2).
 
 The transaction stream is joined, per micro-batch, with the *current* profile:
-``profile_loader`` is called inside ``foreachBatch`` so that each batch sees the
-newest profile table (a plain stream-static join would keep the first file
-listing of a Parquet dimension).
+``profile_loader`` is called inside ``foreachBatch`` with the batch's distinct
+account keys and gives the profile of those, from the newest profile table (a
+plain stream-static join would keep the first file listing of a Parquet dimension).
 
 Replay safety: each batch writes its enriched rows, dead letters and metrics to
 ``<out>/<kind>/batch_id=<n>`` with overwrite, so a batch re-run after a failure
@@ -86,29 +86,26 @@ class KafkaSinks:
         kafka_write(df, self.bootstrap, self.dlq_topic)
 
 
-def narrow_profile(batch: DataFrame, profile: DataFrame) -> DataFrame:
-    """Keep only the profile rows of accounts in this micro-batch.
+def account_keys(batch: DataFrame) -> DataFrame:
+    """The distinct accounts of a micro-batch.  They go first: a left outer join can only build on the
+    profile side, so the profile is cut down to them before it is put together."""
+    return batch.select("account_id").where(F.col("account_id").isNotNull()).distinct()
 
-    A left outer join can only build on the profile side, so a large profile
-    would be shuffled in full for every micro-batch.  The semi-join with the
-    batch's distinct keys comes first; AQE broadcasts the keys, and then the
-    narrowed profile, where their measured bytes allow it.
-    """
-    keys = batch.select("account_id").where(F.col("account_id").isNotNull()).distinct()
-    return profile.join(keys, "account_id", "left_semi")
+
+ProfileLoader = Callable[[DataFrame, int], DataFrame | tuple[DataFrame, int | None]]
 
 
-def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFrame],
+def make_batch_writer(spark: SparkSession, profile_loader: ProfileLoader,
                       out: StreamOutputs, sinks=None, warm: bool = True) -> Callable[[DataFrame, int], None]:
-    """``profile_loader`` gives the profile, or the profile and its version, which
-    the batch's metrics then carry; ``warm`` tells whether the gate had opened."""
+    """``profile_loader(keys, batch_id)`` gives the profile of these accounts, or the profile and its
+    version, which the batch's metrics then carry; ``warm`` tells whether the gate had opened."""
     sinks = sinks or ParquetSinks(out)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        loaded = profile_loader()
+        loaded = profile_loader(account_keys(batch), batch_id)
         profile, version = loaded if isinstance(loaded, tuple) else (loaded, None)
         # Written to both sinks, so the join is done once.
-        routed = enrich.route(batch, narrow_profile(batch, profile)).persist()
+        routed = enrich.route(batch, profile).persist()
         try:
             obs = Observation(f"enrich_{batch_id}")
             observed = routed.observe(obs, *enrich.metric_columns())
@@ -130,7 +127,7 @@ def make_batch_writer(spark: SparkSession, profile_loader: Callable[[], DataFram
 
 
 def start_enrichment(spark: SparkSession, transactions: DataFrame,
-                     profile_loader: Callable[[], DataFrame], out_root: str,
+                     profile_loader: ProfileLoader, out_root: str,
                      available_now: bool = True, sinks=None, warm: bool = True,
                      every: str = "1 second") -> StreamingQuery:
     """Start the enrichment query over a streaming DataFrame of CDC transactions.
@@ -171,6 +168,22 @@ def read_outputs(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
     }
 
 
+def deduplicated(transactions: DataFrame, key: str = "trans_id", event_time: str | None = None,
+                 within: str | None = None) -> DataFrame:
+    """ST-5: the first delivery of each key, over all micro-batches, by Spark's state store.
+
+    Without ``within`` each key is remembered for good, so that the result is W-1's; with it (and an
+    ``event_time`` column) keys are forgotten once the watermark is ``within`` past them, which bounds the
+    state, and repeated deliveries must come within that time.  A NULL key is no key: those rows all pass.
+    Use the RocksDB state store on a cluster, so that state is on disk and not in executor memory.
+    """
+    if within is not None:
+        transactions = transactions.withWatermark(event_time, within)
+    keyed, rest = transactions.where(F.col(key).isNotNull()), transactions.where(F.col(key).isNull())
+    kept = keyed.dropDuplicates([key]) if within is None else keyed.dropDuplicatesWithinWatermark([key])
+    return kept.union(rest)
+
+
 def drained(query: StreamingQuery) -> None:
     """Wait until an ``availableNow`` query has taken all of its source, however long that takes."""
     query.awaitTermination()
@@ -179,7 +192,7 @@ def drained(query: StreamingQuery) -> None:
 
 
 def run_to_completion(spark: SparkSession, transactions: DataFrame,
-                      profile_loader: Callable[[], DataFrame], out_root: str,
+                      profile_loader: ProfileLoader, out_root: str,
                       warm: bool = True) -> dict[str, DataFrame]:
     """Run with ``availableNow`` until the source is drained; return the outputs."""
     drained(start_enrichment(spark, transactions, profile_loader, out_root, available_now=True, warm=warm))

@@ -22,7 +22,7 @@ def test_multi_batch_stream_equals_batch(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     log.repartitionByRange(3, "__lsn").write.parquet(src)
     stream = cdc_src.parquet_stream(spark, src, log.schema, max_files_per_trigger=1)
-    out = enrich_stream.run_to_completion(spark, stream, lambda: _profile(spark), f"{tmp_dir}/out")
+    out = enrich_stream.run_to_completion(spark, stream, lambda *_: _profile(spark), f"{tmp_dir}/out")
     batch = enrich.route(log, _profile(spark))
     e_stream = sorted(map(tuple, out["enriched"].drop("batch_id").collect()))
     e_batch = sorted(map(tuple, enrich.enriched(batch).collect()))
@@ -38,7 +38,7 @@ def test_multi_batch_stream_equals_batch(spark, tmp_dir):
 def test_batch_replay_overwrites(spark, tmp_dir):
     batch = td.cdc_trans(spark, SMALL)
     outs = enrich_stream.StreamOutputs(f"{tmp_dir}/o")
-    writer = enrich_stream.make_batch_writer(spark, lambda: _profile(spark), outs)
+    writer = enrich_stream.make_batch_writer(spark, lambda *_: _profile(spark), outs)
     writer(batch, 0)
     writer(batch, 0)  # a replay of the same batch id
     assert spark.read.parquet(outs.enriched).count() == enrich.enriched(
@@ -119,7 +119,7 @@ def test_json_file_stream_with_tombstones(spark, tmp_dir):
                                  "account_id long, client_id long, birth_number long, "
                                  "account_frequency string, district_name string, "
                                  "district_region string, avg_salary double")
-    out = enrich_stream.run_to_completion(spark, parsed, lambda: prof, os.path.join(tmp_dir, "o"))
+    out = enrich_stream.run_to_completion(spark, parsed, lambda *_: prof, os.path.join(tmp_dir, "o"))
     assert out["enriched"].count() + out["dead_letters"].count() == 8
     reasons = {r["dlq_reason"]: r["records"] for r in enrich.dlq_by_reason(out["dead_letters"]).collect()}
     assert reasons == {"missing_account_id": 1, "referential_violation": 1}
@@ -149,7 +149,7 @@ def test_pluggable_sinks_receive_both_outputs(spark, tmp_dir):
 
     batch = td.cdc_trans(spark, SMALL)
     outs = enrich_stream.StreamOutputs(f"{tmp_dir}/o")
-    enrich_stream.make_batch_writer(spark, lambda: _profile(spark), outs, Capture())(batch, 0)
+    enrich_stream.make_batch_writer(spark, lambda *_: _profile(spark), outs, Capture())(batch, 0)
     assert written["enriched"] + written["dlq"] == batch.count()
     m = spark.read.parquet(outs.metrics).first()
     assert (m["enriched"], m["dlq"]) == (written["enriched"], written["dlq"])
@@ -166,7 +166,7 @@ def test_no_message_is_lost(spark, tmp_dir):
     spark.createDataFrame([("cdc.public.trans", v) for v in values], "topic string, value string").write.parquet(src)
     stream = cdc_src.parse_envelope(spark.readStream.schema("topic string, value string").parquet(src), CDC_TRANS)
     prof = spark.createDataFrame([(1, 101, 700101, "M", "D", "R", 1.0)], PROFILE)
-    out = enrich_stream.run_to_completion(spark, stream, lambda: prof, f"{tmp_dir}/o")
+    out = enrich_stream.run_to_completion(spark, stream, lambda *_: prof, f"{tmp_dir}/o")
     reasons = {r["dlq_reason"]: r["records"] for r in enrich.dlq_by_reason(out["dead_letters"]).collect()}
     assert out["enriched"].count() == 1
     assert reasons == {"unreadable_message": 5, "missing_account_id": 2}
@@ -185,7 +185,7 @@ def test_each_batch_sees_the_profile_as_it_is_then(spark, tmp_dir):
     spark.createDataFrame([], PROFILE).write.parquet(prof)
     calls = []
 
-    def load():
+    def load(keys, batch_id):
         calls.append(1)
         if len(calls) == 2:
             spark.createDataFrame([(7, 70, 700101, "M", "D", "R", 1.0)], PROFILE).write.mode("append").parquet(prof)
@@ -202,11 +202,11 @@ def test_drained_empty_source_and_cold_state(spark, tmp_dir):
     log.limit(0).write.parquet(src)
     profile, version = profile_stream.load_stream_profile(spark, f"{tmp_dir}/nothing")
     assert profile.count() == 0 and version is None
-    out = enrich_stream.run_to_completion(spark, cdc_src.parquet_stream(spark, src, log.schema), lambda: (profile, version), f"{tmp_dir}/o")
+    out = enrich_stream.run_to_completion(spark, cdc_src.parquet_stream(spark, src, log.schema), lambda *_: (profile, version), f"{tmp_dir}/o")
     assert out["enriched"].count() == out["dead_letters"].count() == 0
     assert all(m["processed"] == 0 for m in out["metrics"].collect())
     # A cold state dead-letters what it can't enrich.
-    writer = enrich_stream.make_batch_writer(spark, lambda: profile_stream.load_stream_profile(spark, f"{tmp_dir}/nothing"),
+    writer = enrich_stream.make_batch_writer(spark, lambda *_: profile_stream.load_stream_profile(spark, f"{tmp_dir}/nothing"),
                                              enrich_stream.StreamOutputs(f"{tmp_dir}/p"), warm=False)
     writer(log, 0)
     m = enrich_stream.read_outputs(spark, f"{tmp_dir}/p")["metrics"].first()
@@ -227,22 +227,102 @@ def _changes(spark, rows):
 CLIENT_FIELDS = ["client_id", "birth_number", "district_id", "__op", "__lsn", "__source_ts_ms", "__deleted", "__table", "partition", "offset"]
 
 
-def test_state_over_many_versions(spark, tmp_dir, monkeypatch):
-    monkeypatch.setattr(profile_stream, "COMPACT_EVERY", 2)
+def test_state_over_many_versions(spark, tmp_dir):
     store = profile_stream.ProfileStore(f"{tmp_dir}/state")
     batches = [[_client(1, 1), _client(2, 1)], [_client(1, None, "d", 2)], [_client(1, 5, "c", 3), _client(2, 9, lsn=0)],
                [_client(3, 1, ts=1, lsn=4, offset=7), _client(3, 2, ts=1, lsn=4, offset=8)], [_client(2, 4, lsn=5)], [_client(4, 4, "d", 9)]]
     for i, rows in enumerate(batches):
         profile_stream.publish(spark, store, _changes(spark, rows), i)
         profile_stream.publish(spark, store, _changes(spark, rows), i)  # a replay
-        assert store.manifest(spark)["version"] == i
+        assert store.newest(spark) == i
     live = {r.client_id: r.district_id for r in store.read_live(spark, "client").collect()}
     assert live == {1: 5, 2: 4, 3: 2}  # re-created; late change ignored; tie by offset
+    assert {r.client_id: r.district_id for r in store.read_live(spark, "client", 1).collect()} == {2: 1}
     # A crash before a version is published leaves the state as it was.
-    _changes(spark, [_client(9, 9)]).write.parquet(store.folder("client", "delta", 99))
+    _changes(spark, [_client(9, 9)]).write.parquet(store.folder(99))
     assert {r.client_id for r in store.read_live(spark, "client").collect()} == {1, 2, 3}
 
 
+def test_a_table_without_changes_in_a_batch_stays(spark, tmp_dir):
+    """A later batch that lacks a table's key column leaves that table as it was."""
+    raw, store = td.raw_tables(spark, SMALL), profile_stream.ProfileStore(f"{tmp_dir}/state")
+    profile_stream.publish(spark, store, cdc_src.snapshot_changes({"account": raw.account, "client": raw.client}), 0)
+    profile_stream.publish(spark, store, _changes(spark, [_client(10**9, 1)]), 1)
+    assert store.read_live(spark, "account").count() == raw.account.count()
+    assert store.read_live(spark, "client").count() == raw.client.count() + 1
+
+
+def test_keyed_profile_is_the_whole_one_cut_to_its_keys(spark, tmp_dir):
+    raw, root = td.raw_tables(spark, SMALL), f"{tmp_dir}/state"
+    tables = {t: getattr(raw, t) for t in ("account", "client", "disposition", "district")}
+    profile_stream.publish(spark, profile_stream.ProfileStore(root), cdc_src.snapshot_changes(tables), 0)
+    whole, version = profile_stream.load_stream_profile(spark, root)
+    keys = spark.createDataFrame([(k,) for k in (0, 3, 5, 8, 10**9)], "account_id long")
+    some, same = profile_stream.keyed_profile(spark, root, keys)
+    assert version == same == 0
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.join(keys, "account_id", "left_semi").collect())) != []
+    # The state is looked up, not put together again: no aggregate but the owners', and keys cut both account tables.
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") <= 2 and plan.count("LeftSemi") == 2
+    assert all(f"__table#" in line for line in plan.splitlines() if "Relation" in line and "__key" in line)
+
+
+def test_gate_opens_at_the_first_version_with_enough(spark, tmp_dir):
+    raw, root = td.raw_tables(spark, SMALL), f"{tmp_dir}/state"
+    n = raw.account.count()
+    for v in range(3):
+        part = raw.account.where(F.col("account_id") % 3 == v)
+        profile_stream.publish(spark, profile_stream.ProfileStore(root), cdc_src.snapshot_changes({"account": part}), v)
+    assert profile_stream.opening_version(spark, root, n // 2, timeout_s=0) == 1
+    assert profile_stream.opening_version(spark, root, n, timeout_s=0) == 2
+    assert profile_stream.opening_version(spark, root, n + 1, timeout_s=0) is None
+    assert profile_stream.wait_for_version(spark, root, 1) == 1
+    assert profile_stream.wait_for_version(spark, root, 7, alive=lambda: False) == 2  # its stream has ended
+
+
+def test_recovery_goes_on_from_the_broken_batch(spark, tmp_dir):
+    import os
+
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    log, src, out = td.cdc_trans(spark, SMALL), f"{tmp_dir}/src", f"{tmp_dir}/out"
+    files = cdc_src.arrivals(log.withColumn("a", F.col("trans_id") % 4), "a", 4, src)
+    stream = cdc_src.parquet_stream(spark, src, log.schema, max_files_per_trigger=files)
+
+    class Broken(enrich_stream.ParquetSinks):
+        def dead_letters(self, df, batch_id):
+            if batch_id == 1:
+                raise RuntimeError("sink lost")
+            super().dead_letters(df, batch_id)
+    load = lambda *_: _profile(spark)
+    with pytest.raises(StreamingQueryException):
+        enrich_stream.start_enrichment(spark, stream, load, out, sinks=Broken(enrich_stream.StreamOutputs(out))).awaitTermination()
+    logged = lambda kind: sorted(int(x) for x in os.listdir(f"{out}/_checkpoint/{kind}") if x.isdigit())
+    assert logged("offsets") == [0, 1] and logged("commits") == [0]
+    got = enrich_stream.run_to_completion(spark, stream, load, out)
+    assert logged("commits") == [0, 1, 2, 3]
+    ids = [r[0] for r in got["enriched"].select("trans_id").unionByName(got["dead_letters"].select("trans_id")).collect()]
+    assert sorted(ids) == sorted(r.trans_id for r in log.select("trans_id").collect())
+    assert [r.processed for r in got["metrics"].orderBy("batch_id").collect()] == [
+        log.where(F.col("trans_id") % 4 == i).count() for i in range(4)]
+
+
+def test_deduplication_in_the_stream(spark, tmp_dir):
+    schema = "trans_id long, account_id long, ts timestamp"
+    rows = [(1, 1, 0), (1, 2, 1), (2, 1, 0), (None, 7, 0), (None, 7, 1), (2, 9, 2), (3, 3, 2), (1, 1, 2)]
+    import datetime as dt
+    log = spark.createDataFrame([(i, a, dt.datetime(2024, 1, 1, 0, n), n) for i, a, n in rows], schema + ", a int")
+    files = cdc_src.arrivals(log, "a", 3, f"{tmp_dir}/src", files=1)
+    for name, args in (("whole", {}), ("bounded", {"event_time": "ts", "within": "10 minutes"})):
+        stream = cdc_src.parquet_stream(spark, f"{tmp_dir}/src", log.drop("a").schema, max_files_per_trigger=files)
+        kept = enrich_stream.deduplicated(stream, **args)
+        q = (kept.writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/{name}-c")
+             .option("path", f"{tmp_dir}/{name}").trigger(availableNow=True).start())
+        enrich_stream.drained(q)
+        got = sorted((r.trans_id or -1, r.account_id) for r in spark.read.parquet(f"{tmp_dir}/{name}").collect())
+        assert got == [(-1, 7), (-1, 7), (1, 1), (2, 1), (3, 3)]
+
+
 def test_equal_order_gives_one_survivor_in_any_arrangement(spark):
     rows = [_client(1, d) for d in range(6)]
     got = {cdc.compact(_changes(spark, rows[i:] + rows[:i]).repartition(3), "client_id").first().district_id for i in range(6)}

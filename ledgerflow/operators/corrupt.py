@@ -107,6 +107,10 @@ def corrupt(spark: SparkSession, clean: DataFrame, n: int, max_real_account: int
                            .otherwise(F.col("k_symbol")))
                .drop(*[f"_h_{x}" for x in drawn])
                .withColumn("dataset", F.lit(dataset)))
+    # Stored once: the rows, the audit and all counts read columns of it.
+    stored = scratch_path(spark, f"flagged-{dataset}")
+    flagged.write.parquet(stored)
+    flagged = spark.read.schema(flagged.schema).parquet(stored)
 
     rows = flagged.select(*TRANS_COLUMNS, "copy_no")
     audit = audit_of(flagged)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,48 @@ def tag_keys(table: DataFrame, fks: list[ForeignKey], loaded: dict[str, DataFram
     return tagged
 
 
+@dataclass
+class LoadedTables:
+    """SNK-3 as one switch: every load goes to a folder of its own, and a one-row file written last names it.
+
+    Readers take the newest named load, so they see the five tables of one whole load, also while another
+    one runs or after it has failed.
+    """
+    root: str
+
+    def refresh(self, tables: dict[str, DataFrame], load_id: int, check=None) -> DataFrame:
+        """Write all tables of a load, check them, then publish it; returns the counts of each table."""
+        def write(name: str, df: DataFrame) -> DataFrame:
+            path = f"{self.root}/load-{load_id}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            return df.sparkSession.read.schema(df.schema).parquet(path)
+        loaded, counts = full_refresh(tables, write)
+        if check is not None:
+            check(loaded)
+        spark = counts.sparkSession
+        (spark.createDataFrame([(load_id, sorted(loaded))], "load_id long, tables array<string>").coalesce(1)
+         .write.mode("overwrite").json(f"{self.root}/_published/load={load_id}"))
+        return counts
+
+    def read(self, spark: SparkSession) -> dict[str, DataFrame]:
+        """The tables of the newest published load; none before the first."""
+        try:
+            last = (spark.read.schema("load_id long, tables array<string>").json(f"{self.root}/_published")
+                    .agg(F.max_by("tables", "load_id").alias("tables"), F.max("load_id").alias("load_id")).first())
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        return {t: spark.read.parquet(f"{self.root}/load-{last.load_id}/{t}") for t in last.tables}
+
+    def create_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
+        """Views of the newest load, replaced one after another by names that all point into one folder."""
+        tables = self.read(spark)
+        for name, df in tables.items():
+            df.createOrReplaceTempView(f"{prefix}{name}")
+        return sorted(tables)
+
+
 def full_refresh(tables: dict[str, DataFrame], write) -> tuple[dict[str, DataFrame], DataFrame]:
     """SNK-3: reload every table in dependency order with key checks.
 

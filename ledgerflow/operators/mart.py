@@ -110,3 +110,44 @@ def write_mart(fact: DataFrame, path: str, max_records_per_file: int = 5_000_000
     (with_month(fact).hint("rebalance", "transaction_month")
      .write.mode("overwrite").partitionBy("transaction_month")
      .option("maxRecordsPerFile", max_records_per_file).parquet(path))
+
+
+# Buckets of the catalog tables; size it so that a bucket of a month is a file of some hundred MB.
+BUCKETS = 8
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int = BUCKETS, partition: str | None = None) -> None:
+    """A catalog table bucketed and sorted by ``account_id``: joins and groupings by account need no exchange.
+
+    Rows are dealt by bucket first, so each bucket (of a month) is one file.
+    """
+    writer = df.repartition(buckets, "account_id").write.mode("overwrite").option("path", path)
+    if partition is not None:
+        writer = writer.partitionBy(partition)
+    writer.bucketBy(buckets, "account_id").sortBy("account_id").saveAsTable(table)
+
+
+def save_mart(fact: DataFrame, table: str, path: str, buckets: int = BUCKETS) -> None:
+    """SNK-6: the mart as a catalog table, partitioned by month and bucketed by account."""
+    save_bucketed(with_month(fact), table, path, buckets, "transaction_month")
+
+
+def replace_months(fact: DataFrame, table: str, buckets: int = BUCKETS) -> None:
+    """Overwrite the months that ``fact`` has, and no others, in the catalog table (dynamic partition overwrite)."""
+    spark, setting = fact.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    rows = with_month(fact).select(*spark.table(table).columns).repartition(buckets, "account_id")
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")  # an insert takes it from the session only
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def create_views(tables: StagedTables, profile: DataFrame, prefix: str = "") -> list[str]:
+    """SNK-6: staging and intermediate models as views: nothing is stored, each reader's columns are pruned."""
+    views = {f"{prefix}stg_{t}": getattr(tables, t) for t in ("trans", "account", "client", "disposition", "district")}
+    views[f"{prefix}customer_profile"] = profile
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)

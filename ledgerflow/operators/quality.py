@@ -99,6 +99,20 @@ def _relationship(rule: Rule, child: DataFrame, parent: DataFrame) -> DataFrame:
     return _explode_results(orphans.agg(_result(rule, failures).alias("r0")))
 
 
+def failing_rows(tables: dict[str, DataFrame], rule: Rule) -> DataFrame:
+    """The rows of the rule's table that fail it, as they are (for ``unique``: all rows of a repeated value)."""
+    df, column = tables[rule.table], F.col(rule.column)
+    if rule.kind == "not_null":
+        return df.where(column.isNull())
+    if rule.kind == "unique":
+        repeated = df.where(column.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+        return df.join(repeated, rule.column, "left_semi")
+    if rule.kind == "accepted_values":
+        return df.where(~column.isin(*rule.values))
+    parents = tables[rule.to_table].select(F.col(rule.to_column).alias(rule.column)).distinct()
+    return df.where(column.isNotNull()).join(parents, rule.column, "left_anti")
+
+
 def check_plan(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """All rule results as one lazy union (one small row per rule)."""
     parts = _per_table(rules, tables, "not_null") + _per_table(rules, tables, "accepted_values")

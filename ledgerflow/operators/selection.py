@@ -3,9 +3,10 @@
 * ``exact_k`` picks exactly ``k`` rows without replacement: the rows with the
   ``k`` smallest ``(h, tie-breakers)`` tuples, ``h`` being a 52-bit row hash.
   A histogram of hash-prefix buckets (bounded: 2^bits rows) finds the bucket
-  where the k-th row lies; a row_number over that single bucket's rows gives
-  the k-th tuple ``T`` (several selections share one histogram pass and one
-  threshold job).  Selection is then the per-row predicate ``tuple <= T`` -- no
+  where the k-th row lies; while that bucket is large, a histogram of the next
+  ``REFINE_BITS`` hash bits inside it finds the sub-bucket, and so on.  A
+  row_number over the few rows that are left gives the k-th tuple ``T``
+  (several selections share each pass and one threshold job).  Selection is then the per-row predicate ``tuple <= T`` -- no
   global sort, no join, nothing unbounded on the driver.
 * ``ranked`` numbers selected rows 1..k in tuple order: ``row_number`` per
   bucket plus the bucket's offset from the histogram (no unpartitioned window).
@@ -29,6 +30,9 @@ from ..functions.uniform import HASH_BITS
 BROADCAST_MAX_ROWS = 2_000_000
 # Bins generated from one row at most (splits a hot interval across tasks).
 CHUNK_BINS = 1024
+# Rows of a cut bucket that one task may rank; a larger one is cut by further hash bits.
+CUT_ROWS = 250_000
+REFINE_BITS = 12
 
 
 def bucket_bits(n_rows: int, target_per_bucket: int = 250_000) -> int:
@@ -71,18 +75,19 @@ class Selection:
 
 
 def exact_k(df: DataFrame, k: int, h_col: str, tiebreak: list[str],
-            bits: int | None = None, n_rows: int | None = None) -> Selection:
-    """Plan an exact-k selection over ``df`` (two small actions: histogram, cut)."""
-    return exact_k_many(df, [(k, h_col, tiebreak)], bits, n_rows)[0]
+            bits: int | None = None, n_rows: int | None = None, cut_rows: int = CUT_ROWS) -> Selection:
+    """Plan an exact-k selection over ``df`` (small actions: histogram, refinements, cut)."""
+    return exact_k_many(df, [(k, h_col, tiebreak)], bits, n_rows, cut_rows)[0]
 
 
 def exact_k_many(df: DataFrame, specs: list[tuple[int, str, list[str]]],
-                 bits: int | None = None, n_rows: int | None = None) -> list[Selection]:
+                 bits: int | None = None, n_rows: int | None = None, cut_rows: int = CUT_ROWS) -> list[Selection]:
     """Several independent exact-k selections over the same rows.
 
     All histograms come from one pass (each row contributes one bucket per
-    selection, tagged by selection index); then one bounded top-k per
-    selection inside its cut bucket.
+    selection, tagged by selection index); large cut buckets are refined, all in
+    one pass for each further ``REFINE_BITS``; then one bounded top-k per
+    selection inside what is left of its cut bucket.
     """
     if bits is None:
         if n_rows is None:
@@ -100,45 +105,74 @@ def exact_k_many(df: DataFrame, specs: list[tuple[int, str, list[str]]],
     for i, (k, h_col, tiebreak) in enumerate(specs):
         if k > 0:
             plans[i] = _locate(k, sorted(hists[i]))
-    thresholds = _thresholds(df, specs, plans, bits)
+    thresholds = _thresholds(df, specs, _refined(df, specs, plans, bits, cut_rows))
     out = []
     for i, (k, h_col, tiebreak) in enumerate(specs):
         dtypes = [df.schema[h_col].dataType] + [df.schema[c].dataType for c in tiebreak]
         if k <= 0:
             out.append(Selection(0, h_col, tiebreak, bits, None, None, [], dtypes))
             continue
-        cut, taken, offsets, _ = plans[i]
+        cut, taken, offsets, *_ = plans[i]
         out.append(Selection(taken, h_col, tiebreak, bits, cut, thresholds.get(i), offsets, dtypes))
     return out
 
 
 def _locate(k: int, hist: list[tuple[int, int]]):
-    """(cut bucket, rows selected, bucket offsets, rank of the k-th row inside the cut)."""
+    """(cut bucket, rows selected, bucket offsets, rank of the k-th row inside the cut, rows of the cut)."""
     before, offsets = 0, []
     for bucket, n in hist:
         offsets.append((bucket, before))
         if before + n >= k:
-            return bucket, k, offsets, k - before
+            return bucket, k, offsets, k - before, n
         before += n
     if not hist:
-        return None, 0, offsets, 0
+        return None, 0, offsets, 0, 0
     last, n_last = hist[-1]
-    return last, before, offsets, n_last  # k >= all rows: everything is selected
+    return last, before, offsets, n_last, n_last  # k >= all rows: everything is selected
 
 
-def _thresholds(df: DataFrame, specs, plans: dict, bits: int) -> dict[int, tuple]:
+@dataclass
+class _Cut:
+    """Where the wanted row is: the bucket of the first ``bits`` hash bits, and its rank there."""
+    bits: int
+    bucket: int
+    rank: int
+    rows: int
+
+
+def _refined(df: DataFrame, specs, plans: dict, bits: int, cut_rows: int) -> dict[int, _Cut]:
+    """Cut buckets of more than ``cut_rows`` rows are cut by further bits until they are small.
+
+    Each pass reads the rows of the large buckets only and brings at most 2^REFINE_BITS counts for each
+    selection to the driver.  Rows of one equal hash can't be told apart by bits: the tie-breakers do that.
+    """
+    cuts = {i: _Cut(bits, cut, rank, n) for i, (cut, _, _, rank, n) in plans.items() if cut is not None and rank > 0}
+    while True:
+        large = {i: c for i, c in cuts.items() if c.rows > cut_rows and c.bits < HASH_BITS}
+        if not large:
+            return cuts
+        parts = []
+        for i, c in large.items():
+            h, deeper = F.col(specs[i][1]), min(HASH_BITS, c.bits + REFINE_BITS)
+            parts.append(df.where(_bucket(h, c.bits) == F.lit(c.bucket)).select(F.lit(i).alias("s"), _bucket(h, deeper).alias("b")))
+        hists: dict[int, list[tuple[int, int]]] = {i: [] for i in large}
+        for r in reduce(DataFrame.unionByName, parts).groupBy("s", "b").agg(F.count(F.lit(1)).alias("n")).collect():
+            hists[r["s"]].append((r["b"], r["n"]))
+        for i, c in large.items():
+            bucket, _, _, rank, n = _locate(c.rank, sorted(hists[i]))
+            cuts[i] = _Cut(min(HASH_BITS, c.bits + REFINE_BITS), bucket, rank, n)
+
+
+def _thresholds(df: DataFrame, specs, cuts: dict[int, _Cut]) -> dict[int, tuple]:
     """The k-th (h, tiebreak...) tuple of every selection, from one job.
 
-    Only the rows of each selection's cut bucket take part (bounded by the
-    histogram); a row_number per selection finds the tuple at the needed rank.
+    Only the rows of each selection's refined cut bucket take part; a row_number per selection finds the tuple at the needed rank.
     Selections whose tuples have different types get their own job.
     """
     from pyspark.sql import Window
 
     groups: dict[str, list[int]] = {}
-    for i, (cut, _, _, rank) in plans.items():
-        if cut is None or rank <= 0:
-            continue
+    for i in cuts:
         _, h_col, tiebreak = specs[i]
         sig = str([df.schema[h_col].dataType] + [df.schema[c].dataType for c in tiebreak])
         groups.setdefault(sig, []).append(i)
@@ -146,10 +180,10 @@ def _thresholds(df: DataFrame, specs, plans: dict, bits: int) -> dict[int, tuple
     for members in groups.values():
         parts = []
         for i in members:
-            cut, _, _, rank = plans[i]
+            cut = cuts[i]
             _, h_col, tiebreak = specs[i]
-            parts.append(df.where(_bucket(F.col(h_col), bits) == F.lit(cut))
-                         .select(F.lit(i).alias("_s"), F.lit(rank).alias("_need"),
+            parts.append(df.where(_bucket(F.col(h_col), cut.bits) == F.lit(cut.bucket))
+                         .select(F.lit(i).alias("_s"), F.lit(cut.rank).alias("_need"),
                                  _tuple(h_col, tiebreak).alias("t")))
         rows = reduce(DataFrame.unionByName, parts)
         w = Window.partitionBy("_s").orderBy("t")

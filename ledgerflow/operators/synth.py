@@ -140,8 +140,8 @@ def fit(spark: SparkSession, trans: DataFrame) -> FitTables:
         root = scratch_path(spark, "fit")
         fit_account_weights(spark, src, total_rows=int(scalars["account_rows"])) \
             .write.mode("overwrite").parquet(f"{root}/accounts")
-        fit_operation(src).coalesce(1).write.mode("overwrite").parquet(f"{root}/operations")
-        fit_k_symbol(src).coalesce(1).write.mode("overwrite").parquet(f"{root}/k_symbols")
+        fit_operation(src).write.mode("overwrite").parquet(f"{root}/operations")
+        fit_k_symbol(src).write.mode("overwrite").parquet(f"{root}/k_symbols")
     finally:
         src.unpersist()
     return FitTables(spark.read.parquet(f"{root}/operations"),

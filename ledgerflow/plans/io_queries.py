@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import load
+from ..operators import load, synth
 from ..schemas import TRANS_COLUMNS
 from ..session import scratch_path
 from ..sources import delimited
@@ -115,3 +115,61 @@ def full_refresh_load(spark, sf_dir):
               "disposition": raw.disposition, "trans": raw.trans.drop("ingest_seq")}
     _, counts = load.full_refresh(tables, write)
     return counts
+
+
+@register("fit_from_csv", synth_sql("""
+    SELECT op_key, CAST(count(*) AS BIGINT) AS n, CAST(min(amount) AS DOUBLE) AS amount_min, CAST(max(amount) AS DOUBLE) AS amount_max,
+      CAST((SELECT count(*) FROM fit_in WHERE trans_id % 97 IN (5, 6)) AS BIGINT) AS bad_lines,
+      CAST((SELECT count(*) FROM fit_in WHERE trans_id % 97 NOT IN (5, 6)) AS BIGINT) AS good_lines,
+      CAST((SELECT count(DISTINCT account_id) FROM fit_in WHERE trans_id % 97 NOT IN (5, 6)) AS BIGINT) AS accounts
+    FROM (SELECT *, coalesce(operation, '__MISSING__') AS op_key FROM fit_in WHERE amount > 0 AND trans_id % 97 NOT IN (5, 6))
+    GROUP BY op_key"""))
+def fit_from_csv(spark, sf_dir):
+    """SRC-3: the fit from a file with broken lines (a field of another type; too few fields): those are counted and
+    kept apart, and the rest is fitted."""
+    path, layout = scratch_path(spark, "trans-broken-csv"), delimited.FILE_LAYOUTS["trans"]
+    rows = fit_input(spark, sf_dir)
+    part = F.col("trans_id") % 97
+    delimited.write_delimited(rows.where(~part.isin(5, 6)), path, "trans")
+    text = rows.select(*[F.col(c).cast("string").alias(c) if c != "trans_id" else F.col(c) for c in layout])
+    options = {"sep": delimited.SEPARATOR, "header": "true"}
+    text.where(part == 5).withColumn("amount", F.lit("n/a")).write.mode("append").options(**options).csv(path)
+    text.where(part == 6).select(*layout[:3]).write.mode("append").options(**options).csv(path)
+    good, bad = delimited.read_with_rejects(spark, path, "trans")
+    model = synth.fit(spark, good)
+    return model.operations.select("op_key", "n", "amount_min", "amount_max", F.lit(bad.count()).cast("long").alias("bad_lines"),
+                                   F.lit(int(model.scalars["rows"])).cast("long").alias("good_lines"),
+                                   F.lit(int(model.scalars["accounts"])).cast("long").alias("accounts"))
+
+
+@register("full_refresh_switch", O.with_base("""
+    SELECT step, table_name, CAST(n AS BIGINT) AS rows FROM (
+      SELECT unnest(['after the first', 'after the broken one']) AS step, 'client' AS table_name, (SELECT count(*) FROM raw_client WHERE client_id % 2 = 0) AS n
+      UNION ALL SELECT unnest(['after the first', 'after the broken one']), 'district', (SELECT count(*) FROM raw_district)
+      UNION ALL SELECT 'after the whole one', 'client', (SELECT count(*) FROM raw_client WHERE district_id IN (SELECT district_id FROM raw_district))
+      UNION ALL SELECT 'after the whole one', 'district', (SELECT count(*) FROM raw_district)
+      UNION ALL SELECT 'after the whole one', 'trans', (SELECT count(*) FROM raw_trans))"""))
+def full_refresh_switch(spark, sf_dir):
+    """SNK-3 as one switch: what a reader sees after a first load, after one that broke between its tables, and after a
+    whole one.  The second never shows, though its district table was written."""
+    raw = td.raw_tables(spark, sf_dir)
+    store = load.LoadedTables(scratch_path(spark, "loads"))
+    seen = []
+
+    def look(step):
+        for name, df in store.read(spark).items():
+            seen.append((step, name, df.count()))
+
+    no_district = raw.client.where("client_id % 2 = 0").withColumn("district_id", F.lit(None).cast("long"))
+    store.refresh({"district": raw.district, "client": no_district}, 1)
+    look("after the first")
+
+    def broken(loaded):
+        raise RuntimeError("the load is broken")
+    try:
+        store.refresh({"district": raw.district.where("district_id < 3"), "client": raw.client}, 2, check=broken)
+    except RuntimeError:
+        look("after the broken one")
+    store.refresh({"district": raw.district, "client": raw.client, "trans": raw.trans.drop("ingest_seq")}, 3)
+    look("after the whole one")
+    return spark.createDataFrame(seen, "step string, table_name string, rows long")

@@ -17,7 +17,7 @@ from ..operators import profile as profile_ops
 from ..schemas import CDC_PROFILE, CDC_TRANS, STATE_COLUMNS, STATE_KEYS
 from ..session import scratch_path
 from ..sources import cdc as cdc_src
-from ..streaming import enrich_stream, profile_stream
+from ..streaming import enrich_stream, metrics, profile_stream
 from ..sources import testdata as td
 from . import oracle as O
 from .catalog import register, staged
@@ -450,3 +450,27 @@ def stream_replay(spark, sf_dir):
     both = (read["enriched"].select(F.lit(None).cast("string").alias("dlq_reason"))
             .unionByName(read["dead_letters"].select("dlq_reason")))
     return both.groupBy("dlq_reason").agg(F.count(F.lit(1)).cast("bigint").alias("records"))
+
+
+@register("stream_listener_metrics", O.with_base(f"""
+    SELECT CAST(trans_id % {RECOVERY_ARRIVALS} AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS processed,
+      CAST(count(*) FILTER (WHERE account_id IS NULL) AS BIGINT) AS missing_account,
+      CAST(count(*) FILTER (WHERE __deleted = 'true') AS BIGINT) AS deleted,
+      CAST(count(*) FILTER (WHERE dlq_reason IS NULL) AS BIGINT) AS enriched,
+      CAST(count(*) FILTER (WHERE dlq_reason IS NOT NULL) AS BIGINT) AS dlq
+    FROM routed GROUP BY 1""", PROFILE_CTE))
+def stream_listener_metrics(spark, sf_dir):
+    """A-6 over the life of a stream: what a listener has gathered of all micro-batches until the stop, beside the
+    figures that each batch wrote with its outputs."""
+    stream = _transaction_arrivals(spark, td.cdc_trans(spark, sf_dir), RECOVERY_ARRIVALS)
+    heard, root = metrics.RunningMetrics(), scratch_path(spark, "listened")
+    spark.streams.addListener(heard)
+    try:
+        query = enrich_stream.start_enrichment(spark, metrics.arriving(stream), _profile_loader(spark, sf_dir), root)
+        enrich_stream.drained(query)
+        heard.wait(query)
+    finally:
+        spark.streams.removeListener(heard)
+    gathered = heard.table(spark, f"{root}/running").drop("run_id")
+    written = enrich_stream.read_outputs(spark, root)["metrics"].select(F.col("batch_id").cast("long").alias("batch_id"), "enriched", "dlq")
+    return gathered.join(written, "batch_id")

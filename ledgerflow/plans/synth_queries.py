@@ -490,10 +490,7 @@ def reconcile_quality(spark, sf_dir):
     accounts, profiled = raw.account.select("account_id").distinct(), profile.select("account_id")
     rows = []
     for ds in DATASETS:
-        c = run.corrupted[ds]
-        path = scratch_path(spark, f"flagged-{ds}")
-        c.flagged.select(*TRANS_COLUMNS, "is_copy", "is_orphan", "is_missing", "original_account_id", "original_k_symbol").write.parquet(path)
-        data = spark.read.parquet(path)
+        data = run.corrupted[ds].flagged
         found = {r["test"]: r["failures"] for r in quality.run_checks(
             {"corrupted": data, "account": raw.account}, _QUALITY_CHECKS).collect()}
         test = [r.name for r in _QUALITY_CHECKS]
@@ -507,3 +504,46 @@ def reconcile_quality(spark, sf_dir):
                   ("dead_letters", audited["ref"] + baseline[1], dead), ("k_symbol_not_null", audited["null"], found[test[2]])]
         rows += [(ds, n, int(e), int(o), "MATCH" if int(e) == int(o) else "MISMATCH") for n, e, o in checks]
     return spark.createDataFrame(rows, "dataset string, check_name string, expected long, observed long, status string")
+
+
+_ROW_RULES = {"duplicate": Rule("unique", "staged", "trans_id"), "missing_value": Rule("not_null", "loaded", "k_symbol")}
+
+
+@register("reconcile_rows", O.with_base("""
+    SELECT coalesce(a.dataset, f.dataset) AS dataset, coalesce(a.kind, f.kind) AS kind,
+      CASE WHEN f.trans_id IS NULL THEN 'audited only' WHEN a.trans_id IS NULL THEN 'found only' ELSE 'found and audited' END AS outcome,
+      CAST(count(*) AS BIGINT) AS rows
+    FROM audit_all a FULL JOIN (
+      SELECT dataset, 'duplicate' AS kind, trans_id, copy_no FROM corrupt_all c
+      WHERE (SELECT count(*) FROM corrupt_all x WHERE x.dataset = c.dataset AND x.trans_id = c.trans_id) > 1
+      UNION ALL
+      SELECT dataset, 'referential_violation', trans_id, copy_no FROM corrupt_all
+      WHERE copy_no = 0 AND account_id NOT IN (SELECT account_id FROM stream_profile)
+      UNION ALL
+      SELECT dataset, 'missing_value', trans_id, copy_no FROM corrupt_all WHERE copy_no = 0 AND k_symbol IS NULL) f
+      ON f.dataset = a.dataset AND f.kind = a.kind AND f.trans_id = a.trans_id AND f.copy_no = a.copy_no
+    GROUP BY 1, 2, 3""", {**_all_ctes(), **PROFILE_CTE}))
+def reconcile_rows(spark, sf_dir):
+    """CR-6 by rows: the audit and what the tests and the dead letters found, joined on the row.
+
+    Uniqueness is tested on the staged rows, the rest on the loaded ones (the first copy of each id), as the load
+    leaves them; so errors of copies that the load drops are audited only, and rows that fail without having been
+    corrupted (originals of copies, accounts that are orphans already, values that were NULL) are found only."""
+    run, raw = synthesize(spark, sf_dir), td.raw_tables(spark, sf_dir)
+    st = mart.stage_all(raw)
+    profile = profile_ops.stream_profile(st.account, st.disposition, st.client, st.district)
+    key = ["dataset", "kind", "trans_id", "copy_no"]
+    found, audit = [], []
+    for ds in DATASETS:
+        rows = run.corrupted[ds].rows
+        loaded = staging.dedupe_first(rows, "trans_id", ["copy_no"])
+        failing = {k: quality.failing_rows({"staged": rows, "loaded": loaded}, r) for k, r in _ROW_RULES.items()}
+        failing["referential_violation"] = enrich.route(loaded, profile).where(F.col("dlq_reason").isNotNull())
+        found += [df.select(F.lit(ds).alias("dataset"), F.lit(k).alias("kind"), "trans_id", "copy_no") for k, df in failing.items()]
+        audit.append(run.corrupted[ds].audit.select(*key))
+    a = corrupt_ops.union_all(audit).withColumn("audited", F.lit(True))
+    f = corrupt_ops.union_all(found).withColumn("found", F.lit(True))
+    outcome = (F.when(F.col("found").isNull(), "audited only").when(F.col("audited").isNull(), "found only")
+               .otherwise("found and audited"))
+    return (a.join(f, key, "full").groupBy("dataset", "kind", outcome.alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("rows")))

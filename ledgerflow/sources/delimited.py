@@ -11,9 +11,11 @@ field, '' as ``""``, so a write/read round trip keeps both.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..session import scratch_path
 
 # File options of the source extracts.
 SEPARATOR = ";"
@@ -54,6 +56,31 @@ def read_delimited(spark: SparkSession, path: str, table: str,
     return df.select(*CANONICAL[table])
 
 
+REJECTED = "__line"
+
+
+def read_with_rejects(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """SRC-3: the rows of a file that may hold broken lines, and the broken lines by themselves.
+
+    A line is broken if it has another number of fields than the layout or a field that isn't of its
+    column's type.  All columns are parsed whatever is asked of the result (a pruned scan would find fewer
+    broken lines), so store what is used more than once.
+    """
+    layout = schemas.layout_schema(FILE_LAYOUTS[table], BASE_SCHEMA[table])
+    marked = T.StructType([*layout.fields, T.StructField(REJECTED, T.StringType(), True)])
+    lines = (spark.read.schema(marked)
+             .option("sep", SEPARATOR).option("header", "true").option("quote", QUOTE).option("escape", QUOTE)
+             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+             .option("nullValue", NULL_TOKEN.get(table, UNUSED_NULL_TOKEN))
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).option("columnPruning", "false")
+             .csv(path))
+    kept = scratch_path(spark, "parsed-lines")
+    lines.write.parquet(kept)
+    lines = spark.read.schema(marked).parquet(kept)
+    return (lines.where(F.col(REJECTED).isNull()).select(*CANONICAL[table]),
+            lines.where(F.col(REJECTED).isNotNull()).select(F.col(REJECTED).alias("line")))
+
+
 def write_delimited(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
     """SNK-7: write in the table's file layout (a directory of part files)."""
     (df.select(*FILE_LAYOUTS[table]).write.mode(mode)

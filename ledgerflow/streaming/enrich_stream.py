@@ -102,6 +102,10 @@ def make_batch_writer(spark: SparkSession, profile_loader: ProfileLoader,
     sinks = sinks or ParquetSinks(out)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # Keys and join both read the batch: taken from the source once, by an action of its own, since
+        # stages that run side by side would each read it.
+        batch = batch.persist()
+        batch.count()
         loaded = profile_loader(account_keys(batch), batch_id)
         profile, version = loaded if isinstance(loaded, tuple) else (loaded, None)
         # Written to both sinks, so the join is done once.
@@ -123,6 +127,7 @@ def make_batch_writer(spark: SparkSession, profile_loader: ProfileLoader,
              .write.mode("overwrite").parquet(_batch_path(out.metrics, batch_id)))
         finally:
             routed.unpersist()
+            batch.unpersist()
     return write_batch
 
 

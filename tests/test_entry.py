@@ -49,30 +49,38 @@ EXPECTED_QUERIES = [
     "fct_enriched_transactions",
     "fit_account_weights",
     "fit_dirty_scalars",
+    "fit_from_csv",
     "fit_k_symbol",
     "fit_operation",
     "fit_scalars",
     "full_refresh_load",
+    "full_refresh_switch",
     "idempotent_append",
     "load_audit",
     "manifest_missing_sample",
     "manifest_summary",
+    "mart_catalog",
     "mart_counts",
     "mart_materialized",
     "profile_district_fallback",
     "profile_topics_routed",
     "reconcile_corruption",
     "reconcile_quality",
+    "reconcile_rows",
     "stage_account",
     "stage_client",
     "stage_disposition",
     "stage_district",
     "stage_trans",
+    "stream_deduplicated",
     "stream_dlq",
     "stream_end_to_end",
     "stream_enriched",
+    "stream_gate",
+    "stream_listener_metrics",
     "stream_metrics",
     "stream_profile_state",
+    "stream_recovery",
     "stream_replay",
     "synth_export_round_trip",
     "synth_transactions",
@@ -97,7 +105,9 @@ def _norm(v):
 @pytest.mark.parametrize("name", ["fct_enriched_transactions", "customer_profile", "dq_summary",
                                   "cdc_owner_link", "fit_operation", "synth_transactions",
                                   "corrupt_orphans", "stream_enriched",
-                                  "reconcile_quality", "load_audit"])
+                                  "reconcile_quality", "load_audit", "reconcile_rows", "fit_from_csv", "full_refresh_switch",
+                                  "mart_catalog", "stream_gate", "stream_recovery", "stream_deduplicated",
+                                  "stream_listener_metrics"])
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:

@@ -1,6 +1,8 @@
 """Delimited files and loads (SRC-1/2, SNK-3 ... SNK-5, SNK-7, J-9)."""
 import os
 
+from pyspark.sql import functions as F
+
 from ledgerflow.operators import load
 from ledgerflow.sources import delimited
 
@@ -88,3 +90,63 @@ def test_mart_written_by_month(spark, tmp_dir):
     assert months == ["transaction_month=1999-01", "transaction_month=1999-02"]
     back = spark.read.parquet(path).where("transaction_month = '1999-01'")
     assert sorted(r["trans_id"] for r in back.collect()) == [1, 3]
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "trans.csv")
+    head = "trans_id;account_id;date;type;operation;amount;balance;k_symbol;bank;account"
+    lines = ["1;5;930101;PRIJEM;VKLAD;1.5;2.0;\"\";;", "2;5;930101;PRIJEM;VKLAD;n/a;2.0;;;", "3;5;930101", "x;5;930101;PRIJEM;;1.5;;;;",
+             "4;5;930101;PRIJEM;;1.5;;;;;;9", "5;;930101;PRIJEM;;2.5;;SIPO;;"]
+    with open(p, "w") as f:
+        f.write("\n".join([head, *lines]) + "\n")
+    good, bad = delimited.read_with_rejects(spark, p, "trans")
+    assert sorted(r.trans_id for r in good.select("trans_id").collect()) == [1, 5]   # also where few columns are asked for
+    assert {r.line for r in bad.collect()} == set(lines[1:5])
+    rows = {r.trans_id: r for r in good.collect()}
+    assert rows[1].k_symbol == "" and rows[5].account_id is None and good.columns == delimited.CANONICAL["trans"]
+
+
+def test_readers_see_whole_loads_only(spark, tmp_dir):
+    store = load.LoadedTables(tmp_dir)
+    assert store.read(spark) == {}
+    tables = lambda n: {"district": spark.createDataFrame([(i,) for i in range(n)], "district_id long"),
+                        "account": spark.createDataFrame([(i, i) for i in range(9)], "account_id long, district_id long")}
+    store.refresh(tables(4), 1)
+    assert {t: df.count() for t, df in store.read(spark).items()} == {"district": 4, "account": 4}
+
+    def refuse(loaded):
+        assert loaded["district"].count() == 7          # written by now, and not seen yet
+        assert store.read(spark)["district"].count() == 4
+        raise ValueError("refused")
+    try:
+        store.refresh(tables(7), 2, refuse)
+    except ValueError:
+        pass
+    assert store.read(spark)["account"].count() == 4
+    store.refresh(tables(7), 3)
+    assert store.create_views(spark, "loaded_") == ["account", "district"] and spark.table("loaded_account").count() == 7
+
+
+def test_mart_as_catalog_table(spark, tmp_dir):
+    import datetime as dt
+    from ledgerflow.operators import mart
+    fact = spark.createDataFrame([(i, i % 5, dt.date(1999, 1 + i % 3, 5)) for i in range(60)], "trans_id long, account_id long, transaction_date date")
+    mart.save_mart(fact, "test_mart", os.path.join(tmp_dir, "mart"), buckets=4)
+    again = fact.where("trans_id < 30 and month(transaction_date) = 2").withColumn("trans_id", F.col("trans_id") + 1000)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    mart.replace_months(again, "test_mart", 4)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    kept = fact.where("month(transaction_date) <> 2").select("trans_id").union(again.select("trans_id"))
+    assert sorted(spark.table("test_mart").select("trans_id").collect()) == sorted(kept.collect())
+    profile = spark.createDataFrame([(i, f"d{i}") for i in range(5)], "account_id long, district_name string")
+    mart.save_bucketed(profile, "test_profile", os.path.join(tmp_dir, "profile"), buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("test_mart").join(spark.table("test_profile"), "account_id").groupBy("account_id").count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan or "ShuffledHashJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table test_mart")
+        spark.sql("drop table test_profile")

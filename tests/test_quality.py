@@ -71,3 +71,15 @@ def test_a_failed_error_test_fails_the_run(spark):
     assert quality.require_passing(spark.createDataFrame(rows, DQ_RESULT)).count() == 2
     with pytest.raises(quality.ChecksFailed, match="c1: 2"):
         quality.require_passing(spark.createDataFrame([*rows, ("c1", "t", "c", "error", 2, "ERROR")], DQ_RESULT))
+
+
+def test_failing_rows_are_as_many_as_the_test_counts(spark):
+    from ledgerflow.operators import quality
+    from ledgerflow.operators.quality import Rule
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "z"), (3, "a")], "k long, v string")
+    tables = {"child": child, "parent": spark.createDataFrame([(1,), (2,)], "k long")}
+    rules = {Rule("not_null", "child", "v"): 1, Rule("unique", "child", "k"): 2, Rule("accepted_values", "child", "v", values=("a", "b")): 1,
+             Rule("relationships", "child", "k", to_table="parent", to_column="k"): 1}
+    for rule, n in rules.items():
+        got = quality.failing_rows(tables, rule)
+        assert got.count() == n and sorted(got.columns) == ["k", "v"], rule

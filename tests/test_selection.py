@@ -22,6 +22,28 @@ def test_exact_k_matches_sorting(spark, n, k):
     assert got == sorted(r["trans_id"] for r in rows[:k])
 
 
+@pytest.mark.parametrize("bits,cut_rows,k", [(1, 5, 700), (2, 1, 1), (1, 100, 1999), (3, 10, 2000), (1, 0, 1234)])
+def test_large_cut_buckets_are_refined(spark, bits, cut_rows, k):
+    """Few first buckets of many rows each, ties of one hash among them: the same rows as by sorting."""
+    df = _frame(spark, 2000).withColumn("h", F.when(F.col("trans_id") % 5 == 0, F.lit(2**51 + 12345)).otherwise(F.col("h")))
+    sel = selection.exact_k(df, k, "h", ["trans_id", "copy_no"], bits=bits, cut_rows=cut_rows)
+    got = sorted(r["trans_id"] for r in df.where(sel.predicate()).collect())
+    rows = sorted(df.collect(), key=lambda r: (r["h"], r["trans_id"], r["copy_no"]))
+    assert got == sorted(r["trans_id"] for r in rows[:k])
+    ranked = selection.ranked(spark, df.where(sel.predicate()), sel).collect()
+    assert [r["trans_id"] for r in sorted(ranked, key=lambda r: r["rank"])] == [r["trans_id"] for r in rows[:k]]
+
+
+def test_refinement_reads_few_rows_in_one_task(spark):
+    df = _frame(spark, 3000)
+    plans = {0: (0, 1500, [], 1500, 3000)}
+    cut = selection._refined(df, [(1500, "h", ["trans_id"])], plans, 0, 20)[0]
+    assert cut.rows <= 20 and cut.bits == selection.REFINE_BITS
+    inside = df.where(F.shiftright("h", 52 - cut.bits) == cut.bucket).count()
+    below = df.where(F.shiftright("h", 52 - cut.bits) < cut.bucket).count()
+    assert inside == cut.rows and below + cut.rank == 1500
+
+
 def test_ranks_are_consecutive_in_hash_order(spark):
     df = _frame(spark, 2000)
     sel = selection.exact_k(df, 321, "h", ["trans_id", "copy_no"], bits=5)

@@ -121,10 +121,21 @@ class Index:
     words: np.ndarray               # sorted hashes
     ceiling: np.ndarray             # of each word: the largest impact
     common: np.ndarray              # of each word: in over an eighth of the items
-    blocks: Lists
-    items: Lists
+    blocks: Lists                   # of each word: its largest impact in each block of items
+    items: Lists                    # of each word: its postings, block after block
+    run_first: np.ndarray           # of each entry of blocks: where its postings begin in items
+    run_many: np.ndarray
     longest: int                    # words of the longest item
 
+    def postings_of(self, owner: np.ndarray, term: np.ndarray, is_open: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(owner, item, value) of the postings in open blocks; those of closed blocks are skipped unread."""
+        many = self.blocks.many[term]
+        entry, owner = ragged(self.blocks.first[term], many), np.repeat(owner, many)
+        ok = is_open[owner, self.blocks.place[entry]]
+        entry, owner = entry[ok], owner[ok]
+        at = ragged(self.run_first[entry], self.run_many[entry])
+        return np.repeat(owner, self.run_many[entry]), self.items.place[at], self.items.value[at]
+
 
 def question_and_answer(text: str, question: str | None, answer: str | None) -> tuple[np.ndarray, np.ndarray]:
     if question and answer:
@@ -161,10 +172,11 @@ def build(rows: list[tuple[int, str, str | None, str | None]], documents: dict[i
     key, back = np.unique(term * n_blocks + place // BLOCK, return_inverse=True)
     most = np.zeros(len(key))
     np.maximum.at(most, back, value)
+    runs = np.bincount(back, minlength=len(key))
     pairs = [question_and_answer(x[1], x[2], x[3]) for x in found]
     return Index([x[0] for x in found], [q for q, _ in pairs], [a for _, a in pairs], words, ceiling, df > total / 8,
                  Lists.of(key // n_blocks, key % n_blocks, most, len(words)),
-                 Lists.of(term, place, value, len(words)), max((len(x[4]) for x in found), default=1))
+                 Lists.of(term, place, value, len(words)), np.cumsum(runs) - runs, runs, max((len(x[4]) for x in found), default=1))
 
 
 def _distinct(keys: np.ndarray) -> np.ndarray:
@@ -204,9 +216,8 @@ def retrieve(index: Index, word: np.ndarray, cell: np.ndarray, window_of: np.nda
         if not live.any():
             continue
         sel = live[own]
-        o, item, v = index.items.spread(own[sel], term[sel])
-        sel = open_block[o, item // BLOCK]
-        score = np.bincount(o[sel] * n_items + item[sel], v[sel], minlength=n * n_items)
+        o, item, v = index.postings_of(own[sel], term[sel], open_block)
+        score = np.bincount(o * n_items + item, v, minlength=n * n_items)
         hit = np.flatnonzero(score >= least)
         out.append((hit // n_items + base, hit % n_items, score[hit]))
     if not out:

@@ -60,6 +60,27 @@ def test_retrieval_equals_brute_force(least):
     assert got == _brute(texts, items, least)
 
 
+def test_postings_of_closed_blocks_are_skipped(monkeypatch):
+    """Items of words of their own, many blocks of them: a passage with one item reads few postings, and finds it."""
+    items = [(i, " ".join(f"w{i}x{j} common{j}" for j in range(12))) for i in range(600)]
+    monkeypatch.setattr(dec, "BLOCK", 8)
+    index, read = _index(items), []
+    postings_of = dec.Index.postings_of
+
+    def counted(self, *args):
+        got = postings_of(self, *args)
+        read.append(len(got[1]))
+        return got
+    monkeypatch.setattr(dec.Index, "postings_of", counted)
+    texts = [items[77][1], " ".join(f"common{j}" for j in range(12)), "nothing of it"]
+    found = dec.matches(texts, index, 0.5, 0.0, 0.0)
+    assert [[m["item_id"] for m in f] for f in found] == [[77], [], []]
+    whole = sum(int(index.items.many[np.searchsorted(index.words, h)].sum()) for h in (dec.word_hashes(texts[0])[0],))
+    assert 0 < sum(read) < whole / 20
+    assert (np.repeat(np.arange(len(index.run_many)), index.run_many) == np.repeat(
+        np.arange(len(index.run_many)), np.diff(np.append(index.run_first, len(index.items.place))))).all()
+
+
 def test_verification():
     texts, items = _tables()
     item = items[9][1]

@@ -1,13 +1,15 @@
 """K-d tree partitioning: shards of near equal bytes by weighted medians of metadata.
 
 Each row is a point: numbers are scaled to 20 bits between the table's least and greatest value,
-texts are placed by a hash.  A node that has to become n shards is split along its widest dimension
+texts are placed by a hash.  Rows of equal texts are one group and one point: each dimension takes the
+group's least value, and the id is no dimension.  A node that has to become n shards is split along its widest dimension
 at the key where the rows before hold the share of bytes that the left shards need; a key is the
-place in that dimension, then a hash of the text, then one of the id, so rows of one place can be
-split and equal texts of one place are side by side.  Splits along the id's dimension scatter equal
-texts over shards, also groups of two.  The weighted median is found by distributed histograms:
+place in that dimension, then a hash of the text, then one of the id, so equal texts are side by side.
+A cut that falls into a group goes to its nearer end where the group holds at most a hundredth of a
+shard's bytes, and through it otherwise: so only groups that are large for a shard lie in several.  The weighted median is found by distributed histograms:
 each pass sums bytes by 10 more bits of the key, in all nodes of a level at once, until the cut falls
-on one row or the key is used up.  So each leaf is its share of the bytes but for about a row.
+on one row or one such group, or the key is used up.  So each leaf is its share of the bytes but for about
+a row, or a hundredth for each cut above it.
 
 All work is in DataFrame functions.  The driver gets a row for each node and pass, no more.
 Within a shard rows have slots 0, 1, ...: rows are numbered in hashed buckets of a shard, and the
@@ -28,10 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import stored
+from .keysets import copied, dealt, hot_keys
 
 PLACE_BITS = 20          # of a dimension
 TIE_BITS = 43            # 24 of the text's hash, 15 of the id's, 4 of the row's number
 KEY_BITS = PLACE_BITS + TIE_BITS
+TEXT_END = PLACE_BITS + 24  # bits of the key that equal texts share
+WHOLE_SHARE = 100        # a group of up to 1 / 100 of a shard's bytes isn't cut
 STEP_BITS = 10           # of the key, in each histogram
 BUCKET_ROWS = 20_000     # rows of a bucket in which slots are counted
 LEAST_BUCKETS = 64       # buckets of a shard at least
@@ -49,6 +54,7 @@ class Node:
     left: "Node | None" = None
     right: "Node | None" = None
     target: float = 0.0
+    whole: float = 0.0              # bytes of a group that isn't cut
     prefix: int = 0                 # of the key that the cut has, so far
     bits: int = 0
     before: int = 0                 # bytes of smaller prefixes
@@ -87,8 +93,21 @@ def _node_of(node: Node) -> Column:
     return F.when(_key(node.dim) < F.lit(node.cut), _node_of(node.left)).otherwise(_node_of(node.right))
 
 
+def _grouped(docs: DataFrame, dims: list[str], text_col: str) -> DataFrame:
+    """Each row with its dimensions as ``__d_<name>``: the least value in the group of rows of its text."""
+    keyed = docs.withColumn("__group", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    several = stored(keyed.groupBy("__group").agg(F.count("*").alias("n"), *[F.min(c).alias(f"__m_{c}") for c in dims])
+                     .where("n > 1"), "groups")
+    hot = hot_keys(several, ["__group"], "n")
+    rows = dealt(keyed.withColumn("__row", F.monotonically_increasing_id()), ["__group"], hot, ["__row"])
+    found = rows.join(copied(several.withColumn("__found", F.lit(True)), ["__group"], hot), ["__group", "__salt"], "left")
+    return found.select(*docs.columns, *[F.when(F.col("__found"), F.col(f"__m_{c}")).otherwise(F.col(c)).alias(f"__d_{c}") for c in dims])
+
+
 def points(docs: DataFrame, numbers: list[str], texts: list[str], id_col: str, text_col: str, keep: list[str]) -> DataFrame:
     """The narrow table of sizes, checksums, places and ties, stored once for all passes."""
+    docs = _grouped(docs, [*numbers, *texts], text_col)
+    numbers, texts = [f"__d_{c}" for c in numbers], [f"__d_{c}" for c in texts]
     ends = docs.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(numbers)
                       for n, f in (("lo", F.min), ("hi", F.max))]).first() if numbers else None
     places = []
@@ -121,12 +140,12 @@ def _open(rows: DataFrame, tree: Tree, nodes: list[Node], dims: int) -> None:
             n.cut = 0  # an empty node: all its shards are empty
         else:
             n.dim = max(range(dims), key=lambda d: (r[f"hi{d}"] - r[f"lo{d}"], -d))
-            n.target = r.w * (n.shards // 2) / n.shards
+            n.target, n.whole = r.w * (n.shards // 2) / n.shards, r.w / n.shards / WHOLE_SHARE
 
 
 def _refine(rows: DataFrame, tree: Tree, nodes: list[Node]) -> None:
     """One histogram for all nodes: the bin where the bytes so far reach the target."""
-    step = {n.number: min(STEP_BITS, KEY_BITS - n.bits) for n in nodes}
+    step = {n.number: min(STEP_BITS, (TEXT_END if n.bits < TEXT_END else KEY_BITS) - n.bits) for n in nodes}
     inside, number, target, before = F.lit(None).cast("long"), F.lit(0), F.lit(0.0), F.lit(0)
     for n in nodes:
         here, key = F.col("node") == n.number, _key(n.dim)
@@ -144,8 +163,8 @@ def _refine(rows: DataFrame, tree: Tree, nodes: list[Node]) -> None:
         x, width = of[n.number], step[n.number]
         under = n.before + x["sum"] - x.w
         n.prefix, n.bits, n.before = (n.prefix << width) | x.bin, n.bits + width, under
-        if x.n == 1 or n.bits == KEY_BITS:
-            # The row, or rows of one key, go to the side that comes nearer to the target.
+        if x.n == 1 or n.bits == KEY_BITS or n.bits == TEXT_END and x.w <= n.whole:
+            # The row, a group, or rows of one key, go to the side that comes nearer to the target.
             upper = abs(under + x.w - n.target) < abs(under - n.target)
             n.cut = (n.prefix + upper) << (KEY_BITS - n.bits)
 
@@ -170,7 +189,7 @@ def grow(rows: DataFrame, shards: int, dims: int) -> Tree:
     return tree
 
 
-def shard(docs: DataFrame, shards: int = 16, numbers: tuple[str, ...] = ("n_chars", "doc_id"),
+def shard(docs: DataFrame, shards: int = 16, numbers: tuple[str, ...] = ("n_chars",),
           texts: tuple[str, ...] = ("source", "lang"), id_col: str = "doc_id", text_col: str = "text",
           keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Rows with the columns ``keep``, size, text_crc32, shard and slot."""

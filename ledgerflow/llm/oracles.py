@@ -87,22 +87,27 @@ def _kd_sql(shards: int = 16) -> str:
   SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
     lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
   FROM range(256) r(i))""", f"""l0 AS (
-  SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 1 AS size, {place('n_chars')} AS k0, {place('doc_id')} AS k1,
-    coalesce({bits('source', 5, 0)}, 0) AS k2, coalesce({bits('lang', 5, 0)}, 0) AS k3,
+  SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 1 AS size, {place('n_chars')} AS k0,
+    coalesce({bits('source', 5, 0)}, 0) AS k1, coalesce({bits('lang', 5, 0)}, 0) AS k2,
     ({bits("coalesce(text, '')", 6, 0)} << 19) | ({bits('CAST(doc_id AS VARCHAR)', 4, 1)} << 4) AS tie, 0 AS node
-  FROM documents)"""]
+  FROM (SELECT doc_id, text, min(n_chars) OVER g AS n_chars, min(source) OVER g AS source, min(lang) OVER g AS lang
+        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))))"""]
     level, n = 0, shards
     while n > 1:  # a power of two: all nodes of a level are split alike
         rows = f"l{level}"
-        extents = ", ".join(f"max(k{d}) OVER (PARTITION BY node) - min(k{d}) OVER (PARTITION BY node) AS e{d}" for d in range(4))
-        key = "CASE " + " ".join(f"WHEN e{d} = greatest(e0, e1, e2, e3) THEN k{d}" for d in range(4)) + " END"
+        extents = ", ".join(f"max(k{d}) OVER (PARTITION BY node) - min(k{d}) OVER (PARTITION BY node) AS e{d}" for d in range(3))
+        key = "CASE " + " ".join(f"WHEN e{d} = greatest(e0, e1, e2) THEN k{d}" for d in range(3)) + " END"
         parts += [f"a{level} AS (SELECT *, {extents} FROM {rows})",
                   f"b{level} AS (SELECT *, (({key}) << 43) | tie AS key FROM a{level})",
-                  f"c{level} AS (SELECT *, sum(size) OVER (PARTITION BY node ORDER BY key) AS so_far, "
+                  f"c{level} AS (SELECT *, key >> 19 AS pre, sum(size) OVER (PARTITION BY node ORDER BY key >> 19) AS pre_so_far, "
+                  f"sum(size) OVER (PARTITION BY node, key >> 19) AS pre_w, sum(size) OVER (PARTITION BY node) / {n}.0 / 100.0 AS whole, sum(size) OVER (PARTITION BY node ORDER BY key) AS so_far, "
                   f"sum(size) OVER (PARTITION BY node) / 2.0 AS target, sum(size) OVER (PARTITION BY node, key) AS w FROM b{level})",
-                  f"d{level} AS (SELECT node, min(key) AS cut FROM c{level} WHERE so_far >= target GROUP BY node)",
+                  f"d{level} AS (SELECT node, min(key) AS cut, arg_min(pre_w <= whole, key) AS by_group FROM c{level} WHERE so_far >= target GROUP BY node)",
                   f"""l{level + 1} AS (
-  SELECT doc_id, t, size, k0, k1, k2, k3, tie, node * 2 + CASE WHEN key < cut THEN 0
+  SELECT doc_id, t, size, k0, k1, k2, tie, node * 2 + CASE
+    WHEN by_group THEN CASE WHEN pre < cut >> 19 THEN 0
+      WHEN pre = cut >> 19 AND abs(pre_so_far - target) < abs(pre_so_far - pre_w - target) THEN 0 ELSE 1 END
+    WHEN key < cut THEN 0
     WHEN key = cut AND abs(so_far - target) < abs(so_far - w - target) THEN 0 ELSE 1 END AS node
   FROM c{level} JOIN d{level} USING (node))"""]
         level, n = level + 1, n // 2

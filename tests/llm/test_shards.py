@@ -32,6 +32,10 @@ def test_near_equal_bytes(spark):
     assert all(r["size"] == len(texts[r.doc_id]) + 1 and r.text_crc32 == zlib.crc32(texts[r.doc_id]) for r in rows)
 
 
+def i_first(group, i):
+    return group[0] == i
+
+
 def _brute(points, shards, first=0):
     """The same tree over rows (size, places, tie) in memory."""
     if shards == 1 or not points:
@@ -39,9 +43,14 @@ def _brute(points, shards, first=0):
     wide = [max(p[1][d] for p in points) - min(p[1][d] for p in points) for d in range(len(points[0][1]))]
     dim = wide.index(max(wide))
     points = sorted(points, key=lambda p: (p[1][dim], p[2]))
-    half = shards // 2
+    half, whole = shards // 2, sum(p[0] for p in points) / shards / 100
     target, total, cut = sum(p[0] for p in points) * half / shards, 0, 0
     for cut, p in enumerate(points):  # noqa: B007
+        group = [i for i, q in enumerate(points) if (q[1][dim], q[2][0]) == (p[1][dim], p[2][0])]
+        size = sum(points[i][0] for i in group)
+        if i_first(group, cut) and len(group) > 1 and size <= whole and total + size >= target:
+            cut = group[-1] + 1 if abs(total + size - target) < abs(total - target) else group[0]
+            break
         if total + p[0] >= target:
             cut += abs(total + p[0] - target) < abs(total - target)
             break
@@ -53,15 +62,30 @@ def test_equals_a_tree_in_memory(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
     rows = docs.collect()
     bits = lambda t, n: int(hashlib.md5(t.encode()).hexdigest()[:-(-n // 4)], 16) >> (-n % 4)
-    ends = {c: (min(r[c] for r in rows), max(r[c] for r in rows)) for c in ("n_chars", "doc_id")}
+    source = {t: min(r.source for r in rows if r.text == t) for t in {r.text for r in rows}}
+    ends = {c: (min(r[c] for r in rows), max(r[c] for r in rows)) for c in ("n_chars",)}
     def scaled(c, v):
         lo, hi = ends[c]
         return int((v - lo) * float((1 << 20) - 1) / (hi - lo))
-    points = [(len(r.text.encode()) + 1, [scaled("n_chars", r.n_chars), scaled("doc_id", r.doc_id), bits(r.source, 20), bits(r.lang, 20)],
+    points = [(len(r.text.encode()) + 1, [scaled("n_chars", r.n_chars), bits(source[r.text], 20), bits(r.lang, 20)],
                (bits(r.text, 24), bits(str(r.doc_id), 15)), r.doc_id) for r in rows]
     assert {r.doc_id: r.shard for r in kd.shard(docs, 16).collect()} == _brute(points, 16)
 
 
+def test_groups_stay_whole_unless_they_are_large(spark):
+    """Copies in several sources: small groups lie in one shard, a group of half the bytes is cut, bytes stay near."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1400, F.lit("the same " * 5)).otherwise(
+        F.concat(F.lit("text "), F.floor(F.col("id") / 3).cast("string"), F.lit(" and more of it, at length."))).alias("text"), F.lit("en").alias("lang"),
+        F.concat(F.lit("s"), (F.col("id") % 7).cast("string")).alias("source")).withColumn("n_chars", F.length("text"))
+    rows = kd.shard(docs, 8).collect()
+    _laws(rows, 8, sum(r["size"] for r in rows) / 8 * 0.04)
+    texts, shards = {r.doc_id: r.text for r in docs.collect()}, collections.defaultdict(set)
+    for r in rows:
+        shards[texts[r.doc_id]].add(r.shard)
+    split = [t for t, s in shards.items() if len(s) > 1]
+    assert split == ["the same " * 5] and len(shards) > 500
+
+
 def test_one_text_holding_most_rows_is_split(spark):
     docs = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 400, "same text").otherwise(
         F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"),

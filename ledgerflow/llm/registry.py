@@ -90,10 +90,17 @@ def op8_piece_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.size("pieces.ids").cast("long").alias("n_pieces"), "pieces.ids_crc32", "pieces.round_trip"))
 
 
+CACHE_SETTING = "spark.ledgerflow.tokenCache"
+
+
 def op9_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of each whole document, by way of a cache of counts by content digest."""
+    """Tokens of each whole document, by way of a cache of counts by content digest.
+
+    The cache is the folder that the session's setting spark.ledgerflow.tokenCache names (a shared one), which
+    later runs find again; without the setting each run has an empty one of its own.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return (digest_cache.count_tokens(docs, digest_cache.open_cache(spark))
+    return (digest_cache.count_tokens(docs, digest_cache.open_cache(spark, spark.conf.get(CACHE_SETTING, None)))
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit")))
 
 

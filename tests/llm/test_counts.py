@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerflow.llm import digest_cache as dc
@@ -51,3 +52,23 @@ def test_cases(spark, library):
     assert len(rows) == len(cases.TEXTS) + 3
     assert all(r.n_tokens == library(r.text) and r.n_bytes == len((r.text or "").encode()) for r in rows)
     assert dc.count_tokens(cases.empty(spark), dc.open_cache(spark)).count() == 0
+
+
+def test_registered_query_finds_what_an_earlier_run_stored(spark, library, tmp_dir, monkeypatch):
+    """Through the setting: the second run encodes nothing, and gives the same counts."""
+    from ledgerflow.llm import registry
+    sf, path = "/root/testdata/sf0.001", f"{tmp_dir}/token-counts"
+    spark.conf.set(registry.CACHE_SETTING, path)
+    try:
+        first = sorted(map(tuple, registry.op9_digest_cache(spark, sf).collect()))
+        held = spark.read.parquet(path).count()
+        second = sorted(map(tuple, registry.op9_digest_cache(spark, sf).collect()))
+        assert second == first and held > 0 and spark.read.parquet(path).count() == held
+        # What the counts are joined to is the cache: a stored count that is changed shows.
+        rows = spark.read.parquet(path).withColumn("n_tokens", F.lit(5000).cast("long"))
+        changed = f"{tmp_dir}/changed"
+        rows.write.parquet(changed)
+        spark.conf.set(registry.CACHE_SETTING, changed)
+        assert {r.n_tokens for r in registry.op9_digest_cache(spark, sf).collect()} == {5000}
+    finally:
+        spark.conf.unset(registry.CACHE_SETTING)

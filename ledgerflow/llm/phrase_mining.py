@@ -49,7 +49,7 @@ _LOWER[65:91] += 32
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _HASHES = pa.schema([("k", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
 _COUNTS = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
-_PIECE = 4 << 20          # bytes of text looked at together
+_PIECE = 2 << 20          # bytes of text looked at together
 
 
 class _Phrases:

@@ -39,7 +39,7 @@ from .wordhash import WHITE, Words, cut, mixed, text_bytes
 WORDS = 20
 SHORTEST = 5
 
-_PIECE = 4 << 20          # bytes of text looked at together
+_PIECE = 1 << 20          # bytes of text looked at together
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _ANCHORS = pa.schema([("hash", pa.int64())])
 _WINDOWS = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()),

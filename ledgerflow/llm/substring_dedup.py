@@ -155,8 +155,7 @@ def repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
             .select("anchor", "hash", "id", "digest", (F.col("s") + F.col("i")).alias("start"))
             .select("id", "digest", "start", F.expr("min(struct(id, digest, start)) over (partition by anchor, hash)").alias("first")))
 
-    warm = stored(found.join(F.broadcast(hot), "anchor", "left_semi"), "windows")
-    many = (warm.select("anchor", "id", "digest", F.col("start").alias("s"), each)
+    many = (found.join(F.broadcast(hot), "anchor", "left_semi").select("anchor", "id", "digest", F.col("start").alias("s"), each)
             .select("anchor", "hash", "id", "digest", (F.col("s") + F.col("i")).alias("start")))
     firsts = stored(many.groupBy("anchor", "hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     hot_windows = hot_keys(firsts, key, "n")
@@ -171,7 +170,7 @@ def repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def _keep(words: int):
     """Arrow batches with a column __starts: words outside those windows, their digest and counts as ``__out``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b, "text", _PIECE)):
             texts, starts = batch.column("text").cast(pa.large_binary()), batch.column("__starts")
             n_words, n_removed, kept = [], [], []
             for i in range(len(batch)):
@@ -206,17 +205,25 @@ def dedup(docs: DataFrame, words: int = WORDS, out: str = "dedup") -> DataFrame:
     found = stored(repeats(keyed.select(F.col("__id").alias("id"), F.col("__digest").alias("digest"), "text"), words), "repeats")
     changed = KeySet.of(spark, found.select(F.xxhash64("id", "digest").alias("key")), "key")
 
-    @F.arrow_udf("boolean")
-    def may_change(key: pa.Array) -> pa.Array:
-        return pa.array(changed.has(key.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    asked = keyed.withColumn("__may", may_change(F.xxhash64("__id", "__digest")))
+    def chosen(wanted: bool):
+        """Rows of documents that may change, or the others; a task has one Python worker for all it does."""
+        keep = _keep(words)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                may = changed.has(batch.column("__key").to_numpy(zero_copy_only=False).view(np.uint64))
+                some = batch.filter(pa.array(may == wanted)).drop_columns(["__key"])
+                if len(some) and wanted:
+                    yield some
+                elif len(some):
+                    none = pa.nulls(len(some), pa.list_(pa.int32()))
+                    yield from keep([pa.record_batch([*some.columns, none], names=[*some.schema.names, "__starts"])])
+        return run
+
+    asked = keyed.withColumn("__key", F.xxhash64("__id", "__digest"))
     starts = found.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("starts").alias("__starts"))
-    none = F.lit(None).cast("array<int>").alias("__starts")
-    columns = [*docs.columns, "__starts"]
     schema = T.StructType([*docs.schema.fields, T.StructField("__out", RESULT)])
-    parts = (asked.where("__may").join(starts, ["__id", "__digest"], "left").select(columns),
-             asked.where("not __may").select(*docs.columns, none))
-    done = [p.mapInArrow(_keep(words), schema) for p in parts]
-    return done[0].union(done[1]).withColumnRenamed("__out", out) if out not in docs.columns else (
-        done[0].union(done[1]).select(*[c for c in docs.columns if c != out], F.col("__out").alias(out)))
+    same = asked.select(*docs.columns, "__key").mapInArrow(chosen(False), schema)
+    rest = asked.mapInArrow(chosen(True), keyed.schema).join(starts, ["__id", "__digest"], "left")
+    done = same.union(rest.select(*docs.columns, "__starts").mapInArrow(_keep(words), schema))
+    return done.select(*[c for c in docs.columns if c != out], F.col("__out").alias(out))

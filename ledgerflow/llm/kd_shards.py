@@ -93,22 +93,27 @@ def _node_of(node: Node) -> Column:
     return F.when(_key(node.dim) < F.lit(node.cut), _node_of(node.left)).otherwise(_node_of(node.right))
 
 
-def _grouped(docs: DataFrame, dims: list[str], text_col: str) -> DataFrame:
-    """Each row with its dimensions as ``__d_<name>``: the least value in the group of rows of its text."""
-    keyed = docs.withColumn("__group", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    several = stored(keyed.groupBy("__group").agg(F.count("*").alias("n"), *[F.min(c).alias(f"__m_{c}") for c in dims])
-                     .where("n > 1"), "groups")
+def _grouped(rows: DataFrame, dims: list[str]) -> DataFrame:
+    """Narrow rows with each dimension ``__d_<name>`` at the least value in the row's ``__group``."""
+    least = [F.min(f"__d_{c}").alias(f"__m_{c}") for c in dims]
+    several = stored(rows.groupBy("__group").agg(F.count("*").alias("n"), *least).where("n > 1"), "groups")
     hot = hot_keys(several, ["__group"], "n")
-    rows = dealt(keyed.withColumn("__row", F.monotonically_increasing_id()), ["__group"], hot, ["__row"])
-    found = rows.join(copied(several.withColumn("__found", F.lit(True)), ["__group"], hot), ["__group", "__salt"], "left")
-    return found.select(*docs.columns, *[F.when(F.col("__found"), F.col(f"__m_{c}")).otherwise(F.col(c)).alias(f"__d_{c}") for c in dims])
+    found = (dealt(rows, ["__group"], hot, ["__row"])
+             .join(copied(several.withColumn("__found", F.lit(True)), ["__group"], hot), ["__group", "__salt"], "left"))
+    return found.withColumns({f"__d_{c}": F.when(F.col("__found"), F.col(f"__m_{c}")).otherwise(F.col(f"__d_{c}")) for c in dims})
 
 
 def points(docs: DataFrame, numbers: list[str], texts: list[str], id_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    """The narrow table of sizes, checksums, places and ties, stored once for all passes."""
-    docs = _grouped(docs, [*numbers, *texts], text_col)
-    numbers, texts = [f"__d_{c}" for c in numbers], [f"__d_{c}" for c in texts]
-    ends = docs.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(numbers)
+    """The narrow table of sizes, checksums, places and ties, stored once for all passes; texts aren't shuffled."""
+    text, key = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col).cast("string")
+    tie = (F.shiftleft(hash_bits(text, 24), 19)
+           .bitwiseOR(F.shiftleft(hash_bits(F.coalesce(key, F.lit("")), 15), 4))
+           .bitwiseOR(F.monotonically_increasing_id().bitwiseAND(15)))
+    narrow = docs.select(*keep, (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                         tie.alias("tie"), F.xxhash64(text).alias("__group"), F.monotonically_increasing_id().alias("__row"),
+                         *[F.col(c).cast("double").alias(f"__d_{c}") for c in numbers], *[F.col(c).cast("string").alias(f"__d_{c}") for c in texts])
+    rows = _grouped(stored(narrow, "narrow"), [*numbers, *texts])
+    ends = rows.agg(*[f(f"__d_{c}").alias(f"{n}{i}") for i, c in enumerate(numbers)
                       for n, f in (("lo", F.min), ("hi", F.max))]).first() if numbers else None
     places = []
     for i, c in enumerate(numbers):
@@ -116,16 +121,10 @@ def points(docs: DataFrame, numbers: list[str], texts: list[str], id_col: str, t
         if lo is None or hi == lo:
             places.append(F.lit(0).cast("long"))
         else:
-            scaled = F.floor((F.col(c).cast("double") - F.lit(lo)) * F.lit(float((1 << PLACE_BITS) - 1)) / F.lit(hi - lo))
+            scaled = F.floor((F.col(f"__d_{c}") - F.lit(lo)) * F.lit(float((1 << PLACE_BITS) - 1)) / F.lit(hi - lo))
             places.append(F.coalesce(scaled.cast("long"), F.lit(0).cast("long")))
-    places += [F.coalesce(place_of_text(F.col(c)), F.lit(0).cast("long")) for c in texts]
-    text, key = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col).cast("string")
-    tie = (F.shiftleft(hash_bits(text, 24), 19)
-           .bitwiseOR(F.shiftleft(hash_bits(F.coalesce(key, F.lit("")), 15), 4))
-           .bitwiseOR(F.monotonically_increasing_id().bitwiseAND(15)))
-    return stored(docs.select(*keep, (F.octet_length(text) + 1).cast("long").alias("size"),
-                              F.crc32(text.cast("binary")).alias("text_crc32"), tie.alias("tie"),
-                              *[p.alias(f"k{i}") for i, p in enumerate(places)]), "points")
+    places += [F.coalesce(place_of_text(F.col(f"__d_{c}")), F.lit(0).cast("long")) for c in texts]
+    return stored(rows.select(*keep, "size", "text_crc32", "tie", *[p.alias(f"k{i}") for i, p in enumerate(places)]), "points")
 
 
 def _open(rows: DataFrame, tree: Tree, nodes: list[Node], dims: int) -> None:

@@ -6,14 +6,18 @@ most (s + t) / 7 shingles, for sizes s and t.
 
 Signatures.  Sizes fall into bands [2^b, 2^(b+1)); a set takes part in its own band and, where a
 partner can be smaller than that, in the one below.  Within a band the domain of shingles is cut by
-hash into partitions (from 1.25 * 2^b of them down to 0.81 * 2^b in higher bands; in bands under 64
-each shingle is a partition), and a signature is what a set holds of one partition.  Sets that differ in k shingles differ in at most k
-partitions, so each set gives k + 1 signatures: those first in an order that depends on the
-signature's content alone (without common shingles first, then larger ones, then by hash).  Take the
-set whose last signature comes first in that order: of its k + 1 signatures one is the same in the
-other set, and comes before the other's last, so both give it.  A set holds shingles in fewer than
-k + 1 partitions only with a probability estimated below 1e-12 (over seven standard deviations in every
-band, by a normal approximation).  Which shingles are common is taken from a bounded sample; it only orders.
+hash into parts (0.6 * 2^b of them in the band of 64 down to 0.4 * 2^b from 512 on), and each part into
+three cells.  A part's signatures are what a set holds of two of its cells, for each of the three
+choices of two.  A part with one differing cell keeps one signature, and with k differing shingles in
+all some part has at most one.  Counted over all parts (``kept``), sets that differ in k shingles share
+at least 3 * parts - 2 * k signatures, or 2 * parts - k where k is larger than the parts.  So each set
+gives all its signatures but as many less one, those last in an order that depends on a signature's
+content alone (without common shingles first, then larger ones, then by hash; empty ones at the end):
+the first that both sets hold is among those that both give.  Which shingles are common is taken from a
+bounded sample; it only orders.  A set gives empty signatures, which unlike sets share, only with a
+probability estimated below 1e-10 (over 6.5 standard deviations in every band, by a normal approximation).
+In bands under 64, where such parts would be mostly empty, each shingle is a part and a cell of its own:
+k + 1 of them, in the same order.
 
 Candidates.  Rows (signature, id) are dealt and sorted by signature; a pass over each part pairs the
 members of small groups, and those of larger groups with the group's first member.  A set's sketch
@@ -43,12 +47,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components, stored
+from .keysets import copied, dealt, hot_keys
 from .textbatch import odd_numbers, spans_of_size, worker_cache
 from .wordhash import whole_hash
 
 SHINGLE = 5              # words
-SMALL_BAND = 64          # below, each shingle is a partition of its own
-PARTITIONS = {6: 20, 7: 16, 8: 14}  # sixteenths of 2^band, by band; 13 above
+SMALL_BAND = 64          # below, each shingle is a part of its own
+CELLS = 3                # second-level cells of a part; signatures leave out one
+PARTS = {6: 38, 7: 58, 8: 108}  # first-level parts, by band; two fifths of 2^band above
 SMALL_GROUP = 4          # members of a signature's group that are all paired at once
 LEADERS = 256            # members of a larger group outside its main component, in each later round
 SAMPLE = 20_000          # documents of the sample that tells common shingles
@@ -120,13 +126,22 @@ def signatures(items: np.ndarray, common: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.uint64)
     band = s.bit_length() - 1
     low = 1 << band
-    out = [_band_signatures(items, band, (s + 4 * s // 3) // 7 + 1, common)]
+    out = [_band_signatures(items, band, (s + 4 * s // 3) // 7, common)]
     if 4 * (low - 1) >= 3 * s:
-        out.append(_band_signatures(items, band - 1, (s + low - 1) // 7 + 1, common))
+        out.append(_band_signatures(items, band - 1, (s + low - 1) // 7, common))
     return np.concatenate(out)
 
 
-def _band_signatures(items: np.ndarray, band: int, most: int, common: np.ndarray) -> np.ndarray:
+def kept(parts: int, differ: int) -> int:
+    """How many of its signatures, the first ones, a set gives to meet all sets with ``differ`` other shingles.
+
+    One differing cell of a part takes two of its three signatures, a second one the third.
+    """
+    shared = CELLS * parts - 2 * differ if differ <= parts else 2 * parts - differ
+    return CELLS * parts - shared + 1
+
+
+def _band_signatures(items: np.ndarray, band: int, differ: int, common: np.ndarray) -> np.ndarray:
     rare = np.ones(len(items), bool)
     if len(common):
         at = np.minimum(np.searchsorted(common, items), len(common) - 1)
@@ -134,19 +149,23 @@ def _band_signatures(items: np.ndarray, band: int, most: int, common: np.ndarray
     salt = (np.array([band + 1], np.uint64) * _ODD[0])[0]
     content = mix(items ^ salt)
     if 1 << band < SMALL_BAND:
-        size = np.ones(len(items), np.int64)
-    else:
-        parts = np.uint64(PARTITIONS.get(band, 13) * (1 << band - 4))
-        part = mix(items + salt) % parts
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        size = np.diff(np.append(first, len(items)))
-        content = mix(np.add.reduceat(content[order], first) + part[first] * _ODD[1])
-        rare = np.logical_and.reduceat(rare[order], first)
-    if len(content) <= most:
-        return content
-    return content[np.lexsort((content, -size, ~rare))[:most]]
+        return content[np.lexsort((content, ~rare))[:differ + 1]]
+    parts = PARTS.get(band, 2 * (1 << band) // 5)
+    cell = (mix(items + salt) % np.uint64(CELLS * parts)).astype(np.int64)
+    held = np.zeros(CELLS * parts, np.uint64)
+    np.add.at(held, cell, content)
+    size, rare = (_others(np.bincount(c, minlength=CELLS * parts)) for c in (cell, cell[rare]))
+    content = mix(_others(held) + np.arange(1, CELLS * parts + 1, dtype=np.uint64) * _ODD[1] + salt)
+    rank = ((rare == 0).astype(np.uint64) << np.uint64(63)) | ((127 - np.minimum(size, 127)).astype(np.uint64) << np.uint64(56))
+    rank |= content >> np.uint64(8)
+    most = kept(parts, differ)
+    return content[np.argpartition(rank, most - 1)[:most]]
+
+
+def _others(cells: np.ndarray) -> np.ndarray:
+    """For each cell the sum of its part's other cells."""
+    whole = cells.reshape(-1, CELLS)
+    return (whole.sum(axis=1, dtype=cells.dtype, keepdims=True) - whole).ravel()
 
 
 def _texts(column: pa.Array) -> list[str]:
@@ -418,10 +437,12 @@ def link(texts: DataFrame, found: DataFrame) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
         lead = stored(members.join(main, "sig").where("component <> main").withColumn("r", rank).where(F.col("r") <= LEADERS)
                       .select("sig", "id", "size", "component"), "leaders")
-        rows = (members.select("sig", "id", "size", "component", F.lit(1).alias("lead"))
-                .unionByName(lead.withColumn("lead", F.lit(0))).join(drawn, "id")
-                .select("sig", "lead", "id", "size", "component", "sketch"))
-        partners = (rows.repartition("sig").sortWithinPartitions("sig", "lead", "id")
+        # A hot group's members are dealt over tasks, and its few leaders go to each of those.
+        hot = stored(hot_keys(members.groupBy("sig").agg(F.count("*").alias("n")), ["sig"], "n"), "hot")
+        rows = (dealt(members, ["sig"], hot, ["id"]).select("sig", "__salt", "id", "size", "component", F.lit(1).alias("lead"))
+                .unionByName(copied(lead, ["sig"], hot).withColumn("lead", F.lit(0))).join(drawn, "id")
+                .select(F.xxhash64("sig", "__salt").alias("group"), "lead", "id", "size", "component", "sketch"))
+        partners = (rows.repartition("group").sortWithinPartitions("group", "lead", "id")
                     .mapInArrow(_against, "id long, partners binary"))
         pairs = (partners.repartition("id").sortWithinPartitions("id")
                  .mapInArrow(_merged, "a long, b long").distinct())

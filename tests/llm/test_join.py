@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -96,6 +97,26 @@ def test_linked_sets_share_a_signature():
     assert met > 400
 
 
+def test_kept_signatures_equal_enumeration():
+    for parts in range(1, 5):
+        for differ in range(2 * parts):
+            shared = min(sum((3 - d) * (2 - d) // 2 for d in ds) for ds in itertools.product(range(4), repeat=parts) if sum(ds) <= differ)
+            assert pj.kept(parts, differ) == 3 * parts - shared + 1
+
+
+@pytest.mark.parametrize("s", [64, 65, 100, 127, 128, 180, 255, 256, 400, 511, 512, 1000, 5000])
+def test_signatures_of_two_cells(s):
+    rng = np.random.default_rng(s)
+    none = np.zeros(0, np.uint64)
+    for _ in range(20):
+        a = np.unique(rng.integers(0, 2 ** 63, s, dtype=np.int64).view(np.uint64))
+        sigs = pj.signatures(a, none)
+        assert len(set(sigs.tolist())) == len(sigs)
+        # Unlike sets share nothing, so no signature is empty.
+        b = np.unique(rng.integers(0, 2 ** 63, s, dtype=np.int64).view(np.uint64))
+        assert not len(np.intersect1d(sigs, pj.signatures(b, none)))
+
+
 @pytest.mark.parametrize("step", [1, 3, 17, 1000])
 def test_pairs_of_sorted_rows(step):
     rng = random.Random(step)

@@ -4,7 +4,9 @@ The words of a text (runs of other than ASCII white space) form a sequence.  Its
 sorted by prefix doubling, many texts side by side: a text's number is part of its first sort key,
 so suffixes of different texts never meet.  The longest common prefix of neighbours in the order
 gives, for each word, the longest passage that starts there and occurs elsewhere in the text: the
-width of its deepest LCP interval.  The spans of all repeated passages of ``min_words`` words or
+width of its deepest LCP interval.  Prefixes are taken in text order: where the words before two
+neighbours are equal too, the prefix is one shorter than the word before has, so only the others are
+compared word by word (n log n words in all), and memory stays in proportion to the text.  The spans of all repeated passages of ``min_words`` words or
 more are united; a text is kept when it passes the base rules, the united spans cover at most
 ``max_covered`` per cent of its words, and no repeated passage is longer than ``max_longest`` words.
 
@@ -28,6 +30,7 @@ RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
           "base_failed boolean, covered_words long, longest_repeat long, kept boolean")
 WINDOW = 8               # words of the base rule's windows
 PIECE = 1 << 20          # characters of text at a time
+COMPARED = 1 << 16       # words of neighbours compared at a time
 _SPACE = " \t\n\v\f\r"
 _SYMBOLS = "#*$%&|<>"
 
@@ -41,7 +44,7 @@ def longest_repeats(words: np.ndarray, begin: np.ndarray) -> np.ndarray:
     doc = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, n)))
     end = np.append(begin[1:], n)[doc]
     key = doc * (int(words.max()) + 1) + words
-    rank, ranks = np.empty(n, np.int64), []
+    rank = np.empty(n, np.int64)
     active, h = np.arange(n), 1
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
@@ -51,7 +54,6 @@ def longest_repeats(words: np.ndarray, begin: np.ndarray) -> np.ndarray:
         new = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
         head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
         rank[active[order]] = base[head]
-        ranks.append(rank.copy())
         same = np.zeros(len(order), bool)
         same[1:] = ~new[1:]
         same[:-1] |= ~new[1:]
@@ -64,24 +66,46 @@ def longest_repeats(words: np.ndarray, begin: np.ndarray) -> np.ndarray:
         order = np.argsort(key, kind="stable")
         sorted_key = key[order]
         h *= 2
-    # Longest common prefixes of neighbours in the suffix array, by halving steps.
     suffixes = np.empty(n, np.int64)
     suffixes[rank] = np.arange(n)
-    a, b = suffixes[:-1], suffixes[1:]
-    near = np.flatnonzero(ranks[0][a] == ranks[0][b])
-    a, b = a[near], b[near]
-    lcp = np.zeros(len(a), np.int64)
-    for level in range(len(ranks) - 1, -1, -1):
-        i, j = a + lcp, b + lcp
-        ok = (i < end[a]) & (j < end[b])
-        ok &= ranks[level][np.minimum(i, n - 1)] == ranks[level][np.minimum(j, n - 1)]
-        lcp += np.where(ok, 1 << level, 0)
-    best = np.zeros(n, np.int64)
-    np.maximum.at(best, a, lcp)
-    np.maximum.at(best, b, lcp)
+    before = np.empty(n, np.int64)  # the suffix before each one in the order
+    before[suffixes[1:]] = suffixes[:-1]
+    before[suffixes[0]] = suffixes[0]
+    lcp = common_prefixes(words, doc, end, before)
+    best = lcp.copy()
+    np.maximum.at(best, before, lcp)
     return best
 
 
+def common_prefixes(words: np.ndarray, doc: np.ndarray, end: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """For each suffix its common prefix with the suffix ``before`` it; 0 for the first of a text."""
+    at = np.arange(len(words))
+    alone = doc[before] != doc
+    alone[before == at] = True
+    # Equal words in front of both: the prefix is one shorter than that of the suffix that starts there.
+    follows = ~alone & (at > 0) & (before > 0)
+    follows &= (doc[at - 1] == doc) & (doc[before - 1] == doc) & (words[at - 1] == words[before - 1])
+    lcp = np.zeros(len(words), np.int64)
+    i, step = np.flatnonzero(~follows & ~alone), 1
+    while len(i):
+        # The next ``step`` words of each pair that agreed so far, a bounded number of words at a time.
+        goes_on = []
+        for lo in range(0, len(i), max(1, COMPARED // step)):
+            p = i[lo:lo + max(1, COMPARED // step)]
+            x, y = p + lcp[p], before[p] + lcp[p]
+            room = np.minimum(np.minimum(end[p] - x, end[p] - y), step)
+            place = np.arange(int(room.max(initial=0)))
+            same = words[np.minimum(x[:, None] + place, len(words) - 1)] == words[np.minimum(y[:, None] + place, len(words) - 1)]
+            same &= place < room[:, None]
+            more = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+            lcp[p] += more
+            goes_on.append(p[(more == step)])
+        i, step = np.concatenate(goes_on), min(2 * step, COMPARED)
+    # Along a run of suffixes that follow the one before, the prefix loses one word each time.
+    head = np.maximum.accumulate(np.where(follows, 0, at))
+    return np.where(alone, 0, lcp[head] - (at - head))
+
+
 def covered(repeat: np.ndarray, least: int, width: np.ndarray | int) -> np.ndarray:
     """Marks words in the union of [p, p + width) over places p whose repeat is ``least`` or longer."""
     n = len(repeat)

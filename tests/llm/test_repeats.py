@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -31,6 +32,25 @@ def test_longest_repeats_equal_brute_force():
         assert sr.longest_repeats(np.array(sum(docs, [])), begin).tolist() == sum(map(_brute, docs), [])
 
 
+def test_longest_repeats_of_regular_texts(monkeypatch):
+    monkeypatch.setattr(sr, "COMPARED", 8)
+    fib = [[0], [0, 1]]
+    while len(fib[-1]) < 200:
+        fib.append(fib[-1] + fib[-2])
+    for docs in ([[0, 1] * 100], [[7] * 150, [7] * 40], [fib[-1], fib[-2]], [list(range(60)) * 3, list(range(60))]):
+        begin = np.cumsum([0, *map(len, docs)])[:-1]
+        assert sr.longest_repeats(np.array(sum(docs, [])), begin).tolist() == sum(map(_brute, docs), [])
+
+
+def test_memory_in_proportion_to_the_text():
+    words = np.tile([0, 1], 200_000)
+    tracemalloc.start()
+    got = sr.longest_repeats(words, np.array([0]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] == len(words) - 2 and most < 170 * len(words)  # bytes a word, 8 of them the word itself
+
+
 def test_rules():
     words = [f"w{i}" for i in range(100)]
     passage = " ".join(words[:40])

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm import bm25_decontam, crf_language, feistel_pii, partenum_join, piece_trie
 from ledgerflow.llm.components import stored
-from ledgerflow.llm.registry import PII_KEY
+from ledgerflow.llm.registry import pii_key
 from ledgerflow.llm.textbatch import small_batches, table
 
 MIN_SCORE = 0.4
@@ -70,7 +70,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    masked = feistel_pii.pseudonymise(docs, PII_KEY, out="__masked")
+    masked = feistel_pii.pseudonymise(docs, pii_key(spark), out="__masked")
     own = {"text": F.col("__masked.text").alias("text"), "n_chars": F.length("__masked.text").cast("long").alias("n_chars")}
     return masked.select(*[own.get(c, F.col(c)) for c in docs.columns])
 

@@ -9,8 +9,10 @@ get equal pseudonyms in all documents, and different values of one format differ
     iban    valid check digits; country stays, account characters are permuted within their class
     phone   +1 (ddd) ddd-dddd and international numbers of 8 to 15 digits; country prefix stays
     ssn     ddd-dd-dddd with valid parts
-    ip      four numbers of 0 to 255
-    date    a calendar day of 1900 to 2099: yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy or dd/mm/yyyy
+    ip      four numbers of 0 to 255, not right behind a v or the word version
+    ip6     an IPv6 address with four groups or more and a digit, in any spelling; its pseudonym is in the short one
+    date    a calendar day of 1900 to 2099: yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy or dd/mm/yyyy; the last three
+            also with days and months of one digit, whose pseudonyms are written without zeros too
     email   letters and digits of the whole local part and of all host labels but the last
     secret  the whole value after token, secret, password or key (16 characters or more; hexadecimal
             values stay so), and access keys of the form AKIA and 16 letters and digits
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -59,8 +62,9 @@ PATTERN = re.compile(rf"(?P<email>(?<!{_LOCAL}){EMAIL.pattern})" + r"""
 | (?P<secret>(?<![A-Za-z])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,3}[:=]\s{0,3}["']?(?P<value>[A-Za-z0-9+/_=.-]{16,}+))
 | (?P<access>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))
 | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-| (?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))
-| (?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9]))
+| (?P<ip6>(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:]))
+| (?P<ip>(?<![0-9.])(?<!\b[Vv])(?<!\b[Vv]ersion\ )(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))
+| (?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[./-][0-9]))
 | (?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))
 | (?P<phone>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}|(?:\([0-9]{3}\)\ ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4})(?![0-9]))
 | (?P<card>(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))
@@ -202,18 +206,39 @@ def ip(p: Permuter, text: str) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+def ip6(p: Permuter, text: str) -> str | None:
+    if sum(map(bool, text.split(":"))) < 4 or not re.search("[0-9]", text):
+        return None
+    try:
+        value = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    while True:
+        value = p.permute(value, 1 << 128, "ip6")
+        new = str(ipaddress.IPv6Address(value))
+        if sum(map(bool, new.split(":"))) >= 4 and re.search("[0-9]", new):
+            return new.upper() if text.upper() == text else new
+
+
+# Order of day, month and year in the forms of a date, by separator; the first that is a day counts.
+_FORMS = {"-": ["ymd"], ".": ["dmy"], "/": ["mdy", "dmy"]}
+
+
 def date(p: Permuter, text: str) -> str | None:
-    sep = text[4] if text[4] in "-" else text[2]
-    a, b, c = map(int, text.split(sep))
-    tries = {"-": ["%Y-%m-%d"], ".": ["%d.%m.%Y"], "/": ["%m/%d/%Y", "%d/%m/%Y"]}[sep]
-    for form in tries:
-        y, m, d = {"%Y-%m-%d": (a, b, c), "%d.%m.%Y": (c, b, a), "%m/%d/%Y": (c, a, b), "%d/%m/%Y": (c, b, a)}[form]
-        if 1900 <= y <= 2099 and 1 <= m <= 12 and 1 <= d <= 31:
-            try:
-                day = dt.date(y, m, d).toordinal() - _DAY0
-            except ValueError:
-                continue
-            return dt.date.fromordinal(_DAY0 + p.permute(day, _DAYS, "date")).strftime(form)
+    sep = next(c for c in text if not c.isdigit())
+    parts = text.split(sep)
+    width = 1 if min(map(len, parts)) == 1 else 2
+    for form in _FORMS[sep]:
+        read = dict(zip(form, map(int, parts)))
+        if not 1900 <= read["y"] <= 2099:
+            continue
+        try:
+            day = dt.date(read["y"], read["m"], read["d"]).toordinal() - _DAY0
+        except ValueError:
+            continue
+        new = dt.date.fromordinal(_DAY0 + p.permute(day, _DAYS, "date"))
+        told = {"y": str(new.year), "m": f"{new.month:0{width}d}", "d": f"{new.day:0{width}d}"}
+        return sep.join(told[c] for c in form)
     return None
 
 
@@ -233,7 +258,7 @@ def access(p: Permuter, text: str) -> str | None:
 
 
 KINDS: dict[str, Callable[[Permuter, str], str | None]] = {
-    "email": email, "iban": iban, "ip": ip, "date": date, "ssn": ssn, "phone": phone, "card": card,
+    "email": email, "iban": iban, "ip": ip, "ip6": ip6, "date": date, "ssn": ssn, "phone": phone, "card": card,
     "secret": secret, "access": access}
 
 

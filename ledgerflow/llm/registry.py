@@ -60,13 +60,19 @@ def op4_mincut_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
 
 
-PII_KEY = b"corpus pseudonyms"  # a deployment passes a key of its own
+PII_SETTING = "spark.ledgerflow.pseudonymSecret"  # Spark's redaction hides settings of such a name in its logs
+PII_KEY = b"corpus pseudonyms"  # of sessions without the setting: a known key, with which pseudonyms can be undone
+
+
+def pii_key(spark: SparkSession) -> bytes:
+    """The key of the pseudonyms: the session's setting, or PII_KEY."""
+    return (spark.conf.get(PII_SETTING, None) or PII_KEY.decode()).encode()
 
 
 def op5_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each whole document with pseudonyms for its personal data."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return (feistel_pii.pseudonymise(docs, PII_KEY)
+    return (feistel_pii.pseudonymise(docs, pii_key(spark))
             .select("doc_id", "masked.text", "masked.n_found", F.concat_ws(",", "masked.kinds").alias("kinds")))
 
 

@@ -122,6 +122,45 @@ def test_long_runs_take_time_in_proportion(masker):
         masker.mask(text)
 
 
+def test_days_and_months_of_one_digit(masker):
+    for value in ("12.3.1985", "3/7/2001", "31/1/1999"):
+        masked, kinds = masker.mask(f"born {value}, and {value}")
+        a, b = re.fullmatch(r"born (.*), and (.*)", masked).groups()
+        assert kinds == ["date", "date"] and a == b != value and re.fullmatch(r"[1-9]\d?([./])[1-9]\d?\1\d{4}", a)
+    padded, bare = (masker.mask(x)[0] for x in ("01.05.2001", "1.5.2001"))
+    assert [int(x) for x in padded.split(".")] == [int(x) for x in bare.split(".")]  # one day, one pseudonym
+    assert masker.mask("33.13.1985 and 1.2.85")[1] == []
+
+
+def test_ip6(masker):
+    one, two, three = (masker.mask(f"from {x}.")[0] for x in (
+        "2001:db8:12:34::9", "2001:0db8:0012:0034:0000:0000:0000:0009", "2001:DB8:12:34::9"))
+    assert one == two and one.lower() == three.lower() and "db8" not in one
+    assert masker.mask("from 2001:db8:12:34::9")[1] == ["ip6"] and masker.mask(one)[1] == ["ip6"]
+    for text in ("at 12:30:45", "std::vec::a1::b", "a::b1", "00:1b:44:11:3a:b7", "1:2:3:4:5", "ratio 1:2"):
+        assert masker.mask(text) == (text, [])
+
+
+@pytest.mark.parametrize("text", ["v1.2.3.4", "version 1.2.3.4", "Version 10.0.1.2 is out"])
+def test_versions_are_no_addresses(masker, text):
+    assert masker.mask(text) == (text, [])
+    assert masker.mask("from 10.0.1.2 on")[1] == ["ip"]
+
+
+def test_key_is_a_setting(spark):
+    from ledgerflow.llm import registry
+    assert registry.pii_key(spark) == registry.PII_KEY
+    spark.conf.set(registry.PII_SETTING, "another")
+    try:
+        assert registry.pii_key(spark) == b"another"
+        rows = registry.op5_feistel_pii(spark, "/root/testdata/sf0.001").where("n_found > 0").orderBy("doc_id").limit(3).collect()
+        other = pii.Masker(registry.PII_KEY)
+        texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+        assert rows and all(r.text != other.mask(texts[r.doc_id])[0] for r in rows)
+    finally:
+        spark.conf.unset(registry.PII_SETTING)
+
+
 def test_dates_are_a_permutation_of_days(masker):
     days = [f"2024-01-{d:02d}" for d in range(1, 32)]
     assert len({masker.mask(d)[0] for d in days}) == 31

@@ -167,13 +167,23 @@ def frequent(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE) -> DataF
     proposed, before, found = KeySet.of(spark, sampled.where(F.col("n") >= SAMPLE_LEAST), "hash"), None, None
     while True:
         new = stored(_hash_counts(rows, proposed, before).where(F.col("n") >= least), "phrases")
-        found = KeySet.of(spark, new, "hash", found)
+        _release(before)
+        old, found = found, KeySet.of(spark, new, "hash", found)
+        _release(old)
         failures = new.where(_unproposed(proposed)("hash") & (F.col("k") < LONGEST)).select("hash")
         if failures.isEmpty():
-            return stored(_exact_counts(rows, found).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+            _release(proposed)
+            counts = stored(_exact_counts(rows, found).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+            _release(found)
+            return counts
         before, proposed = proposed, KeySet.of(spark, failures, "hash", proposed)
 
 
+def _release(keys: KeySet | None) -> None:
+    if keys is not None:
+        keys.release()
+
+
 def _unproposed(proposed: KeySet):
     @F.arrow_udf("boolean")
     def unproposed(key: pa.Array) -> pa.Array:

@@ -1,5 +1,7 @@
 """Phrases of each language: against counters over all phrases."""
 
+import os
+import pickle
 import random
 import re
 from collections import Counter
@@ -8,6 +10,7 @@ import numpy as np
 import pytest
 
 from ledgerflow.llm import phrase_mining as pm
+from ledgerflow.llm.keysets import BITS, KeySet
 
 from . import cases
 
@@ -105,3 +108,29 @@ def test_cases(spark):
     gap = [("en", "a" + " " * 100_000 + "b" + " " * 50 + "." + " " * 50 + "c")] * 3
     far = pm.collocations(spark.createDataFrame([(i, *x) for i, x in enumerate(gap)], "doc_id long, lang string, text string"), 2)
     assert [r.phrase for r in far.collect()] == ["a b"]
+
+
+def test_key_sets_take_disk_by_what_they_hold(spark, monkeypatch):
+    """Each broadcast leaves a file in the driver's folder and in that of each executor."""
+    sizes, sent = [], spark.sparkContext.broadcast
+
+    def broadcast(value):
+        out = sent(value)
+        sizes.append(os.path.getsize(out._path))
+        return out
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    docs = spark.createDataFrame([(i, "en", "new york city is big . red wine") for i in range(60)], "doc_id long, lang string, text string")
+    assert {r["phrase"] for r in pm.frequent(docs).where("k = 3").collect()} == {"new york city", "york city is", "city is big"}
+    assert sizes and max(sizes) < 200_000      # 16 MB each, before
+
+
+def test_key_sets_keep_all_keys(spark):
+    keys = np.random.default_rng(5).integers(-(1 << 63), (1 << 63) - 1, 20_000)
+    rows = [(int(k),) for k in keys]
+    first = KeySet.of(spark, spark.createDataFrame(rows[:10_000], "k long"), "k")
+    both = KeySet.of(spark, spark.createDataFrame(rows[10_000:], "k long"), "k", first)
+    first.release()
+    again = pickle.loads(pickle.dumps(both._bits.value)).words
+    assert both.has(keys.view(np.uint64)).all() and (again == both._bits.value.words).all() and len(again) == 1 << (BITS - 3)
+    assert not both.has(np.arange(100_000, dtype=np.uint64)).all()

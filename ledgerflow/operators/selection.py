@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from ..functions.uniform import HASH_BITS
 
-# Rows that may be shipped in a broadcast hash table by these helpers.
-BROADCAST_MAX_ROWS = 2_000_000
+# Rows that may be shipped in a broadcast hash table by these helpers (each task holds the whole of it).
+BROADCAST_MAX_ROWS = 100_000
+# Rows that one task sorts or joins.
+TASK_ROWS = 500_000
 # Bins generated from one row at most (splits a hot interval across tasks).
 CHUNK_BINS = 1024
 # Rows of a cut bucket that one task may rank; a larger one is cut by further hash bits.
@@ -215,10 +217,15 @@ def maybe_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_RO
     return F.broadcast(df) if n_rows <= max_rows else df
 
 
+def dealt_over(df: DataFrame, n_rows: int, *cols: str) -> DataFrame:
+    """Shuffled by these columns, over as many tasks as ``n_rows`` need: what a task sorts doesn't grow with the input."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // TASK_ROWS)), *cols)
+
+
 def interval_draw(draws: DataFrame, r_col: str, intervals: DataFrame, lo_col: str, hi_col: str,
                   total: int, n_intervals: int, group_cols: list[str] | None = None,
-                  payload: list[str] | None = None) -> DataFrame:
-    """Attach to each draw the interval [lo, hi) (within its group) containing ``r``.
+                  payload: list[str] | None = None, n_draws: int = 0) -> DataFrame:
+    """Attach to each of the ``n_draws`` draws the interval [lo, hi) (within its group) containing ``r``.
 
     Bin width W = ceil(total / n_intervals), so the exploded interval table has
     at most ~2 * n_intervals rows and each bin holds about two intervals.
@@ -245,7 +252,11 @@ def interval_draw(draws: DataFrame, r_col: str, intervals: DataFrame, lo_col: st
         .drop("_first", "_last", "_c"))
     n_exploded = n_intervals + total // width + 1
     binned = draws.withColumn("_bin", F.floor(F.col(r_col) / width).cast("bigint"))
-    joined = binned.join(maybe_broadcast(exploded, n_exploded), [*group_cols, "_bin"], "inner")
+    key = [*group_cols, "_bin"]
+    if n_exploded > BROADCAST_MAX_ROWS:
+        size = max(n_draws, n_exploded)
+        binned, exploded = dealt_over(binned, size, *key), dealt_over(exploded, size, *key)
+    joined = binned.join(maybe_broadcast(exploded, n_exploded), key, "inner")
     return (joined.where((F.col(r_col) >= F.col("_lo")) & (F.col(r_col) < F.col("_hi")))
             .drop("_bin", "_lo", "_hi"))
 

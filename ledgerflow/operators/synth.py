@@ -183,7 +183,7 @@ def sample(spark: SparkSession, model: FitTables, n: int, start_id: int, seed: i
     with_k = selection.interval_draw(
         base.withColumn("_rk", uniform_int(f"{salt}:ks", n_op, "trans_id")),
         "_rk", k_tab, "cum_lo", "cum_hi", total=max(total, 1), n_intervals=max(n_k, 1),
-        group_cols=["op_key"], payload=["k_symbol"])
+        group_cols=["op_key"], payload=["k_symbol"], n_draws=n)
 
     # SY-5: account weighted by activity -- binned interval join.
     acc_total = int(model.scalars["account_rows"])
@@ -191,7 +191,7 @@ def sample(spark: SparkSession, model: FitTables, n: int, start_id: int, seed: i
     with_acc = selection.interval_draw(
         with_k.withColumn("_ra", uniform_int(f"{salt}:acc", acc_total, "trans_id")),
         "_ra", model.accounts.select("account_id", "cum_lo", "cum_hi"), "cum_lo", "cum_hi",
-        total=max(acc_total, 1), n_intervals=max(n_acc, 1), payload=["account_id"])
+        total=max(acc_total, 1), n_intervals=max(n_acc, 1), payload=["account_id"], n_draws=n)
 
     # SY-6, SY-7: date and conditional log-normal amount.
     day = uniform_int(f"{salt}:date", SYNTHETIC_DURATION_DAYS, "trans_id")

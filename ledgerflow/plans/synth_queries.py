@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import MISSING_OPERATION
 from ..operators import corrupt as corrupt_ops
-from ..operators import enrich, mart, quality, staging, synth
+from ..operators import enrich, mart, quality, selection, staging, synth
 from ..operators import profile as profile_ops
 from ..operators.quality import Rule
 from ..schemas import TRANS_COLUMNS
@@ -535,7 +535,7 @@ def reconcile_rows(spark, sf_dir):
     key = ["dataset", "kind", "trans_id", "copy_no"]
     found, audit = [], []
     for ds in DATASETS:
-        rows = run.corrupted[ds].rows
+        rows = selection.dealt_over(run.corrupted[ds].rows, run.corrupted[ds].summary["rows_after"], "trans_id")
         loaded = staging.dedupe_first(rows, "trans_id", ["copy_no"])
         failing = {k: quality.failing_rows({"staged": rows, "loaded": loaded}, r) for k, r in _ROW_RULES.items()}
         failing["referential_violation"] = enrich.route(loaded, profile).where(F.col("dlq_reason").isNotNull())
@@ -545,5 +545,7 @@ def reconcile_rows(spark, sf_dir):
     f = corrupt_ops.union_all(found).withColumn("found", F.lit(True))
     outcome = (F.when(F.col("found").isNull(), "audited only").when(F.col("audited").isNull(), "found only")
                .otherwise("found and audited"))
+    n = sum(run.corrupted[ds].summary["rows_after"] for ds in DATASETS)
+    a, f = selection.dealt_over(a, n, *key), selection.dealt_over(f, n, *key)
     return (a.join(f, key, "full").groupBy("dataset", "kind", outcome.alias("outcome"))
             .agg(F.count(F.lit(1)).alias("rows")))

@@ -107,12 +107,18 @@ def parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(path)
 
 
+FILE_ROWS = 100_000
+
+
 def arrivals(rows: DataFrame, order: str, count: int, path: str, files: int = 2) -> int:
-    """Rows as files that arrive one after another: those of ``order`` 0 first, then 1, ...; returns files for each.
+    """Rows as files that arrive one after another: those of ``order`` 0 first, then 1, ...; returns files for each:
+    ``files``, or more where the smallest arrival has over FILE_ROWS rows for each, since a file is one task's.
 
     A file stream over ``path`` that takes ``files`` at each trigger has one micro-batch for each arrival (each
     needs as many rows as files).
     """
+    sizes = [r["count"] for r in rows.groupBy(F.col(order).alias("_a")).count().where(F.col("_a").between(0, count - 1)).collect()]
+    files = max(files, min(sizes, default=0) // FILE_ROWS)
     for i in range(count):
         (rows.where(F.col(order) == i).drop(order).repartition(files)
          .write.mode("overwrite" if i == 0 else "append").parquet(path))

@@ -14,7 +14,8 @@ write, so they cost no extra pass.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -145,7 +146,26 @@ def start_enrichment(spark: SparkSession, transactions: DataFrame,
     out = StreamOutputs(out_root)
     writer = (transactions.writeStream.foreachBatch(make_batch_writer(spark, profile_loader, out, sinks, warm))
               .option("checkpointLocation", out.checkpoint))
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
+    with state_on_disk(spark):
+        return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB, not as maps in executor memory, unless the session names a
+    state store itself.  A stream takes the settings when it starts, and a restarted one those of its checkpoint."""
+    if spark.conf.get(STATE_STORE, None) is not None:
+        yield
+        return
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE)
 
 
 def _read_batches(spark: SparkSession, path: str, empty: T.StructType) -> DataFrame:
@@ -180,7 +200,7 @@ def deduplicated(transactions: DataFrame, key: str = "trans_id", event_time: str
     Without ``within`` each key is remembered for good, so that the result is W-1's; with it (and an
     ``event_time`` column) keys are forgotten once the watermark is ``within`` past them, which bounds the
     state, and repeated deliveries must come within that time.  A NULL key is no key: those rows all pass.
-    Use the RocksDB state store on a cluster, so that state is on disk and not in executor memory.
+    ``start_enrichment`` keeps it in RocksDB: on disk, and not in executor memory.
     """
     if within is not None:
         transactions = transactions.withWatermark(event_time, within)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import cdc, enrich
 from ledgerflow.operators import profile as profile_ops
 from ledgerflow.plans.catalog import staged
+from ledgerflow.schemas import CDC_TRANS
 from ledgerflow.sources import cdc as cdc_src
 from ledgerflow.sources import testdata as td
 from ledgerflow.streaming import enrich_stream, profile_stream
@@ -359,3 +360,44 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.work_dir(Spark())
     assert session.is_local("local[4]") and session.is_local("local[*]") and not session.is_local("yarn")
+
+
+def test_large_arrivals_come_in_more_files(spark, tmp_dir, monkeypatch):
+    """Two files of an arrival were two tasks, however many rows it had."""
+    monkeypatch.setattr(cdc_src, "FILE_ROWS", 100)
+    log = spark.range(0, 2000, 1, 4).selectExpr("id", "cast(id % 2 as int) a")
+    files = cdc_src.arrivals(log, "a", 2, f"{tmp_dir}/src")
+    assert files == 10
+    written = spark.read.parquet(f"{tmp_dir}/src")
+    assert written.count() == 2000 and len(written.inputFiles()) == 20
+    assert cdc_src.arrivals(log.where("id < 900"), "a", 2, f"{tmp_dir}/few") == 4
+    assert cdc_src.arrivals(log.where("id < 20"), "a", 2, f"{tmp_dir}/two") == 2
+
+
+def test_state_of_a_stream_is_on_disk(spark, tmp_dir):
+    """Keys of the deduplication were maps in executor memory; the session's settings stay as they were."""
+    log = spark.createDataFrame([(i % 5, i % 2) for i in range(10)], "trans_id long, account_id long")
+    src = f"{tmp_dir}/src"
+    log.write.parquet(src)
+    key = enrich_stream.STATE_STORE
+
+    def provider(root):
+        stream = enrich_stream.deduplicated(cdc_src.parquet_stream(spark, src, log.schema))
+        query = enrich_stream.start_enrichment(spark, _transactions(stream), lambda *_: _profile(spark), root)
+        enrich_stream.drained(query)
+        assert enrich_stream.read_outputs(spark, root)["metrics"].agg(F.sum("processed")).first()[0] == 5
+        return query.lastProgress["stateOperators"][0]["customMetrics"]
+
+    assert any("rocksdb" in m for m in provider(f"{tmp_dir}/out"))
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        assert not any("rocksdb" in m for m in provider(f"{tmp_dir}/own"))
+        assert "HDFSBacked" in spark.conf.get(key)
+    finally:
+        spark.conf.unset(key)
+
+
+def _transactions(rows):
+    return rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in CDC_TRANS.fields])

@@ -10,6 +10,8 @@ import numpy as np
 from .textbatch import ragged
 
 UNITS_KEPT = 400_000     # units that a worker remembers; beyond, those used once are forgotten
+CHARS_KEPT = 8 << 20     # characters of them, as texts without spaces are units of any length
+IDS_KEPT = 8 << 20       # ids of units whose texts aren't kept
 
 Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
@@ -36,6 +38,7 @@ class IdStore:
     def __init__(self, encode_new: Encode, counts_only: bool = False, kept: int = UNITS_KEPT):
         self.encode_new, self.counts_only, self.kept = encode_new, counts_only, kept
         self.known = Numbering()
+        self.chars = 0
         self.flat = np.zeros(0, np.int32)
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
@@ -44,8 +47,10 @@ class IdStore:
     def _forget(self) -> None:
         """Keep the units that were used more than once; none where those are too many as well."""
         keep = np.flatnonzero(self.uses > 1)
-        keep = keep[:0] if len(keep) > 0.8 * self.kept else keep
         units = list(self.known)
+        self.chars = sum(len(units[i]) for i in keep.tolist())
+        if len(keep) > 0.8 * self.kept or self.chars > 0.8 * CHARS_KEPT:
+            keep, self.chars = keep[:0], 0
         self.known = Numbering()
         self.known.update((units[i], n) for n, i in enumerate(keep.tolist()))
         sizes = self.size[keep]
@@ -54,12 +59,13 @@ class IdStore:
         self.start, self.size, self.uses = np.cumsum(sizes) - sizes, sizes, np.zeros(len(keep), np.int64)
 
     def _numbers(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.kept:
+        if len(self.known) > self.kept or self.chars > CHARS_KEPT:
             self._forget()
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         unit = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64, int(counts.sum()))
         if self.known.new:
             ids, size = self.encode_new(self.known.new)
+            self.chars += sum(map(len, self.known.new))
             self.known.new = []
             self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
             self.size = np.concatenate((self.size, size))
@@ -103,14 +109,14 @@ class HashedStore:
 
     def _forget(self) -> None:
         keep = np.flatnonzero(self.uses > 1)
-        keep = keep[:0] if len(keep) > 0.8 * self.kept else keep
+        keep = keep[:0] if len(keep) > 0.8 * self.kept or self.size[keep].sum() > 0.8 * IDS_KEPT else keep
         self.flat = self.flat[ragged(self.start[keep], self.size[keep])]
         self.hashes, self.size = self.hashes[keep], self.size[keep]
         self.start, self.uses = np.cumsum(self.size) - self.size, np.zeros(len(keep), np.int64)
 
     def ids_of(self, hashes: np.ndarray, texts: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units end to end, and how many each has; ``texts`` gives the units at some places."""
-        if len(self.hashes) > self.kept:
+        if len(self.hashes) > self.kept or len(self.flat) > IDS_KEPT:
             self._forget()
         distinct, first, back, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
         at = np.searchsorted(self.hashes, distinct)

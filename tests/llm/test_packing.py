@@ -47,6 +47,23 @@ def test_forgetting_keeps_ids(monkeypatch):
         assert ids.tolist() == [i for x in texts[a:a + 20] for i in enc.tokenizer.encode(x, add_special_tokens=False).ids]
 
 
+def test_what_a_worker_remembers_is_bounded_in_characters(monkeypatch):
+    from ledgerflow.llm import idstore
+    monkeypatch.setattr(idstore, "CHARS_KEPT", 20_000, raising=False)
+    monkeypatch.setattr(idstore, "IDS_KEPT", 20_000, raising=False)
+    enc, rng = bp.ByteEncoder(bp.tokenizer_path()), np.random.default_rng(3)
+    for _ in range(40):
+        texts = ["".join(rng.choice(list(letters), 2000)) for letters in ("日本語中文字漢検索", "abcdefghij")]  # one unit each
+        texts.append("日 again")
+        ids, _ = enc.encode(texts)
+        assert ids.tolist() == [i for x in texts for i in enc.tokenizer.encode(x, add_special_tokens=False).ids]
+        for store in (enc.store, enc.parts):
+            assert sum(map(len, store.known)) <= 20_000 + 3000
+            assert len(store.flat) <= 3 * (20_000 + 3000) + 100
+        assert len(enc.hashed.flat) <= 20_000 + 3000
+    assert " again" in enc.parts.known or "again" in enc.store.known
+
+
 def _want(rows, key):
     enc = bp.ByteEncoder(bp.tokenizer_path())
     out, at = [], 0
